@@ -12,7 +12,7 @@ def parse_map(c: str | Column) -> Column:
     """Text map -> ``map<string,double>``. Braces removed, pairs split on ``,\\s*``, keys and values
     trimmed, values parsed with ``try_cast``. A null or empty text gives an empty map (SURVEY Q20)."""
     text = F.trim(F.regexp_replace(col_(c), r"[{}]", ""))
-    raw = F.str_to_map(text, r",\s*", "=")
+    raw = F.str_to_map(text, F.lit(r",\s*"), F.lit("="))
     typed = F.transform_values(F.transform_keys(raw, lambda k, v: F.trim(k)),
                                lambda k, v: F.trim(v).try_cast("double"))
     empty = F.create_map().cast("map<string,double>")

@@ -59,7 +59,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                          AND date_diff('day', fo.install_dt, CAST(o.o_orderdate AS DATE)) <= 7 THEN 1 ELSE 0 END) AS paid_source,
                MAX(CASE WHEN date_diff('day', fo.install_dt, CAST(o.o_orderdate AS DATE)) BETWEEN 1 AND 90
                         THEN 1 ELSE 0 END) AS returner,
-               MAX(date_diff('day', fo.install_dt, CAST(o.o_orderdate AS DATE))) AS tenure_days
+               CAST(MAX(date_diff('day', fo.install_dt, CAST(o.o_orderdate AS DATE))) AS INTEGER) AS tenure_days
         FROM orders o JOIN f_first_order fo ON fo.o_custkey = o.o_custkey
         GROUP BY o.o_custkey, fo.install_dt"""),
     "f_line_stats": (("f_first_order",), """

@@ -1,17 +1,28 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator/job of SURVEY §2.
 
 Every query reads the given tables (through the lazy views of ``sources.testdata``) so its work grows
-with the scale factor. Parameters are those of SURVEY §7.5.
+with the scale factor. Parameters are those of SURVEY §7.5. Model-fitting queries (no SQL oracle)
+live in ``plans/model_queries.py``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.scalar import round_half_up
 from ..operators import features as feat
-from ..params import TEST_FEATURES
+from ..operators import hurdle
+from ..operators import impact as imp
+from ..operators import prepare as prep
+from ..operators import reshape as rs
+from ..operators import sampling as smp
+from ..operators import scaling as sc
+from ..operators import summarise as sm
+from ..params import TEST_FEATURES, CampaignParams
 from ..sources.testdata import load_world
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,8 +36,420 @@ def query(name: str):
 
 
 P = TEST_FEATURES
+C = CampaignParams()
+COHORT_DATE = dt.date(1995, 1, 1)
+BACKFILL = (dt.date(1995, 1, 1), dt.date(1995, 3, 31))
+BACKFILL_HORIZONS = (30, 60, 90, 120)
+SPEND_HORIZONS = (30, 60, 90, 120, 365, 730)
+# Fixed values of the test mapping: the two countries standing in for United States / Canada,
+# the item types (spend categories) and event types (competitions) of the test tables.
+TEST_USA_CANADA = ("NATION_1", "NATION_2")
+SPEND_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+PLAYER_FLAGS = ("united_states", "facebook_connected", "paid_source", "returner")
+OVERLAYS = {"Launch": (dt.date(2024, 1, 1), dt.date(2024, 1, 3)),
+            "Campaign": (dt.date(2024, 1, 16), dt.date(2024, 1, 29)),
+            "TV": (dt.date(2024, 1, 20), dt.date(2024, 1, 25))}
+IMPACT_METRICS = ("organic_installs", "organic_revenue", "dau")
 
 
+# ---- E1 / E2 feature build and its parts --------------------------------------------------------
+
 @query("training_features")
 def training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.training_features(load_world(spark, sf_dir), P)
+
+
+@query("scoring_features")
+def scoring_features(spark, sf_dir):
+    return feat.scoring_features(load_world(spark, sf_dir), P, COHORT_DATE)
+
+
+@query("first_touch")
+def first_touch(spark, sf_dir):
+    return feat.first_touch(load_world(spark, sf_dir).touches, P, P.window_start, P.window_end)
+
+
+def _base(w):
+    return feat.installs_base(feat.installs_in_window(w.installs, P, P.window_start, P.window_end),
+                              feat.first_touch(w.touches, P, P.window_start, P.window_end))
+
+
+@query("installs_base")
+def installs_base(spark, sf_dir):
+    return _base(load_world(spark, sf_dir))
+
+
+@query("game_match_qa")
+def game_match_qa(spark, sf_dir):
+    from ..functions.scalar import flag, match_game
+    i = load_world(spark, sf_dir).installs
+    return i.select("s", "game_name", flag(match_game("game_name", P.game, True)).alias("is_match"),
+                    flag(match_game("game_name", P.game, False)).alias("is_match_literal"))
+
+
+@query("partition_scan")
+def partition_scan(spark, sf_dir):
+    i = load_world(spark, sf_dir).installs
+    return feat.scan_dates(i, P.window_start, P.window_end).select("s", "year", "month", "day")
+
+
+@query("sessions_by_horizon")
+def sessions_by_horizon(spark, sf_dir):
+    w = load_world(spark, sf_dir)
+    f = P.day_from
+    out = feat.sessions_by_horizon(_base(w), w.sessions, P, [f], P.window_end + dt.timedelta(days=f))
+    return out.where(F.col(f"sessions_day_{f}").isNotNull())
+
+
+@query("utility_by_horizon")
+def utility_by_horizon(spark, sf_dir):
+    w = load_world(spark, sf_dir)
+    f = P.day_from
+    out = feat.utility_by_horizon(_base(w), w.utility, P, [f], P.window_end + dt.timedelta(days=f))
+    return out.where(F.col(f"utility_day_{f}").isNotNull())
+
+
+@query("early_utility_ratio")
+def early_utility_ratio(spark, sf_dir):
+    return training_features(spark, sf_dir).select("s", "recent_utility_ratio")
+
+
+@query("spend_by_horizons")
+def spend_by_horizons(spark, sf_dir):
+    w = load_world(spark, sf_dir)
+    top = max(SPEND_HORIZONS)
+    out = feat.spend_by_horizons(_base(w), w.revenue, P, SPEND_HORIZONS, P.window_end + dt.timedelta(days=top))
+    return out.where(F.col(f"spend_day_{top}").isNotNull())
+
+
+@query("cohort_backfill")
+def cohort_backfill(spark, sf_dir):
+    """J9 + F20: every cohort date of a range x every horizon in one job (the reference loops over
+    dates and horizons and re-queries per pair). Horizons are conditional sums of one scan, then
+    stacked to long form."""
+    w = load_world(spark, sf_dir)
+    a, b = BACKFILL
+    base = feat.installs_base(feat.installs_in_window(w.installs, P, a, b), feat.first_touch(w.touches, P, a, b))
+    spend = feat.spend_by_horizons(base, w.revenue, P, BACKFILL_HORIZONS, b + dt.timedelta(days=max(BACKFILL_HORIZONS)))
+    wide = base.select("s", F.col("install_dt").alias("cohort_date")).join(spend, "s", "left")
+    long = wide.unpivot(["s", "cohort_date"], [f"spend_day_{h}" for h in BACKFILL_HORIZONS], "horizon_col", "spend")
+    return long.select("cohort_date", "s",
+                       F.regexp_extract("horizon_col", r"(\d+)$", 1).cast("int").alias("horizon"),
+                       F.coalesce(F.col("spend"), F.lit(0.0)).alias("spend"))
+
+
+# ---- player-value report (E6) ------------------------------------------------------------------
+
+def _clean(w):
+    return prep.clean_players(w.players)
+
+
+@query("clean_players")
+def clean_players(spark, sf_dir):
+    return _clean(load_world(spark, sf_dir))
+
+
+@query("bin_players")
+def bin_players(spark, sf_dir):
+    return prep.bin_players(_clean(load_world(spark, sf_dir))).select(
+        "covet_id", "submissions_bin", "submissions_bin_rank", "stars_received_bin", "stars_received_bin_rank")
+
+
+@query("group_summary")
+def group_summary(spark, sf_dir):
+    return sm.group_summary(_clean(load_world(spark, sf_dir)), PLAYER_FLAGS)
+
+
+@query("histogram")
+def histogram(spark, sf_dir):
+    return sm.histogram(_clean(load_world(spark, sf_dir)), "d365_RPI", 30)
+
+
+@query("histogram_log")
+def histogram_log(spark, sf_dir):
+    return sm.histogram(_clean(load_world(spark, sf_dir)), "d365_RPI", 30, log=True)
+
+
+@query("trend_lines_1d")
+def trend_lines_1d(spark, sf_dir):
+    """A17 ungrouped lines of d365 RPI on sessions, submissions and (rating >= 3) rating, in one pass."""
+    c = _clean(load_world(spark, sf_dir))
+    xs = c.select("d365_RPI", F.col("sessions").cast("double").alias("sessions"),
+                  F.col("submissions").cast("double").alias("submissions"),
+                  F.when(F.col("avg_rating_received") >= 3, F.col("avg_rating_received")).alias("avg_rating_received"))
+    long = xs.unpivot(["d365_RPI"], ["sessions", "submissions", "avg_rating_received"], "x_name", "x")
+    return long.groupBy("x_name").agg(
+        round_half_up(F.regr_slope("d365_RPI", "x"), 6).alias("slope"),
+        round_half_up(F.regr_intercept("d365_RPI", "x"), 6).alias("intercept"),
+        round_half_up(F.regr_r2("d365_RPI", "x"), 6).alias("r2"),
+        F.regr_count("d365_RPI", "x").alias("n"))
+
+
+@query("trend_lines")
+def trend_lines(spark, sf_dir):
+    """A17 faceted lines: by facebook, x submissions bin, x stars bin, x both (GROUPING SETS)."""
+    b = prep.bin_players(_clean(load_world(spark, sf_dir)))
+    fb, sb, st = "facebook_connected", "submissions_bin", "stars_received_bin"
+    return sm.trend_lines(b, "sessions", "d365_RPI", [[], [fb], [fb, sb], [fb, st], [fb, sb, st]])
+
+
+@query("trend_lines_category")
+def trend_lines_category(spark, sf_dir):
+    """A17 + J4: per spend category, d365 RPI on the category's spend share (players joined to spend)."""
+    w = load_world(spark, sf_dir)
+    j = _clean(w).join(w.spend, "covet_id")
+    return sm.trend_lines(j, "pct_spend", "d365_RPI", [["category_name"]]).drop("facet_level")
+
+
+@query("spend_pivot")
+def spend_pivot(spark, sf_dir):
+    """R3 + J4: spend shares wide ("Spend Distr <category>", names sanitised), left-joined to players."""
+    w = load_world(spark, sf_dir)
+    wide = rs.pivot_long(w.spend, "covet_id", "category_name", "pct_spend", SPEND_CATEGORIES, prefix="Spend Distr ")
+    wide = prep.sanitize_names(wide)
+    cols = [f"Spend_Distr_{c}" for c in SPEND_CATEGORIES]
+    return _clean(w).select("covet_id", "d365_RPI").join(wide, "covet_id", "left").fillna(0.0, subset=cols)
+
+
+@query("add_terms")
+def add_terms(spark, sf_dir):
+    c = prep.add_terms(_clean(load_world(spark, sf_dir)), prep.PLAYER_SQUARES, prep.PLAYER_INTERACTIONS)
+    return c.select("covet_id", *[f"{s}Sqd" for s in prep.PLAYER_SQUARES], *prep.PLAYER_INTERACTIONS)
+
+
+@query("prediction_curves")
+def prediction_curves(spark, sf_dir):
+    """A18 with an arithmetic prediction (the model output is tested separately): mean prediction by
+    sessions x facebook, + submissions bin, + stars bin, in one GROUPING SETS pass; chart domain 0..150."""
+    b = prep.bin_players(_clean(load_world(spark, sf_dir))).where(F.col("sessions").between(0, 150))
+    b = b.withColumn("predictions", F.exp(0.5 + 0.01 * F.col("sessions") + 0.2 * F.col("facebook_connected")))
+    s, fb, sb, st = "sessions", "facebook_connected", "submissions_bin", "stars_received_bin"
+    return sm.prediction_curves(b, "predictions", [[s, fb], [s, fb, sb], [s, fb, sb, st]])
+
+
+@query("sample_n")
+def sample_n(spark, sf_dir):
+    return smp.sample_n(_clean(load_world(spark, sf_dir)), 20, "covet_id", seed=123).select("covet_id", "d365_RPI")
+
+
+@query("train_test_split")
+def train_test_split(spark, sf_dir):
+    return smp.train_test_split(load_world(spark, sf_dir).players, "covet_id", 0.9, seed=42).select("covet_id", "split")
+
+
+@query("hash_folds")
+def hash_folds(spark, sf_dir):
+    return smp.hash_folds(load_world(spark, sf_dir).players, "covet_id", 10, seed=123).select("covet_id", "fold")
+
+
+@query("stratified_folds")
+def stratified_folds(spark, sf_dir):
+    return smp.stratified_folds(load_world(spark, sf_dir).players, "covet_id", ["paid_source"], 5, seed=42).select(
+        "covet_id", "paid_source", "fold")
+
+
+def _rule_inputs(w):
+    """Observed early spend, spender probability and amount as arithmetic of the players table."""
+    pl = w.players
+    return pl.select(
+        "covet_id",
+        (F.col("d365_RPI") / 1000).alias("actual"),
+        (F.col("d365_RPI") * F.col("returner") / 100).alias("observed"),
+        (F.pmod(F.col("covet_id") * F.lit(smp.HASH_MULTIPLIER), F.lit(1000)) / 1000.0).alias("p"),
+        (F.col("sessions") * 1.5 - 20.0).alias("amount"),
+    )
+
+
+@query("hurdle_rule")
+def hurdle_rule(spark, sf_dir):
+    x = _rule_inputs(load_world(spark, sf_dir))
+    o, p, a = F.col("observed"), F.col("p"), F.col("amount")
+    return x.select(
+        "covet_id",
+        *[hurdle.hurdle_prediction(o, p, a, h).alias(f"pred_hurdle_{int(h * 100)}_pct") for h in (0.1, 0.2, 0.3)],
+        hurdle.product_prediction(o, p, a).alias("pred_product"),
+        hurdle.threshold_prediction(p, a).alias("pred_threshold"),
+    )
+
+
+@query("rmse_mae")
+def rmse_mae(spark, sf_dir):
+    w = load_world(spark, sf_dir)
+    preds = hurdle_rule(spark, sf_dir).join(_rule_inputs(w).select("covet_id", "actual"), "covet_id")
+    rules = [c for c in preds.columns if c.startswith("pred_")]
+    long = preds.unpivot(["covet_id", "actual"], rules, "rule", "prediction")
+    return hurdle.error_metrics(long, "actual", "prediction", ["rule"])
+
+
+def _grid_predictions(w):
+    """Fold x (nrounds, eta) x hurdle grid of arithmetic predictions over the players (A15 input)."""
+    x = smp.hash_folds(_rule_inputs(w), "covet_id", 5, seed=42)
+    o, p, a = F.col("observed"), F.col("p"), F.col("amount")
+    cols = {}
+    for nr in (25, 50, 75):
+        for eta in (0.05, 0.1):
+            scaled = a * (nr * eta / 5.0)
+            for h in (0.1, 0.2, 0.3):
+                cols[f"nrounds={nr}_eta={eta}|hurdle_{int(h * 100)}_pct"] = hurdle.hurdle_prediction(o, p, scaled, h)
+    # long form directly (R4): one (setting, prediction) struct per grid point, exploded
+    grid = F.array(*[F.struct(F.lit(k).alias("setting"), v.alias("prediction")) for k, v in cols.items()])
+    return x.select("covet_id", "fold", "actual", F.inline(grid))
+
+
+@query("metric_by_setting")
+def metric_by_setting(spark, sf_dir):
+    """A15 + R4 + R5: RMSE per (fold, setting, hurdle), mean over folds, setting names split into
+    typed columns (nrounds, eta, hurdle_pct)."""
+    long = _grid_predictions(load_world(spark, sf_dir))
+    per_fold = hurdle.error_metrics(long, "actual", "prediction", ["fold", "setting"], digits=None)
+    return hurdle.summarise_settings(per_fold)
+
+
+@query("best_setting")
+def best_setting(spark, sf_dir):
+    return hurdle.best_setting(metric_by_setting(spark, sf_dir))
+
+
+# ---- user-base segmentation (E7) ---------------------------------------------------------------
+
+HC_COLS = [f"hc_category_{c}" for c in SPEND_CATEGORIES]
+COMP_COLS = [f"competition_{c}" for c in EVENT_TYPES]
+
+
+def _userbase_wide(w):
+    u = w.userbase
+    spent = rs.map_to_columns(u, "map_of_spent", SPEND_CATEGORIES, "hc_category_", keep=["s"])
+    started = rs.map_to_columns(u, "map_of_started", EVENT_TYPES, "competition_", keep=["s"])
+    base = u.select("s", "country", "marketing_channel", "veteran", "vip", "club_member",
+                    (F.col("ltv_7d") / 100).alias("ltv_7d"), "tenure_days", "avg_daily_sessions",
+                    prep.region_bucket("country", TEST_USA_CANADA).alias("region"))
+    return base.join(spent, "s").join(started, "s")
+
+
+@query("explode_map")
+def explode_map(spark, sf_dir):
+    return rs.explode_map(load_world(spark, sf_dir).userbase, "s", "map_of_spent", "hc_category", "hc_value")
+
+
+@query("parse_map")
+def parse_map(spark, sf_dir):
+    return rs.explode_map(load_world(spark, sf_dir).userbase, "s", "map_of_started", "competition", "competition_value")
+
+
+@query("map_to_columns")
+def map_to_columns(spark, sf_dir):
+    return rs.map_to_columns(load_world(spark, sf_dir).userbase, "map_of_spent", SPEND_CATEGORIES, "hc_category_",
+                             keep=["s"])
+
+
+@query("one_hot")
+def one_hot(spark, sf_dir):
+    u = load_world(spark, sf_dir).userbase.select(
+        "s", prep.region_bucket("country", TEST_USA_CANADA).alias("region"), "marketing_channel")
+    regions = sm.distinct_values(u, "region")
+    channels = sm.distinct_values(u, "marketing_channel")
+    return rs.one_hot(rs.one_hot(u, "region", regions, "region_"), "marketing_channel", channels, "channel_")
+
+
+@query("share_of_total")
+def share_of_total(spark, sf_dir):
+    u = load_world(spark, sf_dir).userbase.select(
+        "vip", prep.region_bucket("country", TEST_USA_CANADA).alias("region"))
+    return sm.share_of_total(u, "vip").unionByName(sm.share_of_total(u, "region"))
+
+
+@query("column_means")
+def column_means(spark, sf_dir):
+    return sm.column_means(_userbase_wide(load_world(spark, sf_dir)), HC_COLS + COMP_COLS)
+
+
+@query("category_mean")
+def category_mean(spark, sf_dir):
+    return sm.category_mean(load_world(spark, sf_dir).spend, "category_name", "pct_spend", alias="spend_distribution_avg")
+
+
+SCALE_COLS = ["veteran", "club_member", "ltv_7d", "tenure_days", "avg_daily_sessions"] + HC_COLS + COMP_COLS
+
+
+@query("min_max_scale")
+def min_max_scale(spark, sf_dir):
+    u = _userbase_wide(load_world(spark, sf_dir))
+    scaled, _dropped = sc.min_max_scale(u, SCALE_COLS, keep=["s"])
+    return scaled
+
+
+PROFILE_COLS = HC_COLS + COMP_COLS + ["tenure_days", "veteran", "vip", "ltv_7d", "avg_daily_sessions"]
+
+
+def _arith_cluster(u):
+    return u.withColumn("cluster8", F.pmod(F.regexp_extract("s", r"(\d+)$", 1).cast("long"), F.lit(8)).cast("int"))
+
+
+@query("cluster_profile")
+def cluster_profile(spark, sf_dir):
+    """A10 + J7 with an arithmetic label (k-means labels are checked by the model tests)."""
+    from ..operators.segments import cluster_profile as profile
+    return profile(_arith_cluster(_userbase_wide(load_world(spark, sf_dir))), "cluster8", PROFILE_COLS)
+
+
+@query("transpose_profile")
+def transpose_profile(spark, sf_dir):
+    prof = cluster_profile(spark, sf_dir)
+    return rs.transpose(prof, "cluster8", ["n"] + PROFILE_COLS)
+
+
+@query("union_missing")
+def union_missing(spark, sf_dir):
+    u = load_world(spark, sf_dir).userbase
+    a = u.select("s", "vip", "tenure_days")
+    b = u.select("s", "vip", (F.col("ltv_7d") / 100).alias("ltv_7d"))
+    return rs.union_missing([a, b], 0)
+
+
+# ---- campaign report (E8) ----------------------------------------------------------------------
+
+@query("daily_impact_mean")
+def daily_impact_mean(spark, sf_dir):
+    return imp.impact_mean(load_world(spark, sf_dir).daily, IMPACT_METRICS, C.impact)
+
+
+@query("impact_summary")
+def impact_summary(spark, sf_dir):
+    return imp.impact_summary(daily_impact_mean(spark, sf_dir))
+
+
+@query("cumulative_effect")
+def cumulative_effect(spark, sf_dir):
+    return daily_impact_mean(spark, sf_dir).select("metric", "date", "cumulative_effect")
+
+
+@query("label_period")
+def label_period(spark, sf_dir):
+    d = load_world(spark, sf_dir).daily
+    return d.select("date", prep.label_period("date", {"pre_period": C.cpi_pre, "post_period": C.cpi_post}).alias("period"))
+
+
+@query("cost_per_install")
+def cost_per_install(spark, sf_dir):
+    return sm.cost_per_install(load_world(spark, sf_dir).daily, {"pre_period": C.cpi_pre, "post_period": C.cpi_post})
+
+
+@query("daily_cpi")
+def daily_cpi(spark, sf_dir):
+    return sm.daily_ratio(load_world(spark, sf_dir).daily)
+
+
+@query("event_overlay")
+def event_overlay(spark, sf_dir):
+    d = load_world(spark, sf_dir).daily
+    return d.select("date", "organic_installs", prep.label_events("date", OVERLAYS).alias("event_labels"))
+
+
+@query("organic_ltv")
+def organic_ltv(spark, sf_dir):
+    """M10 + J8: attributed installs = cumulative absolute effect on organic installs (a scalar)."""
+    w = load_world(spark, sf_dir)
+    summ = imp.impact_summary(imp.impact_mean(w.daily, ["organic_installs"], C.impact))
+    attributed = summ.select("abs_effect_cum").first()[0]
+    return imp.organic_ltv(w.revenue_7day, float(attributed), C.ltv_multiplier, C.ads_uplift)

@@ -20,6 +20,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # zero-padded partition values must stay strings (yyyy / MM / dd)
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",

@@ -157,8 +157,8 @@ class HurdleRegressor:
         x = VectorAssembler(inputCols=s.regressor_features, outputCol="_reg_x", handleInvalid="error").transform(x)
         x = x.withColumn("_spender_label", F.col(s.spender).cast("double"))
         clf = GBTClassifier(featuresCol="_clf_x", labelCol="_spender_label", maxIter=s.nrounds, stepSize=s.eta,
-                            maxDepth=s.max_depth, seed=s.seed, probabilityCol="_clf_prob",
-                            rawPredictionCol="_clf_raw", predictionCol="_clf_pred")
+                            maxDepth=s.max_depth, seed=s.seed, predictionCol="_clf_pred")
+        clf.setProbabilityCol("_clf_prob").setRawPredictionCol("_clf_raw")
         reg = GBTRegressor(featuresCol="_reg_x", labelCol=s.label, maxIter=s.nrounds, stepSize=s.eta,
                            maxDepth=s.max_depth, seed=s.seed, predictionCol="_amount")
         reg_data = x.where(F.col(s.spender)) if s.spenders_only else x

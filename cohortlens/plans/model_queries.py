@@ -12,6 +12,7 @@ from ..operators import hurdle as hd
 from ..operators import impact as imp
 from ..operators import linear as lin
 from ..params import HurdleParams
+from ..session import cut_lineage
 from ..sources.testdata import load_world
 from . import jobs
 from .queries import (C, COHORT_DATE, EVENT_TYPES, IMPACT_METRICS, SPEND_CATEGORIES, TEST_USA_CANADA, P,
@@ -25,8 +26,10 @@ FINAL = {"nrounds": 50, "eta": 0.1, "hurdle": 0.2}
 
 
 def _players_frame(spark, sf_dir):
+    """One row per player; checkpointed because every fit and its summary make several passes."""
     w = load_world(spark, sf_dir)
-    return jobs.player_model_frame(w.players, w.spend, SPEND_CATEGORIES)
+    df, shares = jobs.player_model_frame(w.players, w.spend, SPEND_CATEGORIES)
+    return cut_lineage(df), shares
 
 
 @query("linear_fit")

@@ -13,6 +13,8 @@ Plan shape (why it holds at 100 TB):
 * The join of installs and activity is on the device id; the per-device aggregates reuse that
   partitioning, and the final assembly joins four frames that are all hash-partitioned on ``s``.
   Whether the installs side is broadcast is left to AQE, which checks its runtime size.
+* ``build_features`` stacks the three reduced activity streams and joins them to the installs base
+  once: one shuffle of the base, one join, one per-device aggregate for all metrics and horizons.
 """
 
 from __future__ import annotations
@@ -146,15 +148,57 @@ def assemble_features(base: DataFrame, sessions_agg: DataFrame, utility_agg: Dat
     )
 
 
+def activity_daily(tables, p: FeatureParams, end: dt.date) -> DataFrame:
+    """The three activity tables reduced to one row per (device, day) each, with map-side partial
+    aggregation, and stacked: s, activity_date, n, len (sessions), util (utility), amt (IAP spend).
+    Each table is scanned once with its own constant upper date bound."""
+    f, t = p.day_from, p.day_to
+    sess = (tables.sessions
+            .where(match_game("game_name", p.game, p.exclude_qa) & (F.col("activity_date") <= F.lit(end + dt.timedelta(days=f))))
+            .groupBy("s", "activity_date")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("session_length").cast("decimal(18,2)")).alias("len")))
+    util = (tables.utility
+            .where((F.lower("game_base") == p.game.lower()) & (F.col("activity_date") <= F.lit(end + dt.timedelta(days=f))))
+            .select("s", "activity_date", F.col("utility").alias("util")))
+    spend = (tables.revenue
+             .where(null_tolerant_equals("channel", p.iap_channel) & match_game("game_name", p.game, p.exclude_qa)
+                    & (F.col("activity_date") <= F.lit(end + dt.timedelta(days=max(f, t)))))
+             .groupBy("s", "activity_date")
+             .agg(F.sum(F.col("amt").cast("decimal(18,2)")).alias("amt")))
+    return sess.unionByName(util, allowMissingColumns=True).unionByName(spend, allowMissingColumns=True)
+
+
 def build_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> DataFrame:
     """Feature rows for installs in ``[start, end]``. ``tables`` provides ``installs``, ``touches``,
-    ``sessions``, ``utility`` and ``revenue`` DataFrames (the reference's five warehouse tables)."""
+    ``sessions``, ``utility`` and ``revenue`` DataFrames (the reference's five warehouse tables).
+
+    Plan: the stacked per-device-day activity (``activity_daily``) is joined **once** to the installs
+    base (left join on ``s``) and aggregated **once** per device with conditional sums for every metric
+    and horizon. The base is therefore computed and shuffled once, each activity table is scanned
+    once, and the aggregate reuses the join's partitioning on ``s``."""
     f, t = p.day_from, p.day_to
     base = installs_base(installs_in_window(tables.installs, p, start, end), first_touch(tables.touches, p, start, end))
-    sess = sessions_by_horizon(base, tables.sessions, p, [f], end + dt.timedelta(days=f))
-    util = utility_by_horizon(base, tables.utility, p, [f], end + dt.timedelta(days=f))
-    spend = spend_by_horizons(base, tables.revenue, p, sorted({f, t}), end + dt.timedelta(days=max(f, t)))
-    return assemble_features(base, sess, util, spend, p)
+    j = base.join(activity_daily(tables, p, end), "s", "left")
+    age = lambda n: _age_ok(F.col("activity_date"), F.col("install_dt"), n, p.min_age)
+    spend_h = sorted({f, t})
+    agg = j.groupBy("s", "install_dt", "platform", "usa", "publisher_name").agg(
+        F.sum(F.when(age(f), F.col("n"))).alias(f"sessions_day_{f}"),
+        (F.sum(F.when(age(f), F.col("len"))).cast("double") / 1000).alias(f"sum_session_time_day_{f}"),
+        F.sum(F.when(age(f), F.col("util"))).alias(f"utility_day_{f}"),
+        F.sum(F.when(age(p.early_days), F.col("util"))).alias("early_utility_sum"),
+        *[F.sum(F.when(age(h), F.col("amt"))).cast("double").alias(f"spend_day_{h}") for h in spend_h],
+    )
+    util = F.col(f"utility_day_{f}")
+    return agg.select(
+        "s", "install_dt", "platform", "usa", "publisher_name",
+        F.coalesce(F.col(f"sessions_day_{f}"), F.lit(0)).alias(f"sessions_day_{f}"),
+        F.coalesce(F.col(f"sum_session_time_day_{f}"), F.lit(0.0)).alias(f"sum_session_time_day_{f}"),
+        F.coalesce(util, F.lit(0.0)).alias(f"utility_day_{f}"),
+        F.coalesce(F.col(f"spend_day_{f}"), F.lit(0.0)).alias(f"spend_day_{f}"),
+        # named "recent" in the reference, but it is the first half of the horizon
+        round_half_up(F.coalesce(safe_div(F.col("early_utility_sum"), util), F.lit(0.0)), 2).alias("recent_utility_ratio"),
+        F.coalesce(F.col(f"spend_day_{t}"), F.lit(0.0)).alias(f"spend_day_{t}"),
+    )
 
 
 def training_features(tables, p: FeatureParams) -> DataFrame:

@@ -140,28 +140,40 @@ class TestWorld:
     # ---- player-value world (d7 -> d365) --------------------------------------------------
     @cached_property
     def _order_stats(self) -> DataFrame:
+        """Per customer: spend at 7 / 365 days and overall, order count, paid flag, returner, tenure.
+        Orders are first reduced to one row per (customer, day) with partial aggregation, so a customer
+        holding a large share of all orders reaches the join with at most one row per day."""
         o = self.table("orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
-        j = o.join(self._first_order, "o_custkey")
-        age = F.datediff(F.to_date("o_orderdate"), F.col("install_dt"))
+        daily = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("d")).agg(
+            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"),
+            F.count(F.lit(1)).alias("k"),
+            F.max((F.col("o_orderpriority") == PAID_PRIORITY).cast("int")).alias("urgent"))
+        j = daily.join(self._first_order, "o_custkey")
+        age = F.datediff(F.col("d"), F.col("install_dt"))
         return j.groupBy("o_custkey", "install_dt").agg(
-            money_sum(F.when(age <= 365, F.col("o_totalprice"))).alias("spend_365"),
-            money_sum(F.when(age <= 7, F.col("o_totalprice"))).alias("spend_7"),
-            money_sum(F.col("o_totalprice")).alias("spend_all"),
-            F.count(F.lit(1)).alias("submissions"),
-            F.max(F.when((F.col("o_orderpriority") == PAID_PRIORITY) & (age <= 7), 1).otherwise(0)).alias("paid_source"),
+            F.sum(F.when(age <= 365, F.col("amt"))).cast("double").alias("spend_365"),
+            F.sum(F.when(age <= 7, F.col("amt"))).cast("double").alias("spend_7"),
+            F.sum("amt").cast("double").alias("spend_all"),
+            F.sum("k").alias("submissions"),
+            F.max(F.when(age <= 7, F.col("urgent")).otherwise(0)).alias("paid_source"),
             F.max(F.when((age >= 1) & (age <= 90), 1).otherwise(0)).alias("returner"),
             F.max(age).alias("tenure_days"),
         )
 
     @cached_property
     def _line_stats(self) -> DataFrame:
-        j = self._lines.select("o_custkey", "l_shipdate", "l_discount").join(self._first_order, "o_custkey")
-        in90 = F.datediff(F.to_date("l_shipdate"), F.col("install_dt")) <= 90
-        disc = F.when(in90, F.col("l_discount").cast("decimal(18,2)"))
+        """Per customer: lines shipped within 90 days, 50 x their mean discount, all lines; lines are
+        reduced to one row per (customer, ship day) before the join."""
+        daily = self._lines.groupBy("o_custkey", F.to_date("l_shipdate").alias("d")).agg(
+            F.count(F.lit(1)).alias("k"),
+            F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("disc"),
+            F.count("l_discount").alias("k_disc"))
+        j = daily.join(self._first_order, "o_custkey")
+        in90 = F.datediff(F.col("d"), F.col("install_dt")) <= 90
         return j.groupBy("o_custkey").agg(
-            F.count(F.when(in90, 1)).alias("sessions"),
-            (F.sum(disc).cast("double") * 50 / F.count(disc)).alias("rating"),
-            F.count(F.lit(1)).alias("lines_all"),
+            F.coalesce(F.sum(F.when(in90, F.col("k"))), F.lit(0)).alias("sessions"),
+            (F.sum(F.when(in90, F.col("disc"))).cast("double") * 50 / F.sum(F.when(in90, F.col("k_disc")))).alias("rating"),
+            F.sum("k").alias("lines_all"),
         )
 
     @cached_property

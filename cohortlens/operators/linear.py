@@ -134,6 +134,17 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str, log_label: bo
     return LinearFit(label, log_label, feats, dropped, model, n)
 
 
+def fit_many(df: DataFrame, specs: Mapping[str, tuple], parallelism: int = 4) -> dict[str, LinearFit]:
+    """Several independent fits submitted concurrently: ``specs`` maps a name to
+    ``(features, label, log_label)``."""
+    def run(item):
+        name, (features, label, log_label) = item
+        return name, fit_linear(df, features, label, log_label)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return dict(pool.map(run, specs.items()))
+
+
 def compare_fits(spark, fits: Mapping[str, LinearFit]) -> DataFrame:
     """M11 comparison table (model, response, r2, adj_r2, aic, n, p). AIC of log and raw responses
     are not comparable; the ``response`` column says which is which (SURVEY Q17)."""

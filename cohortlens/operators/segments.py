@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -46,18 +47,22 @@ def pca_profile(df: DataFrame, cols: Sequence[str], k: int = 4, key: str = "s",
 
 
 def kmeans_sweep(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = tuple(range(3, 13)), max_iter: int = 10,
-                 seed: int = 123) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """M3: within-cluster sum of squares for each k (one distributed fit per k on cached features).
-    Returns (k, wss) rows and the fitted models."""
+                 seed: int = 123, parallelism: int = 4) -> tuple[DataFrame, dict[int, KMeansModel]]:
+    """M3: within-cluster sum of squares for each k. One distributed fit per k on the persisted feature
+    vectors; the fits are independent, so they are submitted concurrently (the reference ran them
+    serially for lack of memory). Returns (k, wss) rows and the fitted models."""
     x = assemble(df, cols).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    models, rows = {}, []
+
+    def fit(k):
+        m = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features").fit(x)
+        return k, m
+
     try:
-        for k in ks:
-            m = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features").fit(x)
-            models[k] = m
-            rows.append((k, float(m.summary.trainingCost)))
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            models = dict(pool.map(fit, ks))
     finally:
         x.unpersist()
+    rows = [(k, float(models[k].summary.trainingCost)) for k in ks]
     return df.sparkSession.createDataFrame(rows, "k int, wss double"), models
 
 

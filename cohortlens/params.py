@@ -60,7 +60,7 @@ class HurdleParams:
     seed: int = 42
     sample_rows: int | None = None  # the reference sampled 1,000,000 rows for RAM; off by default
     spenders_only: bool = False  # Q10: the regression was meant to fit spenders only; literal default fits all
-    parallelism: int = 4
+    parallelism: int = 8
 
 
 @dataclass(frozen=True)

@@ -119,6 +119,13 @@ def player_model_frame(players: DataFrame, spend: DataFrame, categories: Sequenc
     return df, share_cols
 
 
+def comparison_specs(share_cols: Sequence[str], label: str = "d365_RPI") -> dict[str, tuple]:
+    """The four fits compared by adjusted R² and AIC: with / without spend shares, raw / log response."""
+    full = BASE_FEATURES + list(share_cols)
+    return {"model_full": (full, label, False), "model_no_spend_distribution": (BASE_FEATURES, label, False),
+            "model_full_log": (full, label, True), "model_no_spend_distribution_log": (BASE_FEATURES, label, True)}
+
+
 def linear_specs(share_cols: Sequence[str], insignificant: Sequence[str]) -> dict[str, list[str]]:
     full = BASE_FEATURES + list(share_cols)
     sq = [f"{c}Sqd" for c in prep.PLAYER_SQUARES]
@@ -141,13 +148,7 @@ def player_value_report(players: DataFrame, spend: DataFrame, categories: Sequen
         "histogram_log": sm.histogram(df, "d365_RPI", log=True),
         "category_mean": sm.category_mean(spend, "category_name", "pct_spend"),
     }
-    fits = {
-        "model_full": lin.fit_linear(df, BASE_FEATURES + shares, "d365_RPI"),
-        "model_no_spend_distribution": lin.fit_linear(df, BASE_FEATURES, "d365_RPI"),
-        "model_full_log": lin.fit_linear(df, BASE_FEATURES + shares, "d365_RPI", log_label=True),
-        "model_no_spend_distribution_log": lin.fit_linear(df, BASE_FEATURES, "d365_RPI", log_label=True),
-    }
-    out["fit_comparison"] = lin.compare_fits(spark, fits)
+    out["fit_comparison"] = lin.compare_fits(spark, lin.fit_many(df, comparison_specs(shares)))
     specs = linear_specs(shares, insignificant)
     folded = smp.hash_folds(df, "covet_id", folds, seed)
     out["cv_folds"], out["cv"] = lin.linear_cv(folded, specs, "d365_RPI", log_label=True, k=folds)

@@ -35,13 +35,7 @@ def _players_frame(spark, sf_dir):
 @query("linear_fit")
 def linear_fit(spark, sf_dir):
     df, shares = _players_frame(spark, sf_dir)
-    fits = {
-        "model_full": lin.fit_linear(df, jobs.BASE_FEATURES + shares, "d365_RPI"),
-        "model_no_spend_distribution": lin.fit_linear(df, jobs.BASE_FEATURES, "d365_RPI"),
-        "model_full_log": lin.fit_linear(df, jobs.BASE_FEATURES + shares, "d365_RPI", log_label=True),
-        "model_no_spend_distribution_log": lin.fit_linear(df, jobs.BASE_FEATURES, "d365_RPI", log_label=True),
-    }
-    return lin.compare_fits(spark, fits)
+    return lin.compare_fits(spark, lin.fit_many(df, jobs.comparison_specs(shares)))
 
 
 @query("vif")

@@ -165,3 +165,24 @@ def test_hurdle_model_beats_mean_and_round_trips(spark, tmp_dir):
     a = model.transform(test).select("s", "prediction").collect()
     b = again.transform(test).select("s", "prediction").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_tree_prefix_equals_smaller_fit(spark):
+    from cohortlens.operators.hurdle import HurdleRegressor, HurdleSpec
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(300):
+        a, b = float(rng.uniform(0, 10)), float(rng.uniform(0, 5))
+        y = 2 * a + b * b + float(rng.normal())
+        rows.append((f"k{i}", a, b, y, float(a > 5) * y, y > 20))
+    df = spark.createDataFrame(rows, "s string, a double, b double, y double, obs double, spender boolean")
+    spec = HurdleSpec(["a", "b"], ["a", "b", "obs"], label="y", observed="obs", nrounds=8, eta=0.2, max_depth=3)
+    big = HurdleRegressor(spec).fit(df)
+    small = HurdleRegressor(HurdleSpec(**{**spec.__dict__, "nrounds": 3})).fit(df)
+    pre = big.prefix_scores(df, [3, 8]).select("s", "p_spender_3", "amount_3", "amount_8")
+    ref = small.raw(df).select("s", "p_spender", "amount")
+    j = pre.join(ref, "s").collect()
+    assert max(abs(r["p_spender_3"] - r["p_spender"]) for r in j) < 1e-12
+    assert max(abs(r["amount_3"] - r["amount"]) for r in j) < 1e-9
+    full = big.raw(df).select("s", F.col("amount").alias("a8")).join(pre, "s").collect()
+    assert max(abs(r["a8"] - r["amount_8"]) for r in full) < 1e-9

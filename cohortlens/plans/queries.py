@@ -139,6 +139,29 @@ def cohort_backfill(spark, sf_dir):
                        F.coalesce(F.col("spend"), F.lit(0.0)).alias("spend"))
 
 
+UPSERT_OLD = (dt.date(1995, 1, 1), dt.date(1995, 2, 28))
+UPSERT_NEW = (dt.date(1995, 2, 1), dt.date(1995, 3, 31))
+UPSERT_COLUMNS = ("day_90_day_30", "day_90_day_60", "day_90_day_120")
+
+
+@query("cohort_upsert")
+def cohort_upsert(spark, sf_dir):
+    """J5 + S8 (merge part, no write): a stored table of 30-day values for one set of cohorts is
+    refreshed with 60-day values computed for an overlapping set; devices on either side are kept and
+    the declared 120-day column, never written, stays null."""
+    from ..sources.sinks import merge_cohort
+    w = load_world(spark, sf_dir)
+
+    def spend(a, b, h, name):
+        base = feat.installs_base(feat.installs_in_window(w.installs, P, a, b), feat.first_touch(w.touches, P, a, b))
+        out = feat.spend_by_horizons(base, w.revenue, P, [h], b + dt.timedelta(days=h))
+        return base.select("s").join(out, "s", "left").select("s", F.coalesce(F.col(f"spend_day_{h}"), F.lit(0.0)).alias(name))
+
+    existing = spend(*UPSERT_OLD, 30, "day_90_day_30")
+    new = spend(*UPSERT_NEW, 60, "day_90_day_60")
+    return merge_cohort(existing, new, "day_90_day_60", UPSERT_COLUMNS)
+
+
 # ---- player-value report (E6) ------------------------------------------------------------------
 
 def _clean(w):

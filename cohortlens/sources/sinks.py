@@ -55,6 +55,19 @@ def is_new_cohort(existing: DataFrame) -> bool:
     return existing.isEmpty()
 
 
+def merge_cohort(existing: DataFrame, new: DataFrame, column: str, all_columns: Sequence[str],
+                 key: str = "s") -> DataFrame:
+    """Replace ``column`` of ``existing`` by the values in ``new``; devices present on either side
+    are kept (full outer join on the key, SURVEY Q12); declared columns missing from ``existing`` are
+    null. One shuffle on the key."""
+    dtype = new.schema[column].dataType
+    old = existing.drop(column)
+    for c in all_columns:
+        if c != column and c not in old.columns:
+            old = old.withColumn(c, F.lit(None).cast(dtype))
+    return old.join(new.select(key, column), key, "full_outer").select(key, *all_columns)
+
+
 def upsert_cohort(spark: SparkSession, path: str, date: dt.date, new: DataFrame, column: str,
                   all_columns: Sequence[str], key: str = "s", staging: str | None = None) -> DataFrame:
     """S8 + J5: refresh one prediction column of a cohort partition.
@@ -64,11 +77,10 @@ def upsert_cohort(spark: SparkSession, path: str, date: dt.date, new: DataFrame,
     dtype = new.schema[column].dataType
     value_schema = StructType([StructField(key, StringType())] + [StructField(c, dtype) for c in all_columns])
     existing = read_partition(spark, path, date, value_schema).select(key, *all_columns)
-    fresh = new.select(key, F.col(column))
     if is_new_cohort(existing):
-        merged = fresh.select(key, *[F.col(c) if c == column else F.lit(None).cast(dtype).alias(c) for c in all_columns])
+        merged = new.select(key, *[F.col(c) if c == column else F.lit(None).cast(dtype).alias(c) for c in all_columns])
     else:
-        merged = existing.drop(column).join(fresh, key, "full_outer").select(key, *all_columns)
+        merged = merge_cohort(existing, new, column, all_columns, key)
     stage = staging or f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging/{uuid.uuid4().hex}"
     merged.write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)

@@ -341,13 +341,16 @@ COMP_COLS = [f"competition_{c}" for c in EVENT_TYPES]
 
 
 def _userbase_wide(w):
+    """One projection of the user base: typed columns, region bucket and both text maps as known-key
+    columns (no self-join)."""
+    from ..functions.maps import parse_map
     u = w.userbase
-    spent = rs.map_to_columns(u, "map_of_spent", SPEND_CATEGORIES, "hc_category_", keep=["s"])
-    started = rs.map_to_columns(u, "map_of_started", EVENT_TYPES, "competition_", keep=["s"])
-    base = u.select("s", "country", "marketing_channel", "veteran", "vip", "club_member",
+    spent, started = parse_map("map_of_spent"), parse_map("map_of_started")
+    return u.select("s", "country", "marketing_channel", "veteran", "vip", "club_member",
                     (F.col("ltv_7d") / 100).alias("ltv_7d"), "tenure_days", "avg_daily_sessions",
-                    prep.region_bucket("country", TEST_USA_CANADA).alias("region"))
-    return base.join(spent, "s").join(started, "s")
+                    prep.region_bucket("country", TEST_USA_CANADA).alias("region"),
+                    *[F.coalesce(spent[k], F.lit(0.0)).alias(f"hc_category_{k}") for k in SPEND_CATEGORIES],
+                    *[F.coalesce(started[k], F.lit(0.0)).alias(f"competition_{k}") for k in EVENT_TYPES])
 
 
 @query("explode_map")

@@ -58,3 +58,34 @@ def test_first_touch_is_aggregate_not_window(warehouse):
                                   TEST_FEATURES.window_end))
     assert "HashAggregate" in plan or "ObjectHashAggregate" in plan or "SortAggregate" in plan
     assert "Window" not in plan
+
+
+@pytest.fixture(scope="module")
+def partitioned(spark, tmp_path_factory, warehouse):
+    """installs partitioned by year/month/day and touches by yy/mm/dd (zero-padded strings)."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    root = str(tmp_path_factory.mktemp("pwh"))
+    warehouse.installs.write.partitionBy("year", "month", "day").parquet(os.path.join(root, "installs"))
+    warehouse.touches.write.partitionBy("yy", "mm", "dd").parquet(os.path.join(root, "touches"))
+
+    def read(name, parts):
+        base = warehouse.installs if name == "installs" else warehouse.touches
+        fields = [f for f in base.schema.fields if f.name not in parts] + [StructField(p, StringType()) for p in parts]
+        return spark.read.schema(StructType(fields)).parquet(os.path.join(root, name))
+
+    return SimpleNamespace(installs=read("installs", ("year", "month", "day")),
+                           touches=read("touches", ("yy", "mm", "dd")),
+                           sessions=warehouse.sessions, utility=warehouse.utility, revenue=warehouse.revenue)
+
+
+def test_partition_pruning_in_feature_build(partitioned):
+    import datetime as dt
+    for df in (feat.training_features(partitioned, TEST_FEATURES),
+               feat.scoring_features(partitioned, TEST_FEATURES, dt.date(1995, 1, 1))):
+        plan = _plan(df)
+        scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and ("/installs" in ln or "/touches" in ln)]
+        assert len(scans) == 2
+        for ln in scans:
+            pf = re.search(r"PartitionFilters: \[([^\]]*)\]", ln).group(1)
+            assert "concat_ws" in pf, ln  # the date-range predicate prunes partitions

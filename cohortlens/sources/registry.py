@@ -24,7 +24,8 @@ def _index(root: str) -> str:
 def save_model(spark: SparkSession, model: HurdleModel, root: str, game: str, day_from: int, day_to: int,
                metrics: str = "", version: int | None = None) -> str:
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    version = version if version is not None else int(now.strftime("%Y%m%d%H%M%S%f"))
+    # yyyymmddHHMMSS followed by milliseconds: 17 digits, sortable, fits a long
+    version = version if version is not None else int(now.strftime("%Y%m%d%H%M%S")) * 1000 + now.microsecond // 1000
     path = f"{root.rstrip('/')}/{game}/day_{day_from}_to_day_{day_to}/v{version}"
     model.save(path)
     row = [(game, day_from, day_to, version, path, now, metrics)]

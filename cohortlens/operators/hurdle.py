@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -96,10 +97,16 @@ class HurdleSpec:
     meta: dict = field(default_factory=dict)
 
 
-class HurdleModel:
+class HurdleModel(Model):
+    """Fitted two-part model (a ``pyspark.ml`` Model: usable as a Pipeline stage)."""
+
     def __init__(self, spec: HurdleSpec, classifier: GBTClassificationModel, regressor: GBTRegressionModel):
+        super().__init__()
         self.spec, self.classifier, self.regressor = spec, classifier, regressor
 
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return self.predict_with(dataset)
+
     def raw(self, df: DataFrame) -> DataFrame:
         """Adds ``p_spender`` and ``amount`` (temporary vector columns are dropped)."""
         s = self.spec
@@ -110,7 +117,9 @@ class HurdleModel:
         x = self.regressor.transform(x)
         return x.drop("_clf_x", "_reg_x", "_clf_prob", "_clf_raw", "_clf_pred").withColumnRenamed("_amount", "amount")
 
-    def transform(self, df: DataFrame, rule: str = "hurdle", hurdle: float | None = None, name: str = "prediction") -> DataFrame:
+    def predict_with(self, df: DataFrame, rule: str = "hurdle", hurdle: float | None = None,
+                     name: str = "prediction") -> DataFrame:
+        """Adds ``p_spender``, ``amount`` and the prediction of ``rule`` (hurdle / product / threshold)."""
         x = self.raw(df)
         o, p, a = F.col(self.spec.observed), F.col("p_spender"), F.col("amount")
         if rule == "hurdle":
@@ -167,13 +176,14 @@ class HurdleModel:
                    GBTRegressionModel.load(os.path.join(path, "regressor")))
 
 
-class HurdleRegressor:
-    """Estimator: a GBT classifier of ``spender`` and a GBT regressor of ``label``."""
+class HurdleRegressor(Estimator):
+    """Estimator (``pyspark.ml``): a GBT classifier of ``spender`` and a GBT regressor of ``label``."""
 
     def __init__(self, spec: HurdleSpec):
+        super().__init__()
         self.spec = spec
 
-    def fit(self, df: DataFrame) -> HurdleModel:
+    def _fit(self, df: DataFrame) -> HurdleModel:
         s = self.spec
         x = VectorAssembler(inputCols=s.classifier_features, outputCol="_clf_x", handleInvalid="error").transform(df)
         x = VectorAssembler(inputCols=s.regressor_features, outputCol="_reg_x", handleInvalid="error").transform(x)

@@ -97,7 +97,7 @@ def backfill_predictions(tables, p: FeatureParams, start: dt.date, end: dt.date,
     cols = []
     for h, model in sorted(models.items()):
         name = f"day_{p.day_from}_day_{h}"
-        mf = model.transform(mf, name=name).drop("p_spender", "amount")
+        mf = model.predict_with(mf, name=name).drop("p_spender", "amount")
         cols.append(name)
     return mf.select("s", "cohort_date", *cols)
 

@@ -186,3 +186,14 @@ def test_tree_prefix_equals_smaller_fit(spark):
     assert max(abs(r["amount_3"] - r["amount"]) for r in j) < 1e-9
     full = big.raw(df).select("s", F.col("amount").alias("a8")).join(pre, "s").collect()
     assert max(abs(r["a8"] - r["amount_8"]) for r in full) < 1e-9
+
+
+def test_hurdle_in_pipeline(spark):
+    from pyspark.ml import Pipeline
+    from cohortlens.operators.hurdle import HurdleRegressor, HurdleSpec
+    rows = [(f"k{i}", float(i % 7), float(i % 5), float(i % 11) * 3.0, float(i % 3), i % 4 > 0) for i in range(120)]
+    df = spark.createDataFrame(rows, "s string, a double, b double, y double, obs double, spender boolean")
+    spec = HurdleSpec(["a", "b"], ["a", "b", "obs"], label="y", observed="obs", nrounds=3, eta=0.3, max_depth=2)
+    pm = Pipeline(stages=[HurdleRegressor(spec)]).fit(df)
+    out = pm.transform(df)
+    assert {"p_spender", "amount", "prediction"} <= set(out.columns) and out.count() == 120

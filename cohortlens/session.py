@@ -28,6 +28,36 @@ LOCAL_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                 max_shuffle_partitions: int = 100_000, broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the bytes the jobs read and the cores available.
+
+    * scan splits of ``target_partition_bytes`` (``files.maxPartitionBytes``), so a 100 TB scan is about
+      400,000 tasks of a size that fits executor memory;
+    * initial shuffle partitions from the input size (capped), then AQE coalesces small ones and splits
+      skewed ones; the features jobs pre-aggregate before every shuffle, so shuffles are far smaller than
+      the input;
+    * broadcast only below ``broadcast_bytes`` as measured by Spark (no forced hints in the jobs);
+    * runtime bloom filters let the installs side prune activity scans;
+    * partition values stay strings (zero-padded dates), dynamic partition overwrite for upserts.
+    """
+    n = max(2 * total_cores, min(max_shuffle_partitions, -(-input_bytes // target_partition_bytes)))
+    conf = dict(LOCAL_CONF)
+    conf.pop("spark.ui.enabled", None)
+    conf.pop("spark.ui.showConsoleProgress", None)
+    conf.update({
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    })
+    return conf
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cohortlens",
                   driver_memory: str = "16g") -> SparkSession:
     builder = (

@@ -72,3 +72,12 @@ def test_snapshot_and_parametrised_sql(spark, tmp_dir):
     got = tables.read_parametrised(spark, "SELECT count(*) AS n FROM snap_t WHERE g = :g AND id >= :lo", g=1, lo=5)
     assert got.first()["n"] == 3
     assert tables.read_by_name(spark, "snap_t").count() == 10
+
+
+def test_cluster_conf_sizes():
+    from cohortlens.session import cluster_conf
+    c = cluster_conf(100 * (1 << 40), 8000)
+    assert c["spark.sql.shuffle.partitions"] == "100000"
+    assert c["spark.sql.adaptive.enabled"] == "true" and "spark.ui.enabled" not in c
+    small = cluster_conf(1 << 30, 16)
+    assert small["spark.sql.shuffle.partitions"] == "32"

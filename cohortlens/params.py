@@ -16,7 +16,7 @@ class FeatureParams:
     * ``min_age=None``: the horizon has no lower bound, activity before install counts.
     """
 
-    game: str = "fungame"
+    game: str = "mygame"
     day_from: int = 7
     day_to: int = 120
     training_date: dt.date = dt.date(2020, 3, 1)

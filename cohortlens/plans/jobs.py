@@ -111,10 +111,10 @@ BASE_FEATURES = ["submissions", "sessions", "avg_rating_received", "united_state
 def player_model_frame(players: DataFrame, spend: DataFrame, categories: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Cleaned players + spend shares wide (R3, J4) + squared and interaction terms."""
     clean = prep.clean_players(players)
-    wide = prep.sanitize_names(rs.pivot_long(spend, "covet_id", "category_name", "pct_spend", categories,
+    wide = prep.sanitize_names(rs.pivot_long(spend, "player_id", "category_name", "pct_spend", categories,
                                              prefix="Spend Distr "))
     share_cols = [f"Spend_Distr_{c}" for c in categories]
-    df = clean.join(wide, "covet_id", "left").fillna(0.0, subset=share_cols)
+    df = clean.join(wide, "player_id", "left").fillna(0.0, subset=share_cols)
     df = prep.add_terms(df, prep.PLAYER_SQUARES, prep.PLAYER_INTERACTIONS)
     return df, share_cols
 
@@ -150,7 +150,7 @@ def player_value_report(players: DataFrame, spend: DataFrame, categories: Sequen
     }
     out["fit_comparison"] = lin.compare_fits(spark, lin.fit_many(df, comparison_specs(shares)))
     specs = linear_specs(shares, insignificant)
-    folded = smp.hash_folds(df, "covet_id", folds, seed)
+    folded = smp.hash_folds(df, "player_id", folds, seed)
     out["cv_folds"], out["cv"] = lin.linear_cv(folded, specs, "d365_RPI", log_label=True, k=folds)
     refined = lin.fit_linear(df, specs["model_refined"], "d365_RPI", log_label=True)
     out["refined"] = refined
@@ -160,7 +160,7 @@ def player_value_report(players: DataFrame, spend: DataFrame, categories: Sequen
         refined.effect_size("facebook_connected", 0, 1), refined.effect_size("paid_source", 0, 1)],
         "variable string, `from` double, `to` double, slope double, pct_change double")
     preds = refined.predict(df, "predictions")
-    out["predictions"] = preds.select("covet_id", "d365_RPI", "predictions")
+    out["predictions"] = preds.select("player_id", "d365_RPI", "predictions")
     s, fb, sb, st = "sessions", "facebook_connected", "submissions_bin", "stars_received_bin"
     out["curves"] = sm.prediction_curves(preds.where(F.col("sessions").between(0, 150)), "predictions",
                                          [[s, fb], [s, fb, sb], [s, fb, sb, st]])

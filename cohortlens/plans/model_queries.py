@@ -68,14 +68,14 @@ def effect_size(spark, sf_dir):
 @query("predict_backtransformed")
 def predict_backtransformed(spark, sf_dir):
     df, fit = _refined(spark, sf_dir)
-    return fit.predict(df, "predicted_d365_rpi").select("covet_id", "d365_RPI", "predicted_d365_rpi")
+    return fit.predict(df, "predicted_d365_rpi").select("player_id", "d365_RPI", "predicted_d365_rpi")
 
 
 @query("linear_cv")
 def linear_cv(spark, sf_dir):
     from ..operators.sampling import hash_folds
     df, shares = _players_frame(spark, sf_dir)
-    folded = hash_folds(df, "covet_id", 10, seed=123)
+    folded = hash_folds(df, "player_id", 10, seed=123)
     _per_fold, summary = lin.linear_cv(folded, jobs.linear_specs(shares, INSIGNIFICANT), "d365_RPI", True, 10)
     return summary
 

@@ -72,7 +72,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN f_first_order fo ON fo.o_custkey = o.o_custkey
         GROUP BY o.o_custkey"""),
     "f_players": (("f_order_stats", "f_line_stats"), """
-        SELECT os.o_custkey AS covet_id, os.install_dt AS install_date, os.spend_365 / 10 AS d365_RPI,
+        SELECT os.o_custkey AS player_id, os.install_dt AS install_date, os.spend_365 / 10 AS d365_RPI,
                os.submissions, COALESCE(ls.sessions, 0) AS sessions, ls.rating AS avg_rating_received,
                CASE WHEN n.n_name = 'NATION_1' THEN 1 ELSE 0 END AS united_states,
                CASE WHEN c.c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN 1 ELSE 0 END AS facebook_connected,
@@ -80,7 +80,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM f_order_stats os LEFT JOIN f_line_stats ls ON ls.o_custkey = os.o_custkey
         JOIN customer c ON c.c_custkey = os.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey"""),
     "f_spend": ((), """
-        SELECT t.o_custkey AS covet_id, t.p_type AS category_name, t.type_spend / tot.total_spend AS pct_spend
+        SELECT t.o_custkey AS player_id, t.p_type AS category_name, t.type_spend / tot.total_spend AS pct_spend
         FROM (SELECT o.o_custkey, p.p_type, CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS type_spend
               FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey
               GROUP BY 1, 2) t
@@ -102,9 +102,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                ms.map_of_spent, mst.map_of_started
         FROM f_order_stats os LEFT JOIN f_line_stats ls ON ls.o_custkey = os.o_custkey
         JOIN customer c ON c.c_custkey = os.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
-        LEFT JOIN (SELECT covet_id, '{{' || string_agg(category_name || '=' || printf('%.4f', floor(pct_spend * 10000 + 0.5) / 10000), ', '
-                          ORDER BY category_name) || '}}' AS map_of_spent FROM f_spend GROUP BY covet_id) ms
-               ON ms.covet_id = os.o_custkey
+        LEFT JOIN (SELECT player_id, '{{' || string_agg(category_name || '=' || printf('%.4f', floor(pct_spend * 10000 + 0.5) / 10000), ', '
+                          ORDER BY category_name) || '}}' AS map_of_spent FROM f_spend GROUP BY player_id) ms
+               ON ms.player_id = os.o_custkey
         LEFT JOIN (SELECT user_id, '{{' || string_agg(event_type || '=' || printf('%.4f', floor(share * 10000 + 0.5) / 10000), ', '
                           ORDER BY event_type) || '}}' AS map_of_started FROM f_event_shares GROUP BY user_id) mst
                ON mst.user_id = os.o_custkey"""),

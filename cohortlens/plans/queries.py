@@ -176,7 +176,7 @@ def clean_players(spark, sf_dir):
 @query("bin_players")
 def bin_players(spark, sf_dir):
     return prep.bin_players(_clean(load_world(spark, sf_dir))).select(
-        "covet_id", "submissions_bin", "submissions_bin_rank", "stars_received_bin", "stars_received_bin_rank")
+        "player_id", "submissions_bin", "submissions_bin_rank", "stars_received_bin", "stars_received_bin_rank")
 
 
 @query("group_summary")
@@ -221,7 +221,7 @@ def trend_lines(spark, sf_dir):
 def trend_lines_category(spark, sf_dir):
     """A17 + J4: per spend category, d365 RPI on the category's spend share (players joined to spend)."""
     w = load_world(spark, sf_dir)
-    j = _clean(w).join(w.spend, "covet_id")
+    j = _clean(w).join(w.spend, "player_id")
     return sm.trend_lines(j, "pct_spend", "d365_RPI", [["category_name"]]).drop("facet_level")
 
 
@@ -229,16 +229,16 @@ def trend_lines_category(spark, sf_dir):
 def spend_pivot(spark, sf_dir):
     """R3 + J4: spend shares wide ("Spend Distr <category>", names sanitised), left-joined to players."""
     w = load_world(spark, sf_dir)
-    wide = rs.pivot_long(w.spend, "covet_id", "category_name", "pct_spend", SPEND_CATEGORIES, prefix="Spend Distr ")
+    wide = rs.pivot_long(w.spend, "player_id", "category_name", "pct_spend", SPEND_CATEGORIES, prefix="Spend Distr ")
     wide = prep.sanitize_names(wide)
     cols = [f"Spend_Distr_{c}" for c in SPEND_CATEGORIES]
-    return _clean(w).select("covet_id", "d365_RPI").join(wide, "covet_id", "left").fillna(0.0, subset=cols)
+    return _clean(w).select("player_id", "d365_RPI").join(wide, "player_id", "left").fillna(0.0, subset=cols)
 
 
 @query("add_terms")
 def add_terms(spark, sf_dir):
     c = prep.add_terms(_clean(load_world(spark, sf_dir)), prep.PLAYER_SQUARES, prep.PLAYER_INTERACTIONS)
-    return c.select("covet_id", *[f"{s}Sqd" for s in prep.PLAYER_SQUARES], *prep.PLAYER_INTERACTIONS)
+    return c.select("player_id", *[f"{s}Sqd" for s in prep.PLAYER_SQUARES], *prep.PLAYER_INTERACTIONS)
 
 
 @query("prediction_curves")
@@ -253,33 +253,33 @@ def prediction_curves(spark, sf_dir):
 
 @query("sample_n")
 def sample_n(spark, sf_dir):
-    return smp.sample_n(_clean(load_world(spark, sf_dir)), 20, "covet_id", seed=123).select("covet_id", "d365_RPI")
+    return smp.sample_n(_clean(load_world(spark, sf_dir)), 20, "player_id", seed=123).select("player_id", "d365_RPI")
 
 
 @query("train_test_split")
 def train_test_split(spark, sf_dir):
-    return smp.train_test_split(load_world(spark, sf_dir).players, "covet_id", 0.9, seed=42).select("covet_id", "split")
+    return smp.train_test_split(load_world(spark, sf_dir).players, "player_id", 0.9, seed=42).select("player_id", "split")
 
 
 @query("hash_folds")
 def hash_folds(spark, sf_dir):
-    return smp.hash_folds(load_world(spark, sf_dir).players, "covet_id", 10, seed=123).select("covet_id", "fold")
+    return smp.hash_folds(load_world(spark, sf_dir).players, "player_id", 10, seed=123).select("player_id", "fold")
 
 
 @query("stratified_folds")
 def stratified_folds(spark, sf_dir):
-    return smp.stratified_folds(load_world(spark, sf_dir).players, "covet_id", ["paid_source"], 5, seed=42).select(
-        "covet_id", "paid_source", "fold")
+    return smp.stratified_folds(load_world(spark, sf_dir).players, "player_id", ["paid_source"], 5, seed=42).select(
+        "player_id", "paid_source", "fold")
 
 
 def _rule_inputs(w):
     """Observed early spend, spender probability and amount as arithmetic of the players table."""
     pl = w.players
     return pl.select(
-        "covet_id",
+        "player_id",
         (F.col("d365_RPI") / 1000).alias("actual"),
         (F.col("d365_RPI") * F.col("returner") / 100).alias("observed"),
-        (F.pmod(F.col("covet_id") * F.lit(smp.HASH_MULTIPLIER), F.lit(1000)) / 1000.0).alias("p"),
+        (F.pmod(F.col("player_id") * F.lit(smp.HASH_MULTIPLIER), F.lit(1000)) / 1000.0).alias("p"),
         (F.col("sessions") * 1.5 - 20.0).alias("amount"),
     )
 
@@ -289,7 +289,7 @@ def hurdle_rule(spark, sf_dir):
     x = _rule_inputs(load_world(spark, sf_dir))
     o, p, a = F.col("observed"), F.col("p"), F.col("amount")
     return x.select(
-        "covet_id",
+        "player_id",
         *[hurdle.hurdle_prediction(o, p, a, h).alias(f"pred_hurdle_{int(h * 100)}_pct") for h in (0.1, 0.2, 0.3)],
         hurdle.product_prediction(o, p, a).alias("pred_product"),
         hurdle.threshold_prediction(p, a).alias("pred_threshold"),
@@ -299,15 +299,15 @@ def hurdle_rule(spark, sf_dir):
 @query("rmse_mae")
 def rmse_mae(spark, sf_dir):
     w = load_world(spark, sf_dir)
-    preds = hurdle_rule(spark, sf_dir).join(_rule_inputs(w).select("covet_id", "actual"), "covet_id")
+    preds = hurdle_rule(spark, sf_dir).join(_rule_inputs(w).select("player_id", "actual"), "player_id")
     rules = [c for c in preds.columns if c.startswith("pred_")]
-    long = preds.unpivot(["covet_id", "actual"], rules, "rule", "prediction")
+    long = preds.unpivot(["player_id", "actual"], rules, "rule", "prediction")
     return hurdle.error_metrics(long, "actual", "prediction", ["rule"])
 
 
 def _grid_predictions(w):
     """Fold x (nrounds, eta) x hurdle grid of arithmetic predictions over the players (A15 input)."""
-    x = smp.hash_folds(_rule_inputs(w), "covet_id", 5, seed=42)
+    x = smp.hash_folds(_rule_inputs(w), "player_id", 5, seed=42)
     o, p, a = F.col("observed"), F.col("p"), F.col("amount")
     cols = {}
     for nr in (25, 50, 75):
@@ -317,7 +317,7 @@ def _grid_predictions(w):
                 cols[f"nrounds={nr}_eta={eta}|hurdle_{int(h * 100)}_pct"] = hurdle.hurdle_prediction(o, p, scaled, h)
     # long form directly (R4): one (setting, prediction) struct per grid point, exploded
     grid = F.array(*[F.struct(F.lit(k).alias("setting"), v.alias("prediction")) for k, v in cols.items()])
-    return x.select("covet_id", "fold", "actual", F.inline(grid))
+    return x.select("player_id", "fold", "actual", F.inline(grid))
 
 
 @query("metric_by_setting")

@@ -178,7 +178,7 @@ class TestWorld:
 
     @cached_property
     def players(self) -> DataFrame:
-        """raw_data: covet_id, install_date, d365_RPI (cents), submissions, sessions, avg_rating_received,
+        """raw_data: player_id, install_date, d365_RPI (cents), submissions, sessions, avg_rating_received,
         united_states, facebook_connected, paid_source, returner."""
         c = self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         n = self.table("nation").select("n_nationkey", "n_name")
@@ -187,7 +187,7 @@ class TestWorld:
             .join(c, F.col("o_custkey") == F.col("c_custkey"))
             .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
-                F.col("o_custkey").alias("covet_id"),
+                F.col("o_custkey").alias("player_id"),
                 F.col("install_dt").alias("install_date"),
                 (F.col("spend_365") / RPI_CENTS_DIVISOR).alias("d365_RPI"),
                 "submissions",
@@ -202,13 +202,13 @@ class TestWorld:
 
     @cached_property
     def spend(self) -> DataFrame:
-        """spend_data (long form): covet_id, category_name, pct_spend (share of spend per item type)."""
+        """spend_data (long form): player_id, category_name, pct_spend (share of spend per item type)."""
         p = self.table("part").select("p_partkey", "p_type")
         j = self._lines.select("o_custkey", "l_partkey", "l_extendedprice").join(p, F.col("l_partkey") == F.col("p_partkey"))
         per_type = j.groupBy("o_custkey", "p_type").agg(money_sum(F.col("l_extendedprice")).alias("type_spend"))
         total = j.groupBy("o_custkey").agg(money_sum(F.col("l_extendedprice")).alias("total_spend"))
         return per_type.join(total, "o_custkey").select(
-            F.col("o_custkey").alias("covet_id"),
+            F.col("o_custkey").alias("player_id"),
             F.col("p_type").alias("category_name"),
             (F.col("type_spend") / F.col("total_spend")).alias("pct_spend"),
         )
@@ -222,7 +222,7 @@ class TestWorld:
 
         c = self.table("customer").select("c_custkey", "c_nationkey", "c_acctbal")
         n = self.table("nation").select("n_nationkey", "n_name")
-        spent = format_map_text(self.spend, "covet_id", "category_name", "pct_spend", "map_of_spent")
+        spent = format_map_text(self.spend, "player_id", "category_name", "pct_spend", "map_of_spent")
         ev = self.table("events").select("user_id", "event_type")
         per_type = ev.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("k"))
         per_user = per_type.groupBy("user_id").agg(F.sum("k").alias("n_events"))
@@ -233,7 +233,7 @@ class TestWorld:
             self._order_stats.join(self._line_stats, "o_custkey", "left")
             .join(c, F.col("o_custkey") == F.col("c_custkey"))
             .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(spent, F.col("o_custkey") == F.col("covet_id"), "left")
+            .join(spent, F.col("o_custkey") == F.col("player_id"), "left")
             .join(started, F.col("o_custkey") == F.col("user_id"), "left")
             .select(
                 device_id(F.col("o_custkey")).alias("s"),

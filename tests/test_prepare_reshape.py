@@ -23,12 +23,12 @@ def test_x11_bin_edges(spark):
 def test_x13_rounding_and_refilter(spark):
     rows = [(1, 0.4), (2, 0.5), (3, 200000.0), (4, 200001.0), (5, 1234.5)]
     df = spark.createDataFrame([(k, v, None, 1, 1, 0, 0, 0, 0) for k, v in rows],
-                               "covet_id long, d365_RPI double, avg_rating_received double, submissions long, "
+                               "player_id long, d365_RPI double, avg_rating_received double, submissions long, "
                                "sessions long, united_states int, facebook_connected int, paid_source int, returner int")
-    got = {r["covet_id"]: r["d365_RPI"] for r in prep.clean_players(df).collect()}
+    got = {r["player_id"]: r["d365_RPI"] for r in prep.clean_players(df).collect()}
     # 0.4 cents -> 0.00 is dropped after rounding (Q23); 0.5 cents rounds half up to 0.01; cap 2000 inclusive
     assert got == {2: 0.01, 3: 2000.0, 5: 12.35}
-    lit = {r["covet_id"] for r in prep.clean_players(df, refilter_after_round=False).collect()}
+    lit = {r["player_id"] for r in prep.clean_players(df, refilter_after_round=False).collect()}
     assert 1 in lit
 
 

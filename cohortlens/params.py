@@ -43,6 +43,10 @@ class FeatureParams:
         # "recent" utility is really the first half of the day_from horizon
         return self.day_from // 2
 
+    def daily_cohort(self, today: dt.date) -> dt.date:
+        """the cohort scored by the daily run, ``today - (1 + day_from)`` (pass ``today`` in)."""
+        return today - dt.timedelta(days=1 + self.day_from)
+
     def with_(self, **kw) -> "FeatureParams":
         return replace(self, **kw)
 

@@ -102,6 +102,15 @@ def backfill_predictions(tables, p: FeatureParams, start: dt.date, end: dt.date,
     return mf.select("s", "cohort_date", *cols)
 
 
+def backfill(tables, p: FeatureParams, start: dt.date, end: dt.date, models: Mapping[int, hd.HurdleModel],
+             table_path: str, all_columns: Sequence[str]) -> DataFrame:
+    """E5: score every cohort in [start, end] for every horizon model and upsert all of them into the
+    date-partitioned table with one write."""
+    preds = backfill_predictions(tables, p, start, end, models)
+    cols = [f"day_{p.day_from}_day_{h}" for h in sorted(models)]
+    return sinks.upsert_partitions(preds.sparkSession, table_path, preds, "cohort_date", cols, all_columns)
+
+
 # ---- player value report (E6) ---------------------------------------------------------------------
 
 BASE_FEATURES = ["submissions", "sessions", "avg_rating_received", "united_states", "facebook_connected",

@@ -87,3 +87,40 @@ def upsert_cohort(spark: SparkSession, path: str, date: dt.date, new: DataFrame,
     (_with_parts(staged, date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTS).parquet(path))
     return staged
+
+
+def upsert_partitions(spark: SparkSession, path: str, new: DataFrame, date_col: str, columns: Sequence[str],
+                      all_columns: Sequence[str], key: str = "s", staging: str | None = None) -> DataFrame:
+    """S8 for many cohorts at once (E5): ``new`` holds (key, date_col, *columns) for any number of
+    cohort dates. The existing partitions of those dates are read once (partition-pruned to the date
+    range), merged on (key, date) with a full outer join, staged, and swapped in with one dynamic
+    partition overwrite; other partitions are untouched. One job instead of a loop over dates."""
+    dtype = new.schema[columns[0]].dataType
+    lo, hi = new.agg(F.min(date_col), F.max(date_col)).first()
+    if lo is None:
+        return new.limit(0)
+    value_schema = StructType([StructField(key, StringType())] + [StructField(c, dtype) for c in all_columns])
+    schema = StructType(list(value_schema.fields) + [StructField(p, StringType()) for p in PARTS])
+    part_date = F.to_date(F.concat_ws("-", *[F.col(p) for p in PARTS]))
+    try:
+        existing = (spark.read.schema(schema).option("basePath", path).parquet(path)
+                    .where(F.concat_ws("-", *[F.col(p) for p in PARTS]).between(lo.isoformat(), hi.isoformat()))
+                    .select(key, part_date.alias(date_col), *all_columns))
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+        existing = spark.createDataFrame([], StructType([StructField(key, StringType())]
+                                                        + [StructField(date_col, new.schema[date_col].dataType)]
+                                                        + [StructField(c, dtype) for c in all_columns]))
+    keep = [c for c in all_columns if c not in columns]
+    merged = (existing.select(key, date_col, *keep)
+              .join(new.select(key, date_col, *columns), [key, date_col], "full_outer")
+              .select(key, date_col, *all_columns))
+    stage = staging or f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging/{uuid.uuid4().hex}"
+    merged.write.mode("overwrite").parquet(stage)
+    staged = spark.read.parquet(stage)
+    d = F.col(date_col)
+    (staged.withColumns({"year": F.date_format(d, "yyyy"), "month": F.date_format(d, "MM"), "day": F.date_format(d, "dd")})
+     .drop(date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*PARTS).parquet(path))
+    return staged

@@ -82,3 +82,6 @@ def test_train_score_publish_backfill(spark, tmp_dir):
     a = {r["s"]: r["day_90_day_365"] for r in back.where(F.col("cohort_date") == d).collect()}
     b = {r["s"]: r["day_90_day_365"] for r in scored.collect()}
     assert a.keys() == b.keys()
+    jobs.backfill(w, TEST_FEATURES, d, dt.date(1995, 1, 31), {365: model}, table, cols)
+    days = {(r["month"], r["day"]) for r in spark.read.parquet(table).select("month", "day").distinct().collect()}
+    assert len(days) == back.select("cohort_date").distinct().count()

@@ -106,3 +106,16 @@ def test_distinct_values_bound(spark):
     df = spark.createDataFrame([(i,) for i in range(20)], "c int")
     with pytest.raises(ValueError):
         sm.distinct_values(df, "c", limit=10)
+
+
+def test_projection_helpers(spark):
+    df = spark.createDataFrame([(1, "2", None, "x")], "id int, num_txt string, v double, tenure_days string")
+    assert prep.columns_matching(df, pattern="^NUM") == ["num_txt"]
+    assert prep.columns_matching(df, start="num_txt", end="v") == ["num_txt", "v"]
+    assert prep.columns_matching(df, suffix="_days") == ["tenure_days"]
+    out = prep.cast_numeric(prep.fill_nulls(df, 0.0, ["v"]), ["num_txt", "tenure_days"])
+    r = out.first()
+    assert (r["num_txt"], r["v"], r["tenure_days"]) == (2.0, 0.0, None)
+    sel = prep.select_columns(df, keep=["id", "v", "num_txt"], drop=["v"], rename={"num_txt": "n"})
+    assert sel.columns == ["id", "n"]
+    assert prep.sanitize_names(spark.createDataFrame([(1,)], "`Spend Distr Kid's Decor` int")).columns == ["Spend_Distr_Kid_s_Decor"]

@@ -81,3 +81,29 @@ def test_cluster_conf_sizes():
     assert c["spark.sql.adaptive.enabled"] == "true" and "spark.ui.enabled" not in c
     small = cluster_conf(1 << 30, 16)
     assert small["spark.sql.shuffle.partitions"] == "32"
+
+
+def test_upsert_partitions_many_cohorts(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "multi")
+    cols = ["day_7_day_30", "day_7_day_60"]
+    d1, d2, d3 = dt.date(2020, 1, 1), dt.date(2020, 1, 2), dt.date(2020, 2, 1)
+    first = spark.createDataFrame([("a", d1, 1.0), ("b", d2, 2.0), ("z", d3, 9.0)], "s string, cohort_date date, day_7_day_30 double")
+    sinks.upsert_partitions(spark, path, first, "cohort_date", ["day_7_day_30"], cols)
+    second = spark.createDataFrame([("a", d1, 10.0), ("c", d2, 30.0)], "s string, cohort_date date, day_7_day_60 double")
+    sinks.upsert_partitions(spark, path, second, "cohort_date", ["day_7_day_60"], cols)
+    schema = StructType([StructField("s", StringType())] + [StructField(c, DoubleType()) for c in cols])
+    got = {d: sorted(map(tuple, sinks.read_partition(spark, path, d, schema).select("s", *cols).collect()))
+           for d in (d1, d2, d3)}
+    assert got[d1] == [("a", 1.0, 10.0)]
+    assert got[d2] == [("b", 2.0, None), ("c", None, 30.0)]
+    assert got[d3] == [("z", 9.0, None)]  # outside the new date range: untouched
+
+
+def test_format_and_daily_cohort(spark):
+    from cohortlens.functions.format import comma, dollar, fixed
+    from cohortlens.params import FeatureParams
+    df = spark.createDataFrame([(1234.5,), (-3.0,)], "x double")
+    assert [r[0] for r in df.select(dollar("x")).collect()] == ["$1,234.50", "-$3.00"]
+    assert [r[0] for r in df.select(comma("x")).collect()] == ["1,234", "-3"]  # half-even, as R formats
+    assert [r[0] for r in df.select(fixed("x")).collect()] == ["1234.50", "-3.00"]
+    assert FeatureParams(day_from=7).daily_cohort(dt.date(2020, 3, 10)) == dt.date(2020, 3, 2)

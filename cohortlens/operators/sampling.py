@@ -67,23 +67,40 @@ def hash_folds(df: DataFrame, key: str, k: int, seed: int = 0, hash_col: Column
 
 
 def stratified_folds(df: DataFrame, key: str, strata: Sequence[str], k: int, seed: int = 0,
-                     hash_col: Column | None = None, name: str = "fold", partitions: int | None = None) -> DataFrame:
+                     hash_col: Column | None = None, name: str = "fold", partitions: int | None = None,
+                     broadcast_limit: int = 1_000_000) -> DataFrame:
     """O5 (exact): within each stratum, rows ordered by (hash, key) get folds 0,1,..,k-1,0,1,..
 
     Equals ``row_number() over (partition by strata order by hash, key) - 1`` mod k, but no task holds
-    a whole stratum: rows are range-partitioned on (strata, hash, key); each range partition numbers
-    its own rows, and per-(partition, stratum) counts (a frame of partitions x strata rows) give the
-    offsets that make the numbering global."""
+    a whole stratum and the rows are shuffled only once:
+    1. range-partition on (strata, hash, key) and sort within partitions; ``monotonically_increasing_id``
+       then carries the partition index (upper bits) and the row's position in it (lower 33 bits);
+       this frame is checkpointed, so partitioning, order and ids are fixed (and survive lost executors);
+    2. per (partition, stratum): row count and first position -- a table of at most
+       partitions x strata rows;
+    3. a running sum over that small table gives each (partition, stratum) the number of rows of its
+       stratum in earlier partitions; rank = offset + position - first position. The small table is
+       broadcast when its measured size is below ``broadcast_limit`` rows."""
+    from ..session import cut_lineage
+
     h = hash_col if hash_col is not None else key_hash(key, seed)
     st = list(strata)
     nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = (df.withColumn("_h", h)
-         .repartitionByRange(nparts, *st, "_h", key)
-         .withColumn("_pid", F.spark_partition_id()))
-    counts = x.groupBy("_pid", *st).agg(F.count(F.lit(1)).alias("_cnt"))
+    x = cut_lineage(
+        df.withColumn("_h", h)
+        .repartitionByRange(nparts, *st, "_h", key)
+        .sortWithinPartitions(*st, "_h", key)
+        .withColumn("_id", F.monotonically_increasing_id()))
+    x = x.withColumns({"_pid": F.shiftright("_id", 33), "_pos": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = x.groupBy("_pid", *st).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_start"))
     before = Window.partitionBy(*st).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *st, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    within = Window.partitionBy("_pid", *st).orderBy("_h", key)
-    y = x.join(offsets, ["_pid", *st])
-    rank = F.col("_off") + F.row_number().over(within) - 1
-    return y.withColumn(name, F.pmod(rank, F.lit(k)).cast("int")).drop("_h", "_pid", "_off")
+    offsets = counts.select("_pid", *st, "_start", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    o = offsets.select(F.col("_pid").alias("_o_pid"), *[F.col(c).alias(f"_o_{c}") for c in st], "_start", "_off")
+    if o.count() <= broadcast_limit:
+        o = F.broadcast(o)
+    cond = F.col("_pid") == F.col("_o_pid")
+    for c in st:  # null-safe: a null stratum is a stratum of its own, its rows are kept
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    y = x.join(o, cond).drop("_o_pid", *[f"_o_{c}" for c in st])
+    rank = F.col("_off") + F.col("_pos") - F.col("_start")
+    return y.withColumn(name, F.pmod(rank, F.lit(k)).cast("int")).drop("_h", "_id", "_pid", "_pos", "_start", "_off")

@@ -30,17 +30,18 @@ from ..sources import registry, sinks
 
 def revenue_model_frame(tables, p: FeatureParams, hp: HurdleParams) -> DataFrame:
     """E1 -> typed model frame -> optional fixed-size sample (O3) -> train/test label (O4) ->
-    stratified folds within train (O5), checkpointed so that the many fits reuse it and a lost
-    executor recomputes from the checkpoint, not from the activity joins."""
+    stratified folds within train (O5). The fold step checkpoints, so the many fits read the
+    checkpoint and a lost executor recomputes from it, not from the activity joins."""
     mf = feat.model_frame(feat.training_features(tables, p), p)
     h = smp.string_key_hash("s", hp.seed)
     if hp.sample_rows:
         mf = smp.sample_n(mf, hp.sample_rows, "s", hash_col=h)
     mf = smp.train_test_split(mf, "s", hp.train_fraction, hash_col=h)
-    folds = smp.stratified_folds(mf.where(F.col("split") == "train"), "s", ["spender"], hp.folds,
+    # strata (split, spender): exact spender-stratified folds within the training rows; the fold
+    # assignment checkpoints the frame once, so the features are computed a single time
+    folds = smp.stratified_folds(mf, "s", ["split", "spender"], hp.folds,
                                  hash_col=smp.string_key_hash("s", hp.seed + 1))
-    test = mf.where(F.col("split") == "test").withColumn("fold", F.lit(-1))
-    return cut_lineage(folds.unionByName(test))
+    return folds.withColumn("fold", F.when(F.col("split") == "test", F.lit(-1)).otherwise(F.col("fold")))
 
 
 def base_spec(p: FeatureParams, hp: HurdleParams) -> hd.HurdleSpec:

@@ -45,3 +45,13 @@ def test_sample_n_exact_and_large_path(spark):
     assert len(small) == 50 and small == large
     again = {r["k"] for r in smp.sample_n(df.repartition(9), 50, "k", seed=5).collect()}
     assert again == small
+
+
+def test_stratified_folds_keep_null_strata(spark):
+    df = spark.range(300).select(F.col("id").alias("k"),
+                                 F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("g"))
+    out = smp.stratified_folds(df, "k", ["g"], 3, seed=2, partitions=5)
+    assert out.count() == 300
+    per = out.groupBy("g", "fold").count().collect()
+    nulls = [r["count"] for r in per if r["g"] is None]
+    assert len(nulls) == 3 and sum(nulls) == 75 and max(nulls) - min(nulls) <= 1

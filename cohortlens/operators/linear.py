@@ -103,18 +103,39 @@ class LinearFit:
         y = F.log(F.col(self.label)) if self.log_label else F.col(self.label)
         return float(scored.agg(F.avg(F.exp(y - F.col("_p")))).first()[0])
 
-    def effect_size(self, column: str, frm: float = 0.0, to: float = 1.0, transform: bool = True) -> dict:
+    def effect_size(self, column: str, frm: float = 0.0, to: float = 1.0, transform: bool = True,
+                    derived: bool = False, squares: Mapping[str, str] | None = None,
+                    interactions: Mapping[str, tuple[str, str]] | None = None,
+                    at: Mapping[str, float] | None = None) -> dict:
         """Change of the response when ``column`` moves from ``frm`` to ``to``, others fixed.
-        Derived (squared / product) columns are separate regressors, so the effect is that single
-        coefficient times the step (SURVEY Q18). ``transform`` gives the percent change for log models."""
-        b = dict(zip(self.features, list(self.model.coefficients))).get(column, 0.0)
-        slope = float(b) * (to - frm)
+
+        Default (as the analysis did, SURVEY Q18): derived squared / product columns are separate
+        regressors, so the effect is that single coefficient times the step. ``derived=True`` also moves
+        the derived columns: ``b_sq (to^2 - frm^2)`` for ``squares[column]`` and ``b_xz z (to - frm)`` for
+        each interaction with another column ``z``, evaluated at ``at[z]`` (e.g. ``typical_values``).
+        ``transform`` gives the percent change for log models."""
+        coef = dict(zip(self.features, map(float, self.model.coefficients)))
+        slope = coef.get(column, 0.0) * (to - frm)
+        if derived:
+            sq = (squares or {}).get(column)
+            if sq:
+                slope += coef.get(sq, 0.0) * (to * to - frm * frm)
+            for name, (a, b) in (interactions or {}).items():
+                if column in (a, b):
+                    other = b if a == column else a
+                    slope += coef.get(name, 0.0) * float((at or {}).get(other, 0.0)) * (to - frm)
         out = {"variable": column, "from": float(frm), "to": float(to), "slope": slope, "pct_change": None}
         if transform and self.log_label:
             out["pct_change"] = (math.exp(slope) - 1) * 100
         return out
 
 
+def typical_values(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -> dict[str, float]:
+    """Approximate medians of several columns in one aggregate (for ``effect_size(derived=True)``)."""
+    r = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]).first()
+    return {c: float(r[c]) for c in cols}
+
+
 def _assemble(df: DataFrame, features: Sequence[str], label: str, log_label: bool) -> DataFrame:
     y = F.log(F.col(label)) if log_label else F.col(label).cast("double")
     x = df.select(*[F.col(c).cast("double").alias(c) for c in features], y.alias("_y"), F.col(label))

@@ -197,3 +197,22 @@ def test_hurdle_in_pipeline(spark):
     pm = Pipeline(stages=[HurdleRegressor(spec)]).fit(df)
     out = pm.transform(df)
     assert {"p_spender", "amount", "prediction"} <= set(out.columns) and out.count() == 120
+
+
+def test_effect_size_derived(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(300):
+        x, z = float(rng.uniform(0, 4)), float(rng.integers(0, 2))
+        y = math.exp(0.2 * x + 0.05 * x * x + 0.3 * x * z + float(rng.normal(scale=0.01)))
+        rows.append((x, x * x, z, x * z, y))
+    df = spark.createDataFrame(rows, "x double, xSqd double, z double, x_z double, y double")
+    fit = lin.fit_linear(df, ["x", "xSqd", "z", "x_z"], "y", log_label=True)
+    plain = fit.effect_size("x", 1, 2)
+    at = lin.typical_values(df, ["z"])
+    full = fit.effect_size("x", 1, 2, derived=True, squares={"x": "xSqd"}, interactions={"x_z": ("x", "z")}, at=at)
+    b = dict(zip(fit.features, fit.model.coefficients))
+    assert math.isclose(plain["slope"], b["x"], rel_tol=1e-12)
+    want = b["x"] + b["xSqd"] * 3 + b["x_z"] * at["z"]
+    assert math.isclose(full["slope"], want, rel_tol=1e-12)
+    assert abs(full["slope"] - (0.2 + 0.05 * 3 + 0.3 * at["z"])) < 0.02

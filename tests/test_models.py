@@ -216,3 +216,16 @@ def test_effect_size_derived(spark):
     want = b["x"] + b["xSqd"] * 3 + b["x_z"] * at["z"]
     assert math.isclose(full["slope"], want, rel_tol=1e-12)
     assert abs(full["slope"] - (0.2 + 0.05 * 3 + 0.3 * at["z"])) < 0.02
+
+
+def test_smearing_factor(spark):
+    rng = np.random.default_rng(6)
+    x = rng.uniform(0, 1, 4000)
+    y = np.exp(1.0 + 2.0 * x + rng.normal(scale=0.5, size=4000))
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    fit = lin.fit_linear(df, ["x"], "y", log_label=True)
+    f = fit.smearing_factor(df)
+    assert abs(f - math.exp(0.5 ** 2 / 2)) < 0.03
+    plain = fit.predict(df, "p").agg(F.avg("p")).first()[0]
+    smeared = fit.predict(df, "p", smearing=f).agg(F.avg("p")).first()[0]
+    assert abs(smeared - float(np.mean(y))) < abs(plain - float(np.mean(y)))

@@ -130,24 +130,6 @@ def spend_by_horizons(base: DataFrame, revenue: DataFrame, p: FeatureParams, hor
     ])
 
 
-def assemble_features(base: DataFrame, sessions_agg: DataFrame, utility_agg: DataFrame, spend_agg: DataFrame,
-                      p: FeatureParams) -> DataFrame:
-    """J3 + S4: left joins on ``s``, nulls to 0, generated column names."""
-    f, t = p.day_from, p.day_to
-    j = base.join(sessions_agg, "s", "left").join(utility_agg, "s", "left").join(spend_agg, "s", "left")
-    util = F.col(f"utility_day_{f}")
-    return j.select(
-        "s", "install_dt", "platform", "usa", "publisher_name",
-        F.coalesce(F.col(f"sessions_day_{f}"), F.lit(0)).alias(f"sessions_day_{f}"),
-        F.coalesce(F.col(f"sum_session_time_day_{f}"), F.lit(0.0)).alias(f"sum_session_time_day_{f}"),
-        F.coalesce(util, F.lit(0.0)).alias(f"utility_day_{f}"),
-        F.coalesce(F.col(f"spend_day_{f}"), F.lit(0.0)).alias(f"spend_day_{f}"),
-        # named "recent" in the reference, but it is the first half of the horizon
-        round_half_up(F.coalesce(safe_div(F.col("early_utility_sum"), util), F.lit(0.0)), 2).alias("recent_utility_ratio"),
-        F.coalesce(F.col(f"spend_day_{t}"), F.lit(0.0)).alias(f"spend_day_{t}"),
-    )
-
-
 def activity_daily(tables, p: FeatureParams, end: dt.date) -> DataFrame:
     """The three activity tables reduced to one row per (device, day) each, with map-side partial
     aggregation, and stacked: s, activity_date, n, len (sessions), util (utility), amt (IAP spend).

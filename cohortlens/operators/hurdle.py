@@ -70,7 +70,8 @@ def summarise_settings(per_fold: DataFrame, digits: int = 6) -> DataFrame:
         F.get(F.split(F.get(mparts, 1), "="), 1).cast("double").alias("eta"),
         F.get(F.split(hurdle_name, "_"), 1).cast("int").alias("hurdle_pct"),
         "rmse")
-    return s.groupBy("nrounds", "eta", "hurdle_pct").agg(round_half_up(F.avg("rmse"), digits).alias("rmse"))
+    out = s.groupBy("nrounds", "eta", "hurdle_pct").agg(round_half_up(F.avg("rmse"), digits).alias("rmse"))
+    return out.orderBy("rmse", "nrounds", "eta", "hurdle_pct")  # O1, on the small per-setting table
 
 
 def best_setting(summary: DataFrame) -> DataFrame:

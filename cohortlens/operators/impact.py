@@ -42,11 +42,13 @@ def impact_mean(daily: DataFrame, metrics: Sequence[str], windows: ImpactWindows
     long = stack_series(daily, metrics)
     (pa, pb), (qa, qb) = windows.pre, windows.post
     pre = long.where(F.col("date").between(F.lit(pa), F.lit(pb))).groupBy("metric").agg(
-        F.avg("value").alias("pre_mean"), F.stddev_samp("value").alias("pre_sd"))
+        F.avg("value").alias("pre_mean"), F.stddev_samp("value").alias("pre_sd"), F.count("value").alias("n_pre"))
     post = long.where(F.col("date").between(F.lit(qa), F.lit(qb)))
     j = post.join(pre, "metric")  # pre has one row per metric
-    run = Window.partitionBy("metric").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("metric").orderBy("date")
+    run = order.rowsBetween(Window.unboundedPreceding, 0)
     eff = F.col("value") - F.col("pre_mean")
+    t = F.row_number().over(order)
     r = lambda c: round_half_up(c, digits)
     return j.select(
         "metric", "date",
@@ -56,6 +58,8 @@ def impact_mean(daily: DataFrame, metrics: Sequence[str], windows: ImpactWindows
         r(F.col("pre_mean") + Z95 * F.col("pre_sd")).alias("predicted_upper"),
         r(eff).alias("point_effect"),
         r(F.sum(eff).over(run)).alias("cumulative_effect"),
+        # sd of (sum of t new days - t x estimated mean): noise of t days plus the mean's own error
+        r(F.col("pre_sd") * F.sqrt(t + t * t / F.col("n_pre"))).alias("cumulative_sd"),
     )
 
 
@@ -64,15 +68,20 @@ def impact_summary(per_day: DataFrame, digits: int = 6) -> DataFrame:
     r = lambda c: round_half_up(c, digits)
     g = per_day.groupBy("metric").agg(
         F.count(F.lit(1)).alias("n_days"),
-        F.sum("actual").alias("actual_sum"), F.sum("predicted").alias("predicted_sum"))
+        F.sum("actual").alias("actual_sum"), F.sum("predicted").alias("predicted_sum"),
+        F.max_by("cumulative_sd", "date").alias("sd_cum"))
+    eff = F.col("actual_sum") - F.col("predicted_sum")
     return g.select(
         "metric", "n_days",
         r(F.col("actual_sum") / F.col("n_days")).alias("actual_avg"),
         r(F.col("predicted_sum") / F.col("n_days")).alias("predicted_avg"),
         r(F.col("actual_sum")).alias("actual_cum"),
         r(F.col("predicted_sum")).alias("predicted_cum"),
-        r(F.col("actual_sum") - F.col("predicted_sum")).alias("abs_effect_cum"),
-        r(F.try_divide(F.col("actual_sum") - F.col("predicted_sum"), F.col("predicted_sum"))).alias("rel_effect"),
+        r(eff).alias("abs_effect_cum"),
+        r(eff - Z95 * F.col("sd_cum")).alias("abs_effect_cum_lower"),
+        r(eff + Z95 * F.col("sd_cum")).alias("abs_effect_cum_upper"),
+        r(F.try_divide(eff, F.col("sd_cum"))).alias("z"),
+        r(F.try_divide(eff, F.col("predicted_sum"))).alias("rel_effect"),
     )
 
 
@@ -119,16 +128,17 @@ def impact_local_level(daily: DataFrame, metrics: Sequence[str], windows: Impact
         pre = pdf.loc[dates <= pre_end, "value"].to_numpy()
         post = pdf.loc[(dates > pre_end)]
         mean, sd, _ = local_level_forecast(pre, len(post), ratio)
+        cum_sd = [local_level_forecast(pre, t, ratio)[2] for t in range(1, len(post) + 1)]
         eff = post["value"].to_numpy() - mean
         return pd.DataFrame({
             "metric": post["metric"].to_numpy(), "date": post["date"].to_numpy(),
             "actual": post["value"].to_numpy(), "predicted": mean,
             "predicted_lower": mean - Z95 * sd, "predicted_upper": mean + Z95 * sd,
-            "point_effect": eff, "cumulative_effect": np.cumsum(eff),
+            "point_effect": eff, "cumulative_effect": np.cumsum(eff), "cumulative_sd": np.asarray(cum_sd, dtype=float),
         })
 
     schema = ("metric string, date date, actual double, predicted double, predicted_lower double, "
-              "predicted_upper double, point_effect double, cumulative_effect double")
+              "predicted_upper double, point_effect double, cumulative_effect double, cumulative_sd double")
     return long.groupBy("metric").applyInPandas(fit, schema)
 
 

@@ -229,3 +229,14 @@ def test_smearing_factor(spark):
     plain = fit.predict(df, "p").agg(F.avg("p")).first()[0]
     smeared = fit.predict(df, "p", smearing=f).agg(F.avg("p")).first()[0]
     assert abs(smeared - float(np.mean(y))) < abs(plain - float(np.mean(y)))
+
+
+def test_impact_intervals(spark):
+    rng = np.random.default_rng(8)
+    vals = list(10 + rng.normal(scale=1.0, size=10)) + list(20 + rng.normal(scale=1.0, size=10))
+    for per_day in (imp.impact_mean(_daily(spark, vals), ["m"], W), imp.impact_local_level(_daily(spark, vals), ["m"], W)):
+        rows = per_day.orderBy("date").collect()
+        sds = [r["cumulative_sd"] for r in rows]
+        assert all(b > a for a, b in zip(sds, sds[1:]))  # uncertainty of the sum grows with the horizon
+        s = imp.impact_summary(per_day).first()
+        assert s["abs_effect_cum_lower"] < s["abs_effect_cum"] < s["abs_effect_cum_upper"] and s["z"] > 5

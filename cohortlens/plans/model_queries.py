@@ -7,7 +7,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import features as feat
 from ..operators import hurdle as hd
 from ..operators import impact as imp
 from ..operators import linear as lin

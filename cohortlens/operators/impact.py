@@ -87,17 +87,13 @@ def impact_summary(per_day: DataFrame, digits: int = 6) -> DataFrame:
 
 # ---- local level model ------------------------------------------------------------------------
 
-def local_level_forecast(pre: np.ndarray, horizon: int, ratio: float = DEFAULT_LEVEL_RATIO):
-    """Fit a local-level model on ``pre`` (level variance = ratio x noise variance, noise variance by
-    concentrated maximum likelihood) and forecast ``horizon`` steps.
-    Returns (mean, sd of each step, sd of the cumulative sum)."""
-    y = np.asarray(pre, dtype=float)
-    y = y[~np.isnan(y)]
-    if len(y) == 0:
-        return np.full(horizon, np.nan), np.full(horizon, np.nan), math.nan
-    scale = float(np.std(y)) or 1.0
-    z = (y - y.mean()) / scale
-    a, p = z[0], 1.0  # initialise at the first observation
+RATIO_GRID = tuple(10.0 ** e for e in range(-6, 2))  # 1e-6 .. 10, for ratio="mle"
+
+
+def _filter(z: np.ndarray, ratio: float):
+    """Kalman filter of a standardised local-level series with unit noise variance; returns the final
+    level, its variance, the one-step errors and their variances (the first observation initialises)."""
+    a, p = z[0], 1.0
     vs, fs = [], []
     for t in range(1, len(z)):
         p_pred = p + ratio
@@ -107,7 +103,33 @@ def local_level_forecast(pre: np.ndarray, horizon: int, ratio: float = DEFAULT_L
         a, p = a + k * v, p_pred * (1 - k)
         vs.append(v)
         fs.append(f)
-    sigma2 = float(np.mean(np.square(vs) / np.asarray(fs))) if vs else 1.0
+    return a, p, np.asarray(vs), np.asarray(fs)
+
+
+def concentrated_loglik(z: np.ndarray, ratio: float) -> float:
+    """Log-likelihood with the noise variance profiled out: -(sum log F_t + n log sigma^2) / 2."""
+    _a, _p, v, f = _filter(z, ratio)
+    if len(v) == 0:
+        return 0.0
+    sigma2 = float(np.mean(v * v / f)) or 1e-300
+    return -0.5 * (float(np.sum(np.log(f))) + len(v) * math.log(sigma2))
+
+
+def local_level_forecast(pre: np.ndarray, horizon: int, ratio: float | str = DEFAULT_LEVEL_RATIO):
+    """Fit a local-level model on ``pre`` (level variance = ratio x noise variance, noise variance by
+    concentrated maximum likelihood) and forecast ``horizon`` steps. ``ratio="mle"`` picks the ratio
+    from ``RATIO_GRID`` by concentrated likelihood (pre-periods are short; the fixed default is safer).
+    Returns (mean, sd of each step, sd of the cumulative sum)."""
+    y = np.asarray(pre, dtype=float)
+    y = y[~np.isnan(y)]
+    if len(y) == 0:
+        return np.full(horizon, np.nan), np.full(horizon, np.nan), math.nan
+    scale = float(np.std(y)) or 1.0
+    z = (y - y.mean()) / scale
+    if ratio == "mle":
+        ratio = max(RATIO_GRID, key=lambda r: concentrated_loglik(z, r))
+    a, p, vs, fs = _filter(z, float(ratio))
+    sigma2 = float(np.mean(np.square(vs) / fs)) if len(vs) else 1.0
     h = np.arange(1, horizon + 1)
     var_step = (p + h * ratio + 1.0) * sigma2
     var_cum = (horizon ** 2 * p + ratio * float(np.sum(h.astype(float) ** 2)) + horizon) * sigma2
@@ -116,7 +138,7 @@ def local_level_forecast(pre: np.ndarray, horizon: int, ratio: float = DEFAULT_L
 
 
 def impact_local_level(daily: DataFrame, metrics: Sequence[str], windows: ImpactWindows,
-                       ratio: float = DEFAULT_LEVEL_RATIO) -> DataFrame:
+                       ratio: float | str = DEFAULT_LEVEL_RATIO) -> DataFrame:
     """M9 with a local-level baseline, one pandas group per metric."""
     (pa, pb), (qa, qb) = windows.pre, windows.post
     long = stack_series(daily, metrics).where(F.col("date").between(F.lit(pa), F.lit(qb)))

@@ -240,3 +240,16 @@ def test_impact_intervals(spark):
         assert all(b > a for a, b in zip(sds, sds[1:]))  # uncertainty of the sum grows with the horizon
         s = imp.impact_summary(per_day).first()
         assert s["abs_effect_cum_lower"] < s["abs_effect_cum"] < s["abs_effect_cum_upper"] and s["z"] > 5
+
+
+def test_local_level_ratio_mle():
+    rng = np.random.default_rng(9)
+    walk = np.cumsum(rng.normal(scale=1.0, size=60)) + rng.normal(scale=0.1, size=60)  # level moves a lot
+    flat = 5 + rng.normal(scale=1.0, size=60)  # level does not move
+    zw = (walk - walk.mean()) / walk.std()
+    zf = (flat - flat.mean()) / flat.std()
+    best_w = max(imp.RATIO_GRID, key=lambda r: imp.concentrated_loglik(zw, r))
+    best_f = max(imp.RATIO_GRID, key=lambda r: imp.concentrated_loglik(zf, r))
+    assert best_w >= 1.0 and best_f <= 1e-2
+    mean, sd, _ = imp.local_level_forecast(walk, 3, ratio="mle")
+    assert abs(mean[0] - walk[-1]) < abs(mean[0] - walk.mean())  # follows the last level

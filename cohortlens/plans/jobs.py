@@ -195,11 +195,11 @@ def userbase_features(userbase: DataFrame, spend_keys: Sequence[str], started_ke
     return rs.one_hot(u, "marketing_channel", sm.distinct_values(u, "marketing_channel"), "channel_")
 
 
-def segment_users(userbase: DataFrame, spend_keys: Sequence[str], started_keys: Sequence[str],
-                  usa_canada: Sequence[str], ks: Sequence[int] = tuple(range(3, 13)), chosen_k: int | None = 8,
-                  seed: int = 123) -> dict:
-    """Shares, means, min-max scaling, PCA, k-means sweep (VIP excluded from the inputs), chosen k,
-    cluster profile (and its transpose)."""
+def segment_inputs(userbase: DataFrame, spend_keys: Sequence[str], started_keys: Sequence[str],
+                   usa_canada: Sequence[str]):
+    """Checkpointed wide user features and their min-max scaled clustering columns (VIP and the
+    redundant channel / club / revenue columns are not clustering inputs).
+    Returns (features, scaled, used columns, dropped constant columns, spend columns, start columns)."""
     u = cut_lineage(userbase_features(userbase, spend_keys, started_keys, usa_canada))
     hc = [f"hc_category_{k}" for k in spend_keys]
     comp = [f"competition_{k}" for k in started_keys]
@@ -207,11 +207,23 @@ def segment_users(userbase: DataFrame, spend_keys: Sequence[str], started_keys:
     cluster_cols = [c for c in cluster_cols if c in u.columns]
     scaled, dropped = sc.min_max_scale(u, cluster_cols, keep=["s", "vip"])
     used = [c for c in cluster_cols if c not in dropped]
+    return u, scaled, used, dropped, hc, comp
+
+
+PROFILE_EXTRA = ["tenure_days", "veteran", "vip", "ltv_7d", "avg_daily_sessions"]
+
+
+def segment_users(userbase: DataFrame, spend_keys: Sequence[str], started_keys: Sequence[str],
+                  usa_canada: Sequence[str], ks: Sequence[int] = tuple(range(3, 13)), chosen_k: int | None = 8,
+                  seed: int = 123) -> dict:
+    """Shares, means, min-max scaling, PCA, k-means sweep (VIP excluded from the inputs), chosen k,
+    cluster profile (and its transpose)."""
+    u, scaled, used, dropped, hc, comp = segment_inputs(userbase, spend_keys, started_keys, usa_canada)
     scores, contrib = seg.pca_profile(scaled, used, k=min(4, len(used)), key="s", color="vip")
     wss, models = seg.kmeans_sweep(scaled, used, ks, seed=seed)
     k = chosen_k or seg.elbow([(r["k"], r["wss"]) for r in wss.collect()])
     labelled = seg.assign_clusters(scaled.select("s", *used), used, models[k], "cluster").select("s", "cluster")
-    prof_cols = hc + comp + ["tenure_days", "veteran", "vip", "ltv_7d", "avg_daily_sessions"]
+    prof_cols = hc + comp + PROFILE_EXTRA
     profile = seg.cluster_profile(u.join(labelled, "s"), "cluster", prof_cols)
     return {"features": u, "shares": sm.share_of_total(u, "vip").unionByName(sm.share_of_total(u, "region")),
             "means": sm.column_means(u, hc + comp), "scaled": scaled, "dropped": dropped,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import hurdle as hd
 from ..operators import impact as imp
 from ..operators import linear as lin
+from ..operators import segments as seg
 from ..params import HurdleParams
 from ..session import cut_lineage
 from ..sources.testdata import load_world
@@ -79,29 +80,39 @@ def linear_cv(spark, sf_dir):
     return summary
 
 
-def _segments(spark, sf_dir, ks=tuple(range(3, 13))):
+def _segment_inputs(spark, sf_dir):
     w = load_world(spark, sf_dir)
-    return jobs.segment_users(w.userbase, SPEND_CATEGORIES, EVENT_TYPES, TEST_USA_CANADA, ks=ks, chosen_k=8)
+    return jobs.segment_inputs(w.userbase, SPEND_CATEGORIES, EVENT_TYPES, TEST_USA_CANADA)
 
 
 @query("pca_profile")
 def pca_profile(spark, sf_dir):
-    return _segments(spark, sf_dir, ks=(8,))["pca_contributions"]
+    _u, scaled, used, *_ = _segment_inputs(spark, sf_dir)
+    return seg.pca_profile(scaled, used, k=min(4, len(used)), key="s", color="vip")[1]
 
 
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf_dir):
-    return _segments(spark, sf_dir)["wss"]
+    _u, scaled, used, *_ = _segment_inputs(spark, sf_dir)
+    return seg.kmeans_sweep(scaled, used, tuple(range(3, 13)), seed=123)[0]
+
+
+def _clusters(spark, sf_dir, k=8):
+    u, scaled, used, _dropped, hc, comp = _segment_inputs(spark, sf_dir)
+    _wss, models = seg.kmeans_sweep(scaled, used, (k,), seed=123)
+    labels = seg.assign_clusters(scaled.select("s", *used), used, models[k], "cluster").select("s", "cluster")
+    return u, labels, hc, comp
 
 
 @query("assign_clusters")
 def assign_clusters(spark, sf_dir):
-    return _segments(spark, sf_dir, ks=(8,))["clusters"]
+    return _clusters(spark, sf_dir)[1]
 
 
 @query("kmeans_profile")
 def kmeans_profile(spark, sf_dir):
-    return _segments(spark, sf_dir, ks=(8,))["profile"]
+    u, labels, hc, comp = _clusters(spark, sf_dir)
+    return seg.cluster_profile(u.join(labels, "s"), "cluster", hc + comp + jobs.PROFILE_EXTRA)
 
 
 @query("hurdle_cv")

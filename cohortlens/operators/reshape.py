@@ -57,10 +57,14 @@ def _quote(sep: str) -> str:
     return re.escape(sep)
 
 
-def transpose(df: DataFrame, key: str, value_cols: Sequence[str], name: str = "variable") -> DataFrame:
+def transpose(df: DataFrame, key: str, value_cols: Sequence[str], name: str = "variable",
+              max_levels: int = 1_000) -> DataFrame:
     """R6 for small results: one row per value column, one column per key level.
-    (unpivot, then pivot on the key; the key levels are read from the small frame.)"""
-    levels = [r[0] for r in df.select(F.col(key).cast("string")).distinct().orderBy(key).collect()]
+    (unpivot, then pivot on the key; the key levels are read from the small frame, at most
+    ``max_levels`` of them, checked before collecting.)"""
+    from .summarise import distinct_values
+
+    levels = [str(v) for v in distinct_values(df, key, limit=max_levels)]
     long = df.select(F.col(key).cast("string").alias(key), *[F.col(c).cast("double").alias(c) for c in value_cols]) \
         .unpivot([key], list(value_cols), name, "value")
     return long.groupBy(name).pivot(key, levels).agg(F.first("value"))

@@ -22,7 +22,7 @@ from ..operators import scaling as sc
 from ..operators import segments as seg
 from ..operators import summarise as sm
 from ..params import CampaignParams, FeatureParams, HurdleParams
-from ..session import cut_lineage
+from ..session import cut_lineage, right_size
 from ..sources import registry, sinks
 
 # ---- revenue model (E1-E5) ------------------------------------------------------------------------
@@ -41,7 +41,7 @@ def revenue_model_frame(tables, p: FeatureParams, hp: HurdleParams) -> DataFrame
     # assignment checkpoints the frame once, so the features are computed a single time
     folds = smp.stratified_folds(mf, "s", ["split", "spender"], hp.folds,
                                  hash_col=smp.string_key_hash("s", hp.seed + 1))
-    return folds.withColumn("fold", F.when(F.col("split") == "test", F.lit(-1)).otherwise(F.col("fold")))
+    return right_size(folds.withColumn("fold", F.when(F.col("split") == "test", F.lit(-1)).otherwise(F.col("fold"))))
 
 
 def base_spec(p: FeatureParams, hp: HurdleParams) -> hd.HurdleSpec:
@@ -150,7 +150,7 @@ def player_value_report(players: DataFrame, spend: DataFrame, categories: Sequen
     """Summaries, charts' data, model comparison, CV, coefficients, effects, prediction curves."""
     spark = players.sparkSession
     df, shares = player_model_frame(players, spend, categories)
-    df = cut_lineage(prep.bin_players(df))
+    df = right_size(cut_lineage(prep.bin_players(df)))
     flags = ["united_states", "facebook_connected", "paid_source", "returner"]
     out = {
         "group_summary": sm.group_summary(df, flags),
@@ -206,6 +206,7 @@ def segment_inputs(userbase: DataFrame, spend_keys: Sequence[str], started_keys:
     cluster_cols = ["region_USA_Canada", "tenure_days", "avg_daily_sessions", "veteran", "ltv_7d"] + hc + comp
     cluster_cols = [c for c in cluster_cols if c in u.columns]
     scaled, dropped = sc.min_max_scale(u, cluster_cols, keep=["s", "vip"])
+    scaled = right_size(cut_lineage(scaled))
     used = [c for c in cluster_cols if c not in dropped]
     return u, scaled, used, dropped, hc, comp
 

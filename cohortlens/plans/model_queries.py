@@ -12,7 +12,7 @@ from ..operators import impact as imp
 from ..operators import linear as lin
 from ..operators import segments as seg
 from ..params import HurdleParams
-from ..session import cut_lineage
+from ..session import cut_lineage, right_size
 from ..sources.testdata import load_world
 from . import jobs
 from .queries import (C, COHORT_DATE, EVENT_TYPES, IMPACT_METRICS, SPEND_CATEGORIES, TEST_USA_CANADA, P,
@@ -29,7 +29,7 @@ def _players_frame(spark, sf_dir):
     """One row per player; checkpointed because every fit and its summary make several passes."""
     w = load_world(spark, sf_dir)
     df, shares = jobs.player_model_frame(w.players, w.spend, SPEND_CATEGORIES)
-    return cut_lineage(df), shares
+    return right_size(cut_lineage(df)), shares
 
 
 @query("linear_fit")

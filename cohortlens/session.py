@@ -99,3 +99,15 @@ def cut_lineage(df):
     """Reliable checkpoint into the shared checkpoint directory (never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def right_size(df, min_rows_per_partition: int = 50_000):
+    """Coalesce (no shuffle) a materialised frame to at most ``ceil(rows / min_rows_per_partition)``
+    partitions. Iterative ML runs several small jobs per iteration; on a small frame, many near-empty
+    partitions only add scheduling overhead. Never increases the partition count, so large inputs keep
+    the partitioning sized for the cluster. Costs one count (cheap on a checkpointed frame)."""
+    import math
+
+    current = df.rdd.getNumPartitions()
+    target = max(1, math.ceil(df.count() / min_rows_per_partition))
+    return df.coalesce(target) if target < current else df

@@ -37,11 +37,26 @@ def gram(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, int]:
     return g, int(round(g[0, 0]))
 
 
-def aliased_columns(df: DataFrame, cols: Sequence[str], tol: float = 1e-9) -> list[str]:
-    """Columns that are linear combinations of the intercept and earlier columns (input order)."""
-    g, _n = gram(df, cols)
+def gram_by_group(df: DataFrame, cols: Sequence[str], group: str) -> dict:
+    """Cross-product matrices of [1, cols] for every level of ``group`` in one grouped aggregate
+    (levels x p^2 numbers reach the driver)."""
+    cs = ["__one__"] + list(cols)
+    x = df.select(F.col(group), F.lit(1.0).alias("__one__"), *[F.col(c).cast("double").alias(c) for c in cols])
+    pairs = [(i, j) for i in range(len(cs)) for j in range(i, len(cs))]
+    rows = x.groupBy(group).agg(*[F.sum(F.col(cs[i]) * F.col(cs[j])).alias(f"g_{i}_{j}") for i, j in pairs]).collect()
+    out = {}
+    for r in rows:
+        g = np.zeros((len(cs), len(cs)))
+        for i, j in pairs:
+            g[i, j] = g[j, i] = r[f"g_{i}_{j}"] or 0.0
+        out[r[group]] = g
+    return out
+
+
+def aliased_from_gram(g: np.ndarray, cols: Sequence[str], tol: float = 1e-9) -> list[str]:
+    """Aliased columns from a cross-product matrix of [1, cols] (see ``aliased_columns``)."""
     keep = [0]
-    dropped = []
+    dropped: list[str] = []
     for j in range(1, len(cols) + 1):
         k = np.array(keep)
         gkk = g[np.ix_(k, k)]
@@ -54,6 +69,12 @@ def aliased_columns(df: DataFrame, cols: Sequence[str], tol: float = 1e-9) -> li
     return dropped
 
 
+def aliased_columns(df: DataFrame, cols: Sequence[str], tol: float = 1e-9) -> list[str]:
+    """Columns that are linear combinations of the intercept and earlier columns (input order)."""
+    g, _n = gram(df, cols)
+    return aliased_from_gram(g, cols, tol)
+
+
 @dataclass
 class LinearFit:
     label: str
@@ -61,7 +82,11 @@ class LinearFit:
     features: list[str]
     dropped: list[str]
     model: GeneralizedLinearRegressionModel
-    n: int
+
+    @property
+    def n(self) -> int:
+        """Rows used by the fit (from the training summary, computed on first use only)."""
+        return int(self.model.summary.numInstances)
 
     @property
     def response(self) -> str:
@@ -150,9 +175,7 @@ def fit_linear(df: DataFrame, features: Sequence[str], label: str, log_label: bo
     data = _assemble(df, feats, label, log_label)
     glr = GeneralizedLinearRegression(family="gaussian", link="identity", featuresCol="_x", labelCol="_y",
                                       solver="irls", maxIter=25)
-    model = glr.fit(data)
-    n = int(model.summary.numInstances)
-    return LinearFit(label, log_label, feats, dropped, model, n)
+    return LinearFit(label, log_label, feats, dropped, glr.fit(data))
 
 
 def fit_many(df: DataFrame, specs: Mapping[str, tuple], parallelism: int = 4) -> dict[str, LinearFit]:
@@ -190,10 +213,22 @@ def linear_cv(df: DataFrame, specs: Mapping[str, Sequence[str]], label: str, log
     spark = df.sparkSession
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
     tasks = [(name, f) for name in specs for f in range(k)]
+    # aliased columns of every training split from one grouped aggregate: train Gram = total - fold
+    union = list(dict.fromkeys(c for cols in specs.values() for c in cols))
+    by_fold = gram_by_group(data, union, fold_col)
+    total = sum(by_fold.values())
+
+    def train_features(name, f):
+        cols = list(specs[name])
+        idx = [0] + [union.index(c) + 1 for c in cols]
+        g = (total - by_fold.get(f, 0.0))[np.ix_(idx, idx)]
+        dropped = aliased_from_gram(g, cols)
+        return [c for c in cols if c not in dropped]
 
     def run(task):
         name, f = task
-        fit = fit_linear(data.where(F.col(fold_col) != f), list(specs[name]), label, log_label)
+        fit = fit_linear(data.where(F.col(fold_col) != f), train_features(name, f), label, log_label,
+                         drop_aliased=False)
         held = fit.predict(data.where(F.col(fold_col) == f), "_p", back_transform=False)
         y = F.log(F.col(label)) if log_label else F.col(label)
         r = held.agg(F.sqrt(F.avg((y - F.col("_p")) ** 2)).alias("rmse")).first()

@@ -270,3 +270,16 @@ def test_hurdle_beats_mean_on_holdout_sf01(spark):
     mean = train.agg(F.avg(spec.label)).first()[0]
     base = test.agg(F.sqrt(F.avg((F.col(spec.label) - F.lit(mean)) ** 2))).first()[0]
     assert hold.first()["rmse"] < 0.9 * base
+
+
+def test_gram_by_fold_matches_direct(spark):
+    df, *_ = _linear_data(spark, n=120)
+    df = df.withColumn("fold", (F.col("id") % 3).cast("int"))
+    cols = ["x1", "x2", "x1_twice", "const"]
+    by = lin.gram_by_group(df, cols, "fold")
+    total = sum(by.values())
+    for f in range(3):
+        want = lin.aliased_columns(df.where(F.col("fold") != f), cols)
+        assert lin.aliased_from_gram(total - by[f], cols) == want
+    per_fold, summary = lin.linear_cv(df, {"a": ["x1", "x2", "x1_twice"], "b": ["x1"]}, "y", True, 3)
+    assert per_fold.count() == 6 and {r["model"] for r in summary.collect()} == {"a", "b"}

@@ -51,6 +51,13 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 0, hash_col: Column |
         frac = min(1.0, frac * 1.5)
 
 
+def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 0, hash_col: Column | None = None) -> DataFrame:
+    """O3 (size may vary): each row kept when its key hash falls below ``fraction x 2^32``. A filter, no
+    shuffle; the same rows are kept on every run and after any repartitioning."""
+    h = hash_col if hash_col is not None else key_hash(key, seed)
+    return df.where(h < F.lit(int(fraction * HASH_MODULUS)))
+
+
 def train_test_split(df: DataFrame, key: str, fraction: float = 0.9, seed: int = 0, hash_col: Column | None = None,
                      name: str = "split") -> DataFrame:
     """``train`` when ``pmod(hash, 1000) < 1000 * fraction`` else ``test``."""

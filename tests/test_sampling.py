@@ -55,3 +55,13 @@ def test_stratified_folds_keep_null_strata(spark):
     per = out.groupBy("g", "fold").count().collect()
     nulls = [r["count"] for r in per if r["g"] is None]
     assert len(nulls) == 3 and sum(nulls) == 75 and max(nulls) - min(nulls) <= 1
+
+
+def test_sample_fraction(spark):
+    df = frame(spark, 20000)
+    a = smp.sample_fraction(df, 0.1, "k", seed=3)
+    n = a.count()
+    assert 1700 < n < 2300
+    b = smp.sample_fraction(df.repartition(7), 0.1, "k", seed=3)
+    assert sorted(r["k"] for r in a.collect()) == sorted(r["k"] for r in b.collect())
+    assert smp.sample_fraction(df, 0.2, "k", seed=3).join(a, "k").count() == n  # nested: 10 % inside 20 %

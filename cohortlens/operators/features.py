@@ -10,11 +10,12 @@ Plan shape (why it holds at 100 TB):
   derive from the age predicate; it reaches the parquet reader as a pushed filter.
 * First touch is an aggregate (``min_by`` over (time, id)) instead of ``row_number`` over a window:
   partial aggregation again protects against a hot ad id, and the tie-break is explicit (Q7).
-* The join of installs and activity is on the device id; the per-device aggregates reuse that
-  partitioning, and the final assembly joins four frames that are all hash-partitioned on ``s``.
-  Whether the installs side is broadcast is left to AQE, which checks its runtime size.
-* ``build_features`` stacks the three reduced activity streams and joins them to the installs base
-  once: one shuffle of the base, one join, one per-device aggregate for all metrics and horizons.
+* ``build_features`` stacks the three reduced activity streams and left-joins them to the installs
+  base once on the device id: one shuffle of the base, one join, and one per-device aggregate for all
+  metrics and horizons that reuses the join's partitioning. Whether the base is broadcast is left to
+  AQE, which checks its runtime size.
+* The single-metric functions (``sessions_by_horizon`` etc.) expose the same computations one table at
+  a time (registered as their own queries).
 """
 
 from __future__ import annotations

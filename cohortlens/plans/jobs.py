@@ -27,6 +27,9 @@ from ..sources import registry, sinks
 
 # ---- revenue model (E1-E5) ------------------------------------------------------------------------
 
+training_features = feat.training_features  # E1
+scoring_features = feat.scoring_features    # E2
+
 
 def revenue_model_frame(tables, p: FeatureParams, hp: HurdleParams) -> DataFrame:
     """E1 -> typed model frame -> optional fixed-size sample (O3) -> train/test label (O4) ->

@@ -12,7 +12,8 @@ from ..operators import impact as imp
 from ..operators import linear as lin
 from ..operators import segments as seg
 from ..params import HurdleParams
-from ..session import cut_lineage, right_size
+from ..session import cut_lineage, ensure_checkpoint_dir, right_size
+from ..sources import registry
 from ..sources.testdata import load_world
 from . import jobs
 from .queries import (C, COHORT_DATE, EVENT_TYPES, IMPACT_METRICS, SPEND_CATEGORIES, TEST_USA_CANADA, P,
@@ -127,6 +128,7 @@ def hurdle_cv(spark, sf_dir):
 
 
 def _final(spark, sf_dir):
+    """Fit with the final setting on the training split; hold-out metrics on the test split."""
     from dataclasses import replace
     w = load_world(spark, sf_dir)
     frame = jobs.revenue_model_frame(w, P, HP)
@@ -136,22 +138,53 @@ def _final(spark, sf_dir):
     return w, model, holdout
 
 
+def _registry(spark, sf_dir):
+    """Model registry under the shared checkpoint folder; the model name carries the data directory
+    and the final setting, so a model is only reused for the same data and parameters."""
+    import hashlib
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/registry"
+    key = hashlib.sha1(f"{sf_dir}|{P}|{HP}|{sorted(FINAL.items())}".encode()).hexdigest()[:12]
+    return root, f"{P.game}-{key}"
+
+
+def _latest_model(spark, sf_dir):
+    """As the daily scoring does: load the newest saved model, train and save one if there is none."""
+    root, name = _registry(spark, sf_dir)
+    w = load_world(spark, sf_dir)
+    if registry.list_models(spark, root, name).limit(1).count():
+        return w, registry.load_latest_model(spark, root, name, P.day_from, P.day_to)
+    w, model, _ = _final(spark, sf_dir)
+    registry.save_model(spark, model, root, name, P.day_from, P.day_to)
+    return w, model
+
+
 @query("hurdle_fit")
 def hurdle_fit(spark, sf_dir):
-    return _final(spark, sf_dir)[2]
+    """M7: trains, reports hold-out RMSE / MAE, and saves the model to the registry."""
+    w, model, holdout = _final(spark, sf_dir)
+    root, name = _registry(spark, sf_dir)
+    registry.save_model(spark, model, root, name, P.day_from, P.day_to)
+    return holdout
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    return _final(spark, sf_dir)[1].feature_importance(spark)
+    return _latest_model(spark, sf_dir)[1].feature_importance(spark)
 
 
 @query("score_cohort")
 def score_cohort(spark, sf_dir):
-    w, model, _ = _final(spark, sf_dir)
+    w, model = _latest_model(spark, sf_dir)
     return jobs.score_cohort(w, P, COHORT_DATE, model)
 
 
+@query("backfill_predictions")
+def backfill_predictions(spark, sf_dir):
+    """E5: cohorts of January 1995 scored in one job with the latest saved model."""
+    w, model = _latest_model(spark, sf_dir)
+    return jobs.backfill_predictions(w, P, dt.date(1995, 1, 1), dt.date(1995, 1, 31), {P.day_to: model})
+
+
 @query("impact_local_level")
 def impact_local_level(spark, sf_dir):
     return imp.impact_local_level(load_world(spark, sf_dir).daily, IMPACT_METRICS, C.impact)

@@ -34,7 +34,12 @@ def save_model(spark: SparkSession, model: HurdleModel, root: str, game: str, da
 
 
 def list_models(spark: SparkSession, root: str, game: str | None = None):
-    idx = spark.read.schema(INDEX_SCHEMA).parquet(_index(root))
+    try:
+        idx = spark.read.schema(INDEX_SCHEMA).parquet(_index(root))
+    except Exception as e:  # noqa: BLE001 - no index yet means no model yet
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], INDEX_SCHEMA)
+        raise
     return idx if game is None else idx.where(F.col("game") == game)
 
 

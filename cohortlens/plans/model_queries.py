@@ -141,9 +141,13 @@ def _final(spark, sf_dir):
 def _registry(spark, sf_dir):
     """Model registry under the shared checkpoint folder; the model name carries the data directory
     and the final setting, so a model is only reused for the same data and parameters."""
+    import dataclasses
     import hashlib
+
+    from .. import __version__
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/registry"
-    key = hashlib.sha1(f"{sf_dir}|{P}|{HP}|{sorted(FINAL.items())}".encode()).hexdigest()[:12]
+    spec_fields = [f.name for f in dataclasses.fields(hd.HurdleSpec)]
+    key = hashlib.sha1(f"{__version__}|{spec_fields}|{sf_dir}|{P}|{HP}|{sorted(FINAL.items())}".encode()).hexdigest()[:12]
     return root, f"{P.game}-{key}"
 
 
@@ -152,7 +156,10 @@ def _latest_model(spark, sf_dir):
     root, name = _registry(spark, sf_dir)
     w = load_world(spark, sf_dir)
     if registry.list_models(spark, root, name).limit(1).count():
-        return w, registry.load_latest_model(spark, root, name, P.day_from, P.day_to)
+        try:
+            return w, registry.load_latest_model(spark, root, name, P.day_from, P.day_to)
+        except Exception:  # noqa: BLE001 - an unreadable saved model is replaced by a fresh fit
+            pass
     w, model, _ = _final(spark, sf_dir)
     registry.save_model(spark, model, root, name, P.day_from, P.day_to)
     return w, model

@@ -195,10 +195,3 @@ def backfill_predictions(spark, sf_dir):
 @query("impact_local_level")
 def impact_local_level(spark, sf_dir):
     return imp.impact_local_level(load_world(spark, sf_dir).daily, IMPACT_METRICS, C.impact)
-
-
-@query("backfill_predictions")
-def backfill_predictions(spark, sf_dir):
-    """E5: cohorts of January 1995 x horizons 90 and 365 scored in one job."""
-    w, model, _ = _final(spark, sf_dir)
-    return jobs.backfill_predictions(w, P, dt.date(1995, 1, 1), dt.date(1995, 1, 31), {P.day_to: model})

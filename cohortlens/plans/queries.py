@@ -30,6 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 def query(name: str):
     def deco(fn):
+        if name in QUERIES:  # each module registers once per process; a second definition is a bug
+            raise ValueError(f"query {name!r} registered twice")
         QUERIES[name] = fn
         return fn
     return deco

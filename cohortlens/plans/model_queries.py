@@ -147,7 +147,8 @@ def _registry(spark, sf_dir):
     from .. import __version__
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/registry"
     spec_fields = [f.name for f in dataclasses.fields(hd.HurdleSpec)]
-    key = hashlib.sha1(f"{__version__}|{spec_fields}|{sf_dir}|{P}|{HP}|{sorted(FINAL.items())}".encode()).hexdigest()[:12]
+    spec = jobs.base_spec(P, HP)
+    key = hashlib.sha1(f"{__version__}|{spec_fields}|{spec}|{sf_dir}|{P}|{HP}|{sorted(FINAL.items())}".encode()).hexdigest()[:12]
     return root, f"{P.game}-{key}"
 
 

@@ -85,3 +85,24 @@ def test_train_score_publish_backfill(spark, tmp_dir):
     jobs.backfill(w, TEST_FEATURES, d, dt.date(1995, 1, 31), {365: model}, table, cols)
     days = {(r["month"], r["day"]) for r in spark.read.parquet(table).select("month", "day").distinct().collect()}
     assert len(days) == back.select("cohort_date").distinct().count()
+
+
+def test_query_registry_rejects_duplicates():
+    from cohortlens.plans.queries import query
+    with pytest.raises(ValueError):
+        query("training_features")(lambda spark, sf_dir: None)
+
+
+@pytest.mark.slow
+def test_scoring_queries_reuse_saved_model(spark):
+    import __spark_entry__ as entry
+    from cohortlens.plans import model_queries as mq
+    from cohortlens.sources import registry
+    q = entry.queries()
+    q["hurdle_fit"](spark, SF_SMALL).collect()
+    root, name = mq._registry(spark, SF_SMALL)
+    n_models = registry.list_models(spark, root, name).count()
+    assert n_models >= 1
+    assert q["score_cohort"](spark, SF_SMALL).count() >= 0
+    assert q["backfill_predictions"](spark, SF_SMALL).count() >= 0
+    assert registry.list_models(spark, root, name).count() == n_models  # loaded, not retrained and saved

@@ -47,7 +47,7 @@ def pca_profile(df: DataFrame, cols: Sequence[str], k: int = 4, key: str = "s",
 
 
 def kmeans_sweep(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = tuple(range(3, 13)), max_iter: int = 10,
-                 seed: int = 123, parallelism: int = 4) -> tuple[DataFrame, dict[int, KMeansModel]]:
+                 seed: int = 123, parallelism: int | None = None) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """M3: within-cluster sum of squares for each k. One distributed fit per k on the persisted feature
     vectors; the fits are independent, so they are submitted concurrently (the reference ran them
     serially for lack of memory). Returns (k, wss) rows and the fitted models."""
@@ -58,7 +58,8 @@ def kmeans_sweep(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = tuple(r
         return k, m
 
     try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        workers = parallelism or min(len(ks), 16)  # one fit per k at once by default
+        with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
             models = dict(pool.map(fit, ks))
     finally:
         x.unpersist()

@@ -207,7 +207,7 @@ def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def linear_cv(df: DataFrame, specs: Mapping[str, Sequence[str]], label: str, log_label: bool = True, k: int = 10,
-              fold_col: str = "fold", parallelism: int = 4) -> tuple[DataFrame, DataFrame]:
+              fold_col: str = "fold", parallelism: int = 8) -> tuple[DataFrame, DataFrame]:
     """K-fold RMSE of every specification (hash folds in ``fold_col``).
     Returns (per-fold rows: model, fold, rmse; summary: model, rmse = mean over folds)."""
     spark = df.sparkSession

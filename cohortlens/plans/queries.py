@@ -402,7 +402,10 @@ SCALE_COLS = ["veteran", "club_member", "ltv_7d", "tenure_days", "avg_daily_sess
 
 @query("min_max_scale")
 def min_max_scale(spark, sf_dir):
-    u = _userbase_wide(load_world(spark, sf_dir))
+    """M1 + A13: the user base is read twice (bounds, then scaling), so it is materialised once
+    (checkpoint in the shared folder) instead of being recomputed from the raw tables."""
+    from ..session import cut_lineage
+    u = cut_lineage(_userbase_wide(load_world(spark, sf_dir)))
     scaled, _dropped = sc.min_max_scale(u, SCALE_COLS, keep=["s"])
     return scaled
 

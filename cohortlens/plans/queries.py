@@ -373,8 +373,11 @@ def map_to_columns(spark, sf_dir):
 
 @query("one_hot")
 def one_hot(spark, sf_dir):
-    u = load_world(spark, sf_dir).userbase.select(
-        "s", prep.region_bucket("country", TEST_USA_CANADA).alias("region"), "marketing_channel")
+    """R7 + A19: the levels are read from the data first (bounded), then the columns are built; the
+    user base is materialised once for these three reads."""
+    from ..session import cut_lineage
+    u = cut_lineage(load_world(spark, sf_dir).userbase.select(
+        "s", prep.region_bucket("country", TEST_USA_CANADA).alias("region"), "marketing_channel"))
     regions = sm.distinct_values(u, "region")
     channels = sm.distinct_values(u, "marketing_channel")
     return rs.one_hot(rs.one_hot(u, "region", regions, "region_"), "marketing_channel", channels, "channel_")
@@ -426,7 +429,8 @@ def cluster_profile(spark, sf_dir):
 
 @query("transpose_profile")
 def transpose_profile(spark, sf_dir):
-    prof = cluster_profile(spark, sf_dir)
+    from ..session import cut_lineage
+    prof = cut_lineage(cluster_profile(spark, sf_dir))  # small; read for its levels and for the pivot
     return rs.transpose(prof, "cluster8", ["n"] + PROFILE_COLS)
 
 

@@ -25,6 +25,8 @@ LOCAL_CONF = {
     # zero-padded partition values must stay strings (yyyy / MM / dd)
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # delete reliable-checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

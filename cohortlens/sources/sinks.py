@@ -3,7 +3,9 @@
 Partition columns are zero-padded strings ``year=YYYY/month=MM/day=DD``; reads declare them as strings
 so the padding survives (SURVEY Q26). The upsert never overwrites a path it is reading: the merged
 partition is written to a staging folder under the shared checkpoint directory, then swapped in with
-dynamic partition overwrite, which replaces only the touched partition.
+dynamic partition overwrite, which replaces only the touched partition. Staging folders are left
+under ``<spark.checkpoint.dir>/staging`` for the shared folder's retention policy (Spark has no
+public API to delete paths); pass ``staging=`` to choose the location.
 """
 
 from __future__ import annotations

@@ -89,3 +89,14 @@ def test_partition_pruning_in_feature_build(partitioned):
         for ln in scans:
             pf = re.search(r"PartitionFilters: \[([^\]]*)\]", ln).group(1)
             assert "concat_ws" in pf, ln  # the date-range predicate prunes partitions
+
+
+def test_feature_aggregate_reuses_join_partitioning(warehouse):
+    """One join of the installs base and the stacked activity; the per-device aggregate above it needs
+    no further exchange."""
+    plan = feat.training_features(warehouse, TEST_FEATURES)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    join_at = next(i for i, ln in enumerate(lines) if "Join" in ln)  # the topmost join is the main one
+    above = "\n".join(lines[:join_at])
+    assert "HashAggregate" in above and "Exchange" not in above
+    assert plan.count("Union") == 1

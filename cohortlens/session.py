@@ -41,7 +41,8 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
       the input;
     * broadcast only below ``broadcast_bytes`` as measured by Spark (no forced hints in the jobs);
     * runtime bloom filters let the installs side prune activity scans;
-    * partition values stay strings (zero-padded dates), dynamic partition overwrite for upserts.
+    * partition values stay strings (zero-padded dates), dynamic partition overwrite for upserts;
+    * FAIR scheduling, so concurrently submitted fits share the executors instead of queueing.
     """
     n = max(2 * total_cores, min(max_shuffle_partitions, -(-input_bytes // target_partition_bytes)))
     conf = dict(LOCAL_CONF)
@@ -56,6 +57,8 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        # the jobs submit independent fits concurrently (CV, k sweep); share executors between them
+        "spark.scheduler.mode": "FAIR",
     })
     return conf
 

@@ -100,3 +100,21 @@ def test_feature_aggregate_reuses_join_partitioning(warehouse):
     above = "\n".join(lines[:join_at])
     assert "HashAggregate" in above and "Exchange" not in above
     assert plan.count("Union") == 1
+
+
+def test_scoring_plan_has_no_python(spark):
+    """E2 features -> model frame -> hurdle model -> rule: all JVM (tree evaluation and rule expressions)."""
+    import datetime as dt
+    from cohortlens.operators.hurdle import HurdleRegressor
+    from cohortlens.params import HurdleParams
+    from cohortlens.plans import jobs
+    w = load_world(spark, SF_SMALL)
+    mf = feat.model_frame(feat.training_features(w, TEST_FEATURES), TEST_FEATURES)
+    spec = jobs.base_spec(TEST_FEATURES, HurdleParams())
+    spec.nrounds, spec.max_depth = 2, 2
+    model = HurdleRegressor(spec).fit(mf)
+    scored = jobs.score_cohort(w, TEST_FEATURES, dt.date(1995, 1, 1), model)
+    plan = _plan(scored)
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
+        assert node not in plan
+    assert scored.columns == ["s", "day_90_day_365"]

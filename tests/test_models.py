@@ -283,3 +283,11 @@ def test_gram_by_fold_matches_direct(spark):
         assert lin.aliased_from_gram(total - by[f], cols) == want
     per_fold, summary = lin.linear_cv(df, {"a": ["x1", "x2", "x1_twice"], "b": ["x1"]}, "y", True, 3)
     assert per_fold.count() == 6 and {r["model"] for r in summary.collect()} == {"a", "b"}
+
+
+def test_m0_assemble_rejects_nulls(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 1.0)], "a double, b double")
+    out = seg.assemble(df, ["a", "b"])
+    with pytest.raises(Exception):
+        out.collect()
+    assert seg.assemble(df.fillna(0.0), ["a", "b"]).count() == 2

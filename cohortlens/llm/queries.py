@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import packing, quality_rules
+from cohortlens.llm import kneser_ney, packing, quality_rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -30,3 +30,17 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1")
+    return kneser_ney.classify(_table(spark, sf_dir, "documents"), trusted)
+
+
+@_query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out("doc_id")))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted", "clauses")

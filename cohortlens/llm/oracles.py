@@ -69,3 +69,49 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        max_symbols_permille, max_dup_lines_permille, max_repeat_permille, max_word_len_tenths
 FROM m JOIN x ON m.lang IS NOT DISTINCT FROM x.lang AND m.source IS NOT DISTINCT FROM x.source
 """
+
+ORACLES["op2_warc_index"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, split_part(coalesce(url, ''), '#', 1) AS u FROM pages
+), r AS (
+  SELECT *, CASE WHEN contains(u, '://') THEN substr(u, strpos(u, '://') + 3) ELSE u END AS rest FROM p
+), s AS (
+  SELECT *, split_part(rest, '/', 1) AS host, substr(rest, length(split_part(rest, '/', 1)) + 1) AS path FROM r
+), n AS (
+  SELECT *, lower(list_last(string_split(host, '@'))) AS hp FROM s
+), l AS (
+  SELECT *, string_split(split_part(hp, ':', 1), '.') AS labels,
+         CASE WHEN contains(hp, ':') THEN substr(hp, strpos(hp, ':') + 1) ELSE '' END AS port FROM n
+), k AS (
+  SELECT page_id, h, sha1(h) AS hex,
+         array_to_string(list_reverse(CASE WHEN len(labels) > 1 AND labels[1] = 'www' THEN labels[2:] ELSE labels END), ',')
+         || CASE WHEN port IN ('', '80', '443') THEN '' ELSE ':' || port END || ')'
+         || CASE WHEN path = '' THEN '/' ELSE path END AS url_key,
+         strftime(make_timestamp((1700000000 + page_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS captured FROM l
+), b AS (
+  SELECT *, array_to_string(list_transform(string_split(hex, ''), lambda c: lpad(bin(CAST('0x' || c AS INT)), 4, '0')), '') AS bits,
+         min(page_id) OVER (PARTITION BY hex) AS first_id FROM k
+)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + list_sum(list_transform(range(0, 5), lambda j: CAST(substr(bits, CAST(5 * i + j + 1 AS INT), 1) AS INT) << CAST(4 - j AS INT)))::INT, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to, url_key, captured,
+       row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS index_pos
+FROM b
+"""
+
+ORACLES["op4_bit_sliced"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda t: coalesce(t[1], 0) * coalesce(t[2], 0))), 0) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""

@@ -110,14 +110,13 @@ def fences(sketch: DataFrame, width: int, min_rows: int) -> DataFrame:
                                        *[F.max(F.when(F.col("metric") == m, F.col("fence"))).alias(m) for m in SLACK])
 
     own, lang = quartiles(sketch, ["lang", "source"]), quartiles(sketch, ["lang"])
-    every = quartiles(sketch.withColumn("whole", F.lit(1)), ["whole"])
-    own = own.withColumn("whole", F.lit(1))
-    o, g, e = own.alias("o"), lang.alias("g"), every.alias("e")
-    joined = o.join(g, F.col("o.lang").eqNullSafe(F.col("g.lang")), "left").join(e, F.col("o.whole") == F.col("e.whole"), "left")
+    every = quartiles(sketch.withColumn("whole", F.lit(1)), ["whole"]).first()  # one row of a few numbers
+    o, g = own.alias("o"), lang.alias("g")
+    joined = o.join(g, F.col("o.lang").eqNullSafe(F.col("g.lang")), "left")
 
     def pick(m: str) -> Column:
         return (F.when(F.col("o.rows") >= min_rows, F.col(f"o.{m}"))
-                .when(F.col("g.rows") >= min_rows, F.col(f"g.{m}")).otherwise(F.col(f"e.{m}")))
+                .when(F.col("g.rows") >= min_rows, F.col(f"g.{m}")).otherwise(F.lit(every[m] if every else None).cast("long")))
     return joined.select("o.lang", "o.source", *[pick(m).alias(f"max_{m}") for m in SLACK])
 
 
@@ -125,7 +124,7 @@ def adaptive_rules(docs: DataFrame, width: int = 6, min_rows: int = 100, min_wor
                    repeat_percent: int = 30) -> DataFrame:
     """doc_id, counts, base_failed, kept, and the metrics with their fences, for all documents."""
     counts = cut_lineage(text_counts(docs))  # read twice: sketches, then the joined filter
-    limits = fences(sketches(counts), width, min_rows)
+    limits = fences(cut_lineage(sketches(counts)), width, min_rows)
     c, f = counts.withColumns(_metrics()).alias("c"), limits.alias("f")
     joined = c.join(f, F.col("c.lang").eqNullSafe(F.col("f.lang")) & F.col("c.source").eqNullSafe(F.col("f.source")), "left")
     within = F.lit(True)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortlens.llm import kneser_ney, packing, quality_rules, toxicity
+from cohortlens.llm import bit_sliced, kneser_ney, packing, quality_rules, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -44,3 +45,22 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, labels.where(~toxicity.held_out("doc_id")))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted", "clauses")
+
+
+@_query
+def op1_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign_shards(_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_and_index(_table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured",
+                        "index_pos")
+
+
+@_query
+def op4_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

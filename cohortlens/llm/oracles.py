@@ -115,3 +115,29 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+ORACLES["op8_tensored_minhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), g AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
+                             WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                             ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END) AS s
+  FROM w
+), n AS (
+  SELECT w.doc_id, CAST(count(s) AS BIGINT) AS n_shingles FROM w LEFT JOIN g ON w.doc_id = g.doc_id GROUP BY w.doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM g x JOIN g y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * shared >= 75 * (na.n_shingles + nb.n_shingles - shared)
+), d AS (
+  SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+), r AS (
+  SELECT doc_id AS v, doc_id AS reached FROM n UNION SELECT r.v, d.b FROM r JOIN d ON r.reached = d.a
+), c AS (
+  SELECT v, min(reached) AS component_id FROM r GROUP BY v
+)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c ON n.doc_id = c.v
+"""

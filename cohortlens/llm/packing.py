@@ -143,7 +143,7 @@ def _merge(size: int):
 
 
 def pack(docs: DataFrame, vocabulary: str, size: int = 4096, open_windows: int = 64, separator: int = 2,
-         merge_tasks: int = 128, with_ids: bool = False) -> DataFrame:
+         merge_tasks: int = 16, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids)."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     placed = cut_lineage(rows.mapInArrow(_pack_task(vocabulary, size, open_windows, separator, with_ids),

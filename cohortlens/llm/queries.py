@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bit_sliced, kneser_ney, packing, quality_rules, sharding, toxicity, warc
+from cohortlens.llm import bit_sliced, kneser_ney, packing, quality_rules, sharding, tensored_minhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -64,3 +64,8 @@ def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_sliced.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@_query
+def op8_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tensored_minhash.near_duplicates(_table(spark, sf_dir, "documents"))

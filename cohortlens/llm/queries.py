@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bit_sliced, kneser_ney, packing, quality_rules, sharding, suffix_dedup, tensored_minhash, toxicity, warc
+from cohortlens.llm import bit_sliced, kneser_ney, packing, piece_transducer, quality_rules, sharding, suffix_dedup, tensored_minhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -74,3 +74,10 @@ def op8_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
+
+
+@_query
+def op3_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return piece_transducer.encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-_LETTERS, _OTHERS = r"[^\W\d_]", f"(?:[^\\w{SPACE}\\n]|[\\d_])"
+_NUMERIC = "²³¹¼½¾"  # word characters that are neither letters nor digits
+_LETTERS, _OTHERS = f"[^\\W\\d_{_NUMERIC}]", f"(?:[^\\w{SPACE}\\n]|[\\d_{_NUMERIC}])"
 _STRETCH = re.compile(f"{SPACE}*{_OTHERS}*{_LETTERS}+|{SPACE}*{_OTHERS}+|{SPACE}+|\n")
 _WHOLE = re.compile(f"{SPACE}*{_OTHERS}*{_LETTERS}*")
 

@@ -31,6 +31,8 @@ from cohortlens.session import cut_lineage
 ORDER, BITS = 4, 6
 TYPES = 1 << (ORDER * BITS)
 _REPEAT = 35
+#: Working columns; named so that no column of a documents table clashes.
+N_SYMBOLS, BITS_EACH, TOP, LANG = "__kn_symbols", "__kn_bits", "__kn_top", "__kn_lang"
 
 
 def _alphabet() -> np.ndarray:
@@ -126,19 +128,19 @@ def probabilities(counts: DataFrame, types: DataFrame) -> DataFrame:
     return lower
 
 
-def _scores_task(model: Broadcast):
+def _scores_task(model: Broadcast, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.zeros(TYPES, np.float32)
         dense[model.value[0]] = model.value[1]
         for batch in batches:
-            kept = [c for c in batch.schema.names if c != "text"]
+            kept = [c for c in batch.schema.names if with_text or c != "text"]
             for lo, hi, data, offs in T.slices(batch.column("text")):
                 total = np.concatenate([[0.0], np.cumsum(dense[grams(data, offs)], dtype=np.float64)])
                 n = np.diff(offs)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(lo, hi - lo) for c in kept]
                     + [pa.array(n), pa.array((total[offs[1:]] - total[offs[:-1]]) / np.maximum(n, 1), mask=n == 0)],
-                    names=[*kept, "n_symbols", "bits"])
+                    names=[*kept, N_SYMBOLS, BITS_EACH])
     return run
 
 
@@ -151,27 +153,48 @@ def train(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return probabilities(cut_lineage(counts), cut_lineage(types))
 
 
-def score(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """doc_id, lang, n_symbols and bits (mean bits per symbol) of every document; one pass, no shuffle."""
+def score(docs: DataFrame, model: DataFrame, with_text: bool = False) -> DataFrame:
+    """The rows of ``docs`` (texts only if asked for) with their number of symbols and mean bits per symbol; one
+    pass, no shuffle."""
     table = model.toPandas()  # at most 2**24 rows, see the module text
     sent = docs.sparkSession.sparkContext.broadcast(
         (table["k"].to_numpy(np.int32), (-np.log2(table["p"].to_numpy(np.float64))).astype(np.float32)))
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    return rows.mapInArrow(_scores_task(sent), "doc_id long, lang string, n_symbols long, bits double")
+    kept = [f for f in docs.schema if with_text or f.name != "text"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    return docs.mapInArrow(_scores_task(sent, with_text), f"{schema}, {N_SYMBOLS} long, {BITS_EACH} double")
 
 
-def classify(docs: DataFrame, trusted: DataFrame, quantile: float = 0.99, spread: float = 15.0, min_trusted: int = 30,
-             accuracy: int = 10_000) -> DataFrame:
-    """doc_id, lang, n_symbols, perplexity, threshold (both per symbol), kept; one row per document."""
-    scores = cut_lineage(score(docs, train(docs, trusted)))
-    marked = (scores.where("n_symbols > 0")
+def limits(scores: DataFrame, trusted: DataFrame, quantile: float = 0.99, min_trusted: int = 30,
+           accuracy: int = 10_000) -> tuple[DataFrame, float]:
+    """((language, top), top of all): the quantile of the trusted documents' bits per symbol."""
+    marked = (scores.where(F.col(N_SYMBOLS) > 0).select("doc_id", "lang", BITS_EACH)
               .join(trusted.select(F.col("doc_id").cast("long")).distinct(), "doc_id", "left_semi"))
-    sketch = [F.percentile_approx("bits", quantile, accuracy).alias("top"), F.count("*").alias("n")]
-    own = marked.groupBy("lang").agg(*sketch).where(F.col("n") >= min_trusted).select(F.col("lang").alias("l"), "top")
-    every = marked.agg(*sketch).first()["top"]  # one number
-    top = F.coalesce(F.col("top"), F.lit(every).cast("double"), F.lit(float("inf")))
-    limit = top + F.lit(spread) / F.sqrt(F.greatest(F.col("n_symbols"), F.lit(1)))
-    return (scores.join(own, F.col("lang").eqNullSafe(F.col("l")), "left")
-            .select("doc_id", "lang", "n_symbols", F.pow(F.lit(2.0), "bits").alias("perplexity"),
-                    F.pow(F.lit(2.0), limit).alias("threshold"),
-                    F.coalesce(F.col("bits") <= limit, F.lit(False)).alias("kept")))
+    sketch = [F.percentile_approx(BITS_EACH, quantile, accuracy).alias(TOP), F.count("*").alias("n")]
+    own = marked.groupBy("lang").agg(*sketch).where(F.col("n") >= min_trusted).select(F.col("lang").alias(LANG), TOP)
+    every = marked.agg(*sketch).first()[TOP]  # one number
+    return cut_lineage(own), float("inf") if every is None else every
+
+
+def _judged(scores: DataFrame, own: DataFrame, every: float, spread: float) -> tuple[DataFrame, Column]:
+    limit = F.coalesce(F.col(TOP), F.lit(every)) + F.lit(spread) / F.sqrt(F.greatest(F.col(N_SYMBOLS), F.lit(1)))
+    return scores.join(own, scores["lang"].eqNullSafe(own[LANG]), "left"), limit
+
+
+def classify(docs: DataFrame, trusted: DataFrame, spread: float = 15.0) -> DataFrame:
+    """doc_id, lang, n_symbols, perplexity, threshold (both per symbol), kept; one row per document."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
+    scores = cut_lineage(score(rows, train(rows, trusted)))
+    joined, limit = _judged(scores, *limits(scores, trusted), spread)
+    return joined.select("doc_id", "lang", F.col(N_SYMBOLS).alias("n_symbols"), F.pow(F.lit(2.0), BITS_EACH).alias("perplexity"),
+                         F.pow(F.lit(2.0), limit).alias("threshold"),
+                         F.coalesce(F.col(BITS_EACH) <= limit, F.lit(False)).alias("kept"))
+
+
+def keep_good(docs: DataFrame, trusted: DataFrame, spread: float = 15.0) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` keeps. Texts are scored again on the way out instead of being shuffled
+    to their verdicts."""
+    model = train(docs, trusted)
+    slim = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
+    found = limits(cut_lineage(score(slim, model)), trusted)
+    joined, limit = _judged(score(docs, model, with_text=True), *found, spread)
+    return joined.where(F.col(BITS_EACH) <= limit).select(*[f"`{c}`" for c in docs.columns])

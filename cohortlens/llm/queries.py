@@ -73,7 +73,7 @@ def op8_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
+    return suffix_dedup.removal_digest(_table(spark, sf_dir, "documents"))
 
 
 @_query

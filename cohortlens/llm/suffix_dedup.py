@@ -17,7 +17,7 @@ document). The suffixes that can decide this are found first, so that only they
 4. Spans are joined to the documents and cut out.
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``length`` keep all; repeated rows of one id
-count as one place and are all cut alike; an empty table gives no rows; other columns are ignored by the query.
+count as one place and are all cut alike; an empty table gives no rows; other columns are passed through.
 """
 
 from __future__ import annotations
@@ -312,30 +312,43 @@ def cut_out(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
     return b"".join(kept), runs
 
 
+#: Working column; named so that no column of a documents table clashes.
+SPANS = "__lpf_spans"
+
+
 def _cut_task(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept_names = [c for c in batch.schema.names if c not in ("text", "spans")]
             rows = []
-            for z, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            for z, spans in zip(batch.column("text").to_pylist(), batch.column(SPANS).to_pylist(), strict=True):
                 text = _open_text(z)
                 left, runs = cut_out(text, [(s["lo"], min(s["hi"], len(text))) for s in spans or [] if s["lo"] < len(text)])
-                shown = None if z is None else left.decode(errors="ignore")
-                rows.append((len(text), len(text) - len(left), runs, hashlib.sha256(left).hexdigest(), *([shown] if with_text else [])))
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["text"] if with_text else [])]
+                if with_text:
+                    rows.append((None if z is None else left.decode(errors="ignore"),))
+                else:
+                    rows.append((len(text), len(text) - len(left), runs, hashlib.sha256(left).hexdigest()))
+            names = ["text"] if with_text else ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+            types = [pa.string()] if with_text else [pa.int64()] * 3 + [pa.string()]
             cols = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-            types = [pa.int64()] * 3 + [pa.string()] * 2
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept_names] + [pa.array(c, t) for c, t in zip(cols, types, strict=False)],
-                                             names=[*kept_names, *names])
+            kept = [c for c in batch.schema.names if c not in ("text", SPANS)]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [pa.array(c, t) for c, t in zip(cols, types, strict=True)],
+                                             names=[*kept, *names])
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, with_text: bool = False) -> DataFrame:
-    """Every row of ``docs`` without its text, with n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the
-    kept text (a character that a cut halves is dropped)."""
-    spans = repeated_spans(docs, length)
-    joined = compressed(docs).join(spans.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
-    kept = [f for f in joined.schema if f.name not in ("text", "spans")]
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept],
-                        "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", text string" if with_text else "")])
-    return joined.mapInArrow(_cut_task(with_text), schema)
+def _cut(docs: DataFrame, length: int, with_text: bool) -> DataFrame:
+    spans = repeated_spans(docs, length).withColumnsRenamed({"doc": "doc_id", "spans": SPANS})
+    joined = compressed(docs).join(spans, "doc_id", "left")
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("text", SPANS)]
+    out = "text string" if with_text else "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return joined.mapInArrow(_cut_task(with_text), ", ".join([*kept, out]))
+
+
+def removal_digest(docs: DataFrame, length: int = 100) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256 of every row."""
+    return _cut(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), length, False)
+
+
+def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
+    """The rows of ``docs``, all columns, with what is left of their texts (a character that a cut halves is dropped)."""
+    return _cut(docs, length, True).select(*[f"`{c}`" for c in docs.columns])

@@ -36,6 +36,9 @@ THREATS = "kill murder hurt destroy stab shoot strangle umbringen töten erschla
 KINDS = {"plain": 1.0, "targeted": 1.25, "negated": 0.4, "reported": 0.6}
 THREAT_WEIGHT = 2.0
 
+#: Working columns; named so that no column of a documents table clashes.
+CLAUSES, N_WORDS = "__tox_clauses", "__tox_words"
+
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _CLAUSE_END = re.compile(r"[.!?;:\n]")
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -180,15 +183,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, rounds: int
     return b
 
 
-def _clauses_task(stems: dict[str, float]):
+def _clauses_task(stems: dict[str, float], with_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(stems)
         for batch in batches:
-            kept = [c for c in batch.schema.names if c != "text"]
+            kept = [c for c in batch.schema.names if with_text or c != "text"]
             got = [scorer.score(t.as_py() or "") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept] + [pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.int64())],
-                names=[*kept, "clauses", "n_words"])
+                names=[*kept, CLAUSES, N_WORDS])
     return run
 
 
@@ -208,21 +211,33 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, least_
     n0, n1 = whole["d0"], whole["d1"]
     rows = sums.where((F.col("stem") != "") & (F.col("d1") >= max(3, least_share * n1))).collect()  # at most max_labelled / 3 words each
     stems = choose_stems(rows, n0, n1, max(whole["c0"], 1), max(whole["c1"], 1))
-    fit = sample.mapInArrow(_clauses_task(stems), "toxic int, clauses double, n_words long").toPandas()
-    x = _inputs(fit["clauses"].to_numpy(), fit["n_words"].to_numpy())
+    fit = sample.mapInArrow(_clauses_task(stems), f"toxic int, {CLAUSES} double, {N_WORDS} long").toPandas()
+    x = _inputs(fit[CLAUSES].to_numpy(), fit[N_WORDS].to_numpy())
     return stems, fit_logistic(x, fit["toxic"].to_numpy(float))
 
 
+def _scored(docs: DataFrame, model, with_text: bool) -> tuple[DataFrame, Column]:
+    stems, b = model if model else ({}, None)
+    kept = [f for f in docs.schema if with_text or f.name != "text"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    got = docs.mapInArrow(_clauses_task(stems, with_text), f"{schema}, {CLAUSES} double, {N_WORDS} long")
+    if b is None:
+        return got, F.lit(0.0)
+    c, n, b = F.col(CLAUSES), F.col(N_WORDS), [F.lit(float(v)) for v in b]
+    return got, 1 / (1 + F.exp(-(b[0] + b[1] * F.log1p(c) + b[2] * 10 * c / (n + 20) + b[3] * F.log1p(n.cast("double")) / 5)))
+
+
 def score(docs: DataFrame, model, cut: float = 0.7) -> DataFrame:
     """doc_id, score, predicted, clauses (sum of clause weights) of every whole text; one pass, no shuffle."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    stems, b = model if model else ({}, np.array([-np.inf, 0, 0, 0]))
-    got = rows.mapInArrow(_clauses_task(stems), "doc_id long, clauses double, n_words long")
-    c, n = F.col("clauses"), F.col("n_words")
-    line = (F.lit(float(b[0])) + F.lit(float(b[1])) * F.log1p(c) + F.lit(float(b[2])) * 10 * c / (n + 20)
-            + F.lit(float(b[3])) * F.log1p(n.cast("double")) / 5)
-    return got.withColumn("score", 1 / (1 + F.exp(-line))).select(
-        "doc_id", "score", (F.col("score") >= cut).cast("int").alias("predicted"), "clauses")
+    got, p = _scored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), model, False)
+    return got.select("doc_id", p.alias("score"), F.col(CLAUSES).alias("clauses")).withColumn(
+        "predicted", (F.col("score") >= cut).cast("int"))
+
+
+def keep_clean(docs: DataFrame, model, cut: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that ``score`` does not predict toxic; one pass, no shuffle."""
+    got, p = _scored(docs, model, True)
+    return got.where(p < cut).select(*[f"`{c}`" for c in docs.columns])
 
 
 def held_out(doc_id: str) -> Column:

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 
@@ -27,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.session import cut_lineage, ensure_checkpoint_dir
+from cohortlens.llm.shared import scratch
+from cohortlens.session import cut_lineage
 
 END = "\r\n\r\n"
 CAPTURE = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, "
@@ -199,11 +199,6 @@ def capture_time(page_id: str = "page_id") -> Column:
     return F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.col(page_id)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared folder of the session."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def archive_and_index(pages: DataFrame) -> DataFrame:
     """Write one record per page (page_id, url, html), read the archives back, return the ordered index."""
     spark = pages.sparkSession

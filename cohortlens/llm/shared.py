@@ -1,10 +1,13 @@
-"""Shared storage of the session."""
+"""Shared storage of the session, and texts on their way through joins."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.session import ensure_checkpoint_dir
 
@@ -12,3 +15,36 @@ from cohortlens.session import ensure_checkpoint_dir
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder in the shared folder that the session names in spark.checkpoint.dir."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _compress_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        z = pa.array([None if t is None else pack.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([z if c == "text" else batch.column(c) for c in batch.schema.names], names=batch.schema.names)
+
+
+def compressed(docs: DataFrame) -> DataFrame:
+    """The rows with their texts compressed, as they travel through joins on doc_id."""
+    fields = [f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema]
+    return docs.mapInArrow(_compress_task, ", ".join(fields))
+
+
+def open_text(z: bytes | None) -> bytes:
+    """The UTF-8 bytes of a compressed text; none for null."""
+    return b"" if z is None else zstandard.ZstdDecompressor().decompress(z)
+
+
+def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with the texts as plain bytes again, a bounded number of rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            text = pa.array([open_text(z) for z in part.column("text").to_pylist()], pa.large_binary())
+            yield pa.RecordBatch.from_arrays([text if c == "text" else part.column(c) for c in part.schema.names], names=part.schema.names)
+
+
+def of_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of (doc_id, text) whose doc_id is among ``ids`` (doc_id), texts compressed. Always a sort-merge join,
+    so that the plan, and what it moves, is the same at every size."""
+    return compressed(texts).join(ids.hint("merge"), "doc_id", "left_semi")

@@ -27,11 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import textkit as T
+from cohortlens.llm.shared import compressed, open_text
 from cohortlens.session import cut_lineage
 
 GRAM = 32
@@ -168,30 +168,13 @@ def _meet_task(length: int):
     return run
 
 
-def _compress_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        z = pa.array([None if t is None else pack.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([z if c == "text" else batch.column(c) for c in batch.schema.names], names=batch.schema.names)
-
-
-def compressed(docs: DataFrame) -> DataFrame:
-    """The rows with their texts compressed, as they travel through the joins on doc_id."""
-    fields = [f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema]
-    return docs.mapInArrow(_compress_task, ", ".join(fields))
-
-
-def _open_text(z) -> bytes:
-    return b"" if z is None else zstandard.ZstdDecompressor().decompress(z)
-
-
 def _blocks_task(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, z, parts in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(),
                                      batch.column("parts").to_pylist(), strict=True):
-                text = _open_text(z)
+                text = open_text(z)
                 rows += [(p["key"], doc, p["lo"], text[p["lo"]:p["hi"] + length - 1]) for p in parts if p["hi"] + length - 1 <= len(text)]
             cols = list(zip(*rows, strict=True)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols[:3]] + [pa.array(cols[3], pa.binary())],
@@ -289,7 +272,7 @@ def repeated_spans(texts: DataFrame, length: int = 100, chunk: int = 20_000) ->
                         .mapInArrow(_meet_task(length), _MARK))
     parts = (marks.where("key is not null").groupBy("doc").agg(F.collect_list(F.struct("key", "lo", "hi")).alias("parts"))
              .withColumnRenamed("doc", "doc_id"))  # at most a row per anchor of the document
-    blocks = compressed(rows).join(parts, "doc_id").select("doc_id", "text", "parts").mapInArrow(
+    blocks = compressed(rows).join(parts.hint("merge"), "doc_id").select("doc_id", "text", "parts").mapInArrow(
         _blocks_task(length), "key long, doc long, lo long, block binary")
     found = cut_lineage(blocks.repartition("key").sortWithinPartitions("key", "doc", "lo").mapInArrow(_factor_task(length, chunk), _FOUND))
     wide = found.where("w1 is not null")
@@ -321,7 +304,7 @@ def _cut_task(with_text: bool):
         for batch in batches:
             rows = []
             for z, spans in zip(batch.column("text").to_pylist(), batch.column(SPANS).to_pylist(), strict=True):
-                text = _open_text(z)
+                text = open_text(z)
                 left, runs = cut_out(text, [(s["lo"], min(s["hi"], len(text))) for s in spans or [] if s["lo"] < len(text)])
                 if with_text:
                     rows.append((None if z is None else left.decode(errors="ignore"),))
@@ -338,7 +321,7 @@ def _cut_task(with_text: bool):
 
 def _cut(docs: DataFrame, length: int, with_text: bool) -> DataFrame:
     spans = repeated_spans(docs, length).withColumnsRenamed({"doc": "doc_id", "spans": SPANS})
-    joined = compressed(docs).join(spans, "doc_id", "left")
+    joined = compressed(docs).join(spans.hint("merge"), "doc_id", "left")
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("text", SPANS)]
     out = "text string" if with_text else "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return joined.mapInArrow(_cut_task(with_text), ", ".join([*kept, out]))

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import textkit as T
 from cohortlens.llm.components import connected
+from cohortlens.llm.shared import of_ids, opened
 from cohortlens.session import cut_lineage
 
 _RNG = np.random.default_rng(7)
@@ -86,7 +87,7 @@ def _sketch(width: int, size: int):
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in opened(batches):
             for lo, hi, data, offs in T.slices(batch.column("text")):
                 rows, keys = shingle_sets(data, offs, width)
                 cut = np.searchsorted(rows, np.arange(hi - lo + 1))
@@ -244,7 +245,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int =
     shared = buckets.where("leader <> rep").groupBy("rep", "leader").agg(F.count("*").alias("tables"))
     best = shared.groupBy("rep").agg(F.max(F.struct("tables", "leader")).alias("x")).select(F.col("x.leader").alias("a"), F.col("rep").alias("b"))
     ids = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    sets = cut_lineage(texts.join(ids, "doc_id", "left_semi").mapInArrow(_sets(width), "id long, items binary").dropDuplicates(["id"]))
+    sets = cut_lineage(of_ids(texts, ids).mapInArrow(_sets(width), "id long, items binary").dropDuplicates(["id"]))
     links = cut_lineage(verify(best, sets, percent))
     comps = cut_lineage(connected(links))
 

@@ -4,7 +4,8 @@ Documents with equal texts are one group and stay in one shard; only a group of
 share is split, by document id. Every group is a vector (bytes, tokens, rows) in units of the shard capacities and
 goes to the shard whose residual capacity has the highest dot product with it, large groups first.
 
-Groups with more than 1 / (shards * heavy_parts) of any total are at most 3 * shards * heavy_parts, so they are
+Groups with more than 1 / (shards * heavy_parts) of any total, and the parts of split ones, are a few times
+shards * heavy_parts at most, so they are
 packed on the driver. The rest is dealt by text digest into cells of about ``cell_rows`` rows; each cell packs its
 groups into its share of what the large ones left, so all cells work at the same time and their sums fit. Slots
 are ranks inside a cell plus the cell's offset in its shard, so no task ever orders a whole shard.
@@ -74,7 +75,7 @@ def assign_shards(docs: DataFrame, shards: int = 24, heavy_parts: int = 64, cell
     for d, t in zip(DIMS, total, strict=True):
         large = large | (F.col(d) > t / (shards * heavy_parts))
     big = groups.where(large).collect()  # at most 3 * shards * heavy_parts rows
-    parts = {bytes(g["digest"]): 1 if g["size"] <= capacity[0] else math.ceil(4 * g["size"] / capacity[0]) for g in big}
+    parts = {bytes(g["digest"]): 1 if g["size"] <= capacity[0] else math.ceil(heavy_parts * g["size"] / capacity[0]) for g in big}
     heavy = spark.createDataFrame([(d, p) for d, p in parts.items()], "digest binary, parts int")
     part = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
     tagged = rows.join(F.broadcast(heavy), "digest", "left").withColumn("part", part)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import textkit as T
+from cohortlens.llm.shared import of_ids, opened
 from cohortlens.session import cut_lineage
 
 ORDER, BITS = 4, 6
@@ -78,7 +79,7 @@ def _types_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _counts_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(TYPES, np.uint32)
-    for batch in batches:
+    for batch in opened(batches):
         for _, _, data, offs in T.slices(batch.column("text")):
             np.add.at(total, grams(data, offs), 1)
     k = np.flatnonzero(total)
@@ -147,7 +148,7 @@ def _scores_task(model: Broadcast, with_text: bool):
 def train(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """(k, p) of every n-gram type of ``docs``, from counts over all documents whose doc_id is in ``trusted``."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    good = texts.join(trusted.select(F.col("doc_id").cast("long")).distinct(), "doc_id", "left_semi")
+    good = of_ids(texts, trusted.select(F.col("doc_id").cast("long")).distinct())
     counts = good.select("text").mapInArrow(_counts_task, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
     types = texts.select("text").mapInArrow(_types_task, "k long").distinct()
     return probabilities(cut_lineage(counts), cut_lineage(types))

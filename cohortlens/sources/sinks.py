@@ -14,6 +14,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -41,10 +42,10 @@ def read_partition(spark: SparkSession, path: str, date: dt.date, value_schema:
     schema = StructType(list(value_schema.fields) + [StructField(p, StringType()) for p in PARTS])
     try:
         df = spark.read.schema(schema).option("basePath", path).parquet(path)
-    except Exception as e:  # noqa: BLE001 - only a missing path means "no data yet"
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    except AnalysisException as e:  # only a missing path means "no data yet"
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
     cond = None
     for k, v in partition_values(date).items():
         c = F.col(k) == v
@@ -93,34 +94,34 @@ def upsert_cohort(spark: SparkSession, path: str, date: dt.date, new: DataFrame,
 
 def upsert_partitions(spark: SparkSession, path: str, new: DataFrame, date_col: str, columns: Sequence[str],
                       all_columns: Sequence[str], key: str = "s", staging: str | None = None) -> DataFrame:
-    """S8 for many cohorts at once (E5): ``new`` holds (key, date_col, *columns) for any number of
-    cohort dates. The existing partitions of those dates are read once (partition-pruned to the date
-    range), merged on (key, date) with a full outer join, staged, and swapped in with one dynamic
-    partition overwrite; other partitions are untouched. One job instead of a loop over dates."""
+    """S8 for many cohorts at once (E5): ``new`` holds (key, date_col, *columns) for any number of cohort dates.
+
+    ``new`` is staged first, so it is evaluated once. Only the partitions of dates that it holds are read, merged on
+    (key, date) with a full outer join, staged, and swapped in with one dynamic partition overwrite; all other
+    partitions, also those of dates in between, are neither read nor written."""
     dtype = new.schema[columns[0]].dataType
-    lo, hi = new.agg(F.min(date_col), F.max(date_col)).first()
-    if lo is None:
-        return new.limit(0)
+    root = staging or f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging/{uuid.uuid4().hex}"
+    new.select(key, date_col, *columns).write.mode("overwrite").parquet(f"{root}/new")
+    fresh = spark.read.parquet(f"{root}/new")
+    dates = [r[0] for r in fresh.select(date_col).distinct().collect()]  # cohort days: one date per partition written
+    if not dates:
+        return fresh.select(key, date_col, *[F.col(c) if c in columns else F.lit(None).cast(dtype).alias(c) for c in all_columns])
     value_schema = StructType([StructField(key, StringType())] + [StructField(c, dtype) for c in all_columns])
     schema = StructType(list(value_schema.fields) + [StructField(p, StringType()) for p in PARTS])
-    part_date = F.to_date(F.concat_ws("-", *[F.col(p) for p in PARTS]))
+    stored_date = F.concat_ws("-", *[F.col(p) for p in PARTS])
+    keep = [c for c in all_columns if c not in columns]
     try:
         existing = (spark.read.schema(schema).option("basePath", path).parquet(path)
-                    .where(F.concat_ws("-", *[F.col(p) for p in PARTS]).between(lo.isoformat(), hi.isoformat()))
-                    .select(key, part_date.alias(date_col), *all_columns))
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                    .where(stored_date.isin([d.isoformat() for d in dates]))
+                    .select(key, F.to_date(stored_date).alias(date_col), *keep))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        existing = spark.createDataFrame([], StructType([StructField(key, StringType())]
-                                                        + [StructField(date_col, new.schema[date_col].dataType)]
-                                                        + [StructField(c, dtype) for c in all_columns]))
-    keep = [c for c in all_columns if c not in columns]
-    merged = (existing.select(key, date_col, *keep)
-              .join(new.select(key, date_col, *columns), [key, date_col], "full_outer")
-              .select(key, date_col, *all_columns))
-    stage = staging or f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging/{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+        existing = spark.createDataFrame([], StructType([StructField(key, StringType()), StructField(date_col, new.schema[date_col].dataType)]
+                                                        + [StructField(c, dtype) for c in keep]))
+    merged = existing.join(fresh, [key, date_col], "full_outer").select(key, date_col, *all_columns)
+    merged.write.mode("overwrite").parquet(f"{root}/merged")
+    staged = spark.read.parquet(f"{root}/merged")
     d = F.col(date_col)
     (staged.withColumns({"year": F.date_format(d, "yyyy"), "month": F.date_format(d, "MM"), "day": F.date_format(d, "dd")})
      .drop(date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -99,6 +99,17 @@ def test_upsert_partitions_many_cohorts(spark, tmp_dir):
     assert got[d3] == [("z", 9.0, None)]  # outside the new date range: untouched
 
 
+def test_upsert_partitions_leaves_dates_in_between(spark, tmp_dir):
+    path, cols = os.path.join(tmp_dir, "gap"), ["day_7_day_30"]
+    days = [dt.date(2020, 1, 1), dt.date(2020, 1, 15), dt.date(2020, 1, 31)]
+    schema = "s string, cohort_date date, day_7_day_30 double"
+    sinks.upsert_partitions(spark, path, spark.createDataFrame([("a", d, 5.0) for d in days], schema), "cohort_date", cols, cols)
+    sinks.upsert_partitions(spark, path, spark.createDataFrame([("a", days[0], 6.0), ("b", days[2], 7.0)], schema), "cohort_date", cols, cols)
+    stored = StructType([StructField("s", StringType()), StructField(cols[0], DoubleType())])
+    got = [sorted(map(tuple, sinks.read_partition(spark, path, d, stored).select("s", *cols).collect())) for d in days]
+    assert got == [[("a", 6.0)], [("a", 5.0)], [("a", None), ("b", 7.0)]]
+
+
 def test_format_and_daily_cohort(spark):
     from cohortlens.functions.format import comma, dollar, fixed
     from cohortlens.params import FeatureParams

@@ -10,13 +10,20 @@ from .scalar import col_, round_half_up
 
 def parse_map(c: str | Column) -> Column:
     """Text map -> ``map<string,double>``. Braces removed, pairs split on ``,\\s*``, keys and values
-    trimmed, values parsed with ``try_cast``. A null or empty text gives an empty map (SURVEY Q20)."""
+    trimmed, values parsed with ``try_cast``; of entries with the same key the last one counts. A null or empty
+    text gives an empty map (SURVEY Q20)."""
     text = F.trim(F.regexp_replace(col_(c), r"[{}]", ""))
-    raw = F.str_to_map(text, F.lit(r",\s*"), F.lit("="))
-    typed = F.transform_values(F.transform_keys(raw, lambda k, v: F.trim(k)),
-                               lambda k, v: F.trim(v).try_cast("double"))
     empty = F.create_map().cast("map<string,double>")
-    return F.when(text.isNull() | (text == ""), empty).otherwise(typed)
+    pair = F.transform(F.split(text, r",\s*"), lambda x: F.split(x, "=", 2))
+    entries = F.transform(pair, lambda x: F.struct(F.trim(x[0]).alias("k"), F.trim(F.get(x, 1)).try_cast("double").alias("v")))
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["k"] == e["k"]))
+    return F.when(text.isNull() | (text == ""), empty).otherwise(F.map_from_entries(last))
+
+
+def map_keys(df: DataFrame, c: str) -> list[str]:
+    """The distinct keys of a text map column, sorted: the columns that a wide form of it has."""
+    keys = df.select(F.explode(F.map_keys(parse_map(c))).alias("k")).distinct()
+    return sorted(r["k"] for r in keys.collect())
 
 
 def format_map_text(df: DataFrame, key: str, k: str, v: str, out: str, digits: int = 4) -> DataFrame:

@@ -14,13 +14,13 @@ def col_(c: str | Column) -> Column:
 
 
 def money_sum(c: str | Column) -> Column:
-    """Exact sum of 2-decimal money values: decimal(18,2) accumulation, result as double.
+    """Exact sum of amounts: decimal(28,6) accumulation (a millionth of a unit is kept), result as double.
     Summation order (partitioning) cannot change the result."""
-    return F.sum(col_(c).cast("decimal(18,2)")).cast("double")
+    return F.sum(col_(c).cast("decimal(28,6)")).cast("double")
 
 
 def money_avg(c: str | Column) -> Column:
-    """Mean of 2-decimal values from an exact sum and a count (deterministic)."""
+    """Mean from an exact sum and a count (deterministic)."""
     x = col_(c)
     return money_sum(x) / F.count(x)
 
@@ -50,18 +50,17 @@ def partition_date(y: str = "year", m: str = "month", d: str = "day") -> Column:
     return F.concat_ws("-", F.col(y), F.col(m), F.col(d))
 
 
-def match_game(c: str | Column, game: str, exclude_qa: bool = True) -> Column:
-    """Game filter (P5). ``exclude_qa=True`` implements the intent (drop names containing 'qa');
-    ``exclude_qa=False`` reproduces the literal pattern, whose upper-case lookahead never fires on a
-    lower-cased name (SURVEY Q1)."""
+def match_game(c: str | Column, game: str, exclude_qa: bool = False) -> Column:
+    """Game filter (P5): the lower-cased name contains the lower-cased game, taken as plain text. By default QA
+    builds stay, as they do in the reference (SURVEY Q1); ``exclude_qa=True`` drops names whose game part (before
+    the platform) ends in ``qa``."""
     lowered = F.lower(col_(c))
-    if exclude_qa:
-        return lowered.contains(game.lower()) & ~lowered.contains("qa")
-    return lowered.rlike("^(?!.*QA).*" + game + ".*")
+    match = lowered.contains(game.lower())
+    return match & ~lowered.rlike("^[^_]*qa(_|$)") if exclude_qa else match
 
 
 def strip_device_prefix(c: str | Column) -> Column:
-    """``upper(if(s like 'IDFV%', substr(s, 6), s))`` (P13): device id to ad-network id."""
+    """Device id to ad-network id (P13): upper case, without the ``IDFV`` mark and its separator."""
     s = col_(c)
     return F.upper(F.when(s.startswith("IDFV"), F.substr(s, F.lit(6))).otherwise(s))
 

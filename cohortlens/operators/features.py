@@ -14,6 +14,10 @@ Plan shape (why it holds at 100 TB):
   base once on the device id: one shuffle of the base, one join, and one per-device aggregate for all
   metrics and horizons that reuses the join's partitioning. Whether the base is broadcast is left to
   AQE, which checks its runtime size.
+* Scoring (E2, E5) works per cohort: everything is keyed by (device, cohort date) and first touches by
+  (ad id, day), so scoring a range gives what scoring its days one by one gives. There the activity is
+  pruned by the cohorts' devices *before* it is aggregated (left-semi join, size measured by Spark): a
+  one-day cohort does not shuffle the history of every device.
 * The single-metric functions (``sessions_by_horizon`` etc.) expose the same computations one table at
   a time (registered as their own queries).
 """
@@ -46,28 +50,39 @@ def installs_in_window(installs: DataFrame, p: FeatureParams, start: dt.date, en
         F.to_date("install_dt").alias("install_dt"),
         platform_of("game_name").alias("platform"),
         flag(F.col("country") == F.lit(p.usa_country)).alias("usa"),
+        F.to_date(partition_date()).alias("cohort_date"),
     )
 
 
-def first_touch(touches: DataFrame, p: FeatureParams, start: dt.date, end: dt.date) -> DataFrame:
-    """Earliest ad touch per ad id in the window (order: time stamp, then touch id)."""
+def first_touch(touches: DataFrame, p: FeatureParams, start: dt.date, end: dt.date, per_day: bool = False) -> DataFrame:
+    """Earliest ad touch per ad id in the window (order: time stamp, then touch id); with ``per_day``, per ad id
+    and day."""
     t = scan_dates(touches, start, end, ("yy", "mm", "dd")).where(F.lower("game_name") == p.game.lower())
-    return t.groupBy("adx_id").agg(
+    keys = ["adx_id", F.to_date(partition_date("yy", "mm", "dd")).alias("touch_date")] if per_day else ["adx_id"]
+    return t.groupBy(*keys).agg(
         F.min_by("publisher_name", F.struct("time_stamp", "touch_id")).alias("publisher_name"))
 
 
-def installs_base(installs_w: DataFrame, touches_first: DataFrame) -> DataFrame:
+def installs_base(installs_w: DataFrame, touches_first: DataFrame, per_cohort: bool = False) -> DataFrame:
     """A1 + J1: one row per device (min of each attribute, SURVEY Q6), first-touch publisher attached
-    through the stripped, upper-cased device id."""
-    per_device = installs_w.groupBy("s").agg(
+    through the stripped, upper-cased device id. With ``per_cohort``: one row per device and cohort date, with the
+    first touch of that day."""
+    keys = ["s", "cohort_date"] if per_cohort else ["s"]
+    per_device = installs_w.groupBy(*keys).agg(
         F.min("install_dt").alias("install_dt"),
         F.min("platform").alias("platform"),
         F.min("usa").alias("usa"),
     )
-    return (
-        per_device.join(touches_first, strip_device_prefix("s") == F.col("adx_id"), "left")
-        .select("s", "install_dt", "platform", "usa", "publisher_name")
-    )
+    on = strip_device_prefix("s") == F.col("adx_id")
+    if per_cohort:
+        on = on & (F.col("cohort_date") == F.col("touch_date"))
+    return per_device.join(touches_first, on, "left").select(*keys, "install_dt", "platform", "usa", "publisher_name")
+
+
+def cohort_base(tables, p: FeatureParams, start: dt.date, end: dt.date) -> DataFrame:
+    """The installs base of every cohort date in ``[start, end]``, each as if it were scored alone."""
+    return installs_base(installs_in_window(tables.installs, p, start, end),
+                         first_touch(tables.touches, p, start, end, per_day=True), per_cohort=True)
 
 
 def _age_ok(activity_date: Column, install_dt: Column, n: int, min_age: int | None) -> Column:
@@ -79,8 +94,9 @@ def _age_ok(activity_date: Column, install_dt: Column, n: int, min_age: int | No
     return cond
 
 
-def _keys(base: DataFrame) -> DataFrame:
-    return base.select("s", "install_dt")
+def _keys(base: DataFrame) -> list[str]:
+    """The key of the base: the device, or the device and its cohort."""
+    return [c for c in ("s", "cohort_date") if c in base.columns]
 
 
 def sessions_by_horizon(base: DataFrame, sessions: DataFrame, p: FeatureParams, horizons: Sequence[int],
@@ -89,29 +105,30 @@ def sessions_by_horizon(base: DataFrame, sessions: DataFrame, p: FeatureParams,
     daily = (
         sessions.where(match_game("game_name", p.game, p.exclude_qa) & (F.col("activity_date") <= F.lit(bound)))
         .groupBy("s", "activity_date")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("session_length").cast("decimal(18,2)")).alias("len"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("session_length").cast("decimal(28,6)")).alias("len"))
     )
-    j = _keys(base).join(daily, "s")
+    j = base.select(*_keys(base), "install_dt").join(daily, "s")
     aggs = []
     for h in horizons:
         ok = _age_ok(F.col("activity_date"), F.col("install_dt"), h, p.min_age)
         aggs.append(F.sum(F.when(ok, F.col("n"))).alias(f"sessions_day_{h}"))
         aggs.append((F.sum(F.when(ok, F.col("len"))).cast("double") / 1000).alias(f"sum_session_time_day_{h}"))
-    return j.groupBy("s").agg(*aggs)
+    return j.groupBy(*_keys(base)).agg(*aggs)
 
 
 def utility_by_horizon(base: DataFrame, utility: DataFrame, p: FeatureParams, horizons: Sequence[int],
                        bound: dt.date) -> DataFrame:
     """A3 + A4: utility per horizon and the early-half sum, one scan of the daily utility table."""
-    u = utility.where((F.lower("game_base") == p.game.lower()) & (F.col("activity_date") <= F.lit(bound)))
-    j = _keys(base).join(u.select("s", "activity_date", "utility"), "s")
+    u = (utility.where((F.lower("game_base") == p.game.lower()) & (F.col("activity_date") <= F.lit(bound)))
+         .groupBy("s", "activity_date").agg(F.sum("utility").alias("utility")))
+    j = base.select(*_keys(base), "install_dt").join(u, "s")
     aggs = [
         F.sum(F.when(_age_ok(F.col("activity_date"), F.col("install_dt"), h, p.min_age), F.col("utility"))).alias(f"utility_day_{h}")
         for h in horizons
     ]
     aggs.append(F.sum(F.when(_age_ok(F.col("activity_date"), F.col("install_dt"), p.early_days, p.min_age),
                              F.col("utility"))).alias("early_utility_sum"))
-    return j.groupBy("s").agg(*aggs)
+    return j.groupBy(*_keys(base)).agg(*aggs)
 
 
 def spend_by_horizons(base: DataFrame, revenue: DataFrame, p: FeatureParams, horizons: Sequence[int],
@@ -122,58 +139,55 @@ def spend_by_horizons(base: DataFrame, revenue: DataFrame, p: FeatureParams, hor
                       & match_game("game_name", p.game, p.exclude_qa)
                       & (F.col("activity_date") <= F.lit(bound)))
         .groupBy("s", "activity_date")
-        .agg(F.sum(F.col("amt").cast("decimal(18,2)")).alias("amt"))
+        .agg(F.sum(F.col("amt").cast("decimal(28,6)")).alias("amt"))
     )
-    j = _keys(base).join(daily, "s")
-    return j.groupBy("s").agg(*[
+    j = base.select(*_keys(base), "install_dt").join(daily, "s")
+    return j.groupBy(*_keys(base)).agg(*[
         F.sum(F.when(_age_ok(F.col("activity_date"), F.col("install_dt"), h, p.min_age), F.col("amt"))).cast("double").alias(f"spend_day_{h}")
         for h in horizons
     ])
 
 
-def activity_daily(tables, p: FeatureParams, end: dt.date) -> DataFrame:
+def activity_daily(tables, p: FeatureParams, start: dt.date, end: dt.date, devices: DataFrame | None = None) -> DataFrame:
     """The three activity tables reduced to one row per (device, day) each, with map-side partial
     aggregation, and stacked: s, activity_date, n, len (sessions), util (utility), amt (IAP spend).
-    Each table is scanned once with its own constant upper date bound."""
+    Each table is scanned once with its own constant date bounds (a lower one only where ages have one). With
+    ``devices`` (s), rows of other devices are dropped before the aggregation."""
     f, t = p.day_from, p.day_to
-    sess = (tables.sessions
-            .where(match_game("game_name", p.game, p.exclude_qa) & (F.col("activity_date") <= F.lit(end + dt.timedelta(days=f))))
-            .groupBy("s", "activity_date")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("session_length").cast("decimal(18,2)")).alias("len")))
-    util = (tables.utility
-            .where((F.lower("game_base") == p.game.lower()) & (F.col("activity_date") <= F.lit(end + dt.timedelta(days=f))))
-            .select("s", "activity_date", F.col("utility").alias("util")))
-    spend = (tables.revenue
-             .where(null_tolerant_equals("channel", p.iap_channel) & match_game("game_name", p.game, p.exclude_qa)
-                    & (F.col("activity_date") <= F.lit(end + dt.timedelta(days=max(f, t)))))
-             .groupBy("s", "activity_date")
-             .agg(F.sum(F.col("amt").cast("decimal(18,2)")).alias("amt")))
-    return sess.unionByName(util, allowMissingColumns=True).unionByName(spend, allowMissingColumns=True)
 
+    def rows(table: DataFrame, match: Column, days: int, *cols: str) -> DataFrame:
+        kept = table.where(match & (F.col("activity_date") <= F.lit(end + dt.timedelta(days=days))))
+        if p.min_age is not None:
+            kept = kept.where(F.col("activity_date") >= F.lit(start + dt.timedelta(days=p.min_age)))
+        kept = kept.select("s", "activity_date", *cols)
+        kept = kept if devices is None else kept.join(devices, "s", "left_semi")
+        return kept.groupBy("s", "activity_date")
+
+    name = match_game("game_name", p.game, p.exclude_qa)
+    sess = rows(tables.sessions, name, f, "session_length").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("session_length").cast("decimal(28,6)")).alias("len"))
+    util = rows(tables.utility, F.lower("game_base") == p.game.lower(), f, "utility").agg(F.sum("utility").alias("util"))
+    spend = rows(tables.revenue, null_tolerant_equals("channel", p.iap_channel) & name, max(f, t), "amt").agg(
+        F.sum(F.col("amt").cast("decimal(28,6)")).alias("amt"))
+    return sess.unionByName(util, allowMissingColumns=True).unionByName(spend, allowMissingColumns=True)
 
-def build_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> DataFrame:
-    """Feature rows for installs in ``[start, end]``. ``tables`` provides ``installs``, ``touches``,
-    ``sessions``, ``utility`` and ``revenue`` DataFrames (the reference's five warehouse tables).
 
-    Plan: the stacked per-device-day activity (``activity_daily``) is joined **once** to the installs
-    base (left join on ``s``) and aggregated **once** per device with conditional sums for every metric
-    and horizon. The base is therefore computed and shuffled once, each activity table is scanned
-    once, and the aggregate reuses the join's partitioning on ``s``."""
+def _features_of(base: DataFrame, activity: DataFrame, p: FeatureParams) -> DataFrame:
+    """Feature rows of an installs base (per device, or per device and cohort) and its stacked activity: one left
+    join on the device, one aggregate with conditional sums for every metric and horizon."""
     f, t = p.day_from, p.day_to
-    base = installs_base(installs_in_window(tables.installs, p, start, end), first_touch(tables.touches, p, start, end))
-    j = base.join(activity_daily(tables, p, end), "s", "left")
+    keys = [*_keys(base), "install_dt", "platform", "usa", "publisher_name"]
     age = lambda n: _age_ok(F.col("activity_date"), F.col("install_dt"), n, p.min_age)
-    spend_h = sorted({f, t})
-    agg = j.groupBy("s", "install_dt", "platform", "usa", "publisher_name").agg(
+    agg = base.join(activity, "s", "left").groupBy(*keys).agg(
         F.sum(F.when(age(f), F.col("n"))).alias(f"sessions_day_{f}"),
         (F.sum(F.when(age(f), F.col("len"))).cast("double") / 1000).alias(f"sum_session_time_day_{f}"),
         F.sum(F.when(age(f), F.col("util"))).alias(f"utility_day_{f}"),
         F.sum(F.when(age(p.early_days), F.col("util"))).alias("early_utility_sum"),
-        *[F.sum(F.when(age(h), F.col("amt"))).cast("double").alias(f"spend_day_{h}") for h in spend_h],
+        *[F.sum(F.when(age(h), F.col("amt"))).cast("double").alias(f"spend_day_{h}") for h in sorted({f, t})],
     )
     util = F.col(f"utility_day_{f}")
     return agg.select(
-        "s", "install_dt", "platform", "usa", "publisher_name",
+        *keys,
         F.coalesce(F.col(f"sessions_day_{f}"), F.lit(0)).alias(f"sessions_day_{f}"),
         F.coalesce(F.col(f"sum_session_time_day_{f}"), F.lit(0.0)).alias(f"sum_session_time_day_{f}"),
         F.coalesce(util, F.lit(0.0)).alias(f"utility_day_{f}"),
@@ -184,6 +198,25 @@ def build_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> Da
     )
 
 
+def build_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> DataFrame:
+    """Feature rows for installs in ``[start, end]``, one per device. ``tables`` provides ``installs``, ``touches``,
+    ``sessions``, ``utility`` and ``revenue`` DataFrames (the reference's five warehouse tables).
+
+    Plan: the stacked per-device-day activity (``activity_daily``) is joined **once** to the installs
+    base (left join on ``s``) and aggregated **once** per device with conditional sums for every metric
+    and horizon. The base is therefore computed and shuffled once, each activity table is scanned
+    once, and the aggregate reuses the join's partitioning on ``s``."""
+    base = installs_base(installs_in_window(tables.installs, p, start, end), first_touch(tables.touches, p, start, end))
+    return _features_of(base, activity_daily(tables, p, start, end), p)
+
+
+def cohort_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> DataFrame:
+    """Feature rows of every cohort date in ``[start, end]``, keyed by (s, cohort_date): the union of what each day
+    gives when it is scored alone."""
+    devices = installs_in_window(tables.installs, p, start, end).select("s").distinct()
+    return _features_of(cohort_base(tables, p, start, end), activity_daily(tables, p, start, end, devices), p)
+
+
 def training_features(tables, p: FeatureParams) -> DataFrame:
     """Features of installs in the training window ``[T-(day_to+91), T-(day_to+1)]``."""
     return build_features(tables, p, p.window_start, p.window_end)
@@ -191,7 +224,7 @@ def training_features(tables, p: FeatureParams) -> DataFrame:
 
 def scoring_features(tables, p: FeatureParams, cohort_date: dt.date) -> DataFrame:
     """Features of one install cohort (partition equality on the cohort date)."""
-    return build_features(tables, p, cohort_date, cohort_date)
+    return cohort_features(tables, p, cohort_date, cohort_date).drop("cohort_date")
 
 
 def model_frame(features: DataFrame, p: FeatureParams) -> DataFrame:
@@ -199,7 +232,7 @@ def model_frame(features: DataFrame, p: FeatureParams) -> DataFrame:
     f, t = p.day_from, p.day_to
     pub = F.coalesce(F.col("publisher_name"), F.lit(p.unknown_publisher))
     return features.select(
-        "s",
+        *_keys(features),
         flag(F.col("platform") == p.ios_platform).alias("ios"),
         F.col("usa").cast("int").alias("usa"),
         flag(pub == p.organic_publisher).alias("is_publisher_organic"),

@@ -68,7 +68,7 @@ def summarise_settings(per_fold: DataFrame, digits: int = 6) -> DataFrame:
     s = per_fold.select(
         F.get(F.split(F.get(mparts, 0), "="), 1).cast("int").alias("nrounds"),
         F.get(F.split(F.get(mparts, 1), "="), 1).cast("double").alias("eta"),
-        F.get(F.split(hurdle_name, "_"), 1).cast("int").alias("hurdle_pct"),
+        F.get(F.split(hurdle_name, "_"), 1).cast("double").alias("hurdle_pct"),
         "rmse")
     out = s.groupBy("nrounds", "eta", "hurdle_pct").agg(round_half_up(F.avg("rmse"), digits).alias("rmse"))
     return out.orderBy("rmse", "nrounds", "eta", "hurdle_pct")  # O1, on the small per-setting table
@@ -223,7 +223,7 @@ def hurdle_cv(train: DataFrame, base: HurdleSpec, folds: int, nrounds: Sequence[
             for h in hurdles:
                 pred = hurdle_prediction(o, F.col(f"p_spender_{n}"), F.col(f"amount_{n}"), h)
                 err = F.col(spec.label) - pred
-                name = f"nrounds={n}_eta={eta}|hurdle_{int(round(h * 100))}_pct"
+                name = f"nrounds={n}_eta={eta}|hurdle_{h * 100:.10g}_pct"
                 aggs.append(F.sqrt(F.avg(err * err)).alias(f"m{len(names)}"))
                 names.append(name)
         r = scored.agg(*aggs).first()

@@ -91,16 +91,19 @@ RATIO_GRID = tuple(10.0 ** e for e in range(-6, 2))  # 1e-6 .. 10, for ratio="ml
 
 
 def _filter(z: np.ndarray, ratio: float):
-    """Kalman filter of a standardised local-level series with unit noise variance; returns the final
-    level, its variance, the one-step errors and their variances (the first observation initialises)."""
+    """Kalman filter of a standardised local-level series, one value per day, with unit noise variance; a missing
+    value only lets the level drift. Returns the final level, its variance, the one-step errors and their variances
+    (the first observation initialises)."""
     a, p = z[0], 1.0
     vs, fs = [], []
     for t in range(1, len(z)):
-        p_pred = p + ratio
-        f = p_pred + 1.0
+        p += ratio
+        if np.isnan(z[t]):
+            continue
+        f = p + 1.0
         v = z[t] - a
-        k = p_pred / f
-        a, p = a + k * v, p_pred * (1 - k)
+        k = p / f
+        a, p = a + k * v, p * (1 - k)
         vs.append(v)
         fs.append(f)
     return a, p, np.asarray(vs), np.asarray(fs)
@@ -115,48 +118,62 @@ def concentrated_loglik(z: np.ndarray, ratio: float) -> float:
     return -0.5 * (float(np.sum(np.log(f))) + len(v) * math.log(sigma2))
 
 
-def local_level_forecast(pre: np.ndarray, horizon: int, ratio: float | str = DEFAULT_LEVEL_RATIO):
-    """Fit a local-level model on ``pre`` (level variance = ratio x noise variance, noise variance by
-    concentrated maximum likelihood) and forecast ``horizon`` steps. ``ratio="mle"`` picks the ratio
-    from ``RATIO_GRID`` by concentrated likelihood (pre-periods are short; the fixed default is safer).
-    Returns (mean, sd of each step, sd of the cumulative sum)."""
+def local_level_forecast(pre: np.ndarray, steps: int | np.ndarray, ratio: float | str = DEFAULT_LEVEL_RATIO):
+    """Fit a local-level model on ``pre`` (one value per day, NaN where missing; level variance = ratio x noise
+    variance, noise variance by concentrated maximum likelihood) and forecast the days ``steps`` ahead (or 1, 2, ..
+    up to a number). ``ratio="mle"`` picks the ratio from ``RATIO_GRID`` by concentrated likelihood (pre-periods are
+    short; the fixed default is safer). Returns (mean, sd of each day, sd of the running sum up to each day)."""
+    h = np.arange(1, steps + 1, dtype=float) if np.isscalar(steps) else np.asarray(steps, dtype=float)
     y = np.asarray(pre, dtype=float)
-    y = y[~np.isnan(y)]
-    if len(y) == 0:
-        return np.full(horizon, np.nan), np.full(horizon, np.nan), math.nan
-    scale = float(np.std(y)) or 1.0
-    z = (y - y.mean()) / scale
+    seen = np.flatnonzero(~np.isnan(y))
+    if len(seen) == 0:
+        return np.full(len(h), np.nan), np.full(len(h), np.nan), np.full(len(h), np.nan)
+    y = y[seen[0]:seen[-1] + 1]
+    middle, scale = float(np.nanmean(y)), float(np.nanstd(y)) or 1.0
+    z = (y - middle) / scale
     if ratio == "mle":
         ratio = max(RATIO_GRID, key=lambda r: concentrated_loglik(z, r))
     a, p, vs, fs = _filter(z, float(ratio))
     sigma2 = float(np.mean(np.square(vs) / fs)) if len(vs) else 1.0
-    h = np.arange(1, horizon + 1)
+    n = np.arange(1, len(h) + 1)
     var_step = (p + h * ratio + 1.0) * sigma2
-    var_cum = (horizon ** 2 * p + ratio * float(np.sum(h.astype(float) ** 2)) + horizon) * sigma2
-    mean = np.full(horizon, a * scale + y.mean())
-    return mean, np.sqrt(var_step) * scale, math.sqrt(var_cum) * scale
+    # variance of a sum of n days: level error in each, n noises, and drifts shared by pairs (the nearer day's steps)
+    shared = np.cumsum(h) + 2 * np.cumsum(np.cumsum(h) - h)
+    var_cum = (n ** 2 * p + ratio * shared + n) * sigma2
+    return np.full(len(h), a * scale + middle), np.sqrt(var_step) * scale, np.sqrt(var_cum) * scale
 
 
 def impact_local_level(daily: DataFrame, metrics: Sequence[str], windows: ImpactWindows,
                        ratio: float | str = DEFAULT_LEVEL_RATIO) -> DataFrame:
-    """M9 with a local-level baseline, one pandas group per metric."""
+    """M9 with a local-level baseline, one pandas group per metric (bounded by the days of both periods).
+
+    The level moves once per calendar day, whether or not that day was observed: a missing day counts as time, and
+    a post day lies as many steps ahead as it is days after the last observed pre day. The effect is summed from
+    the start of the post period on."""
     (pa, pb), (qa, qb) = windows.pre, windows.post
-    long = stack_series(daily, metrics).where(F.col("date").between(F.lit(pa), F.lit(qb)))
+    day = F.col("date")
+    long = stack_series(daily, metrics).where(day.between(F.lit(pa), F.lit(pb)) | day.between(F.lit(qa), F.lit(qb)))
     pre_end = pd.Timestamp(pb)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
         dates = pd.to_datetime(pdf["date"])
-        pre = pdf.loc[dates <= pre_end, "value"].to_numpy()
-        post = pdf.loc[(dates > pre_end)]
-        mean, sd, _ = local_level_forecast(pre, len(post), ratio)
-        cum_sd = [local_level_forecast(pre, t, ratio)[2] for t in range(1, len(post) + 1)]
+        before = (dates <= pre_end) & pdf["value"].notna()
+        post = pdf.loc[dates > pre_end]
+        if not before.any():
+            nothing = np.full(len(post), np.nan)
+            mean, sd, cum_sd = nothing, nothing, nothing
+        else:
+            first, last = dates[before].min(), dates[before].max()
+            pre = np.full((last - first).days + 1, np.nan)
+            pre[(dates[before] - first).dt.days.to_numpy()] = pdf.loc[before, "value"].to_numpy()
+            mean, sd, cum_sd = local_level_forecast(pre, (dates[dates > pre_end] - last).dt.days.to_numpy(), ratio)
         eff = post["value"].to_numpy() - mean
         return pd.DataFrame({
             "metric": post["metric"].to_numpy(), "date": post["date"].to_numpy(),
             "actual": post["value"].to_numpy(), "predicted": mean,
             "predicted_lower": mean - Z95 * sd, "predicted_upper": mean + Z95 * sd,
-            "point_effect": eff, "cumulative_effect": np.cumsum(eff), "cumulative_sd": np.asarray(cum_sd, dtype=float),
+            "point_effect": eff, "cumulative_effect": np.cumsum(eff), "cumulative_sd": cum_sd,
         })
 
     schema = ("metric string, date date, actual double, predicted double, predicted_lower double, "

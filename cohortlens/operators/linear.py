@@ -53,23 +53,37 @@ def gram_by_group(df: DataFrame, cols: Sequence[str], group: str) -> dict:
     return out
 
 
-def aliased_from_gram(g: np.ndarray, cols: Sequence[str], tol: float = 1e-9) -> list[str]:
-    """Aliased columns from a cross-product matrix of [1, cols] (see ``aliased_columns``)."""
-    keep = [0]
+def aliased_from_gram(g: np.ndarray, cols: Sequence[str], tol: float = 1e-12) -> list[str]:
+    """Aliased columns from a cross-product matrix of [1, cols] (see ``aliased_columns``).
+
+    The columns are centred and scaled to unit length first, so that a large mean or unit says nothing about
+    collinearity; ``tol`` bounds the squared length that earlier columns leave of a column (rounding in the sums
+    leaves about 1e-15 per unit of mean over spread, squared, which is allowed for)."""
+    n = g[0, 0]
+    mean = g[0, 1:] / max(n, 1.0)
+    raw = np.diag(g)[1:]
+    spread = raw - n * mean * mean
+    noise = np.finfo(float).eps * 8 * np.abs(raw)  # what centring may leave of a constant column
+    size = np.sqrt(np.where(spread > noise, spread, 1.0))
+    c = (g[1:, 1:] - n * np.outer(mean, mean)) / np.outer(size, size)
+    keep: list[int] = []
     dropped: list[str] = []
-    for j in range(1, len(cols) + 1):
-        k = np.array(keep)
-        gkk = g[np.ix_(k, k)]
-        gkj = g[k, j]
-        resid = g[j, j] - gkj @ np.linalg.solve(gkk, gkj)
-        if resid <= tol * max(g[j, j], 1e-300):
-            dropped.append(cols[j - 1])
+    for j, name in enumerate(cols):
+        if spread[j] <= noise[j]:
+            dropped.append(name)  # constant: collinear with the intercept
+            continue
+        resid = c[j, j]
+        if keep:
+            ckk, ckj = c[np.ix_(keep, keep)], c[keep, j]
+            resid = c[j, j] - ckj @ np.linalg.solve(ckk, ckj)
+        if resid <= max(tol, 100 * noise[j] / spread[j]):
+            dropped.append(name)
         else:
             keep.append(j)
     return dropped
 
 
-def aliased_columns(df: DataFrame, cols: Sequence[str], tol: float = 1e-9) -> list[str]:
+def aliased_columns(df: DataFrame, cols: Sequence[str], tol: float = 1e-12) -> list[str]:
     """Columns that are linear combinations of the intercept and earlier columns (input order)."""
     g, _n = gram(df, cols)
     return aliased_from_gram(g, cols, tol)

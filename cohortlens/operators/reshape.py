@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.maps import parse_map
+from ..functions.maps import map_keys, parse_map
 
 
 def explode_map(df: DataFrame, key: str, text_col: str, k: str, v: str) -> DataFrame:
@@ -15,17 +15,22 @@ def explode_map(df: DataFrame, key: str, text_col: str, k: str, v: str) -> DataF
     return df.select(key, F.explode(parse_map(text_col)).alias(k, v))
 
 
-def map_to_columns(df: DataFrame, text_col: str, keys: Sequence[str], prefix: str, fill: float = 0.0,
+def map_to_columns(df: DataFrame, text_col: str, prefix: str, keys: Sequence[str] | None = None, fill: float = 0.0,
                    keep: Sequence[str] = ()) -> DataFrame:
-    """R3 with known keys: one column per key, missing -> ``fill``. A projection: no shuffle, no pivot job."""
-    m = parse_map(text_col)
-    return df.select(*keep, *[F.coalesce(m[k], F.lit(fill)).alias(f"{prefix}{k}") for k in keys])
+    """One column per key, missing -> ``fill``. Without ``keys`` they are those of the data. The text is parsed
+    once per row; the columns are a projection of the map."""
+    keys = map_keys(df, text_col) if keys is None else keys
+    return df.select(*keep, parse_map(text_col).alias("_map")).select(
+        *keep, *[F.coalesce(F.col("_map")[k], F.lit(fill)).alias(f"{prefix}{k}") for k in keys])
 
 
-def pivot_long(df: DataFrame, key: str, name_col: str, value_col: str, values: Sequence[str], prefix: str = "",
-               fill: float = 0.0) -> DataFrame:
-    """R3 from long rows: ``groupBy(key).pivot(name, values)``. The value list is passed explicitly,
-    so Spark runs no extra distinct job and the width is known (SURVEY §7.4-8)."""
+def pivot_long(df: DataFrame, key: str, name_col: str, value_col: str, values: Sequence[str] | None = None,
+               prefix: str = "", fill: float = 0.0) -> DataFrame:
+    """R3 from long rows: ``groupBy(key).pivot(name, values)``. Without ``values`` they are the names found in the
+    data, so no category is lost; a caller that knows them saves that job."""
+    from .summarise import distinct_values
+
+    values = [v for v in distinct_values(df, name_col) if v is not None] if values is None else values
     wide = df.groupBy(key).pivot(name_col, list(values)).agg(F.first(value_col))
     return wide.select(key, *[F.coalesce(F.col(f"`{v}`"), F.lit(fill)).alias(f"{prefix}{v}") for v in values])
 
@@ -57,23 +62,22 @@ def _quote(sep: str) -> str:
     return re.escape(sep)
 
 
-def transpose(df: DataFrame, key: str, value_cols: Sequence[str], name: str = "variable",
-              max_levels: int = 1_000) -> DataFrame:
+def transpose(df: DataFrame, key: str, value_cols: Sequence[str], name: str = "variable") -> DataFrame:
     """R6 for small results: one row per value column, one column per key level.
-    (unpivot, then pivot on the key; the key levels are read from the small frame, at most
-    ``max_levels`` of them, checked before collecting.)"""
+    (unpivot, then pivot on the key; the key levels are read from the small frame.)"""
     from .summarise import distinct_values
 
-    levels = [str(v) for v in distinct_values(df, key, limit=max_levels)]
+    levels = [str(v) for v in distinct_values(df, key)]
     long = df.select(F.col(key).cast("string").alias(key), *[F.col(c).cast("double").alias(c) for c in value_cols]) \
         .unpivot([key], list(value_cols), name, "value")
     return long.groupBy(name).pivot(key, levels).agg(F.first("value"))
 
 
 def one_hot(df: DataFrame, col: str, levels: Sequence[str], prefix: str | None = None) -> DataFrame:
-    """0/1 column per level (levels from ``summarise.distinct_values``)."""
+    """0/1 column per level (levels from ``summarise.distinct_values``). A null is a level of its own, named
+    ``missing``, and 0 in all others."""
     pre = prefix if prefix is not None else f"{col}_"
-    return df.withColumns({f"{pre}{lv}": (F.col(col) == F.lit(lv)).cast("int") for lv in levels})
+    return df.withColumns({f"{pre}{'missing' if lv is None else lv}": F.col(col).eqNullSafe(F.lit(lv)).cast("int") for lv in levels})
 
 
 def union_missing(frames: Sequence[DataFrame], fill=0) -> DataFrame:

@@ -12,43 +12,52 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed value: Knuth's multiplicative hashing constant (2^32 / golden ratio), and the 2^32 modulus.
-HASH_MULTIPLIER = 2654435761
-HASH_MODULUS = 4294967296
+# A prime modulus, and the multiplier of a common linear congruential generator. Products of a
+# residue and the multiplier stay below 2^62, so no key overflows.
+HASH_MODULUS = 2147483647
+HASH_MULTIPLIER = 1103515245
+LOW_BITS = 16
 
 
 def key_hash(key: str | Column, seed: int = 0) -> Column:
-    """Integer keys: ``pmod(key * 2654435761 + seed, 2^32)`` (identical in any SQL engine).
-    String keys: ``pmod(xxhash64(key, seed), 2^32)``."""
+    """Integer keys of any size: ``(key mod m * multiplier + seed) mod m`` with ``m = 2^31 - 1`` (identical in any SQL
+    engine), in ``[0, m)``."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(k.cast("long") * F.lit(HASH_MULTIPLIER) + F.lit(seed), F.lit(HASH_MODULUS))
+    m = F.lit(HASH_MODULUS).cast("long")
+    return F.pmod(F.pmod(k.cast("long"), m) * F.lit(HASH_MULTIPLIER).cast("long") + F.lit(seed).cast("long"), m)
 
 
 def string_key_hash(key: str | Column, seed: int = 0) -> Column:
+    """String keys: ``xxhash64(key, seed) mod m``."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(HASH_MODULUS))
+    return F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(HASH_MODULUS).cast("long"))
 
 
-def sample_n(df: DataFrame, n: int, key: str, seed: int = 0, hash_col: Column | None = None,
-             small: int = 100_000) -> DataFrame:
+def hash_class(h: Column, classes: int) -> Column:
+    """Class ``0 .. classes-1`` of a hash, from its high bits: low bits of a product repeat those of the key."""
+    return F.pmod(F.shiftright(h, LOW_BITS), F.lit(classes).cast("long"))
+
+
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 0, hash_col: Column | None = None) -> DataFrame:
     """O3: the ``n`` rows with the smallest (hash, key): a fixed-size, reproducible sample.
 
-    For ``n <= small`` this is a top-n (per-partition top-n, then one merge of at most
-    ``n x partitions`` rows). For larger ``n`` the rows are first cut at a hash threshold taken from
-    one counting job, so the final top-n sees about ``1.1 n`` rows; the result is the same set."""
+    One counting job gives the rows per high-bits class of the hash (at most 32,768 numbers). Classes below the one
+    in which the ``n``-th row falls are kept by a filter; only that class is ordered, which holds about one in
+    32,768 rows. No task sorts the sample, whatever its size."""
     h = hash_col if hash_col is not None else key_hash(key, seed)
     x = df.withColumn("_h", h)
-    if n <= small:
-        return x.orderBy("_h", key).limit(n).drop("_h")
-    total = df.count()
-    if total <= n:
+    top = F.shiftright("_h", LOW_BITS)
+    counts = x.groupBy(top.alias("c")).agg(F.count(F.lit(1)).alias("k")).collect()
+    left, edge = n, None
+    for r in sorted(counts, key=lambda r: r["c"]):
+        if r["k"] > left:
+            edge = r["c"]
+            break
+        left -= r["k"]
+    if edge is None:
         return df
-    frac = min(1.0, 1.1 * n / total + 1e-4)
-    while True:
-        cut = x.where(F.col("_h") < F.lit(int(frac * HASH_MODULUS)))
-        if frac >= 1.0 or cut.count() >= n:
-            return cut.orderBy("_h", key).limit(n).drop("_h")
-        frac = min(1.0, frac * 1.5)
+    rest = x.where(top == F.lit(edge)).orderBy("_h", key).limit(left)
+    return x.where(top < F.lit(edge)).unionByName(rest).drop("_h")
 
 
 def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 0, hash_col: Column | None = None) -> DataFrame:
@@ -60,22 +69,21 @@ def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 0, has
 
 def train_test_split(df: DataFrame, key: str, fraction: float = 0.9, seed: int = 0, hash_col: Column | None = None,
                      name: str = "split") -> DataFrame:
-    """``train`` when ``pmod(hash, 1000) < 1000 * fraction`` else ``test``."""
+    """``train`` when the hash's class of 1000 is below ``1000 * fraction``, else ``test``."""
     h = hash_col if hash_col is not None else key_hash(key, seed)
-    return df.withColumn(name, F.when(F.pmod(h, F.lit(1000)) < int(round(fraction * 1000)), F.lit("train"))
+    return df.withColumn(name, F.when(hash_class(h, 1000) < int(round(fraction * 1000)), F.lit("train"))
                          .otherwise(F.lit("test")))
 
 
 def hash_folds(df: DataFrame, key: str, k: int, seed: int = 0, hash_col: Column | None = None,
                name: str = "fold") -> DataFrame:
-    """O5 (default): fold = ``pmod(hash, k)``; balanced in expectation within every stratum."""
+    """O5 (default): fold = the hash's class of ``k``; balanced in expectation within every stratum."""
     h = hash_col if hash_col is not None else key_hash(key, seed)
-    return df.withColumn(name, F.pmod(h, F.lit(k)).cast("int"))
+    return df.withColumn(name, hash_class(h, k).cast("int"))
 
 
 def stratified_folds(df: DataFrame, key: str, strata: Sequence[str], k: int, seed: int = 0,
-                     hash_col: Column | None = None, name: str = "fold", partitions: int | None = None,
-                     broadcast_limit: int = 1_000_000) -> DataFrame:
+                     hash_col: Column | None = None, name: str = "fold", partitions: int | None = None) -> DataFrame:
     """O5 (exact): within each stratum, rows ordered by (hash, key) get folds 0,1,..,k-1,0,1,..
 
     Equals ``row_number() over (partition by strata order by hash, key) - 1`` mod k, but no task holds
@@ -86,8 +94,8 @@ def stratified_folds(df: DataFrame, key: str, strata: Sequence[str], k: int, see
     2. per (partition, stratum): row count and first position -- a table of at most
        partitions x strata rows;
     3. a running sum over that small table gives each (partition, stratum) the number of rows of its
-       stratum in earlier partitions; rank = offset + position - first position. The small table is
-       broadcast when its measured size is below ``broadcast_limit`` rows."""
+       stratum in earlier partitions; rank = offset + position - first position. Whether the small
+       table is broadcast is left to the optimizer, which measures its bytes."""
     from ..session import cut_lineage
 
     h = hash_col if hash_col is not None else key_hash(key, seed)
@@ -103,8 +111,6 @@ def stratified_folds(df: DataFrame, key: str, strata: Sequence[str], k: int, see
     before = Window.partitionBy(*st).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", *st, "_start", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     o = offsets.select(F.col("_pid").alias("_o_pid"), *[F.col(c).alias(f"_o_{c}") for c in st], "_start", "_off")
-    if o.count() <= broadcast_limit:
-        o = F.broadcast(o)
     cond = F.col("_pid") == F.col("_o_pid")
     for c in st:  # null-safe: a null stratum is a stratum of its own, its rows are kept
         cond = cond & F.col(c).eqNullSafe(F.col(f"_o_{c}"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import money_avg, money_sum, round_half_up, safe_div
+from ..session import cut_lineage
 from .prepare import label_period
 
 
@@ -66,7 +67,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30, log: bool = False, digits
     bin (1..bins), bin_start, n. ``log=True`` bins ``ln(x)`` of positive values."""
     x = F.ln(F.col(col)) if log else F.col(col)
     src = df.where(F.col(col) > 0) if log else df
-    src = src.select(x.alias("x")).where(F.col("x").isNotNull())
+    src = cut_lineage(src.select(x.alias("x")).where(F.col("x").isNotNull()))  # one column, read for the range and the counts
     lo, hi = global_bounds(src, "x")
     if lo is None:
         return src.sparkSession.createDataFrame([], "bin int, bin_start double, n bigint")
@@ -103,13 +104,10 @@ def prediction_curves(df: DataFrame, value: str, grouping_sets: Sequence[Sequenc
     )
 
 
-def distinct_values(df: DataFrame, col: str, limit: int = 10_000) -> list:
-    """Distinct levels of a categorical column, checked against a bound before collecting."""
-    d = df.select(col).distinct()
-    vals = [r[0] for r in d.limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"{col} has more than {limit} distinct values; not a categorical column")
-    return sorted(vals, key=lambda v: (v is None, v))
+def distinct_values(df: DataFrame, col: str) -> list:
+    """Distinct levels of a categorical column, null last. They name the columns of a wide frame, so there are
+    no more of them than such a frame can have."""
+    return sorted((r[0] for r in df.select(col).distinct().collect()), key=lambda v: (v is None, v))
 
 
 def cost_per_install(daily: DataFrame, windows: Mapping[str, tuple[dt.date, dt.date]], spend: str = "daily_spend",

@@ -12,7 +12,7 @@ class FeatureParams:
 
     Defaults follow the decisions recorded in SURVEY §0.1:
     * ``window_days=91``: the install window is ``[T-(day_to+91), T-(day_to+1)]``, both ends inclusive.
-    * ``exclude_qa=True``: game names containing ``qa`` are excluded (the literal pattern never fired).
+    * ``exclude_qa=False``: QA builds stay, as in the reference; ``True`` drops games whose name ends in ``qa``.
     * ``min_age=None``: the horizon has no lower bound, activity before install counts.
     """
 
@@ -21,7 +21,7 @@ class FeatureParams:
     day_to: int = 120
     training_date: dt.date = dt.date(2020, 3, 1)
     window_days: int = 91
-    exclude_qa: bool = True
+    exclude_qa: bool = False
     min_age: int | None = None
     usa_country: str = "United States"
     ios_platform: str = "IOS"
@@ -86,5 +86,5 @@ class CampaignParams:
 # Parameters used with the bundled test tables (FIXTURES.md §2): the commerce world stands in for a game.
 TEST_FEATURES = FeatureParams(
     game="shop", day_from=90, day_to=365, training_date=dt.date(1996, 4, 1), usa_country="NATION_1",
-    ios_platform="BUILDING", organic_publisher="5-LOW", facebook_publisher="1-URGENT",
+    ios_platform="BUILDING", organic_publisher="5-LOW", facebook_publisher="1-URGENT", exclude_qa=True,
 )

@@ -93,11 +93,10 @@ def score_and_publish(tables, p: FeatureParams, cohort_date: dt.date, model: hd.
 
 def backfill_predictions(tables, p: FeatureParams, start: dt.date, end: dt.date,
                          models: Mapping[int, hd.HurdleModel]) -> DataFrame:
-    """Every cohort in [start, end] x every horizon in one job: one feature build (the model
-    inputs do not depend on the horizon), one projection per horizon model; no loop of queries."""
-    mf = feat.model_frame(feat.build_features(tables, p, start, end), p)
-    mf = mf.join(feat.installs_in_window(tables.installs, p, start, end).groupBy("s").agg(
-        F.min("install_dt").alias("cohort_date")), "s")
+    """Every cohort in [start, end] x every horizon in one job: one feature build keyed by (device, cohort
+    date) (the model inputs do not depend on the horizon), one projection per horizon model; no loop of queries.
+    Equals the union of ``score_cohort`` over the days."""
+    mf = feat.model_frame(feat.cohort_features(tables, p, start, end), p)
     cols = []
     for h, model in sorted(models.items()):
         name = f"day_{p.day_from}_day_{h}"
@@ -121,12 +120,13 @@ BASE_FEATURES = ["submissions", "sessions", "avg_rating_received", "united_state
                  "paid_source", "returner"]
 
 
-def player_model_frame(players: DataFrame, spend: DataFrame, categories: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Cleaned players + spend shares wide (R3, J4) + squared and interaction terms."""
+def player_model_frame(players: DataFrame, spend: DataFrame, categories: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """Cleaned players + spend shares wide (R3, J4) + squared and interaction terms (M13). Without ``categories``
+    they are those found in ``spend``."""
     clean = prep.clean_players(players)
     wide = prep.sanitize_names(rs.pivot_long(spend, "player_id", "category_name", "pct_spend", categories,
                                              prefix="Spend Distr "))
-    share_cols = [f"Spend_Distr_{c}" for c in categories]
+    share_cols = [c for c in wide.columns if c != "player_id"]
     df = clean.join(wide, "player_id", "left").fillna(0.0, subset=share_cols)
     df = prep.add_terms(df, prep.PLAYER_SQUARES, prep.PLAYER_INTERACTIONS)
     return df, share_cols
@@ -148,7 +148,7 @@ def linear_specs(share_cols: Sequence[str], insignificant: Sequence[str]) -> dic
             "model_combo": full + sq + inter, "model_refined": refined}
 
 
-def player_value_report(players: DataFrame, spend: DataFrame, categories: Sequence[str],
+def player_value_report(players: DataFrame, spend: DataFrame, categories: Sequence[str] | None = None,
                         insignificant: Sequence[str] = (), folds: int = 10, seed: int = 123) -> dict:
     """Summaries, charts' data, model comparison, CV, coefficients, effects, prediction curves."""
     spark = players.sparkSession
@@ -159,6 +159,7 @@ def player_value_report(players: DataFrame, spend: DataFrame, categories: Sequen
         "group_summary": sm.group_summary(df, flags),
         "histogram": sm.histogram(df, "d365_RPI"),
         "histogram_log": sm.histogram(df, "d365_RPI", log=True),
+        "histogram_rating": sm.histogram(df, "avg_rating_received"),
         "category_mean": sm.category_mean(spend, "category_name", "pct_spend"),
     }
     out["fit_comparison"] = lin.compare_fits(spark, lin.fit_many(df, comparison_specs(shares)))
@@ -176,36 +177,45 @@ def player_value_report(players: DataFrame, spend: DataFrame, categories: Sequen
     out["predictions"] = preds.select("player_id", "d365_RPI", "predictions")
     s, fb, sb, st = "sessions", "facebook_connected", "submissions_bin", "stars_received_bin"
     out["curves"] = sm.prediction_curves(preds.where(F.col("sessions").between(0, 150)), "predictions",
-                                         [[s, fb], [s, fb, sb], [s, fb, sb, st]])
+                                         [[s], [s, fb], [s, fb, sb], [s, fb, sb, st]])
     return out
 
 
 # ---- user-base segmentation (E7) ------------------------------------------------------------------
 
 
-def userbase_features(userbase: DataFrame, spend_keys: Sequence[str], started_keys: Sequence[str],
+def _map_keys(df: DataFrame, col: str) -> list[str]:
+    return sorted(r[0] for r in df.select(F.explode(F.map_keys(col))).distinct().collect())
+
+
+def userbase_features(userbase: DataFrame, spend_keys: Sequence[str] | None, started_keys: Sequence[str] | None,
                       usa_canada: Sequence[str]) -> DataFrame:
-    """Typed, region bucket, text maps to known-key columns, one-hot region/channel.
+    """Typed, region bucket, text maps to one column per key (given, or found in the data), one-hot
+    region/channel.
     (The reference's 100,000-row chunk loop over worker processes becomes this single projection.)"""
-    u = userbase.select(
+    # both maps are parsed once per row; the frame is read for the keys, the levels and the columns
+    u = cut_lineage(userbase.withColumns({"_spent": parse_map("map_of_spent"), "_started": parse_map("map_of_started")}))
+    spend_keys = _map_keys(u, "_spent") if spend_keys is None else spend_keys
+    started_keys = _map_keys(u, "_started") if started_keys is None else started_keys
+    u = u.select(
         "s", "country", "marketing_channel", "veteran", "vip", "club_member",
         (F.col("ltv_7d") / 100).alias("ltv_7d"), F.col("tenure_days").cast("double").alias("tenure_days"),
         F.col("avg_daily_sessions").cast("double").alias("avg_daily_sessions"),
         prep.region_bucket("country", usa_canada).alias("region"),
-        *[F.coalesce(parse_map("map_of_spent")[k], F.lit(0.0)).alias(f"hc_category_{k}") for k in spend_keys],
-        *[F.coalesce(parse_map("map_of_started")[k], F.lit(0.0)).alias(f"competition_{k}") for k in started_keys])
+        *[F.coalesce(F.col("_spent")[k], F.lit(0.0)).alias(f"hc_category_{k}") for k in spend_keys],
+        *[F.coalesce(F.col("_started")[k], F.lit(0.0)).alias(f"competition_{k}") for k in started_keys])
     u = rs.one_hot(u, "region", sm.distinct_values(u, "region"), "region_")
     return rs.one_hot(u, "marketing_channel", sm.distinct_values(u, "marketing_channel"), "channel_")
 
 
-def segment_inputs(userbase: DataFrame, spend_keys: Sequence[str], started_keys: Sequence[str],
+def segment_inputs(userbase: DataFrame, spend_keys: Sequence[str] | None, started_keys: Sequence[str] | None,
                    usa_canada: Sequence[str]):
     """Checkpointed wide user features and their min-max scaled clustering columns (VIP and the
     redundant channel / club / revenue columns are not clustering inputs).
     Returns (features, scaled, used columns, dropped constant columns, spend columns, start columns)."""
-    u = cut_lineage(userbase_features(userbase, spend_keys, started_keys, usa_canada))
-    hc = [f"hc_category_{k}" for k in spend_keys]
-    comp = [f"competition_{k}" for k in started_keys]
+    u = userbase_features(userbase, spend_keys, started_keys, usa_canada)
+    hc = [c for c in u.columns if c.startswith("hc_category_")]
+    comp = [c for c in u.columns if c.startswith("competition_")]
     cluster_cols = ["region_USA_Canada", "tenure_days", "avg_daily_sessions", "veteran", "ltv_7d"] + hc + comp
     cluster_cols = [c for c in cluster_cols if c in u.columns]
     scaled, dropped = sc.min_max_scale(u, cluster_cols, keep=["s", "vip"])
@@ -217,7 +227,7 @@ def segment_inputs(userbase: DataFrame, spend_keys: Sequence[str], started_keys:
 PROFILE_EXTRA = ["tenure_days", "veteran", "vip", "ltv_7d", "avg_daily_sessions"]
 
 
-def segment_users(userbase: DataFrame, spend_keys: Sequence[str], started_keys: Sequence[str],
+def segment_users(userbase: DataFrame, spend_keys: Sequence[str] | None, started_keys: Sequence[str] | None,
                   usa_canada: Sequence[str], ks: Sequence[int] = tuple(range(3, 13)), chosen_k: int | None = 8,
                   seed: int = 123) -> dict:
     """Shares, means, min-max scaling, PCA, k-means sweep (VIP excluded from the inputs), chosen k,

@@ -3,8 +3,6 @@ verified by unit tests against numpy and by properties). Same registry as ``plan
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from ..operators import hurdle as hd
@@ -16,8 +14,7 @@ from ..session import cut_lineage, ensure_checkpoint_dir, right_size
 from ..sources import registry
 from ..sources.testdata import load_world
 from . import jobs
-from .queries import (C, COHORT_DATE, EVENT_TYPES, IMPACT_METRICS, SPEND_CATEGORIES, TEST_USA_CANADA, P,
-                      query)
+from .queries import C, COHORT_DATE, IMPACT_METRICS, REINSTALLS, TEST_USA_CANADA, P, query
 
 # Fixed value of the test mapping: the spend categories treated as "found insignificant" in the
 # refined specification (the analysis drops four categories by name).
@@ -29,7 +26,7 @@ FINAL = {"nrounds": 50, "eta": 0.1, "hurdle": 0.2}
 def _players_frame(spark, sf_dir):
     """One row per player; checkpointed because every fit and its summary make several passes."""
     w = load_world(spark, sf_dir)
-    df, shares = jobs.player_model_frame(w.players, w.spend, SPEND_CATEGORIES)
+    df, shares = jobs.player_model_frame(w.players, w.spend)
     return right_size(cut_lineage(df)), shares
 
 
@@ -83,7 +80,7 @@ def linear_cv(spark, sf_dir):
 
 def _segment_inputs(spark, sf_dir):
     w = load_world(spark, sf_dir)
-    return jobs.segment_inputs(w.userbase, SPEND_CATEGORIES, EVENT_TYPES, TEST_USA_CANADA)
+    return jobs.segment_inputs(w.userbase, None, None, TEST_USA_CANADA)
 
 
 @query("pca_profile")
@@ -127,70 +124,59 @@ def hurdle_cv(spark, sf_dir):
     return hd.summarise_settings(per_fold)
 
 
-def _final(spark, sf_dir):
-    """Fit with the final setting on the training split; hold-out metrics on the test split."""
+def train_final(w, day_to=P.day_to, **setting):
+    """Fit with the final setting on the training split; hold-out metrics on the test split. Returns (model, holdout)."""
     from dataclasses import replace
-    w = load_world(spark, sf_dir)
-    frame = jobs.revenue_model_frame(w, P, HP)
-    spec = replace(jobs.base_spec(P, HP), **FINAL)
-    train, test = frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test")
-    model, holdout = hd.fit_final(train, test, spec)
-    return w, model, holdout
-
-
-def _registry(spark, sf_dir):
-    """Model registry under the shared checkpoint folder; the model name carries the data directory
-    and the final setting, so a model is only reused for the same data and parameters."""
-    import dataclasses
-    import hashlib
-
-    from .. import __version__
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/registry"
-    spec_fields = [f.name for f in dataclasses.fields(hd.HurdleSpec)]
-    spec = jobs.base_spec(P, HP)
-    key = hashlib.sha1(f"{__version__}|{spec_fields}|{spec}|{sf_dir}|{P}|{HP}|{sorted(FINAL.items())}".encode()).hexdigest()[:12]
-    return root, f"{P.game}-{key}"
-
-
-def _latest_model(spark, sf_dir):
-    """As the daily scoring does: load the newest saved model, train and save one if there is none."""
-    root, name = _registry(spark, sf_dir)
-    w = load_world(spark, sf_dir)
-    if registry.list_models(spark, root, name).limit(1).count():
-        try:
-            return w, registry.load_latest_model(spark, root, name, P.day_from, P.day_to)
-        except Exception:  # noqa: BLE001 - an unreadable saved model is replaced by a fresh fit
-            pass
-    w, model, _ = _final(spark, sf_dir)
-    registry.save_model(spark, model, root, name, P.day_from, P.day_to)
-    return w, model
+    p = P.with_(day_to=day_to)
+    frame = jobs.revenue_model_frame(w, p, HP)
+    spec = replace(jobs.base_spec(p, HP), **{**FINAL, **setting})
+    return hd.fit_final(frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test"), spec)
 
 
 @query("hurdle_fit")
 def hurdle_fit(spark, sf_dir):
-    """M7: trains, reports hold-out RMSE / MAE, and saves the model to the registry."""
-    w, model, holdout = _final(spark, sf_dir)
-    root, name = _registry(spark, sf_dir)
-    registry.save_model(spark, model, root, name, P.day_from, P.day_to)
-    return holdout
+    """M7: trains and reports hold-out RMSE / MAE."""
+    return train_final(load_world(spark, sf_dir))[1]
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    return _latest_model(spark, sf_dir)[1].feature_importance(spark)
+    return train_final(load_world(spark, sf_dir))[0].feature_importance(spark)
 
 
 @query("score_cohort")
 def score_cohort(spark, sf_dir):
-    w, model = _latest_model(spark, sf_dir)
-    return jobs.score_cohort(w, P, COHORT_DATE, model)
+    w = load_world(spark, sf_dir)
+    return jobs.score_cohort(w, P, COHORT_DATE, train_final(w)[0])
+
+
+# Horizons of the backfill, and the rounds of its four models (the final setting's eta and hurdle).
+BACKFILL_MODELS = (120, 180, 270, 365)
+BACKFILL_ROUNDS = 10
 
 
 @query("backfill_predictions")
 def backfill_predictions(spark, sf_dir):
-    """E5: cohorts of January 1995 scored in one job with the latest saved model."""
-    w, model = _latest_model(spark, sf_dir)
-    return jobs.backfill_predictions(w, P, dt.date(1995, 1, 1), dt.date(1995, 1, 31), {P.day_to: model})
+    """E5: cohorts of January 1995, four horizons, scored in one job with the models of these data."""
+    w = load_world(spark, sf_dir)
+    models = {h: train_final(w, h, nrounds=BACKFILL_ROUNDS)[0] for h in BACKFILL_MODELS}
+    return jobs.backfill_predictions(w, P, *REINSTALLS, models)
+
+
+@query("registry_round_trip")
+def registry_round_trip(spark, sf_dir):
+    """Two versions of a model saved to a new registry, the latest loaded and used for one cohort; its
+    predictions next to those of the model in memory."""
+    import uuid
+    w = load_world(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/queries/registry-{uuid.uuid4().hex}"
+    first, last = (train_final(w, nrounds=n)[0] for n in (2, 5))
+    for model in (first, last):
+        registry.save_model(spark, model, root, P.game, P.day_from, P.day_to)
+    loaded = registry.load_latest_model(spark, root, P.game, P.day_from, P.day_to)
+    name = jobs.prediction_column(P)
+    mine = jobs.score_cohort(w, P, COHORT_DATE, last).withColumnRenamed(name, "in_memory")
+    return jobs.score_cohort(w, P, COHORT_DATE, loaded).withColumnRenamed(name, "loaded").join(mine, "s")
 
 
 @query("impact_local_level")

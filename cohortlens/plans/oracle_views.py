@@ -27,6 +27,13 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                strftime(fo.install_dt, '%d') AS day
         FROM f_first_order fo JOIN customer c ON c.c_custkey = fo.o_custkey
         JOIN nation n ON n.n_nationkey = c.c_nationkey"""),
+    "f_installs_again": (("f_installs",), f"""
+        SELECT s, install_dt, game_name, country, year, month, day FROM f_installs
+        UNION ALL
+        SELECT i.s, m.d, i.game_name, i.country, strftime(m.d, '%Y'), strftime(m.d, '%m'), strftime(m.d, '%d')
+        FROM f_installs i
+        JOIN (SELECT DISTINCT {sid('o_custkey')} AS s, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 5 = 0) m
+          ON m.s = i.s"""),
     "f_touches": ((), """
         SELECT upper('cust-' || CAST(o_custkey AS VARCHAR)) AS adx_id,
                CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END AS publisher_name,
@@ -50,10 +57,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "f_order_stats": (("f_first_order",), """
         SELECT o.o_custkey, fo.install_dt,
                CAST(SUM(CASE WHEN date_diff('day', fo.install_dt, CAST(o.o_orderdate AS DATE)) <= 365
-                             THEN CAST(o.o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS spend_365,
+                             THEN CAST(o.o_totalprice AS DECIMAL(28,6)) END) AS DOUBLE) AS spend_365,
                CAST(SUM(CASE WHEN date_diff('day', fo.install_dt, CAST(o.o_orderdate AS DATE)) <= 7
-                             THEN CAST(o.o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS spend_7,
-               CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spend_all,
+                             THEN CAST(o.o_totalprice AS DECIMAL(28,6)) END) AS DOUBLE) AS spend_7,
+               CAST(SUM(CAST(o.o_totalprice AS DECIMAL(28,6))) AS DOUBLE) AS spend_all,
                COUNT(*) AS submissions,
                MAX(CASE WHEN o.o_orderpriority = '1-URGENT'
                          AND date_diff('day', fo.install_dt, CAST(o.o_orderdate AS DATE)) <= 7 THEN 1 ELSE 0 END) AS paid_source,
@@ -66,7 +73,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT o.o_custkey,
                COUNT(CASE WHEN date_diff('day', fo.install_dt, CAST(l.l_shipdate AS DATE)) <= 90 THEN 1 END) AS sessions,
                CAST(SUM(CASE WHEN date_diff('day', fo.install_dt, CAST(l.l_shipdate AS DATE)) <= 90
-                             THEN CAST(l.l_discount AS DECIMAL(18,2)) END) AS DOUBLE) * 50
+                             THEN CAST(l.l_discount AS DECIMAL(28,6)) END) AS DOUBLE) * 50
                  / COUNT(CASE WHEN date_diff('day', fo.install_dt, CAST(l.l_shipdate AS DATE)) <= 90 THEN l.l_discount END) AS rating,
                COUNT(*) AS lines_all
         FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN f_first_order fo ON fo.o_custkey = o.o_custkey
@@ -81,10 +88,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         JOIN customer c ON c.c_custkey = os.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey"""),
     "f_spend": ((), """
         SELECT t.o_custkey AS player_id, t.p_type AS category_name, t.type_spend / tot.total_spend AS pct_spend
-        FROM (SELECT o.o_custkey, p.p_type, CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS type_spend
+        FROM (SELECT o.o_custkey, p.p_type, CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) AS type_spend
               FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey
               GROUP BY 1, 2) t
-        JOIN (SELECT o.o_custkey, CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spend
+        JOIN (SELECT o.o_custkey, CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) AS total_spend
               FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey
               GROUP BY 1) tot ON tot.o_custkey = t.o_custkey"""),
     "f_event_shares": ((), """
@@ -114,8 +121,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM (SELECT CAST(ts AS DATE) AS date,
                      COUNT(CASE WHEN event_type = 'signup' THEN 1 END) AS organic_installs,
                      COUNT(CASE WHEN event_type = 'click' THEN 1 END) AS paid_installs,
-                     CAST(SUM(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS organic_revenue,
-                     CAST(SUM(CASE WHEN event_type = 'click' THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS daily_spend,
+                     CAST(SUM(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(28,6)) END) AS DOUBLE) AS organic_revenue,
+                     CAST(SUM(CASE WHEN event_type = 'click' THEN CAST(value AS DECIMAL(28,6)) END) AS DOUBLE) AS daily_spend,
                      COUNT(DISTINCT user_id) AS dau
               FROM events GROUP BY 1) d
         LEFT JOIN (SELECT first_date AS date, COUNT(*) AS all_installs
@@ -125,7 +132,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT r.revenue_7_day, r.revenue_7_day / r.users AS rpi_7day
         FROM (SELECT CAST(SUM(CASE WHEN e.event_type = 'purchase'
                                     AND date_diff('day', f.first_date, CAST(e.ts AS DATE)) <= 7
-                                   THEN CAST(e.value AS DECIMAL(18,2)) END) AS DOUBLE) AS revenue_7_day,
+                                   THEN CAST(e.value AS DECIMAL(28,6)) END) AS DOUBLE) AS revenue_7_day,
                      COUNT(DISTINCT e.user_id) AS users
               FROM events e JOIN (SELECT user_id, MIN(CAST(ts AS DATE)) AS first_date FROM events GROUP BY 1) f
                 ON f.user_id = e.user_id) r"""),

@@ -43,11 +43,8 @@ COHORT_DATE = dt.date(1995, 1, 1)
 BACKFILL = (dt.date(1995, 1, 1), dt.date(1995, 3, 31))
 BACKFILL_HORIZONS = (30, 60, 90, 120)
 SPEND_HORIZONS = (30, 60, 90, 120, 365, 730)
-# Fixed values of the test mapping: the two countries standing in for United States / Canada,
-# the item types (spend categories) and event types (competitions) of the test tables.
+# Fixed values of the test mapping: the two countries standing in for United States / Canada.
 TEST_USA_CANADA = ("NATION_1", "NATION_2")
-SPEND_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 PLAYER_FLAGS = ("united_states", "facebook_connected", "paid_source", "returner")
 OVERLAYS = {"Launch": (dt.date(2024, 1, 1), dt.date(2024, 1, 3)),
             "Campaign": (dt.date(2024, 1, 16), dt.date(2024, 1, 29)),
@@ -132,15 +129,92 @@ def cohort_backfill(spark, sf_dir):
     stacked to long form."""
     w = load_world(spark, sf_dir)
     a, b = BACKFILL
-    base = feat.installs_base(feat.installs_in_window(w.installs, P, a, b), feat.first_touch(w.touches, P, a, b))
+    base = feat.cohort_base(w, P, a, b).select("s", "cohort_date", "install_dt")
     spend = feat.spend_by_horizons(base, w.revenue, P, BACKFILL_HORIZONS, b + dt.timedelta(days=max(BACKFILL_HORIZONS)))
-    wide = base.select("s", F.col("install_dt").alias("cohort_date")).join(spend, "s", "left")
+    wide = base.drop("install_dt").join(spend, ["s", "cohort_date"], "left")
     long = wide.unpivot(["s", "cohort_date"], [f"spend_day_{h}" for h in BACKFILL_HORIZONS], "horizon_col", "spend")
     return long.select("cohort_date", "s",
                        F.regexp_extract("horizon_col", r"(\d+)$", 1).cast("int").alias("horizon"),
                        F.coalesce(F.col("spend"), F.lit(0.0)).alias("spend"))
 
 
+REINSTALLS = (dt.date(1995, 1, 1), dt.date(1995, 1, 31))
+
+
+@query("backfill_equals_cohorts")
+def backfill_equals_cohorts(spark, sf_dir):
+    """Features of every cohort of a month in one job, on installs in which devices come back (a second
+    install on later order days, several touches per device). The oracle scores each day by itself."""
+    from types import SimpleNamespace
+    w = load_world(spark, sf_dir)
+    again = SimpleNamespace(installs=w.installs_again, touches=w.touches, sessions=w.sessions, utility=w.utility, revenue=w.revenue)
+    return feat.cohort_features(again, P, *REINSTALLS)
+
+
+@query("cohort_calendar")
+def cohort_calendar(spark, sf_dir):
+    """F20 + J9: every date of the range times every horizon, also dates without installs, with the cohort's size."""
+    w = load_world(spark, sf_dir)
+    a, b = BACKFILL
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(a), F.lit(b))).alias("cohort_date"))
+    size = feat.installs_in_window(w.installs, P, a, b).groupBy("cohort_date").agg(F.countDistinct("s").alias("devices"))
+    horizons = F.explode(F.array(*[F.lit(h) for h in BACKFILL_HORIZONS])).alias("horizon")
+    return days.join(size, "cohort_date", "left").select("cohort_date", F.coalesce("devices", F.lit(0)).alias("devices"), horizons)
+
+
+def _scratch(spark, name):
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/queries/{name}-{uuid.uuid4().hex}"
+
+
+@query("partitions_upsert")
+def partitions_upsert(spark, sf_dir):
+    """S8 + S7 write and read back: cohorts of every day are stored with a 30-day value, then the 60-day value of every
+    third day is refreshed in one write. Days in between keep what they have; a declared column never written stays
+    null."""
+    from ..sources import sinks
+    w = load_world(spark, sf_dir)
+    a, b = REINSTALLS
+    base = feat.cohort_base(w, P, a, b).select("s", "cohort_date", "install_dt")
+    spend = feat.spend_by_horizons(base, w.revenue, P, (30, 60), b + dt.timedelta(days=60))
+    rows = base.drop("install_dt").join(spend, ["s", "cohort_date"], "left").fillna(0.0)
+    path, cols = _scratch(spark, "upsert"), UPSERT_COLUMNS
+    sinks.upsert_partitions(spark, path, rows.select("s", "cohort_date", F.col("spend_day_30").alias(cols[0])), "cohort_date", [cols[0]], cols)
+    third = rows.where(F.dayofmonth("cohort_date") % 3 == 0)
+    sinks.upsert_partitions(spark, path, third.select("s", "cohort_date", F.col("spend_day_60").alias(cols[1])), "cohort_date", [cols[1]], cols)
+    schema = "s string, " + ", ".join(f"{c} double" for c in cols) + ", year string, month string, day string"
+    return spark.read.schema(schema).parquet(path)
+
+
+@query("sources_round_trip")
+def sources_round_trip(spark, sf_dir):
+    """Rows appended to a date partition, the table read by name, with bound parameters, and from a
+    snapshot; whether a cohort is new."""
+    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+    from ..sources import sinks, tables
+    w = load_world(spark, sf_dir)
+    day, missing = dt.date(1995, 1, 2), dt.date(1995, 1, 3)
+    path = _scratch(spark, "append")
+    rows = w.players.select(F.col("player_id").cast("string").alias("s"), F.col("d365_RPI").alias("value"))
+    sinks.append_partition(rows.where("s like '%1'"), path, day)
+    sinks.append_partition(rows.where("s like '%2'"), path, day)
+    schema = StructType([StructField("s", StringType()), StructField("value", DoubleType())])
+    stored = sinks.read_partition(spark, path, day, schema).select("s", "value")
+    snap = tables.snapshot(stored, _scratch(spark, "snapshot"))
+    snap.createOrReplaceTempView("cohort_snapshot")
+    by_name = tables.read_by_name(spark, "cohort_snapshot")
+    bound = tables.read_parametrised(spark, "SELECT s, value FROM cohort_snapshot WHERE value >= :low", low=1000.0)
+    new = {d: sinks.is_new_cohort(sinks.read_partition(spark, path, d, schema)) for d in (day, missing)}
+
+    def line(name, df):
+        return df.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("n"), F.count_distinct("s").alias("devices"))
+    return (line("partition", stored).unionByName(line("snapshot", by_name)).unionByName(line("bound", bound))
+            .withColumns({"day_is_new": F.lit(new[day]), "missing_is_new": F.lit(new[missing])}))
+
+
 UPSERT_OLD = (dt.date(1995, 1, 1), dt.date(1995, 2, 28))
 UPSERT_NEW = (dt.date(1995, 2, 1), dt.date(1995, 3, 31))
 UPSERT_COLUMNS = ("day_90_day_30", "day_90_day_60", "day_90_day_120")
@@ -196,6 +270,11 @@ def histogram_log(spark, sf_dir):
     return sm.histogram(_clean(load_world(spark, sf_dir)), "d365_RPI", 30, log=True)
 
 
+@query("histogram_rating")
+def histogram_rating(spark, sf_dir):
+    return sm.histogram(_clean(load_world(spark, sf_dir)), "avg_rating_received", 30)
+
+
 @query("trend_lines_1d")
 def trend_lines_1d(spark, sf_dir):
     """A17 ungrouped lines of d365 RPI on sessions, submissions and (rating >= 3) rating, in one pass."""
@@ -231,9 +310,8 @@ def trend_lines_category(spark, sf_dir):
 def spend_pivot(spark, sf_dir):
     """R3 + J4: spend shares wide ("Spend Distr <category>", names sanitised), left-joined to players."""
     w = load_world(spark, sf_dir)
-    wide = rs.pivot_long(w.spend, "player_id", "category_name", "pct_spend", SPEND_CATEGORIES, prefix="Spend Distr ")
-    wide = prep.sanitize_names(wide)
-    cols = [f"Spend_Distr_{c}" for c in SPEND_CATEGORIES]
+    wide = prep.sanitize_names(rs.pivot_long(w.spend, "player_id", "category_name", "pct_spend", prefix="Spend Distr "))
+    cols = [c for c in wide.columns if c != "player_id"]
     return _clean(w).select("player_id", "d365_RPI").join(wide, "player_id", "left").fillna(0.0, subset=cols)
 
 
@@ -246,11 +324,11 @@ def add_terms(spark, sf_dir):
 @query("prediction_curves")
 def prediction_curves(spark, sf_dir):
     """A18 with an arithmetic prediction (the model output is tested separately): mean prediction by
-    sessions x facebook, + submissions bin, + stars bin, in one GROUPING SETS pass; chart domain 0..150."""
+    sessions, x facebook, + submissions bin, + stars bin, in one GROUPING SETS pass; chart domain 0..150."""
     b = prep.bin_players(_clean(load_world(spark, sf_dir))).where(F.col("sessions").between(0, 150))
     b = b.withColumn("predictions", F.exp(0.5 + 0.01 * F.col("sessions") + 0.2 * F.col("facebook_connected")))
     s, fb, sb, st = "sessions", "facebook_connected", "submissions_bin", "stars_received_bin"
-    return sm.prediction_curves(b, "predictions", [[s, fb], [s, fb, sb], [s, fb, sb, st]])
+    return sm.prediction_curves(b, "predictions", [[s], [s, fb], [s, fb, sb], [s, fb, sb, st]])
 
 
 @query("sample_n")
@@ -281,17 +359,21 @@ def _rule_inputs(w):
         "player_id",
         (F.col("d365_RPI") / 1000).alias("actual"),
         (F.col("d365_RPI") * F.col("returner") / 100).alias("observed"),
-        (F.pmod(F.col("player_id") * F.lit(smp.HASH_MULTIPLIER), F.lit(1000)) / 1000.0).alias("p"),
+        (smp.hash_class(smp.key_hash("player_id"), 1000) / 1000.0).alias("p"),
         (F.col("sessions") * 1.5 - 20.0).alias("amount"),
     )
 
 
 @query("hurdle_rule")
 def hurdle_rule(spark, sf_dir):
-    x = _rule_inputs(load_world(spark, sf_dir))
+    return _rules(_rule_inputs(load_world(spark, sf_dir)), "player_id")
+
+
+def _rules(x, key):
+    """Every rule's prediction next to ``key``, in one projection."""
     o, p, a = F.col("observed"), F.col("p"), F.col("amount")
     return x.select(
-        "player_id",
+        key,
         *[hurdle.hurdle_prediction(o, p, a, h).alias(f"pred_hurdle_{int(h * 100)}_pct") for h in (0.1, 0.2, 0.3)],
         hurdle.product_prediction(o, p, a).alias("pred_product"),
         hurdle.threshold_prediction(p, a).alias("pred_threshold"),
@@ -301,9 +383,9 @@ def hurdle_rule(spark, sf_dir):
 @query("rmse_mae")
 def rmse_mae(spark, sf_dir):
     w = load_world(spark, sf_dir)
-    preds = hurdle_rule(spark, sf_dir).join(_rule_inputs(w).select("player_id", "actual"), "player_id")
+    preds = _rules(_rule_inputs(w), "actual")
     rules = [c for c in preds.columns if c.startswith("pred_")]
-    long = preds.unpivot(["player_id", "actual"], rules, "rule", "prediction")
+    long = preds.unpivot(["actual"], rules, "rule", "prediction")
     return hurdle.error_metrics(long, "actual", "prediction", ["rule"])
 
 
@@ -316,7 +398,7 @@ def _grid_predictions(w):
         for eta in (0.05, 0.1):
             scaled = a * (nr * eta / 5.0)
             for h in (0.1, 0.2, 0.3):
-                cols[f"nrounds={nr}_eta={eta}|hurdle_{int(h * 100)}_pct"] = hurdle.hurdle_prediction(o, p, scaled, h)
+                cols[f"nrounds={nr}_eta={eta}|hurdle_{h * 100:.10g}_pct"] = hurdle.hurdle_prediction(o, p, scaled, h)
     # long form directly (R4): one (setting, prediction) struct per grid point, exploded
     grid = F.array(*[F.struct(F.lit(k).alias("setting"), v.alias("prediction")) for k, v in cols.items()])
     return x.select("player_id", "fold", "actual", F.inline(grid))
@@ -338,21 +420,20 @@ def best_setting(spark, sf_dir):
 
 # ---- user-base segmentation (E7) ---------------------------------------------------------------
 
-HC_COLS = [f"hc_category_{c}" for c in SPEND_CATEGORIES]
-COMP_COLS = [f"competition_{c}" for c in EVENT_TYPES]
-
-
 def _userbase_wide(w):
-    """One projection of the user base: typed columns, region bucket and both text maps as known-key
-    columns (no self-join)."""
+    """The user base, materialised once for the passes over it: typed columns, region bucket and both text maps as one
+    column per key found in the data. Returns (frame, spend columns, competition columns)."""
     from ..functions.maps import parse_map
-    u = w.userbase
-    spent, started = parse_map("map_of_spent"), parse_map("map_of_started")
+    from ..session import cut_lineage
+    u = cut_lineage(w.userbase.withColumns({"_spent": parse_map("map_of_spent"), "_started": parse_map("map_of_started")}))
+    keys = {c: sorted(r[0] for r in u.select(F.explode(F.map_keys(c))).distinct().collect()) for c in ("_spent", "_started")}
+    spent, started = F.col("_spent"), F.col("_started")
+    hc, comp = [f"hc_category_{k}" for k in keys["_spent"]], [f"competition_{k}" for k in keys["_started"]]
     return u.select("s", "country", "marketing_channel", "veteran", "vip", "club_member",
                     (F.col("ltv_7d") / 100).alias("ltv_7d"), "tenure_days", "avg_daily_sessions",
                     prep.region_bucket("country", TEST_USA_CANADA).alias("region"),
-                    *[F.coalesce(spent[k], F.lit(0.0)).alias(f"hc_category_{k}") for k in SPEND_CATEGORIES],
-                    *[F.coalesce(started[k], F.lit(0.0)).alias(f"competition_{k}") for k in EVENT_TYPES])
+                    *[F.coalesce(spent[k], F.lit(0.0)).alias(f"hc_category_{k}") for k in keys["_spent"]],
+                    *[F.coalesce(started[k], F.lit(0.0)).alias(f"competition_{k}") for k in keys["_started"]]), hc, comp
 
 
 @query("explode_map")
@@ -367,8 +448,9 @@ def parse_map(spark, sf_dir):
 
 @query("map_to_columns")
 def map_to_columns(spark, sf_dir):
-    return rs.map_to_columns(load_world(spark, sf_dir).userbase, "map_of_spent", SPEND_CATEGORIES, "hc_category_",
-                             keep=["s"])
+    from ..session import cut_lineage
+    u = cut_lineage(load_world(spark, sf_dir).userbase.select("s", "map_of_spent"))  # read for its keys, then again
+    return rs.map_to_columns(u, "map_of_spent", "hc_category_", keep=["s"])
 
 
 @query("one_hot")
@@ -385,14 +467,16 @@ def one_hot(spark, sf_dir):
 
 @query("share_of_total")
 def share_of_total(spark, sf_dir):
-    u = load_world(spark, sf_dir).userbase.select(
-        "vip", prep.region_bucket("country", TEST_USA_CANADA).alias("region"))
+    from ..session import cut_lineage
+    u = cut_lineage(load_world(spark, sf_dir).userbase.select(
+        "vip", prep.region_bucket("country", TEST_USA_CANADA).alias("region")))
     return sm.share_of_total(u, "vip").unionByName(sm.share_of_total(u, "region"))
 
 
 @query("column_means")
 def column_means(spark, sf_dir):
-    return sm.column_means(_userbase_wide(load_world(spark, sf_dir)), HC_COLS + COMP_COLS)
+    u, hc, comp = _userbase_wide(load_world(spark, sf_dir))
+    return sm.column_means(u, hc + comp)
 
 
 @query("category_mean")
@@ -400,22 +484,15 @@ def category_mean(spark, sf_dir):
     return sm.category_mean(load_world(spark, sf_dir).spend, "category_name", "pct_spend", alias="spend_distribution_avg")
 
 
-SCALE_COLS = ["veteran", "club_member", "ltv_7d", "tenure_days", "avg_daily_sessions"] + HC_COLS + COMP_COLS
-
-
 @query("min_max_scale")
 def min_max_scale(spark, sf_dir):
-    """M1 + A13: the user base is read twice (bounds, then scaling), so it is materialised once
+    """M1 + A13: the user base is read twice (bounds, then scaling); it is materialised once
     (checkpoint in the shared folder) instead of being recomputed from the raw tables."""
-    from ..session import cut_lineage
-    u = cut_lineage(_userbase_wide(load_world(spark, sf_dir)))
-    scaled, _dropped = sc.min_max_scale(u, SCALE_COLS, keep=["s"])
+    u, hc, comp = _userbase_wide(load_world(spark, sf_dir))
+    scaled, _dropped = sc.min_max_scale(u, ["veteran", "club_member", "ltv_7d", "tenure_days", "avg_daily_sessions"] + hc + comp, keep=["s"])
     return scaled
 
 
-PROFILE_COLS = HC_COLS + COMP_COLS + ["tenure_days", "veteran", "vip", "ltv_7d", "avg_daily_sessions"]
-
-
 def _arith_cluster(u):
     return u.withColumn("cluster8", F.pmod(F.regexp_extract("s", r"(\d+)$", 1).cast("long"), F.lit(8)).cast("int"))
 
@@ -424,14 +501,15 @@ def _arith_cluster(u):
 def cluster_profile(spark, sf_dir):
     """A10 + J7 with an arithmetic label (k-means labels are checked by the model tests)."""
     from ..operators.segments import cluster_profile as profile
-    return profile(_arith_cluster(_userbase_wide(load_world(spark, sf_dir))), "cluster8", PROFILE_COLS)
+    u, hc, comp = _userbase_wide(load_world(spark, sf_dir))
+    return profile(_arith_cluster(u), "cluster8", hc + comp + ["tenure_days", "veteran", "vip", "ltv_7d", "avg_daily_sessions"])
 
 
 @query("transpose_profile")
 def transpose_profile(spark, sf_dir):
     from ..session import cut_lineage
     prof = cut_lineage(cluster_profile(spark, sf_dir))  # small; read for its levels and for the pivot
-    return rs.transpose(prof, "cluster8", ["n"] + PROFILE_COLS)
+    return rs.transpose(prof, "cluster8", [c for c in prof.columns if c != "cluster8"])
 
 
 @query("union_missing")

@@ -68,7 +68,7 @@ class TestWorld:
 
     @cached_property
     def installs(self) -> DataFrame:
-        """game_install: s, install_dt, game_name, country, year, month, day."""
+        """Installs: s, install_dt, game_name, country, year, month, day."""
         c = self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         n = self.table("nation").select("n_nationkey", "n_name")
         df = (
@@ -83,9 +83,18 @@ class TestWorld:
         )
         return df.select("*", *zero_pad_parts(F.col("install_dt"), ("year", "month", "day")))
 
+    @cached_property
+    def installs_again(self) -> DataFrame:
+        """Installs in which devices come back: every fifth order day counts as another install of its customer."""
+        o = self.table("orders").where(F.col("o_orderkey") % 5 == 0)
+        more = o.select(device_id(F.col("o_custkey")).alias("s"), F.to_date("o_orderdate").alias("again")).distinct()
+        again = self.installs.join(more, "s").select("s", F.col("again").alias("install_dt"), "game_name", "country",
+                                                     *zero_pad_parts(F.col("again"), ("year", "month", "day")))
+        return self.installs.unionByName(again)
+
     @cached_property
     def touches(self) -> DataFrame:
-        """adxdata_match_v2: adx_id, publisher_name, game_name, time_stamp, touch_id, yy, mm, dd."""
+        """Ad touches: adx_id, publisher_name, game_name, time_stamp, touch_id, yy, mm, dd."""
         o = self.table("orders")
         df = o.select(
             F.upper(F.concat(F.lit("cust-"), F.col("o_custkey").cast("string"))).alias("adx_id"),
@@ -98,7 +107,7 @@ class TestWorld:
 
     @cached_property
     def revenue(self) -> DataFrame:
-        """daily_revenue: s, game_name, activity_date, amt, channel."""
+        """Revenue: s, game_name, activity_date, amt, channel."""
         o = self.table("orders")
         c = self.table("customer").select("c_custkey", "c_mktsegment")
         pr = F.col("o_orderpriority")
@@ -119,7 +128,7 @@ class TestWorld:
 
     @cached_property
     def sessions(self) -> DataFrame:
-        """user_game_session: s, game_name, activity_date, session_length (one row per lineitem)."""
+        """Sessions: s, game_name, activity_date, session_length (one row per lineitem)."""
         c = self.table("customer").select("c_custkey", "c_mktsegment")
         return self._lines.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
             device_id(F.col("o_custkey")).alias("s"),
@@ -130,7 +139,7 @@ class TestWorld:
 
     @cached_property
     def utility(self) -> DataFrame:
-        """device_sessions_daily: s, game_base, activity_date, utility (one row per device-day)."""
+        """Utility per device and day: s, game_base, activity_date, utility (one row per device-day)."""
         return (
             self._lines.groupBy(device_id(F.col("o_custkey")).alias("s"), F.to_date("l_shipdate").alias("activity_date"))
             .agg(F.sum("l_quantity").alias("utility"))
@@ -145,7 +154,7 @@ class TestWorld:
         holding a large share of all orders reaches the join with at most one row per day."""
         o = self.table("orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
         daily = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("d")).agg(
-            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("amt"),
+            F.sum(F.col("o_totalprice").cast("decimal(28,6)")).alias("amt"),
             F.count(F.lit(1)).alias("k"),
             F.max((F.col("o_orderpriority") == PAID_PRIORITY).cast("int")).alias("urgent"))
         j = daily.join(self._first_order, "o_custkey")
@@ -166,7 +175,7 @@ class TestWorld:
         reduced to one row per (customer, ship day) before the join."""
         daily = self._lines.groupBy("o_custkey", F.to_date("l_shipdate").alias("d")).agg(
             F.count(F.lit(1)).alias("k"),
-            F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("disc"),
+            F.sum(F.col("l_discount").cast("decimal(28,6)")).alias("disc"),
             F.count("l_discount").alias("k_disc"))
         j = daily.join(self._first_order, "o_custkey")
         in90 = F.datediff(F.col("d"), F.col("install_dt")) <= 90

@@ -34,5 +34,5 @@ def test_money_sum_is_order_free_and_matches_duckdb(spark, cs):
     con = duckdb.connect()
     con.execute("CREATE TABLE t(amt DOUBLE)")
     con.executemany("INSERT INTO t VALUES (?)", [(a,) for a in amounts])
-    want = con.execute("SELECT CAST(SUM(CAST(amt AS DECIMAL(18,2))) AS DOUBLE) FROM t").fetchall()[0][0]
+    want = con.execute("SELECT CAST(SUM(CAST(amt AS DECIMAL(28,6))) AS DOUBLE) FROM t").fetchall()[0][0]
     assert got == got2 == want

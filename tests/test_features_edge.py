@@ -11,7 +11,7 @@ from cohortlens.operators import features as feat
 from cohortlens.params import FeatureParams
 
 D = dt.date
-P = FeatureParams(game="mygame", day_from=7, day_to=30, training_date=D(2020, 3, 1))  # window 2019-11-01..2020-01-30
+P = FeatureParams(game="mygame", day_from=7, day_to=30, training_date=D(2020, 3, 1), exclude_qa=True)  # window 2019-11-01..2020-01-30
 
 
 def parts(d):

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from cohortlens.params import TEST_FEATURES, CampaignParams, HurdleParams
 from cohortlens.plans import jobs
-from cohortlens.plans.queries import EVENT_TYPES, OVERLAYS, SPEND_CATEGORIES, TEST_USA_CANADA
+from cohortlens.plans.queries import OVERLAYS, TEST_USA_CANADA
 from cohortlens.sources.testdata import load_world
 from conftest import SF_MID, SF_SMALL
 
 
 def test_player_value_report(spark):
     w = load_world(spark, SF_SMALL)
-    out = jobs.player_value_report(w.players, w.spend, SPEND_CATEGORIES,
+    out = jobs.player_value_report(w.players, w.spend, None,
                                    insignificant=("Spend_Distr_LARGE", "Spend_Distr_MEDIUM"), folds=3)
     comp = {r["model"]: r for r in out["fit_comparison"].collect()}
     assert set(comp) == {"model_full", "model_no_spend_distribution", "model_full_log", "model_no_spend_distribution_log"}
@@ -32,7 +32,7 @@ def test_player_value_report(spark):
 
 def test_segment_users(spark):
     w = load_world(spark, SF_SMALL)
-    out = jobs.segment_users(w.userbase, SPEND_CATEGORIES, EVENT_TYPES, TEST_USA_CANADA, ks=(3, 4, 5), chosen_k=4)
+    out = jobs.segment_users(w.userbase, None, None, TEST_USA_CANADA, ks=(3, 4, 5), chosen_k=4)
     assert out["k"] == 4
     assert out["clusters"].count() == w.userbase.count()
     prof = out["profile"].collect()
@@ -94,15 +94,17 @@ def test_query_registry_rejects_duplicates():
 
 
 @pytest.mark.slow
-def test_scoring_queries_reuse_saved_model(spark):
-    import __spark_entry__ as entry
+def test_backfill_equals_scoring_the_days_alone(spark):
+    from types import SimpleNamespace
     from cohortlens.plans import model_queries as mq
-    from cohortlens.sources import registry
-    q = entry.queries()
-    q["hurdle_fit"](spark, SF_SMALL).collect()
-    root, name = mq._registry(spark, SF_SMALL)
-    n_models = registry.list_models(spark, root, name).count()
-    assert n_models >= 1
-    assert q["score_cohort"](spark, SF_SMALL).count() >= 0
-    assert q["backfill_predictions"](spark, SF_SMALL).count() >= 0
-    assert registry.list_models(spark, root, name).count() == n_models  # loaded, not retrained and saved
+    w = load_world(spark, SF_SMALL)
+    again = SimpleNamespace(**{t: getattr(w, t) for t in ("touches", "sessions", "utility", "revenue")}, installs=w.installs_again)
+    model, _ = mq.train_final(w, nrounds=3)
+    a, days = dt.date(1995, 1, 1), 12
+    whole = jobs.backfill_predictions(again, TEST_FEATURES, a, a + dt.timedelta(days - 1), {TEST_FEATURES.day_to: model})
+    got = sorted((r["s"], r["cohort_date"], r[2]) for r in whole.collect())
+    want = []
+    for k in range(days):
+        d = a + dt.timedelta(k)
+        want += [(r["s"], d, r[1]) for r in jobs.score_cohort(again, TEST_FEATURES, d, model).collect()]
+    assert len(want) >= 5 and got == sorted(want)

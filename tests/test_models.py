@@ -110,7 +110,7 @@ def test_local_level_numpy(spark):
     pre = 10 + rng.normal(scale=0.5, size=12)
     mean, sd, sd_cum = imp.local_level_forecast(pre, 5)
     assert np.allclose(mean, mean[0]) and abs(mean[0] - pre[-6:].mean()) < 1.5
-    assert np.all(np.diff(sd) >= 0) and sd_cum > sd[0]
+    assert np.all(np.diff(sd) >= 0) and np.all(np.diff(sd_cum) > 0) and np.isclose(sd_cum[0], sd[0])
     vals = list(pre) + [12.0] * 8
     start = dt.date(2024, 1, 1)
     w = ImpactWindows((start, start + dt.timedelta(11)), (start + dt.timedelta(12), start + dt.timedelta(19)))
@@ -120,6 +120,33 @@ def test_local_level_numpy(spark):
     assert math.isclose(out[-1]["cumulative_effect"], float(np.sum(12.0 - m8)), rel_tol=1e-9)
 
 
+def test_local_level_starts_with_the_post_period_and_counts_missing_days(spark):
+    rng = np.random.default_rng(4)
+    pre = list(10 + rng.normal(scale=0.5, size=10))
+    start = dt.date(2024, 1, 1)
+    df = _daily(spark, pre + [99.0] * 5 + [12.0] * 5).where(F.col("date") != start + dt.timedelta(4))
+    w = ImpactWindows((start, start + dt.timedelta(9)), (start + dt.timedelta(15), start + dt.timedelta(19)))
+    out = imp.impact_local_level(df, ["m"], w).orderBy("date").collect()
+    assert [r["date"] for r in out] == [start + dt.timedelta(k) for k in range(15, 20)]  # not the days in between
+    pre[4] = np.nan
+    mean, sd, cum = imp.local_level_forecast(np.array(pre), np.arange(6, 11))
+    assert np.allclose([r["predicted"] for r in out], mean) and np.allclose([r["cumulative_sd"] for r in out], cum)
+    # the running sum's variance, from the covariance of the days: p + ratio * min(h_i, h_j), plus noise
+    z = (np.array(pre) - np.nanmean(pre)) / np.nanstd(pre)
+    _, p, vs, fs = imp._filter(z, imp.DEFAULT_LEVEL_RATIO)
+    h = np.arange(6, 11)
+    cov = p + imp.DEFAULT_LEVEL_RATIO * np.minimum.outer(h, h) + np.eye(5)
+    scale = np.nanstd(pre) * math.sqrt(np.mean(vs * vs / fs))
+    assert np.allclose(cum, [scale * math.sqrt(cov[:n, :n].sum()) for n in range(1, 6)])
+
+
+def test_large_means_are_not_collinear(spark):
+    rng = np.random.default_rng(3)
+    x1, x2 = 100_000 + rng.normal(size=400), rng.normal(size=400)
+    df = spark.createDataFrame([(float(a), float(b), float(a - 3 * b), 7.0) for a, b in zip(x1, x2)], "x1 double, x2 double, mix double, c double")
+    assert lin.aliased_columns(df, ["x1", "x2", "mix", "c"]) == ["mix", "c"]
+
+
 def test_kmeans_and_pca_properties(spark):
     rng = np.random.default_rng(2)
     pts = np.vstack([rng.normal(loc=c, scale=0.1, size=(50, 3)) for c in (0, 3, 6)])

@@ -85,7 +85,7 @@ def test_partition_pruning_in_feature_build(partitioned):
                feat.scoring_features(partitioned, TEST_FEATURES, dt.date(1995, 1, 1))):
         plan = _plan(df)
         scans = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and ("/installs" in ln or "/touches" in ln)]
-        assert len(scans) == 2
+        assert len(scans) >= 2
         for ln in scans:
             pf = re.search(r"PartitionFilters: \[([^\]]*)\]", ln).group(1)
             assert "concat_ws" in pf, ln  # the date-range predicate prunes partitions

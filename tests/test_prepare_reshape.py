@@ -102,10 +102,26 @@ def test_histogram_max_in_last_bin(spark):
     assert sum(h.values()) == 31 and max(h) == 30 and h[30] == 2
 
 
-def test_distinct_values_bound(spark):
-    df = spark.createDataFrame([(i,) for i in range(20)], "c int")
-    with pytest.raises(ValueError):
-        sm.distinct_values(df, "c", limit=10)
+def test_levels_and_keys_come_from_the_data(spark):
+    df = spark.createDataFrame([(1, "{a=1, b=2, a=3}", "x"), (2, None, None), (3, "{c=oops}", "x")], "id int, m string, g string")
+    assert sm.distinct_values(df, "g") == ["x", None]
+    hot = sorted(map(tuple, rs.one_hot(df, "g", sm.distinct_values(df, "g")).select("id", "g_x", "g_missing").collect()))
+    assert hot == [(1, 1, 0), (2, 0, 1), (3, 1, 0)]
+    wide = rs.map_to_columns(df, "m", "k_", keep=["id"])
+    assert wide.columns == ["id", "k_a", "k_b", "k_c"]
+    assert sorted(map(tuple, wide.collect())) == [(1, 3.0, 2.0, 0.0), (2, 0.0, 0.0, 0.0), (3, 0.0, 0.0, 0.0)]
+    long = spark.createDataFrame([(1, "p", 0.5), (1, "unlisted", 0.5)], "id int, n string, v double")
+    assert rs.pivot_long(long, "id", "n", "v").columns == ["id", "p", "unlisted"]
+
+
+def test_sums_below_a_cent_and_literal_game_names(spark):
+    from cohortlens.functions.scalar import match_game, money_sum
+    assert spark.range(1000).select(F.lit(0.004).alias("x")).agg(money_sum("x")).first()[0] == 4.0
+    df = spark.createDataFrame([("MygameQatar_IOS",), ("MygameQA_IOS",), ("my.game_IOS",)], "g string")
+    keep = lambda game, qa: [r[0] for r in df.select(match_game("g", game, qa)).collect()]
+    assert keep("Mygame", False) == [True, True, False]
+    assert keep("Mygame", True) == [True, False, False]
+    assert keep("My.Game", False) == [False, False, True]
 
 
 def test_projection_helpers(spark):

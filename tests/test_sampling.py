@@ -38,13 +38,26 @@ def test_split_stable_under_repartition(spark):
     assert 0.85 < share < 0.95
 
 
-def test_sample_n_exact_and_large_path(spark):
+def test_sample_n_is_the_smallest_hashes(spark):
     df = frame(spark, 3000)
-    small = {r["k"] for r in smp.sample_n(df, 50, "k", seed=5).collect()}
-    large = {r["k"] for r in smp.sample_n(df, 50, "k", seed=5, small=10).collect()}  # threshold path
-    assert len(small) == 50 and small == large
-    again = {r["k"] for r in smp.sample_n(df.repartition(9), 50, "k", seed=5).collect()}
-    assert again == small
+    order = [r["k"] for r in df.orderBy(smp.key_hash("k", 5), "k").collect()]
+    for n in (0, 1, 50, 2999, 3000, 5000):
+        assert {r["k"] for r in smp.sample_n(df, n, "k", seed=5).collect()} == set(order[:n])
+    assert {r["k"] for r in smp.sample_n(df.repartition(9), 50, "k", seed=5).collect()} == set(order[:50])
+
+
+def test_large_sample_sorts_one_hash_class_only(spark):
+    df = spark.range(1_200_000).select(F.col("id").alias("k"))
+    out = smp.sample_n(df, 1_000_000, "k")
+    assert out.count() == 1_000_000
+    assert "Union" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_classes_are_uniform_within_residues_and_for_large_keys(spark):
+    for start, step in ((0, 2), (1, 2), (0, 10), (3, 1024), (4_000_000_000, 1), (2**62, 1), (-5000, 1)):
+        df = spark.range(5000).select((F.lit(start) + F.col("id") * step).alias("k"))
+        counts = [r["count"] for r in smp.hash_folds(df, "k", 10).groupBy("fold").count().collect()]
+        assert len(counts) == 10 and min(counts) > 350 and max(counts) < 650, (start, step, counts)
 
 
 def test_stratified_folds_keep_null_strata(spark):

@@ -144,7 +144,7 @@ def local_level_forecast(pre: np.ndarray, steps: int | np.ndarray, ratio: float
 
 
 def impact_local_level(daily: DataFrame, metrics: Sequence[str], windows: ImpactWindows,
-                       ratio: float | str = DEFAULT_LEVEL_RATIO) -> DataFrame:
+                       ratio: float | str = DEFAULT_LEVEL_RATIO, digits: int = 6) -> DataFrame:
     """M9 with a local-level baseline, one pandas group per metric (bounded by the days of both periods).
 
     The level moves once per calendar day, whether or not that day was observed: a missing day counts as time, and
@@ -178,7 +178,8 @@ def impact_local_level(daily: DataFrame, metrics: Sequence[str], windows: Impact
 
     schema = ("metric string, date date, actual double, predicted double, predicted_lower double, "
               "predicted_upper double, point_effect double, cumulative_effect double, cumulative_sd double")
-    return long.groupBy("metric").applyInPandas(fit, schema)
+    out = long.groupBy("metric").applyInPandas(fit, schema)
+    return out.select("metric", "date", *[round_half_up(c, digits).alias(c) for c in out.columns[2:]])
 
 
 def organic_ltv(revenue_7day: DataFrame, attributed_installs: float, multiplier: float = 3.0,

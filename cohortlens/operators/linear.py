@@ -1,56 +1,87 @@
 """Linear models of long-term value.
 
-Fits use Spark ML ``GeneralizedLinearRegression`` (gaussian, identity; normal-equation solver: one
-distributed pass builds the p x p Gram matrix). Before fitting, aliased (exactly collinear) columns are
-removed in input order, as R's ``lm`` does, because Spark's normal solver silently returns unusable
-standard errors on a singular Gram matrix. The rank check itself uses one aggregate of cross products
-(p x p numbers reach the driver, never rows).
+All fits come from sums: one pass for the means of every column and response, one for the cross products of the
+centred columns, kept per fold where folds are asked for. Both are aggregates with map-side partial sums; p x p numbers
+per fold reach the driver, never rows. Coefficients, standard errors, R2, AIC, variance inflation and the held-out
+error of every fold and specification are then solved from the same matrices, so any number of specifications costs two
+passes. Aliased (exactly collinear) columns are removed in input order, as R's ``lm`` does.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
-from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def gram(df: DataFrame, cols: Sequence[str]) -> tuple[np.ndarray, int]:
-    """Cross-product matrix of [1, cols] in one aggregate pass."""
-    cs = ["__one__"] + list(cols)
-    x = df.select(F.lit(1.0).alias("__one__"), *[F.col(c).cast("double").alias(c) for c in cols])
-    exprs = [F.sum(F.col(a) * F.col(b)).alias(f"g_{i}_{j}") for i, a in enumerate(cs) for j, b in enumerate(cs) if j >= i]
-    r = x.agg(*exprs).first()
-    n = len(cs)
-    g = np.zeros((n, n))
-    for i in range(n):
-        for j in range(i, n):
-            g[i, j] = g[j, i] = r[f"g_{i}_{j}"] or 0.0
-    return g, int(round(g[0, 0]))
-
-
-def gram_by_group(df: DataFrame, cols: Sequence[str], group: str) -> dict:
-    """Cross-product matrices of [1, cols] for every level of ``group`` in one grouped aggregate
-    (levels x p^2 numbers reach the driver)."""
-    cs = ["__one__"] + list(cols)
-    x = df.select(F.col(group), F.lit(1.0).alias("__one__"), *[F.col(c).cast("double").alias(c) for c in cols])
-    pairs = [(i, j) for i in range(len(cs)) for j in range(i, len(cs))]
-    rows = x.groupBy(group).agg(*[F.sum(F.col(cs[i]) * F.col(cs[j])).alias(f"g_{i}_{j}") for i, j in pairs]).collect()
-    out = {}
-    for r in rows:
-        g = np.zeros((len(cs), len(cs)))
+def _response(label: str, log_label: bool) -> Column:
+    return F.log(F.col(label)) if log_label else F.col(label).cast("double")
+
+
+@dataclass
+class Moments:
+    """Cross products of [1, centred columns] in total and per group, and the columns' means."""
+
+    names: list[str]
+    means: np.ndarray
+    total: np.ndarray
+    groups: dict
+
+    def index(self, names: Sequence[str]) -> list[int]:
+        return [self.names.index(c) + 1 for c in names]
+
+
+def moments(df: DataFrame, features: Sequence[str], responses: Mapping[str, tuple[str, bool]] | None = None,
+            group: str | None = None) -> Moments:
+    """Moments of ``features`` and of ``responses`` (name -> (label, log)); nulls are an error, as in a model fit."""
+    responses = dict(responses or {})
+    names = list(dict.fromkeys(features)) + list(responses)
+    keys = [F.col(group).alias("_g")] if group else [F.lit(0).alias("_g")]
+    x = df.select(*keys, *[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(names[:len(names) - len(responses)])],
+                  *[_response(*r).alias(f"_{i}") for i, r in enumerate(responses.values(), len(names) - len(responses))])
+    k = len(names)
+    first = x.agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"_{i}").alias(f"m{i}") for i in range(k)],
+                  *[F.count(f"_{i}").alias(f"c{i}") for i in range(k)]).first()
+    missing = [c for i, c in enumerate(names) if first[f"c{i}"] < first["n"]]
+    if missing:
+        raise ValueError(f"null values in {missing}; fill or filter them before a fit")
+    means = np.array([first[f"m{i}"] or 0.0 for i in range(k)])
+    c = [F.lit(1.0)] + [F.col(f"_{i}") - F.lit(float(means[i])) for i in range(k)]
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    groups = {}
+    for r in x.groupBy("_g").agg(*[F.sum(c[i] * c[j]).alias(f"g{i}_{j}") for i, j in pairs]).collect():
+        g = np.zeros((k + 1, k + 1))
         for i, j in pairs:
-            g[i, j] = g[j, i] = r[f"g_{i}_{j}"] or 0.0
-        out[r[group]] = g
-    return out
+            g[i, j] = g[j, i] = r[f"g{i}_{j}"]
+        groups[r["_g"]] = g
+    return Moments(names, means, sum(groups.values(), np.zeros((k + 1, k + 1))), groups)
+
+
+def t_two_sided(t: float, df: int) -> float:
+    """Two-sided p-value of Student's t: the regularised incomplete beta function at df / (df + t^2), by its continued
+    fraction."""
+    if df <= 0 or math.isnan(t):
+        return float("nan")
+    a, b, x = df / 2, 0.5, df / (df + t * t)
+    if x >= 1.0:
+        return 1.0
+
+    def fraction(a: float, b: float, x: float) -> float:
+        c, d = 1.0, 1.0 / (1.0 - (a + b) * x / (a + 1))
+        h = d
+        for m in range(1, 500):
+            for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+                d, c = 1.0 / (1.0 + num * d), 1.0 + num / c
+                h *= c * d
+            if abs(c * d - 1.0) < 1e-15:
+                break
+        return h
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) if x > 0 else 0.0
+    return front * fraction(a, b, x) / a if x < (a + 1) / (a + b + 2) else 1.0 - front * fraction(b, a, 1 - x) / b
 
 
 def aliased_from_gram(g: np.ndarray, cols: Sequence[str], tol: float = 1e-12) -> list[str]:
@@ -85,56 +116,55 @@ def aliased_from_gram(g: np.ndarray, cols: Sequence[str], tol: float = 1e-12) ->
 
 def aliased_columns(df: DataFrame, cols: Sequence[str], tol: float = 1e-12) -> list[str]:
     """Columns that are linear combinations of the intercept and earlier columns (input order)."""
-    g, _n = gram(df, cols)
-    return aliased_from_gram(g, cols, tol)
+    return aliased_from_gram(moments(df, cols).total, cols, tol)
 
 
 @dataclass
 class LinearFit:
+    """Least-squares fit with intercept, solved from cross products."""
+
     label: str
     log_label: bool
     features: list[str]
     dropped: list[str]
-    model: GeneralizedLinearRegressionModel
-
-    @property
-    def n(self) -> int:
-        """Rows used by the fit (from the training summary, computed on first use only)."""
-        return int(self.model.summary.numInstances)
+    coef: np.ndarray
+    intercept: float
+    std_errors: np.ndarray
+    n: int
+    rss: float
+    tss: float
 
     @property
     def response(self) -> str:
         return f"log({self.label})" if self.log_label else self.label
 
     def summary_row(self, name: str) -> tuple:
-        s = self.model.summary
         p = len(self.features)
-        r2 = 1.0 - s.deviance / s.nullDeviance if s.nullDeviance else float("nan")
+        r2 = 1.0 - self.rss / self.tss if self.tss else float("nan")
         adj = 1.0 - (1.0 - r2) * (self.n - 1) / (self.n - p - 1) if self.n - p - 1 > 0 else float("nan")
-        return (name, self.response, float(r2), float(adj), float(s.aic), self.n, p)
+        aic = self.n * (math.log(2 * math.pi * self.rss / self.n) + 1) + 2 * (p + 2) if self.rss > 0 else float("-inf")
+        return (name, self.response, float(r2), float(adj), float(aic), self.n, p)
 
     def coefficients(self, spark, marker: str = "Distr") -> DataFrame:
         """Term, estimate, std_error, statistic, p_value and the transformed estimate:
         ``(exp(b) - 1) * 100`` (percent change), or ``exp(b) - 1`` for share terms containing
         ``marker``; intercept excluded, share terms last (U2)."""
-        s = self.model.summary
-        est = list(self.model.coefficients)
-        se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues  # intercept last
         rows = []
         for i, term in enumerate(self.features):
-            b = float(est[i])
+            b, se = float(self.coef[i]), float(self.std_errors[i])
+            t = b / se if se else float("nan")
             tr = math.exp(b) - 1 if marker in term else (math.exp(b) - 1) * 100
-            rows.append((term, b, tr, float(se[i]), float(tv[i]), float(pv[i]), int(marker in term)))
+            rows.append((term, b, tr, se, t, t_two_sided(t, self.n - len(self.features) - 1), int(marker in term)))
         df = spark.createDataFrame(rows, "term string, estimate double, transformed_estimate double, std_error double, "
                                          "statistic double, p_value double, is_share int")
         return df.orderBy("is_share", "term").drop("is_share")
 
     def predict(self, df: DataFrame, name: str = "prediction", back_transform: bool = True, smearing: float = 1.0) -> DataFrame:
         """Predictions; for log-response models ``exp(pred)`` (times the smearing factor)."""
-        x = VectorAssembler(inputCols=self.features, outputCol="_x", handleInvalid="error").transform(df)
-        out = self.model.setFeaturesCol("_x").setPredictionCol("_pred").transform(x).drop("_x")
-        pred = F.exp(F.col("_pred")) * smearing if (self.log_label and back_transform) else F.col("_pred")
-        return out.withColumn(name, pred).drop("_pred")
+        pred = F.lit(float(self.intercept))
+        for c, b in zip(self.features, self.coef, strict=True):
+            pred = pred + F.lit(float(b)) * F.col(c).cast("double")
+        return df.withColumn(name, F.exp(pred) * smearing if (self.log_label and back_transform) else pred)
 
     def smearing_factor(self, df: DataFrame) -> float:
         """Duan's smearing estimate ``mean(exp(residual))`` for log models (option, SURVEY Q24)."""
@@ -153,7 +183,7 @@ class LinearFit:
         the derived columns: ``b_sq (to^2 - frm^2)`` for ``squares[column]`` and ``b_xz z (to - frm)`` for
         each interaction with another column ``z``, evaluated at ``at[z]`` (e.g. ``typical_values``).
         ``transform`` gives the percent change for log models."""
-        coef = dict(zip(self.features, map(float, self.model.coefficients)))
+        coef = dict(zip(self.features, map(float, self.coef)))
         slope = coef.get(column, 0.0) * (to - frm)
         if derived:
             sq = (squares or {}).get(column)
@@ -175,32 +205,40 @@ def typical_values(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -
     return {c: float(r[c]) for c in cols}
 
 
-def _assemble(df: DataFrame, features: Sequence[str], label: str, log_label: bool) -> DataFrame:
-    y = F.log(F.col(label)) if log_label else F.col(label).cast("double")
-    x = df.select(*[F.col(c).cast("double").alias(c) for c in features], y.alias("_y"), F.col(label))
-    return VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="error").transform(x)
+def solve(m: Moments, features: Sequence[str], response: str, label: str, log_label: bool, g: np.ndarray | None = None,
+          drop_aliased: bool = True) -> LinearFit:
+    """The fit of ``response`` on ``features`` from cross products ``g`` (default: all rows)."""
+    g = m.total if g is None else g
+    at = m.index(features)
+    dropped = aliased_from_gram(g[np.ix_([0, *at], [0, *at])], list(features)) if drop_aliased else []
+    feats = [c for c in features if c not in dropped]
+    idx = [0, *m.index(feats)]
+    y = m.index([response])[0]
+    unit = np.sqrt(np.maximum(np.diag(g)[idx], 1e-300))
+    inverse = np.linalg.inv(g[np.ix_(idx, idx)] / np.outer(unit, unit)) / np.outer(unit, unit)
+    b = inverse @ g[idx, y]
+    n = int(round(g[0, 0]))
+    rss = max(float(g[y, y] - b @ g[idx, y]), 0.0)
+    left = n - len(idx)
+    se = np.sqrt(np.maximum(np.diag(inverse), 0) * (rss / left if left > 0 else float("nan")))
+    mean = m.means[[i - 1 for i in idx[1:]]]
+    return LinearFit(label, log_label, feats, dropped, b[1:], float(b[0] - b[1:] @ mean + m.means[y - 1]), se[1:], n, rss,
+                     float(g[y, y] - g[0, y] ** 2 / max(n, 1)))
 
 
 def fit_linear(df: DataFrame, features: Sequence[str], label: str, log_label: bool = False,
                drop_aliased: bool = True) -> LinearFit:
-    """Gaussian GLM with intercept; aliased columns dropped first (input order)."""
-    dropped = aliased_columns(df, features) if drop_aliased else []
-    feats = [c for c in features if c not in dropped]
-    data = _assemble(df, feats, label, log_label)
-    glr = GeneralizedLinearRegression(family="gaussian", link="identity", featuresCol="_x", labelCol="_y",
-                                      solver="irls", maxIter=25)
-    return LinearFit(label, log_label, feats, dropped, glr.fit(data))
-
+    """Least squares with intercept; aliased columns dropped first (input order)."""
+    m = moments(df, features, {"_response": (label, log_label)})
+    return solve(m, features, "_response", label, log_label, drop_aliased=drop_aliased)
 
-def fit_many(df: DataFrame, specs: Mapping[str, tuple], parallelism: int = 4) -> dict[str, LinearFit]:
-    """Several independent fits submitted concurrently: ``specs`` maps a name to
-    ``(features, label, log_label)``."""
-    def run(item):
-        name, (features, label, log_label) = item
-        return name, fit_linear(df, features, label, log_label)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return dict(pool.map(run, specs.items()))
+def fit_many(df: DataFrame, specs: Mapping[str, tuple]) -> dict[str, LinearFit]:
+    """Several fits from the same two passes: ``specs`` maps a name to ``(features, label, log_label)``."""
+    union = [c for features, _, _ in specs.values() for c in features]
+    responses = {f"_{label}_{log}": (label, log) for _, label, log in specs.values()}
+    m = moments(df, union, responses)
+    return {name: solve(m, features, f"_{label}_{log}", label, log) for name, (features, label, log) in specs.items()}
 
 
 def compare_fits(spark, fits: Mapping[str, LinearFit]) -> DataFrame:
@@ -212,46 +250,30 @@ def compare_fits(spark, fits: Mapping[str, LinearFit]) -> DataFrame:
 
 def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Variance inflation factors = diagonal of the inverse correlation matrix (p x p on the driver)."""
-    x = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="error").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in features]))
-    corr = Correlation.corr(x, "_x").first()[0].toArray()
-    inv = np.linalg.pinv(corr)
-    rows = [(c, float(inv[i, i])) for i, c in enumerate(features)]
-    return df.sparkSession.createDataFrame(rows, "variable string, vif double")
+    g = moments(df, features).total[1:, 1:]
+    unit = np.sqrt(np.diag(g))
+    inv = np.linalg.pinv(g / np.outer(unit, unit))
+    return df.sparkSession.createDataFrame([(c, float(inv[i, i])) for i, c in enumerate(features)], "variable string, vif double")
 
 
 def linear_cv(df: DataFrame, specs: Mapping[str, Sequence[str]], label: str, log_label: bool = True, k: int = 10,
-              fold_col: str = "fold", parallelism: int = 8) -> tuple[DataFrame, DataFrame]:
-    """K-fold RMSE of every specification (hash folds in ``fold_col``).
+              fold_col: str = "fold") -> tuple[DataFrame, DataFrame]:
+    """K-fold RMSE of every specification (hash folds in ``fold_col``), all from the cross products per fold: a
+    training split's are the total less its fold's, and the held-out error is a quadratic form of the fold's.
     Returns (per-fold rows: model, fold, rmse; summary: model, rmse = mean over folds)."""
-    spark = df.sparkSession
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
-    tasks = [(name, f) for name in specs for f in range(k)]
-    # aliased columns of every training split from one grouped aggregate: train Gram = total - fold
-    union = list(dict.fromkeys(c for cols in specs.values() for c in cols))
-    by_fold = gram_by_group(data, union, fold_col)
-    total = sum(by_fold.values())
-
-    def train_features(name, f):
-        cols = list(specs[name])
-        idx = [0] + [union.index(c) + 1 for c in cols]
-        g = (total - by_fold.get(f, 0.0))[np.ix_(idx, idx)]
-        dropped = aliased_from_gram(g, cols)
-        return [c for c in cols if c not in dropped]
-
-    def run(task):
-        name, f = task
-        fit = fit_linear(data.where(F.col(fold_col) != f), train_features(name, f), label, log_label,
-                         drop_aliased=False)
-        held = fit.predict(data.where(F.col(fold_col) == f), "_p", back_transform=False)
-        y = F.log(F.col(label)) if log_label else F.col(label)
-        r = held.agg(F.sqrt(F.avg((y - F.col("_p")) ** 2)).alias("rmse")).first()
-        return (name, f, float(r["rmse"]) if r["rmse"] is not None else float("nan"))
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = list(pool.map(run, tasks))
-    finally:
-        data.unpersist()
-    per_fold = spark.createDataFrame(rows, "model string, fold int, rmse double")
+    m = moments(df, [c for cols in specs.values() for c in cols], {"_response": (label, log_label)}, fold_col)
+    y, rows = m.index(["_response"])[0], []
+    for name, cols in specs.items():
+        for f in range(k):
+            held = m.groups.get(f)
+            if held is None:
+                rows.append((name, f, float("nan")))
+                continue
+            fit = solve(m, list(cols), "_response", label, log_label, m.total - held)
+            idx = [0, *m.index(fit.features)]
+            centred = fit.intercept + fit.coef @ m.means[[i - 1 for i in idx[1:]]] - m.means[y - 1]
+            b = np.concatenate([[centred], fit.coef])
+            sse = held[y, y] - 2 * b @ held[idx, y] + b @ held[np.ix_(idx, idx)] @ b
+            rows.append((name, f, math.sqrt(max(float(sse), 0.0) / held[0, 0])))
+    per_fold = df.sparkSession.createDataFrame(rows, "model string, fold int, rmse double")
     return per_fold, per_fold.groupBy("model").agg(F.avg("rmse").alias("rmse"))

@@ -57,7 +57,7 @@ def test_linear_matches_numpy(spark):
     X = np.column_stack([x1, x2, np.ones_like(x1)])
     ly = np.log(y)
     beta, *_ = np.linalg.lstsq(X, ly, rcond=None)
-    assert np.allclose(list(fit.model.coefficients) + [fit.model.intercept], beta, atol=1e-8)
+    assert np.allclose(list(fit.coef) + [fit.intercept], beta, atol=1e-8)
     resid = ly - X @ beta
     n, p = X.shape
     sigma2 = resid @ resid / (n - p)
@@ -238,7 +238,7 @@ def test_effect_size_derived(spark):
     plain = fit.effect_size("x", 1, 2)
     at = lin.typical_values(df, ["z"])
     full = fit.effect_size("x", 1, 2, derived=True, squares={"x": "xSqd"}, interactions={"x_z": ("x", "z")}, at=at)
-    b = dict(zip(fit.features, fit.model.coefficients))
+    b = dict(zip(fit.features, fit.coef))
     assert math.isclose(plain["slope"], b["x"], rel_tol=1e-12)
     want = b["x"] + b["xSqd"] * 3 + b["x_z"] * at["z"]
     assert math.isclose(full["slope"], want, rel_tol=1e-12)
@@ -303,13 +303,30 @@ def test_gram_by_fold_matches_direct(spark):
     df, *_ = _linear_data(spark, n=120)
     df = df.withColumn("fold", (F.col("id") % 3).cast("int"))
     cols = ["x1", "x2", "x1_twice", "const"]
-    by = lin.gram_by_group(df, cols, "fold")
-    total = sum(by.values())
+    m = lin.moments(df, cols, group="fold")
     for f in range(3):
         want = lin.aliased_columns(df.where(F.col("fold") != f), cols)
-        assert lin.aliased_from_gram(total - by[f], cols) == want
-    per_fold, summary = lin.linear_cv(df, {"a": ["x1", "x2", "x1_twice"], "b": ["x1"]}, "y", True, 3)
-    assert per_fold.count() == 6 and {r["model"] for r in summary.collect()} == {"a", "b"}
+        assert lin.aliased_from_gram(m.total - m.groups[f], cols) == want
+    specs = {"a": ["x1", "x2", "x1_twice"], "b": ["x1"]}
+    per_fold, summary = lin.linear_cv(df, specs, "y", True, 3)
+    assert {r["model"] for r in summary.collect()} == {"a", "b"}
+    for r in per_fold.collect():  # the same as fitting and scoring the split
+        fit = lin.fit_linear(df.where(F.col("fold") != r["fold"]), specs[r["model"]], "y", True)
+        err = F.log("y") - F.col("p")
+        want = fit.predict(df.where(F.col("fold") == r["fold"]), "p", back_transform=False).agg(F.sqrt(F.avg(err * err))).first()[0]
+        assert math.isclose(r["rmse"], want, rel_tol=1e-9)
+
+
+def test_t_distribution():
+    for t, df, p in ((0.0, 5, 1.0), (2.0, 10, 0.07338803), (12.706204736, 1, 0.05), (1.959963985, 10**7, 0.05), (-3.0, 30, 0.005389)):
+        assert math.isclose(lin.t_two_sided(t, df), p, rel_tol=2e-4)
+    assert lin.t_two_sided(50.0, 100) < 1e-60
+
+
+def test_nulls_are_an_error_in_a_fit(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 1.0), (3.0, 1.0)], "x double, y double")
+    with pytest.raises(ValueError):
+        lin.fit_linear(df, ["x"], "y")
 
 
 def test_m0_assemble_rejects_nulls(spark):

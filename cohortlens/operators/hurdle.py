@@ -98,6 +98,15 @@ class HurdleSpec:
     meta: dict = field(default_factory=dict)
 
 
+def assembled(df: DataFrame, spec: HurdleSpec) -> DataFrame:
+    """``df`` with the input vectors of both parts and the classifier's label, unless it has them already."""
+    if "_clf_x" in df.columns:
+        return df
+    x = VectorAssembler(inputCols=spec.classifier_features, outputCol="_clf_x", handleInvalid="error").transform(df)
+    x = VectorAssembler(inputCols=spec.regressor_features, outputCol="_reg_x", handleInvalid="error").transform(x)
+    return x.withColumn("_spender_label", F.col(spec.spender).cast("double")) if spec.spender in df.columns else x
+
+
 class HurdleModel(Model):
     """Fitted two-part model (a ``pyspark.ml`` Model: usable as a Pipeline stage)."""
 
@@ -110,9 +119,7 @@ class HurdleModel(Model):
 
     def raw(self, df: DataFrame) -> DataFrame:
         """Adds ``p_spender`` and ``amount`` (temporary vector columns are dropped)."""
-        s = self.spec
-        x = VectorAssembler(inputCols=s.classifier_features, outputCol="_clf_x", handleInvalid="error").transform(df)
-        x = VectorAssembler(inputCols=s.regressor_features, outputCol="_reg_x", handleInvalid="error").transform(x)
+        x = assembled(df, self.spec).drop("_spender_label")
         x = self.classifier.transform(x)
         x = x.withColumn("p_spender", vector_to_array(F.col("_clf_prob"))[1])
         x = self.regressor.transform(x)
@@ -136,9 +143,7 @@ class HurdleModel(Model):
         ``sizes``. With no subsampling a boosted ensemble is built tree by tree, so its first n trees are
         exactly the model fitted with n rounds: one fit with max(n) rounds serves the whole nrounds grid.
         Uses the public ``trees`` / ``treeWeights`` of the fitted models (JVM tree evaluation, no Python)."""
-        s = self.spec
-        x = VectorAssembler(inputCols=s.classifier_features, outputCol="_clf_x", handleInvalid="error").transform(df)
-        x = VectorAssembler(inputCols=s.regressor_features, outputCol="_reg_x", handleInvalid="error").transform(x)
+        x = assembled(df, self.spec)
         top = max(sizes)
         for tag, model, fcol in (("c", self.classifier, "_clf_x"), ("r", self.regressor, "_reg_x")):
             for i, tree in enumerate(model.trees[:top]):
@@ -186,14 +191,12 @@ class HurdleRegressor(Estimator):
 
     def _fit(self, df: DataFrame) -> HurdleModel:
         s = self.spec
-        x = VectorAssembler(inputCols=s.classifier_features, outputCol="_clf_x", handleInvalid="error").transform(df)
-        x = VectorAssembler(inputCols=s.regressor_features, outputCol="_reg_x", handleInvalid="error").transform(x)
-        x = x.withColumn("_spender_label", F.col(s.spender).cast("double"))
+        x = assembled(df, s)
         clf = GBTClassifier(featuresCol="_clf_x", labelCol="_spender_label", maxIter=s.nrounds, stepSize=s.eta,
-                            maxDepth=s.max_depth, seed=s.seed, predictionCol="_clf_pred")
+                            maxDepth=s.max_depth, seed=s.seed, predictionCol="_clf_pred", maxMemoryInMB=1024, checkpointInterval=-1)
         clf.setProbabilityCol("_clf_prob").setRawPredictionCol("_clf_raw")
         reg = GBTRegressor(featuresCol="_reg_x", labelCol=s.label, maxIter=s.nrounds, stepSize=s.eta,
-                           maxDepth=s.max_depth, seed=s.seed, predictionCol="_amount")
+                           maxDepth=s.max_depth, seed=s.seed, predictionCol="_amount", maxMemoryInMB=1024, checkpointInterval=-1)
         reg_data = x.where(F.col(s.spender)) if s.spenders_only else x
         # the two parts are independent: fit them concurrently
         with ThreadPoolExecutor(max_workers=2) as pool:
@@ -208,7 +211,7 @@ def hurdle_cv(train: DataFrame, base: HurdleSpec, folds: int, nrounds: Sequence[
     5 x 3 x 2). Fits run concurrently on the persisted frame. Returns per-fold metric rows
     (fold, setting, rmse) as a small DataFrame."""
     spark = train.sparkSession
-    data = train.persist(StorageLevel.MEMORY_AND_DISK)
+    data = assembled(train, base).persist(StorageLevel.MEMORY_AND_DISK)  # vectors are built once for all fits
     sizes = sorted(set(nrounds))
     tasks = [(k, eta) for k in range(folds) for eta in etas]
 

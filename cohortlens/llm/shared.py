@@ -17,11 +17,32 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """``df`` written to a new folder of the shared storage and read again. For steps of a loop: the frame read back
+    knows nothing of the plan that made it, while a checkpoint keeps that plan's constraints, which pile up."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches cut into parts of a few rows, for work that holds Python copies of their texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Set the session's Arrow batches to a size that suits rows with texts: a batch is held by the JVM and by the
+    Python worker at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def _compress_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        z = pa.array([None if t is None else pack.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([z if c == "text" else batch.column(c) for c in batch.schema.names], names=batch.schema.names)
+    for part in in_parts(batches):
+        z = pa.array([None if t is None else pack.compress(t.encode()) for t in part.column("text").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([z if c == "text" else part.column(c) for c in part.schema.names], names=part.schema.names)
 
 
 def compressed(docs: DataFrame) -> DataFrame:
@@ -37,11 +58,9 @@ def open_text(z: bytes | None) -> bytes:
 
 def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches with the texts as plain bytes again, a bounded number of rows at a time."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            text = pa.array([open_text(z) for z in part.column("text").to_pylist()], pa.large_binary())
-            yield pa.RecordBatch.from_arrays([text if c == "text" else part.column(c) for c in part.schema.names], names=part.schema.names)
+    for part in in_parts(batches):
+        text = pa.array([open_text(z) for z in part.column("text").to_pylist()], pa.large_binary())
+        yield pa.RecordBatch.from_arrays([text if c == "text" else part.column(c) for c in part.schema.names], names=part.schema.names)
 
 
 def of_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:

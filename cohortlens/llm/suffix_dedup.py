@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import textkit as T
-from cohortlens.llm.shared import compressed, open_text
+from cohortlens.llm.shared import compressed, in_parts, open_text
 from cohortlens.session import cut_lineage
 
 GRAM = 32
-_PIECE = 1 << 21
+_PIECE = 1 << 19
 _POS = np.uint64((1 << 24) - 1)
 
 
@@ -170,7 +170,7 @@ def _meet_task(length: int):
 
 def _blocks_task(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             rows = []
             for doc, z, parts in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(),
                                      batch.column("parts").to_pylist(), strict=True):
@@ -301,7 +301,7 @@ SPANS = "__lpf_spans"
 
 def _cut_task(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             rows = []
             for z, spans in zip(batch.column("text").to_pylist(), batch.column(SPANS).to_pylist(), strict=True):
                 text = open_text(z)

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 #: Word separators of the contracts: space and the controls 0x09-0x0D.
 WS = np.zeros(256, bool)
@@ -23,7 +23,7 @@ LOWER[ord("A"):ord("Z") + 1] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:

@@ -37,9 +37,8 @@ class WordBpe:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.full = Tokenizer.from_file(path)
+        self.path, self._full = path, None
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         letters, end = _byte_letters(), _END.encode()
@@ -61,6 +60,15 @@ class WordBpe:
         self.ranks = tiktoken.Encoding("word", pat_str="[^ ]+", mergeable_ranks={t: i for i, t in enumerate(order)},
                                        special_tokens={})
 
+    @property
+    def full(self):
+        """The tokenizer itself, loaded when a chunk first needs it."""
+        if self._full is None:
+            from tokenizers import Tokenizer
+
+            self._full = Tokenizer.from_file(self.path)
+        return self._full
+
     def _plain(self, text: str) -> np.ndarray:
         marked = _PRETOKEN.sub("\\g<0>" + _END + " ", text.lower().replace("\n", " "))
         return self.ids[np.array(self.ranks.encode_ordinary(marked), np.int64)]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm import kneser_ney, packing, suffix_dedup, tensored_minhash, toxicity
-from cohortlens.llm.shared import scratch
+from cohortlens.llm.shared import scratch, small_batches
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,23 +22,27 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity under the model of trusted text is within the limit of their language."""
+    small_batches(spark)
     return kneser_ney.keep_good(docs, _labels(spark, sf_dir).where("quality = 1"))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pattern grammar does not call toxic."""
+    small_batches(spark)
     model = toxicity.train(docs, _labels(spark, sf_dir).where(~toxicity.held_out("doc_id")))
     return toxicity.keep_clean(docs, model)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the least doc_id) of each group of near-duplicates."""
+    small_batches(spark)
     kept = tensored_minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept_id"))
     return docs.join(kept, docs["doc_id"] == F.col("__kept_id"), "left_semi")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without passages of 100 bytes or more that occur earlier."""
+    small_batches(spark)
     cut = suffix_dedup.remove_repeats(docs)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -47,6 +51,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 4096 tokens."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

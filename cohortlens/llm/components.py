@@ -7,12 +7,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.session import cut_lineage
+from cohortlens.llm.shared import stored
 
 
 def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(v, component) for every vertex of ``edges`` (a, b); a component is named by its least vertex."""
-    left = cut_lineage(edges.select("a", "b").where("a <> b").distinct())
+    left = stored(edges.select("a", "b").where("a <> b").distinct())
     labels = None
     for r in range(rounds):
         if left.isEmpty():
@@ -20,15 +20,15 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         rank = F.struct(F.xxhash64("b", F.lit(r)).alias("p"), F.col("b"))
         nearest = both.groupBy("a").agg(F.min(rank).alias("near"))
-        to = cut_lineage(nearest.select(F.col("a").alias("v"), F.when(
+        to = stored(nearest.select(F.col("a").alias("v"), F.when(
             F.col("near.p") < F.xxhash64("a", F.lit(r)), F.col("near.b")).otherwise(F.col("a")).alias("t")))
         fa, fb = to.withColumnsRenamed({"v": "a", "t": "x"}), to.withColumnsRenamed({"v": "b", "t": "y"})
-        left = cut_lineage(left.join(fa, "a").join(fb, "b").where("x <> y")
+        left = stored(left.join(fa, "a").join(fb, "b").where("x <> y")
                            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         if labels is None:
             labels = to.withColumnRenamed("t", "label")
         else:
-            labels = cut_lineage(labels.join(to.withColumnRenamed("v", "label"), "label", "left")
+            labels = stored(labels.join(to.withColumnRenamed("v", "label"), "label", "left")
                                  .select(labels["v"], F.coalesce("t", "label").alias("label")))
     else:
         raise RuntimeError(f"components did not converge in {rounds} rounds")

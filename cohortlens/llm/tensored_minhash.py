@@ -6,8 +6,9 @@ be shared where both its sub-keys are, so only pairs of sub-keys that occur else
 sets of similarity s meet in a table with probability (1 - (1 - s^2)^11)^2: 0.9998 at s = 0.75.
 
 Equal sets are one class with one representative, so groups of copies cost one row each. Round one verifies, for
-every representative, the bucket leader it shares most tables with. Round two looks again at the buckets that still
-hold different components: all pairs across components whose signatures agree in enough places are verified. Large
+every representative, the bucket leader it shares most tables with. Rounds two and three look again at the buckets
+that still hold different components: first each row with the nearest one of another component, then all pairs
+across components whose signatures agree in enough places. Large
 buckets are split into blocks and met block against block, so no task holds a whole bucket, and no bucket or
 candidate list is capped. Links are confirmed on the full sets; components come from a distributed contraction.
 
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import textkit as T
 from cohortlens.llm.components import connected
-from cohortlens.llm.shared import of_ids, opened
+from cohortlens.llm.shared import of_ids, opened, stored
 from cohortlens.session import cut_lineage
 
+FINE = 256
 _RNG = np.random.default_rng(7)
 _MULT = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -97,6 +99,14 @@ def _sets(width: int):
     return run
 
 
+def _fine_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rep, fine): 256 MinHash values of eight bits of each set, for a sharper estimate of similarity."""
+    for batch in batches:
+        fine = [(signatures(np.frombuffer(x.as_buffer(), np.uint64), np.zeros(1, np.int64), FINE) & 255).astype(np.uint8).tobytes()
+                for x in batch.column("items")]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fine, pa.binary())], names=["rep", "fine"])
+
+
 def _sub_keys(m: int):
     """(key, rep, slot): the 2m sub-keys of each representative, two MinHash values each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,10 +121,11 @@ def _sub_keys(m: int):
 
 
 def _tables(m: int):
-    """(key, rep): the table keys of each representative, from its shared sub-keys of both collections."""
+    """(key, rep, slot): the table keys of each representative, from its shared sub-keys of both collections; ``slot``
+    numbers the table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, reps = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            keys, reps, tables = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for rep, subs in zip(batch.column("rep").to_pylist(), batch.column("subs"), strict=True):
                 slot = subs.values.field("slot").to_numpy()
                 key = subs.values.field("key").to_numpy().view(np.uint64)
@@ -122,8 +133,9 @@ def _tables(m: int):
                 pairs = T.mix(a[:, None] * np.uint64(0x9E3779B97F4A7C15) + b[None, :]).ravel()
                 keys.append(pairs)
                 reps.append(np.full(len(pairs), rep))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(reps))],
-                                             names=["key", "rep"])
+                tables.append((slot[slot < m][:, None] * m + slot[slot >= m][None, :] - m).ravel().astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(reps)),
+                                             pa.array(np.concatenate(tables))], names=["key", "rep", "slot"])
     return run
 
 
@@ -173,13 +185,15 @@ def _similar(percent: int):
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets (id, items) reach the similarity."""
+    """The pairs (a, b) whose full sets (id, items) reach the similarity; by the same joins at every size."""
     y, x = sets.withColumnsRenamed({"id": "b", "items": "y"}), sets.withColumnsRenamed({"id": "a", "items": "x"})
-    return pairs.select("a", "b").join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long")
+    return pairs.select("a", "b").join(y.hint("merge"), "b").join(x.hint("merge"), "a").select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long")
 
 
-def _across(block_sort: list[str], least: int, percent: int):
-    """From rows sorted by (key, i, j): the pairs of different components whose sizes and signatures allow a link."""
+def _across(block_sort: list[str], least: int, percent: int, nearest: bool):
+    """From rows sorted by (key, i, j): the pairs of different components whose sizes and signatures allow a link. A pair
+    meets in many tables; it is given out in the first of them only, which its signatures tell. With ``nearest``: for
+    each row only the one whose signature agrees most, with that number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
@@ -189,9 +203,9 @@ def _across(block_sort: list[str], least: int, percent: int):
             if table.num_rows:
                 ends = _runs(table, block_sort)
                 held = table.slice(ends[-2])  # the last group may go on in the next batch
-                yield _pairs(table.slice(0, ends[-2]), block_sort, least, percent)
+                yield _pairs(table.slice(0, ends[-2]), block_sort, least, percent, nearest)
         if held is not None:
-            yield _pairs(held, block_sort, least, percent)
+            yield _pairs(held, block_sort, least, percent, nearest)
     return run
 
 
@@ -204,23 +218,56 @@ def _runs(table: pa.Table, by: list[str]) -> np.ndarray:
     return np.append(np.flatnonzero(new), table.num_rows)
 
 
-def _pairs(table: pa.Table, by: list[str], least: int, percent: int) -> pa.RecordBatch:
-    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+def _pairs(table: pa.Table, by: list[str], least: int, percent: int, nearest: bool) -> pa.RecordBatch:
+    out = [[np.zeros(0, np.int64)] for _ in range(3)]
     if table.num_rows:
         ends = _runs(table, by)
         rep, comp, n, sub = (table.column(c).to_numpy() for c in ("rep", "component", "n", "sub"))
-        i, j = table.column("i").to_numpy(), table.column("j").to_numpy()
+        i, j, slot = (table.column(c).to_numpy() for c in ("i", "j", "slot"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(table.num_rows, -1)
+        fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        close = int(FINE * (percent / 100 - 0.085))  # more than three standard deviations below the expected agreement
         for s, e in zip(ends, ends[1:], strict=False):
             left = s + np.flatnonzero(sub[s:e] == i[s])
             right = s + np.flatnonzero(sub[s:e] == j[s])
             for p in left:  # one row against the block at a time: memory follows the block, not its square
-                q = right if i[s] != j[s] else right[rep[right] > rep[p]]
+                q = right if nearest or i[s] != j[s] else right[rep[right] > rep[p]]
                 q = q[(comp[q] != comp[p]) & (100 * np.minimum(n[q], n[p]) >= percent * np.maximum(n[q], n[p]))]
-                q = q[(sig[q] == sig[p]).sum(1) >= least]
-                out_a.append(np.minimum(rep[p], rep[q]))
-                out_b.append(np.maximum(rep[p], rep[q]))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+                same = sig[q] == sig[p]
+                if nearest:
+                    agree = same.sum(1)
+                    q = q[agree >= max(least, agree.max(initial=0))][:1]
+                    for o, v in zip(out, (np.repeat(rep[p], len(q)), rep[q], agree.max(initial=0).repeat(len(q))), strict=True):
+                        o.append(v)
+                    continue
+                met = same[:, 0::2] & same[:, 1::2]  # sub-keys in common, of the first collection and the second
+                m = met.shape[1] // 2
+                q = q[(same.sum(1) >= least) & (met[:, :m].argmax(1) * m + met[:, m:].argmax(1) == slot[p])]
+                q = q[(fine[q] == fine[p]).sum(1) >= close]
+                for o, v in zip(out, (np.minimum(rep[p], rep[q]), np.maximum(rep[p], rep[q]), np.zeros(len(q), np.int64)), strict=True):
+                    o.append(v)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o).astype(np.int64)) for o in out], names=["a", "b", "agree"])
+
+
+def _candidates(buckets: DataFrame, comps: DataFrame, reps: DataFrame, m: int, block: int, least: int, percent: int,
+                nearest: bool) -> DataFrame:
+    """Pairs (a, b) across components that share a bucket, see ``_across``; large buckets are met block by block."""
+    if nearest:
+        buckets = buckets.where(F.expr(f"slot div {m} = slot % {m}"))
+    named = (buckets.select("key", "rep", "slot").join(comps.withColumnRenamed("v", "rep").hint("merge"), "rep", "left")
+             .select("key", "rep", "slot", F.coalesce("component", "rep").alias("component")))
+    mixed = (named.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("c1"), F.max("component").alias("c2"))
+             .where("c1 <> c2").withColumn("parts", F.ceil(F.col("rows") / block).cast("int")))
+    member = (named.join(mixed.select("key", "parts").hint("merge"), "key")
+              .withColumn("sub", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+              .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+              .select("key", "rep", "slot", "component", "sub", F.least("sub", "other").alias("i"), F.greatest("sub", "other").alias("j")))
+    group = ["key", "i", "j"]
+    found = (member.join(reps.hint("merge"), "rep").repartition(*group).sortWithinPartitions(*group)
+             .mapInArrow(_across(group, least, percent, nearest), "a long, b long, agree long"))
+    if nearest:
+        return found.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    return found.select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int = 11, block: int = 512) -> DataFrame:
@@ -239,32 +286,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int =
     subs = by_key(reps.select("rep", "sig").mapInArrow(_sub_keys(m), "key long, rep long, slot int"), "slot", "key long, rep long, slot int")
     paired = (subs.groupBy("rep").agg(F.collect_list(F.struct("slot", "key")).alias("subs"))  # at most 2m per representative
               .where(F.exists("subs", lambda s: s.slot < m) & F.exists("subs", lambda s: s.slot >= m)))
-    buckets = cut_lineage(by_key(paired.mapInArrow(_tables(m), "key long, rep long"), None, "key long, rep long"))
+    buckets = cut_lineage(by_key(paired.mapInArrow(_tables(m), "key long, rep long, slot int"), "slot", "key long, rep long, slot int"))
 
     # round one: the leader with which a representative shares most tables
     shared = buckets.where("leader <> rep").groupBy("rep", "leader").agg(F.count("*").alias("tables"))
     best = shared.groupBy("rep").agg(F.max(F.struct("tables", "leader")).alias("x")).select(F.col("x.leader").alias("a"), F.col("rep").alias("b"))
     ids = buckets.select(F.col("rep").alias("doc_id")).distinct()
     sets = cut_lineage(of_ids(texts, ids).mapInArrow(_sets(width), "id long, items binary").dropDuplicates(["id"]))
-    links = cut_lineage(verify(best, sets, percent))
-    comps = cut_lineage(connected(links))
-
-    # round two: buckets that hold more than one component
-    named = (buckets.select("key", "rep").join(comps.withColumnRenamed("v", "rep"), "rep", "left")
-             .select("key", "rep", F.coalesce("component", "rep").alias("component")))
-    mixed = named.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-    parts = F.ceil(F.col("rows") / block).cast("int")
-    member = (named.join(mixed.select("key", "rows"), "key").withColumn("parts", parts)
-              .withColumn("sub", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-              .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-              .select("key", "rep", "component", "sub", F.least("sub", "other").alias("i"), F.greatest("sub", "other").alias("j")))
+    links = stored(verify(best, sets, percent))
+    comps = stored(connected(links))
+
+    # rounds two and three: buckets that hold more than one component; first the nearest row of another component for
+    # each row, in the diagonal tables, then every pair that is left
     least = int(4 * m * (percent / 100 - 0.19))  # more than three standard deviations below the expected agreement
-    group = ["key", "i", "j"]
-    found = (member.join(reps, "rep").repartition(*group).sortWithinPartitions(*group)
-             .mapInArrow(_across(group, least, percent), "a long, b long").distinct())
-    more = cut_lineage(verify(found, sets, percent))
-    if not more.isEmpty():
-        comps = cut_lineage(connected(links.unionByName(more)))
+    sharp = stored(reps.join(sets.where(F.length("items") > 0).mapInArrow(_fine_task, "rep long, fine binary").hint("merge"), "rep"))
+    for nearest in (True, False):
+        pairs = _candidates(buckets, comps, sharp, m, block, least, percent, nearest)
+        more = stored(verify(pairs, sets, percent))
+        if not more.isEmpty():
+            links = stored(links.unionByName(more))
+            comps = stored(connected(links))
     named_docs = (slim.join(classes, ["d1", "d2", "n"], "left")
                   .join(comps.withColumnsRenamed({"v": "rep"}), "rep", "left")
                   .withColumn("component_id", F.coalesce("component", "rep", "doc_id")))

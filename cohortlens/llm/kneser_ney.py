@@ -1,10 +1,13 @@
 """Perplexity classifier: interpolated modified Kneser-Ney n-gram model of trusted text (operator 9).
 
-Texts become symbols of a fixed alphabet of 64: letters, classes of other characters, and one mark for a word that
-repeats the word before it. The model is of order four, so an n-gram is an integer below 2**24. Counts of all
-trusted documents and the n-gram types of all documents are gathered by tasks, summed by n-gram, and turned into
-probabilities by joins sharded by n-gram and by context. The finished table has at most 2**24 entries whatever the
-corpus holds (64 MB as float32), which is the proven bound under which it is sent to the scoring tasks.
+The symbols are the bytes of the UTF-8 texts, all 256 of them, so no two texts look alike to the model; the separator
+before a word that repeats the word before it is marked by a byte that UTF-8 never uses. The model is of order five. What
+is gathered grows with the corpus and stays sharded: counts of all trusted documents are aggregated by task and summed by
+n-gram, and turned into probabilities by joins on n-gram and context. Nothing of it goes to the driver.
+
+Documents are scored in chunks of neighbouring doc_ids. Each chunk's distinct n-grams are packed by shard (a hash of the
+n-gram) and meet the probabilities there; the answers go back to the chunk's texts. A task holds the distinct n-grams of
+one chunk, or the model's of one shard.
 
 Documents are rejected above a quantile of the trusted documents' bits per symbol in their language (a mergeable
 quantile sketch), widened by ``spread`` / sqrt(symbols) because short texts vary more. A language with fewer than
@@ -21,19 +24,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.broadcast import Broadcast
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import textkit as T
-from cohortlens.llm.shared import of_ids, opened
+from cohortlens.llm.shared import compressed, of_ids, opened, stored
 from cohortlens.session import cut_lineage
 
+#: Order and bits of a symbol: of ``grams``, a small coding by classes of bytes, and of ``byte_grams``, the model's.
 ORDER, BITS = 4, 6
-TYPES = 1 << (ORDER * BITS)
+BYTE_ORDER, BYTE_BITS = 5, 8
 _REPEAT = 35
+#: Neighbouring documents that are scored together; a text of more than LONG bytes is not put with its neighbours.
+CHUNK, LONG = 2048, 1 << 18
+SHARDS = 512
+#: Distinct n-grams that a task gathers before it gives them out.
+_HELD = 1 << 22
 #: Working columns; named so that no column of a documents table clashes.
 N_SYMBOLS, BITS_EACH, TOP, LANG = "__kn_symbols", "__kn_bits", "__kn_top", "__kn_lang"
+GROUP, KIND, KEYS, COSTS = "__kn_chunk", "__kn_kind", "__kn_keys", "__kn_costs"
 
 
 def _alphabet() -> np.ndarray:
@@ -54,40 +64,128 @@ def _alphabet() -> np.ndarray:
 _CODE = _alphabet()
 
 
-def grams(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """The n-gram that ends at each byte; a row's first ones are padded with symbol 0."""
-    sym = _CODE[data]
+def _marked(sym: np.ndarray, data: np.ndarray, offs: np.ndarray, mark: np.ndarray | int) -> np.ndarray:
+    """``sym`` with the separator before each repeated word replaced by ``mark`` (one, or one for each byte)."""
     starts, ends, row = T.word_spans(data, offs)
     if len(starts) > 1:
         h = T.span_hashes(data, starts, ends)
-        again = np.flatnonzero((h[1:] == h[:-1]) & (row[1:] == row[:-1])) + 1
-        sym[starts[again] - 1] = _REPEAT  # the separator before the repeated word
+        again = starts[np.flatnonzero((h[1:] == h[:-1]) & (row[1:] == row[:-1])) + 1] - 1
+        sym[again] = mark if isinstance(mark, int) else mark[data[again]]
+    return sym
+
+
+def _rolled(sym: np.ndarray, offs: np.ndarray, order: int, bits: int, pad: int) -> np.ndarray:
     key = sym.copy()
-    at = np.arange(len(data)) - np.repeat(offs[:-1], np.diff(offs))
-    for k in range(1, ORDER):
-        key[k:] |= np.where(at[k:] >= k, sym[:-k], 0) << (BITS * k)
+    at = np.arange(len(sym)) - np.repeat(offs[:-1], np.diff(offs))
+    for k in range(1, order):
+        before = np.full(len(sym), pad, sym.dtype)
+        before[k:] = np.where(at[k:] >= k, sym[:-k], pad)
+        key |= before << (bits * k)
     return key
 
 
+def grams(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """The n-gram over classes of bytes that ends at each byte; a row's first ones are padded with symbol 0."""
+    return _rolled(_marked(_CODE[data], data, offs, _REPEAT), offs, ORDER, BITS, 0)
+
+
+#: Bytes that UTF-8 never uses: one for each separator before a repeated word, and the padding.
+_SEPARATOR = np.zeros(256, np.int64)
+_SEPARATOR[np.flatnonzero(T.WS)] = 0xF8 + np.arange(T.WS.sum())
+_PAD = 0xFF
+
+
+def byte_grams(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """The n-gram over all bytes that ends at each byte; a row's first ones are padded with a byte that no text has."""
+    return _rolled(_marked(data.astype(np.int64), data, offs, _SEPARATOR), offs, BYTE_ORDER, BYTE_BITS, _PAD)
+
+
+def _shard(k: np.ndarray) -> np.ndarray:
+    return (T.mix(k.astype(np.uint64)) >> np.uint64(32)).astype(np.int64) % SHARDS
+
+
+def _pack(k: np.ndarray) -> bytes:
+    """Sorted n-grams, as compressed differences."""
+    return zstandard.ZstdCompressor(level=1).compress(np.diff(k, prepend=0).view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _unpack(z: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(z), np.uint8)
+    return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view(np.int64).ravel())
+
+
 def _types_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen = np.zeros(TYPES, bool)
+    """(shard, chunk, keys): the distinct n-grams of each chunk, packed by shard."""
+    held: dict[int, list[np.ndarray]] = {}
+    size = 0
+
+    def given() -> Iterator[pa.RecordBatch]:
+        for chunk, parts in held.items():
+            k = np.unique(np.concatenate(parts))
+            shard = _shard(k)
+            order = np.argsort(shard, kind="stable")
+            cut = np.searchsorted(shard[order], np.arange(SHARDS + 1))
+            full = np.flatnonzero(np.diff(cut))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), chunk, np.int64)),
+                 pa.array([_pack(k[order[cut[i]:cut[i + 1]]]) for i in full], pa.binary())], names=["shard", GROUP, KEYS])
+
     for batch in batches:
-        for _, _, data, offs in T.slices(batch.column("text")):
-            seen[grams(data, offs)] = True
-    yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen))], names=["k"])
+        chunks = batch.column(GROUP).to_numpy()
+        for lo, hi, data, offs in T.slices(batch.column("text")):
+            k, n = byte_grams(data, offs), np.diff(offs)
+            of = np.repeat(chunks[lo:hi], n)
+            for chunk in np.unique(chunks[lo:hi][n > 0]).tolist():
+                held.setdefault(chunk, []).append(np.unique(k[of == chunk]))
+                size += len(held[chunk][-1])
+        if size > _HELD:
+            held = {c: [np.unique(np.concatenate(parts))] for c, parts in held.items()}
+            size = sum(len(parts[0]) for parts in held.values())
+            if size > _HELD // 2:
+                yield from given()
+                held, size = {}, 0
+    yield from given()
+
+
+def _distinct_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of rows sorted by shard; a shard at a time is held."""
+    at, held, size = None, [], 0
+    for batch in batches:
+        for shard, z in zip(batch.column("shard").to_pylist(), batch.column(KEYS).to_pylist(), strict=True):
+            if shard != at and held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)))], names=["k"])
+                held, size = [], 0
+            at = shard
+            held.append(_unpack(z))
+            size += len(held[-1])
+            if size > _HELD:
+                held = [np.unique(np.concatenate(held))]
+                size = 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)))], names=["k"])
 
 
 def _counts_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(TYPES, np.uint32)
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        k, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        return k, np.bincount(at, np.concatenate([h[1] for h in held])).astype(np.int64)
+
     for batch in opened(batches):
         for _, _, data, offs in T.slices(batch.column("text")):
-            np.add.at(total, grams(data, offs), 1)
-    k = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(total[k].astype(np.int64))], names=["k", "n"])
+            held.append(np.unique(byte_grams(data, offs), return_counts=True))
+        if sum(len(h[0]) for h in held) > _HELD:
+            held = [merged()]
+            if len(held[0][0]) > _HELD // 2:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["k", "n"])
+                held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["k", "n"])
 
 
-def _low(k: Column, order: int) -> Column:
-    return k.bitwiseAND(F.lit((1 << (BITS * order)) - 1))
+def _low(k: Column, order: int, bits: int) -> Column:
+    return k.bitwiseAND(F.lit((1 << (bits * order)) - 1))
 
 
 def discounts(t: tuple[int, int, int, int]) -> tuple[float, float, float]:
@@ -100,28 +198,29 @@ def discounts(t: tuple[int, int, int, int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), i + 0.95) for i, d in enumerate(raw))
 
 
-def probabilities(counts: DataFrame, types: DataFrame) -> DataFrame:
-    """(k, p) for every type of ``types``: interpolated modified Kneser-Ney from the n-gram ``counts`` (k, n)."""
-    tables = {ORDER: counts}
-    for order in range(ORDER - 1, 0, -1):  # continuation counts: how many longer types end in this one
-        tables[order] = cut_lineage(tables[order + 1].groupBy(_low(F.col("k"), order).alias("k")).agg(F.count("*").alias("n")))
-    wanted = {ORDER: types}
-    for order in range(ORDER - 1, 0, -1):
-        wanted[order] = wanted[order + 1].select(_low(F.col("k"), order).alias("k")).distinct()
+def probabilities(counts: DataFrame, types: DataFrame, top: int = ORDER, bits: int = BITS) -> DataFrame:
+    """(k, p) for every type of ``types``: interpolated modified Kneser-Ney of order ``top`` from the n-gram
+    ``counts`` (k, n) over symbols of ``bits`` bits."""
+    tables = {top: counts}
+    for order in range(top - 1, 0, -1):  # continuation counts: how many longer types end in this one
+        tables[order] = cut_lineage(tables[order + 1].groupBy(_low(F.col("k"), order, bits).alias("k")).agg(F.count("*").alias("n")))
+    wanted = {top: types}
+    for order in range(top - 1, 0, -1):
+        wanted[order] = wanted[order + 1].select(_low(F.col("k"), order, bits).alias("k")).distinct()
     lower = None
-    for order in range(1, ORDER + 1):
+    for order in range(1, top + 1):
         seen = tables[order]
         times = {r["n"]: r["t"] for r in seen.where("n <= 4").groupBy("n").agg(F.count("*").alias("t")).collect()}
         d1, d2, d3 = discounts(tuple(times.get(i, 0) for i in (1, 2, 3, 4)))
         n = F.col("n")
         cut = F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)
-        context = F.shiftright(F.col("k"), BITS)
+        context = F.shiftright(F.col("k"), bits)
         shares = seen.groupBy(context.alias("c")).agg(F.sum("n").alias("total"), F.sum(F.least(cut, n)).alias("held"))
         out = (wanted[order].join(seen, "k", "left").withColumn("c", context).join(shares, "c", "left"))
         if lower is None:
-            back = F.lit(2.0 ** -BITS)
+            back = F.lit(2.0 ** -bits)
         else:
-            out = out.withColumn("j", _low(F.col("k"), order - 1)).join(lower.withColumnsRenamed({"k": "j", "p": "q"}), "j", "left")
+            out = out.withColumn("j", _low(F.col("k"), order - 1, bits)).join(lower.withColumnsRenamed({"k": "j", "p": "q"}), "j", "left")
             back = F.col("q")
         own = F.coalesce(F.greatest(n - cut, F.lit(0.0)), F.lit(0.0)) / F.col("total")
         out = out.select("k", F.coalesce(own + F.col("held") / F.col("total") * back, back).alias("p"))
@@ -129,40 +228,110 @@ def probabilities(counts: DataFrame, types: DataFrame) -> DataFrame:
     return lower
 
 
-def _scores_task(model: Broadcast, with_text: bool):
+def _chunk() -> Column:
+    """The chunk of a row: any function of its doc_id and text will do, as both passes over the texts use it."""
+    doc_id = F.col("doc_id").cast("long")
+    near = F.coalesce(F.floor(doc_id / CHUNK), F.pmod(F.xxhash64("text"), F.lit(997)))
+    return F.when(F.octet_length("text") > LONG, F.xxhash64(doc_id)).otherwise(near).cast("long")
+
+
+def _priced_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(shard, k, bits) of the model's (k, p)."""
+    for batch in batches:
+        k = batch.column("k").to_numpy()
+        bits = -np.log2(batch.column("p").to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(_shard(k).astype(np.int32)), pa.array(k), pa.array(bits)], names=["shard", "k", "bits"])
+
+
+def _answer_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by shard, the model's (k, bits) first: the requests (chunk, keys) with the bits of their keys."""
+    at, keys, costs, table = None, [], [], None
+    for batch in batches:
+        shard, kind = batch.column("shard").to_numpy(), batch.column(KIND).to_numpy()
+        cut = np.append(np.flatnonzero(np.diff(shard * 2 + kind, prepend=-1)), len(shard))
+        for lo, hi in zip(cut, cut[1:], strict=False):
+            if shard[lo] != at:
+                at, keys, costs, table = shard[lo], [], [], None
+            part = batch.slice(lo, hi - lo)
+            if kind[lo] == 0:
+                keys.append(part.column("k").to_numpy())
+                costs.append(part.column("bits").to_numpy())
+                continue
+            if table is None:
+                k, c = np.concatenate(keys), np.concatenate(costs)
+                order = np.argsort(k)
+                table = k[order], c[order].astype(np.float32)
+            found = [table[1][np.searchsorted(table[0], _unpack(z))].tobytes() for z in part.column(KEYS).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(GROUP), part.column(KEYS), pa.array(found, pa.binary())],
+                                             names=[GROUP, KEYS, COSTS])
+
+
+def _scores_task(kept: list[str]):
+    """From rows sorted by chunk, the bits of its n-grams first: the chunk's texts with their symbols and mean bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dense = np.zeros(TYPES, np.float32)
-        dense[model.value[0]] = model.value[1]
+        at, keys, costs, table = None, [], [], None
         for batch in batches:
-            kept = [c for c in batch.schema.names if with_text or c != "text"]
-            for lo, hi, data, offs in T.slices(batch.column("text")):
-                total = np.concatenate([[0.0], np.cumsum(dense[grams(data, offs)], dtype=np.float64)])
-                n = np.diff(offs)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(lo, hi - lo) for c in kept]
-                    + [pa.array(n), pa.array((total[offs[1:]] - total[offs[:-1]]) / np.maximum(n, 1), mask=n == 0)],
-                    names=[*kept, N_SYMBOLS, BITS_EACH])
+            chunk, kind = batch.column(GROUP).to_numpy(), batch.column(KIND).to_numpy()
+            new = np.ones(len(chunk), bool)
+            new[1:] = (chunk[1:] != chunk[:-1]) | (kind[1:] != kind[:-1])
+            cut = np.append(np.flatnonzero(new), len(chunk))
+            for lo, hi in zip(cut, cut[1:], strict=False):
+                if chunk[lo] != at:
+                    at, keys, costs, table = chunk[lo], [], [], None
+                part = batch.slice(lo, hi - lo)
+                if kind[lo] == 0:
+                    keys += [_unpack(z) for z in part.column(KEYS).to_pylist()]
+                    costs += [np.frombuffer(c, np.float32) for c in part.column(COSTS).to_pylist()]
+                    continue
+                if table is None:
+                    k, first = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_index=True)
+                    table = k, np.concatenate([np.zeros(0, np.float32), *costs])[first]
+                    keys, costs = [], []
+                z = part.column("text")
+                for some in opened(iter([part])):
+                    for a, b, data, offs in T.slices(some.column("text")):
+                        k, where = np.unique(byte_grams(data, offs), return_inverse=True)
+                        cost = table[1][np.searchsorted(table[0], k)][where] if len(k) else np.zeros(0)
+                        total = np.concatenate([[0.0], np.cumsum(cost, dtype=np.float64)])
+                        n = np.diff(offs)
+                        yield pa.RecordBatch.from_arrays(
+                            [(z if c == "text" else some.column(c)).slice(a, b - a) for c in kept]
+                            + [pa.array(n), pa.array((total[offs[1:]] - total[offs[:-1]]) / np.maximum(n, 1), mask=n == 0)],
+                            names=[*kept, N_SYMBOLS, BITS_EACH])
+                    z = z.slice(some.num_rows)
     return run
 
 
-def train(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(k, p) of every n-gram type of ``docs``, from counts over all documents whose doc_id is in ``trusted``."""
+def answers(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(chunk, keys, costs): for every chunk of ``docs`` its distinct n-grams, packed, with their bits under the model of
+    all documents whose doc_id is in ``trusted``."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     good = of_ids(texts, trusted.select(F.col("doc_id").cast("long")).distinct())
     counts = good.select("text").mapInArrow(_counts_task, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-    types = texts.select("text").mapInArrow(_types_task, "k long").distinct()
-    return probabilities(cut_lineage(counts), cut_lineage(types))
-
-
-def score(docs: DataFrame, model: DataFrame, with_text: bool = False) -> DataFrame:
-    """The rows of ``docs`` (texts only if asked for) with their number of symbols and mean bits per symbol; one
-    pass, no shuffle."""
-    table = model.toPandas()  # at most 2**24 rows, see the module text
-    sent = docs.sparkSession.sparkContext.broadcast(
-        (table["k"].to_numpy(np.int32), (-np.log2(table["p"].to_numpy(np.float64))).astype(np.float32)))
-    kept = [f for f in docs.schema if with_text or f.name != "text"]
+    asked = stored(texts.select(_chunk().alias(GROUP), "text").mapInArrow(_types_task, f"shard int, {GROUP} long, {KEYS} binary"))
+    types = asked.select("shard", KEYS).repartition("shard").sortWithinPartitions("shard").mapInArrow(_distinct_task, "k long")
+    model = probabilities(cut_lineage(counts), cut_lineage(types), BYTE_ORDER, BYTE_BITS)
+    none = F.lit(None)
+    priced = model.mapInArrow(_priced_task, "shard int, k long, bits double").select(
+        "shard", F.lit(0).alias(KIND), "k", "bits", none.cast("long").alias(GROUP), none.cast("binary").alias(KEYS))
+    both = priced.unionByName(asked.select("shard", F.lit(1).alias(KIND), none.cast("long").alias("k"),
+                                           none.cast("double").alias("bits"), GROUP, KEYS))
+    return both.repartition("shard").sortWithinPartitions("shard", KIND).mapInArrow(
+        _answer_task, f"{GROUP} long, {KEYS} binary, {COSTS} binary")
+
+
+def score(docs: DataFrame, priced: DataFrame, with_text: bool = False) -> DataFrame:
+    """The rows of ``docs`` (texts, compressed, only if asked for) with their number of symbols and mean bits per symbol.
+    Texts meet the ``answers`` of their chunk by a shuffle on the chunk."""
+    rows = compressed(docs.withColumn(GROUP, _chunk()))
+    fields = [f for f in rows.schema if f.name != GROUP]
+    none = F.lit(None)
+    texts = rows.select("*", F.lit(1).alias(KIND), none.cast("binary").alias(KEYS), none.cast("binary").alias(COSTS))
+    first = priced.select(*[none.cast(f.dataType).alias(f.name) for f in fields], GROUP, F.lit(0).alias(KIND), KEYS, COSTS)
+    kept = [f for f in fields if with_text or f.name != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return docs.mapInArrow(_scores_task(sent, with_text), f"{schema}, {N_SYMBOLS} long, {BITS_EACH} double")
+    return first.unionByName(texts).repartition(GROUP).sortWithinPartitions(GROUP, KIND).mapInArrow(
+        _scores_task([f.name for f in kept]), f"{schema}, {N_SYMBOLS} long, {BITS_EACH} double")
 
 
 def limits(scores: DataFrame, trusted: DataFrame, quantile: float = 0.99, min_trusted: int = 30,
@@ -184,18 +353,24 @@ def _judged(scores: DataFrame, own: DataFrame, every: float, spread: float) -> t
 def classify(docs: DataFrame, trusted: DataFrame, spread: float = 15.0) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold (both per symbol), kept; one row per document."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    scores = cut_lineage(score(rows, train(rows, trusted)))
+    scores = cut_lineage(score(rows, answers(rows, trusted)))
     joined, limit = _judged(scores, *limits(scores, trusted), spread)
     return joined.select("doc_id", "lang", F.col(N_SYMBOLS).alias("n_symbols"), F.pow(F.lit(2.0), BITS_EACH).alias("perplexity"),
                          F.pow(F.lit(2.0), limit).alias("threshold"),
                          F.coalesce(F.col(BITS_EACH) <= limit, F.lit(False)).alias("kept"))
 
 
+def _open_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in opened(batches):
+        yield pa.RecordBatch.from_arrays([batch.column(c).cast(pa.string()) if c == "text" else batch.column(c) for c in batch.schema.names],
+                                         names=batch.schema.names)
+
+
 def keep_good(docs: DataFrame, trusted: DataFrame, spread: float = 15.0) -> DataFrame:
-    """The rows of ``docs`` that ``classify`` keeps. Texts are scored again on the way out instead of being shuffled
-    to their verdicts."""
-    model = train(docs, trusted)
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    found = limits(cut_lineage(score(slim, model)), trusted)
-    joined, limit = _judged(score(docs, model, with_text=True), *found, spread)
-    return joined.where(F.col(BITS_EACH) <= limit).select(*[f"`{c}`" for c in docs.columns])
+    """The rows of ``docs`` that ``classify`` keeps. Texts are stored with their scores, so they travel once."""
+    scores = stored(score(docs, answers(docs, trusted), with_text=True))
+    slim = scores.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), N_SYMBOLS, BITS_EACH)
+    joined, limit = _judged(scores, *limits(slim, trusted), spread)
+    kept = joined.where(F.col(BITS_EACH) <= limit).select(*[f"`{c}`" for c in docs.columns])
+    return kept.mapInArrow(_open_task, ", ".join(
+        f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema))

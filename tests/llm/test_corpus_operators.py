@@ -415,6 +415,39 @@ def test_classifier_keeps_trusted_prose(spark, empty):
     assert all(r["kept"] == (r["n_symbols"] > 0) for r in untrusted.values())
 
 
+def test_model_sees_every_byte_and_word_forms(spark):
+    """Texts that classes of bytes cannot tell apart: digits, capitals, continuation bytes, and words spelt with others."""
+    pairs = [("a 1 b", "a 7 b"), ("an Ant", "an Ent"), ("日本", "日杬"), ("da é", "da ñ"), ("x  x y", "x\tx y")]
+    for a, b in pairs:
+        ga, gb = (kneser_ney.byte_grams(*textkit.text_buffer(pa.array([t]))) for t in (a, b))
+        assert len(ga) == len(a.encode()) and set(ga.tolist()) != set(gb.tolist())
+    rng = random.Random(7)
+    kanji, strange = ([chr(0x4E00 + 16 * i + d) for i in range(40)] for d in (0, 8))  # every byte falls into the same class
+
+    def text(chars, n):
+        return "".join(rng.choice(chars) for _ in range(n))
+    docs = table(spark, [(i, text(kanji, 150), "zh", "a") for i in range(120)] + [(1000 + i, text(strange, 150), "zh", "a") for i in range(5)])
+    got = by_id(kneser_ney.classify(docs, spark.createDataFrame([(i,) for i in range(0, 120, 2)], "doc_id long")))
+    assert all(got[i]["kept"] for i in range(120)) and not any(got[1000 + i]["kept"] for i in range(5))
+
+
+def test_scores_equal_the_definition_in_any_chunks(spark, rows, docs, monkeypatch):
+    """Bits of every document by the definition, whatever the chunks and shards; no n-gram types are lost on the way."""
+    trusted = [i for i, *_ in rows if i % 3 == 0 and i < 40]
+    grams = {i: kneser_ney.byte_grams(*textkit.text_buffer(pa.array([t or ""]))).tolist() for i, t, *_ in rows}
+    counts = Counter(g for i in trusted for g in grams[i])
+    types = sorted({g for gs in grams.values() for g in gs})
+    model = dict(kneser_ney.probabilities(spark.createDataFrame(list(counts.items()), "k long, n long"),
+                                          spark.createDataFrame([(g,) for g in types], "k long"), kneser_ney.BYTE_ORDER, kneser_ney.BYTE_BITS).collect())
+    for held in (kneser_ney._HELD, 500):
+        monkeypatch.setattr(kneser_ney, "_HELD", held)
+        monkeypatch.setattr(kneser_ney, "CHUNK", 7)
+        got = by_id(kneser_ney.classify(docs, spark.createDataFrame([(i,) for i in trusted], "doc_id long")))
+        for i, gs in grams.items():
+            want = 2 ** (-sum(math.log2(model[g]) for g in gs) / len(gs)) if gs else None
+            assert got[i]["perplexity"] == (pytest.approx(want, rel=1e-5) if gs else None)
+
+
 # 10
 
 def naive_counts(t):

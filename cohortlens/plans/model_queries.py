@@ -152,16 +152,15 @@ def score_cohort(spark, sf_dir):
     return jobs.score_cohort(w, P, COHORT_DATE, train_final(w)[0])
 
 
-# Horizons of the backfill, and the rounds of its four models (the final setting's eta and hurdle).
+# Horizons of the backfill; each has a model of the final setting, as ``score_cohort`` uses.
 BACKFILL_MODELS = (120, 180, 270, 365)
-BACKFILL_ROUNDS = 10
 
 
 @query("backfill_predictions")
 def backfill_predictions(spark, sf_dir):
     """E5: cohorts of January 1995, four horizons, scored in one job with the models of these data."""
     w = load_world(spark, sf_dir)
-    models = {h: train_final(w, h, nrounds=BACKFILL_ROUNDS)[0] for h in BACKFILL_MODELS}
+    models = {h: train_final(w, h)[0] for h in BACKFILL_MODELS}
     return jobs.backfill_predictions(w, P, *REINSTALLS, models)
 
 

@@ -108,3 +108,13 @@ def test_backfill_equals_scoring_the_days_alone(spark):
         d = a + dt.timedelta(k)
         want += [(r["s"], d, r[1]) for r in jobs.score_cohort(again, TEST_FEATURES, d, model).collect()]
     assert len(want) >= 5 and got == sorted(want)
+
+
+def test_backfill_query_trains_with_the_final_setting(monkeypatch):
+    from cohortlens.plans import model_queries as mq
+    asked = []
+    monkeypatch.setattr(mq, "load_world", lambda spark, sf_dir: "world")
+    monkeypatch.setattr(mq, "train_final", lambda w, day_to, **setting: asked.append((day_to, setting)) or (f"model {day_to}", None))
+    monkeypatch.setattr(mq.jobs, "backfill_predictions", lambda w, p, start, end, models: models)
+    assert mq.backfill_predictions(None, "") == {h: f"model {h}" for h in mq.BACKFILL_MODELS}
+    assert asked == [(h, {}) for h in mq.BACKFILL_MODELS]  # as score_cohort: no setting but the final one

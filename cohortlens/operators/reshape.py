@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -27,11 +28,19 @@ def map_to_columns(df: DataFrame, text_col: str, prefix: str, keys: Sequence[str
 def pivot_long(df: DataFrame, key: str, name_col: str, value_col: str, values: Sequence[str] | None = None,
                prefix: str = "", fill: float = 0.0) -> DataFrame:
     """R3 from long rows: ``groupBy(key).pivot(name, values)``. Without ``values`` they are the names found in the
-    data, so no category is lost; a caller that knows them saves that job."""
+    data, so no category is lost; a caller that knows them saves that job. A null among them is a category of its own,
+    in a last column named ``NA``, with underscores added where a name of the data would give the same column."""
     from .summarise import distinct_values
 
-    values = [v for v in distinct_values(df, name_col) if v is not None] if values is None else values
-    wide = df.groupBy(key).pivot(name_col, list(values)).agg(F.first(value_col))
+    values = list(distinct_values(df, name_col) if values is None else values)
+    if None in values:
+        names = {re.sub(r"\W", "_", str(v)).lower() for v in values if v is not None}
+        label = "NA"
+        while label.lower() in names:
+            label += "_"
+        df = df.withColumn(name_col, F.coalesce(F.col(name_col).cast("string"), F.lit(label)))
+        values = [str(v) for v in values if v is not None] + [label]
+    wide = df.groupBy(key).pivot(name_col, values).agg(F.first(value_col))
     return wide.select(key, *[F.coalesce(F.col(f"`{v}`"), F.lit(fill)).alias(f"{prefix}{v}") for v in values])
 
 
@@ -57,8 +66,6 @@ def separate(df: DataFrame, col: str, sep: str, into: Sequence[str | None], type
 
 
 def _quote(sep: str) -> str:
-    import re
-
     return re.escape(sep)
 
 

@@ -114,6 +114,19 @@ def test_levels_and_keys_come_from_the_data(spark):
     assert rs.pivot_long(long, "id", "n", "v").columns == ["id", "p", "unlisted"]
 
 
+def test_null_category_is_a_column(spark):
+    long = spark.createDataFrame([(1, "p", 0.5), (1, None, 0.5), (2, None, 1.0), (3, "p", 1.0)], "player_id int, category_name string, pct_spend double")
+    wide = rs.pivot_long(long, "player_id", "category_name", "pct_spend", prefix="Spend Distr ")
+    assert wide.columns == ["player_id", "Spend Distr p", "Spend Distr NA"]
+    assert sorted(map(tuple, wide.collect())) == [(1, 0.5, 0.5), (2, 0.0, 1.0), (3, 1.0, 0.0)]
+    named = long.union(spark.createDataFrame([(4, "na", 0.7)], long.schema))  # a real name keeps its column
+    wide = rs.pivot_long(named, "player_id", "category_name", "pct_spend")
+    assert wide.columns == ["player_id", "na", "p", "NA_"]
+    assert sorted(map(tuple, wide.collect())) == [(1, 0.0, 0.5, 0.5), (2, 0.0, 0.0, 1.0), (3, 0.0, 1.0, 0.0), (4, 0.7, 0.0, 0.0)]
+    numbers = spark.createDataFrame([(1, 5, 0.5), (1, None, 0.5)], "id int, n int, v double")
+    assert [tuple(r) for r in rs.pivot_long(numbers, "id", "n", "v").collect()] == [(1, 0.5, 0.5)]
+
+
 def test_sums_below_a_cent_and_literal_game_names(spark):
     from cohortlens.functions.scalar import match_game, money_sum
     assert spark.range(1000).select(F.lit(0.004).alias("x")).agg(money_sum("x")).first()[0] == 4.0

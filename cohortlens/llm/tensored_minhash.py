@@ -8,8 +8,9 @@ sets of similarity s meet in a table with probability (1 - (1 - s^2)^11)^2: 0.99
 Equal sets are one class with one representative, so groups of copies cost one row each. Round one verifies, for
 every representative, the bucket leader it shares most tables with. Rounds two and three look again at the buckets
 that still hold different components: first each row with the nearest one of another component, then all pairs
-across components whose signatures agree in enough places. Large
-buckets are split into blocks and met block against block, so no task holds a whole bucket, and no bucket or
+across components that can be similar. A pair is left out only where its sizes, or its parity bits, prove that it is not:
+each of a set's 2,048 bits is the parity of the shingles that fall on it, so two sets differ in at least as many shingles
+as in bits. Large buckets are split into blocks and met block against block, so no task holds a whole bucket, and no bucket or
 candidate list is capped. Links are confirmed on the full sets; components come from a distributed contraction.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing; texts with fewer
@@ -31,7 +32,7 @@ from cohortlens.llm.components import connected
 from cohortlens.llm.shared import of_ids, opened, stored
 from cohortlens.session import cut_lineage
 
-FINE = 256
+PARITY = 2048
 _RNG = np.random.default_rng(7)
 _MULT = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -99,12 +100,24 @@ def _sets(width: int):
     return run
 
 
-def _fine_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(rep, fine): 256 MinHash values of eight bits of each set, for a sharper estimate of similarity."""
+def parity_bits(keys: np.ndarray) -> np.ndarray:
+    """For each of ``PARITY`` places whether an odd number of shingles falls on it, packed in 64-bit words."""
+    on = np.bincount((T.mix(keys) % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(on.astype(bool)).view(np.uint64)
+
+
+def can_link(bits_x: np.ndarray, bits_y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray, percent: int) -> np.ndarray:
+    """False only for sets that are surely less similar: the sets differ in d shingles or more, d the bits in which their
+    parities differ, and similar ones differ in at most (100 - percent) / (100 + percent) of the sum of their sizes."""
+    differ = np.bitwise_count(bits_x ^ bits_y).sum(-1, dtype=np.int64)
+    return (100 + percent) * differ <= (100 - percent) * (n_x + n_y)
+
+
+def _parity_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rep, parity) of each set."""
     for batch in batches:
-        fine = [(signatures(np.frombuffer(x.as_buffer(), np.uint64), np.zeros(1, np.int64), FINE) & 255).astype(np.uint8).tobytes()
-                for x in batch.column("items")]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fine, pa.binary())], names=["rep", "fine"])
+        bits = [parity_bits(np.frombuffer(x.as_buffer(), np.uint64)).tobytes() for x in batch.column("items")]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(bits, pa.binary())], names=["rep", "parity"])
 
 
 def _sub_keys(m: int):
@@ -191,9 +204,9 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(block_sort: list[str], least: int, percent: int, nearest: bool):
-    """From rows sorted by (key, i, j): the pairs of different components whose sizes and signatures allow a link. A pair
+    """From rows sorted by (key, i, j): the pairs of different components whose sizes and parities allow a link. A pair
     meets in many tables; it is given out in the first of them only, which its signatures tell. With ``nearest``: for
-    each row only the one whose signature agrees most, with that number."""
+    each row only the one whose signature agrees most, if in ``least`` values, with that number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
@@ -225,8 +238,7 @@ def _pairs(table: pa.Table, by: list[str], least: int, percent: int, nearest: bo
         rep, comp, n, sub = (table.column(c).to_numpy() for c in ("rep", "component", "n", "sub"))
         i, j, slot = (table.column(c).to_numpy() for c in ("i", "j", "slot"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(table.num_rows, -1)
-        fine = np.frombuffer(b"".join(table.column("fine").to_pylist()), np.uint8).reshape(table.num_rows, -1)
-        close = int(FINE * (percent / 100 - 0.085))  # more than three standard deviations below the expected agreement
+        bits = np.frombuffer(b"".join(table.column("parity").to_pylist()), np.uint64).reshape(table.num_rows, -1)
         for s, e in zip(ends, ends[1:], strict=False):
             left = s + np.flatnonzero(sub[s:e] == i[s])
             right = s + np.flatnonzero(sub[s:e] == j[s])
@@ -242,8 +254,8 @@ def _pairs(table: pa.Table, by: list[str], least: int, percent: int, nearest: bo
                     continue
                 met = same[:, 0::2] & same[:, 1::2]  # sub-keys in common, of the first collection and the second
                 m = met.shape[1] // 2
-                q = q[(same.sum(1) >= least) & (met[:, :m].argmax(1) * m + met[:, m:].argmax(1) == slot[p])]
-                q = q[(fine[q] == fine[p]).sum(1) >= close]
+                q = q[met[:, :m].argmax(1) * m + met[:, m:].argmax(1) == slot[p]]
+                q = q[can_link(bits[q], bits[p], n[q], n[p], percent)]
                 for o, v in zip(out, (np.minimum(rep[p], rep[q]), np.maximum(rep[p], rep[q]), np.zeros(len(q), np.int64)), strict=True):
                     o.append(v)
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o).astype(np.int64)) for o in out], names=["a", "b", "agree"])
@@ -298,8 +310,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int =
 
     # rounds two and three: buckets that hold more than one component; first the nearest row of another component for
     # each row, in the diagonal tables, then every pair that is left
-    least = int(4 * m * (percent / 100 - 0.19))  # more than three standard deviations below the expected agreement
-    sharp = stored(reps.join(sets.where(F.length("items") > 0).mapInArrow(_fine_task, "rep long, fine binary").hint("merge"), "rep"))
+    least = int(4 * m * (percent / 100 - 0.19))  # only the nearest round skips those below; the last one does not
+    sharp = stored(reps.join(sets.where(F.length("items") > 0).mapInArrow(_parity_task, "rep long, parity binary").hint("merge"), "rep"))
     for nearest in (True, False):
         pairs = _candidates(buckets, comps, sharp, m, block, least, percent, nearest)
         more = stored(verify(pairs, sets, percent))

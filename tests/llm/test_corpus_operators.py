@@ -344,6 +344,38 @@ def test_near_duplicates_equal_brute_force(spark, rows, block):
     assert all(r["kept"] == (i == r["component_id"]) for i, r in got.items())
 
 
+def test_pairs_with_unlucky_signatures_are_given_out():
+    """A pair that shares one table only is a candidate, however little its signatures agree, if its sets can be similar."""
+    rng = np.random.default_rng(4)
+    x = np.sort(rng.integers(0, 1 << 63, 200, dtype=np.uint64))
+    y = np.sort(np.concatenate([x[:172], rng.integers(0, 1 << 63, 28, dtype=np.uint64)]))  # 172 of 228: 0.754
+    far = np.sort(np.concatenate([x[:100], rng.integers(0, 1 << 63, 100, dtype=np.uint64)]))
+    sig = np.arange(3 * 44, dtype=np.uint32).reshape(3, 44)
+    for k in (0, 1, 22, 23):  # the first sub-key of both collections
+        sig[:, k] = 7
+    parity = [tensored_minhash.parity_bits(s).tobytes() for s in (x, y, far)]
+    same = pa.array(np.zeros(3, np.int64))
+    rows = pa.table({"key": same, "i": same, "j": same, "sub": same, "slot": same, "rep": [1, 2, 3], "component": [1, 2, 3],
+                     "n": [200] * 3, "sig": [s.tobytes() for s in sig], "parity": parity})
+    got = tensored_minhash._pairs(rows, ["key", "i", "j"], 24, 75, False)
+    assert list(zip(got.column("a").to_pylist(), got.column("b").to_pylist(), strict=True)) == [(1, 2)]
+
+
+def test_parities_never_rule_out_similar_sets():
+    rng = np.random.default_rng(5)
+    dropped = 0
+    for _ in range(2000):
+        n = int(rng.integers(1, 3000))
+        x = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        y = np.concatenate([x[int(n * rng.uniform(0, 0.3)):], rng.integers(0, 1 << 63, int(n * rng.uniform(0, 0.2)), dtype=np.uint64)])
+        both = len(np.intersect1d(x, y))
+        similar = 100 * both >= 75 * (n + len(y) - both)
+        may = tensored_minhash.can_link(tensored_minhash.parity_bits(x), tensored_minhash.parity_bits(y), n, len(y), 75)
+        assert may or not similar
+        dropped += not may
+    assert dropped > 200
+
+
 def test_near_duplicates_empty(empty):
     assert tensored_minhash.near_duplicates(empty).collect() == []
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bit_sliced, kneser_ney, packing, piece_transducer, quality_rules, sharding, suffix_dedup, tensored_minhash, toxicity, warc
+from cohortlens.llm import bit_sliced, kneser_ney, packing, periodic_runs, piece_transducer, quality_rules, sharding, suffix_dedup, tensored_minhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -81,3 +81,8 @@ def op3_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return piece_transducer.encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digest(_table(spark, sf_dir, "documents"), plant=True)

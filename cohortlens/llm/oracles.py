@@ -141,3 +141,64 @@ WITH RECURSIVE w AS (
 )
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c ON n.doc_id = c.v
 """
+
+ORACLES["op13_conversation_repair"] = r"""
+WITH RECURSIVE tbl AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+    lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), faulty AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(string_split(k, ''), lambda x: CAST(unicode(x) AS BIGINT)),
+    lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 20 AS f FROM keyed, tbl
+), after AS (
+  SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM faulty
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+         left(role, 1) AS ini, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank FROM after
+), rows_ AS (
+  SELECT *, seen AND NOT blank AS dup, NOT blank AND NOT seen
+         AND regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') AS cut,
+         lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM ranked
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM rows_ GROUP BY conv_id
+), path AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '0' AS q, {'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])} AS best
+  FROM (SELECT DISTINCT conv_id FROM rows_)
+  UNION ALL
+  SELECT conv_id, i, q, min(best) FROM (
+    SELECT p.conv_id, r.i, e.q, {'c': p.best.c + len(g.ins) * 2 + e.c, 'a': p.best.a || g.ins || e.a,
+      't': list_concat(p.best.t, g.said, CASE e.a WHEN 'D' THEN [] WHEN 'K' THEN [r.role || ':' || r.text]
+                                           ELSE [CASE e.q WHEN 'u' THEN 'user:' ELSE 'assistant:' END || r.text] END)} AS best
+    FROM path p JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+    JOIN (VALUES ('0', '', '0', CAST([] AS VARCHAR[])), ('s', '', 's', []), ('u', '', 'u', []), ('a', '', 'a', []),
+                 ('0', 'I', 'u', ['user:']), ('s', 'I', 'u', ['user:']), ('a', 'I', 'u', ['user:']),
+                 ('u', 'I', 'a', ['assistant:']), ('0', 'II', 'a', ['user:', 'assistant:']),
+                 ('s', 'II', 'a', ['user:', 'assistant:'])) g(f, ins, mid, said) ON g.f = p.q
+    JOIN (SELECT conv_id AS cid, i AS ri, f AS mid, x.a AS a, x.c AS c, x.q AS q FROM (
+            SELECT conv_id, i, f, unnest([
+              {'a': 'D', 'c': 3, 'q': f},
+              {'a': CASE WHEN NOT (blank OR dup) AND (ini = nxt OR (ini = 's' AND f = '0')) THEN 'K' END,
+               'c': CAST(cut AS INT), 'q': ini},
+              {'a': CASE WHEN NOT (blank OR dup) THEN 'R' END, 'c': 2 + CAST(cut AS INT), 'q': nxt}]) AS x
+            FROM rows_, (VALUES ('0', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')) v(f, nxt))) e
+      ON e.cid IS NOT DISTINCT FROM p.conv_id AND e.ri = r.i AND e.mid = g.mid AND e.a IS NOT NULL)
+  GROUP BY conv_id, i, q
+), ends AS (
+  SELECT p.conv_id, min({'c': p.best.c + len(z.ins) * 2, 'a': p.best.a || z.ins, 't': list_concat(p.best.t, z.said)}) AS best
+  FROM path p JOIN facts f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.n = p.i
+  JOIN (VALUES ('0', '', CAST([] AS VARCHAR[])), ('s', 'II', ['user:', 'assistant:']), ('u', 'I', ['assistant:']), ('a', '', []))
+    z(q, ins, said) ON z.q = p.q GROUP BY p.conv_id
+)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(CAST(e.best.c AS BIGINT), 0) AS cost,
+       coalesce(e.best.a, '') AS audit, sha256(coalesce(array_to_string(e.best.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""

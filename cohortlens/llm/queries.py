@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bit_sliced, kneser_ney, packing, periodic_runs, piece_transducer, quality_rules, sharding, suffix_dedup, tensored_minhash, toxicity, warc
+from cohortlens.llm import bit_sliced, conversation_repair, kneser_ney, packing, periodic_runs, piece_transducer, quality_rules, sharding, suffix_dedup, tensored_minhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -86,3 +86,9 @@ def op3_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digest(_table(spark, sf_dir, "documents"), plant=True)
+
+
+@_query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_repair.damaged(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.summary(conversation_repair.repair(turns, "copies"))

@@ -202,3 +202,66 @@ SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0)
 FROM (SELECT DISTINCT conv_id FROM conversations) c
 LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 """
+
+
+def _url_level(k: int) -> str:
+    """The probabilities of n-grams of k + 1 characters, for op11_url_models."""
+    low = "(na + (ka + 1) * (1.0::DOUBLE / 1114112)) / (ta + ka + 1) AS pa, (nr + (kr + 1) * (1.0::DOUBLE / 1114112)) / (tr + kr + 1) AS pr"
+    high = ("CASE WHEN ta >= 4 THEN (na + ka * l.pa) / (ta + ka) ELSE l.pa END AS pa, "
+            "CASE WHEN tr >= 4 THEN (nr + kr * l.pr) / (tr + kr) ELSE l.pr END AS pr")
+    shorter = f"JOIN p{k - 1} l ON l.gram = substring(x.gram, 2)" if k else ""
+    return f"""x{k} AS (
+  SELECT gram, na, nr, sum(na) OVER c AS ta, sum(nr) OVER c AS tr, CAST(count(*) FILTER (na > 0) OVER c AS DOUBLE) AS ka,
+         CAST(count(*) FILTER (nr > 0) OVER c AS DOUBLE) AS kr
+  FROM (SELECT substring(win, {6 - k}) AS gram, sum(na) AS na, sum(nr) AS nr FROM c GROUP BY 1) WINDOW c AS (PARTITION BY left(gram, {k}))
+), p{k} AS (
+  SELECT x.gram, {high if k else low} FROM x{k} x {shorter}
+)"""
+
+ORACLES["op11_url_models"] = r"""
+WITH u AS (
+  SELECT coalesce(url, '') AS url, count(*) AS n FROM pages GROUP BY 1
+), r AS (
+  SELECT url, CASE WHEN strpos(url, '://') > 0 THEN substring(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u
+), h AS (
+  SELECT url, regexp_extract(rest, '^[^/?#]*') AS raw,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         substring(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) AS behind FROM r
+), p AS (
+  SELECT url, host, regexp_extract(behind, '^[^?#]*') AS path,
+         CASE WHEN strpos(url, '://') > 0 THEN host || behind ELSE url END AS text FROM h
+), j AS (
+  SELECT *, CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+                 WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+                 WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+                 WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+                 WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule FROM p
+), k AS (
+  SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS verdict,
+         left(md5(url), 1) IN ('0', '1', '2') AS held FROM j
+), w AS (
+  SELECT url, verdict, held, substring(chr(1) || chr(1) || chr(1) || chr(1) || chr(1) || text || chr(2), i, 6) AS win
+  FROM (SELECT *, unnest(range(1, length(text) + 2)) AS i FROM k)
+), c AS (
+  SELECT win, CAST(count(*) FILTER (verdict = 'allow' AND NOT held) AS DOUBLE) AS na,
+         CAST(count(*) FILTER (verdict = 'block' AND NOT held) AS DOUBLE) AS nr FROM w GROUP BY win
+), """ + ", ".join(_url_level(k) for k in range(6)) + r""", weights AS (
+  SELECT gram AS win, CAST(floor(1000.0 * ln(pa / pr) + 0.5) AS BIGINT) AS weight FROM p5
+), scores AS (
+  SELECT url, any_value(verdict) AS verdict, CAST(floor(sum(weight)::DOUBLE / count(*)) AS BIGINT) AS score
+  FROM w JOIN weights USING (win) WHERE held OR verdict IS NULL GROUP BY url
+), bins AS (
+  SELECT score, count(*) FILTER (verdict = 'allow') AS a, count(*) FILTER (verdict = 'block') AS b
+  FROM (SELECT score, verdict FROM scores WHERE verdict IS NOT NULL UNION ALL SELECT 0, NULL) GROUP BY score
+), cuts AS (
+  SELECT score, sum(a) OVER (ORDER BY score) - a AS a_below, sum(b) OVER (ORDER BY score) - b AS b_below,
+         sum(a) OVER () AS all_a, sum(b) OVER () AS all_b FROM bins
+), lim AS (
+  SELECT coalesce((SELECT score FROM cuts WHERE all_a > 0 AND all_b > 0
+                   ORDER BY a_below * all_b + (all_b - b_below) * all_a, abs(score), score LIMIT 1), 0) AS lowest
+)
+SELECT CAST(g.page_id AS BIGINT) AS page_id, k.host, k.path, k.rule,
+       CASE WHEN k.verdict IS NOT NULL THEN k.verdict WHEN s.score < lim.lowest THEN 'block' ELSE 'allow' END AS verdict,
+       CASE WHEN k.verdict IS NULL THEN s.score END AS score, CASE WHEN k.verdict IS NULL THEN CAST(lim.lowest AS BIGINT) END AS lowest
+FROM pages g JOIN k ON k.url = coalesce(g.url, '') LEFT JOIN scores s ON s.url = k.url, lim
+"""

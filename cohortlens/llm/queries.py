@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bit_sliced, conversation_repair, kneser_ney, packing, periodic_runs, piece_transducer, quality_rules, sharding, suffix_dedup, tensored_minhash, toxicity, warc
+from cohortlens.llm import bit_sliced, conversation_repair, kneser_ney, packing, periodic_runs, piece_transducer, quality_rules, sharding, suffix_dedup, tensored_minhash, toxicity, url_models, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -92,3 +92,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = conversation_repair.damaged(_table(spark, sf_dir, "conversations"))
     return conversation_repair.summary(conversation_repair.repair(turns, "copies"))
+
+
+@_query
+def op11_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_models.judge(_table(spark, sf_dir, "pages"))

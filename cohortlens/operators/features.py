@@ -14,10 +14,12 @@ Plan shape (why it holds at 100 TB):
   base once on the device id: one shuffle of the base, one join, and one per-device aggregate for all
   metrics and horizons that reuses the join's partitioning. Whether the base is broadcast is left to
   AQE, which checks its runtime size.
+* Activity is pruned by the devices of the base *before* it is aggregated: a membership filter of the
+  installs in the window (``membership``, broadcast with a proven bound) stands in front of every
+  activity scan's partial aggregate, so neither a training build nor a one-day cohort aggregates and
+  shuffles the history of every device, and raw activity rows never move. The exact join follows.
 * Scoring (E2, E5) works per cohort: everything is keyed by (device, cohort date) and first touches by
-  (ad id, day), so scoring a range gives what scoring its days one by one gives. There the activity is
-  pruned by the cohorts' devices *before* it is aggregated (left-semi join, size measured by Spark): a
-  one-day cohort does not shuffle the history of every device.
+  (ad id, day), so scoring a range gives what scoring its days one by one gives.
 * The single-metric functions (``sessions_by_horizon`` etc.) expose the same computations one table at
   a time (registered as their own queries).
 """
@@ -35,6 +37,7 @@ from ..functions.scalar import (
     strip_device_prefix,
 )
 from ..params import FeatureParams
+from .membership import keep_members, member_words
 
 
 def scan_dates(df: DataFrame, start: dt.date, end: dt.date, parts: Sequence[str] = ("year", "month", "day")) -> DataFrame:
@@ -99,11 +102,17 @@ def _keys(base: DataFrame) -> list[str]:
     return [c for c in ("s", "cohort_date") if c in base.columns]
 
 
+def _of_base(activity: DataFrame, base: DataFrame, *cols: str) -> DataFrame:
+    """The activity rows whose device may be in the base, before anything is aggregated."""
+    return keep_members(activity.select("s", "activity_date", *cols), "s", member_words(base, "s"))
+
+
 def sessions_by_horizon(base: DataFrame, sessions: DataFrame, p: FeatureParams, horizons: Sequence[int],
                         bound: dt.date) -> DataFrame:
     """A2: session count and total session seconds per device for each horizon, one scan."""
     daily = (
-        sessions.where(match_game("game_name", p.game, p.exclude_qa) & (F.col("activity_date") <= F.lit(bound)))
+        _of_base(sessions.where(match_game("game_name", p.game, p.exclude_qa) & (F.col("activity_date") <= F.lit(bound))),
+                 base, "session_length")
         .groupBy("s", "activity_date")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("session_length").cast("decimal(28,6)")).alias("len"))
     )
@@ -119,7 +128,7 @@ def sessions_by_horizon(base: DataFrame, sessions: DataFrame, p: FeatureParams,
 def utility_by_horizon(base: DataFrame, utility: DataFrame, p: FeatureParams, horizons: Sequence[int],
                        bound: dt.date) -> DataFrame:
     """A3 + A4: utility per horizon and the early-half sum, one scan of the daily utility table."""
-    u = (utility.where((F.lower("game_base") == p.game.lower()) & (F.col("activity_date") <= F.lit(bound)))
+    u = (_of_base(utility.where((F.lower("game_base") == p.game.lower()) & (F.col("activity_date") <= F.lit(bound))), base, "utility")
          .groupBy("s", "activity_date").agg(F.sum("utility").alias("utility")))
     j = base.select(*_keys(base), "install_dt").join(u, "s")
     aggs = [
@@ -135,9 +144,9 @@ def spend_by_horizons(base: DataFrame, revenue: DataFrame, p: FeatureParams, hor
                       bound: dt.date) -> DataFrame:
     """A5: in-app spend per device for every horizon in one pass (P6 keeps null channels)."""
     daily = (
-        revenue.where(null_tolerant_equals("channel", p.iap_channel)
-                      & match_game("game_name", p.game, p.exclude_qa)
-                      & (F.col("activity_date") <= F.lit(bound)))
+        _of_base(revenue.where(null_tolerant_equals("channel", p.iap_channel)
+                               & match_game("game_name", p.game, p.exclude_qa)
+                               & (F.col("activity_date") <= F.lit(bound))), base, "amt")
         .groupBy("s", "activity_date")
         .agg(F.sum(F.col("amt").cast("decimal(28,6)")).alias("amt"))
     )
@@ -152,15 +161,17 @@ def activity_daily(tables, p: FeatureParams, start: dt.date, end: dt.date, devic
     """The three activity tables reduced to one row per (device, day) each, with map-side partial
     aggregation, and stacked: s, activity_date, n, len (sessions), util (utility), amt (IAP spend).
     Each table is scanned once with its own constant date bounds (a lower one only where ages have one). With
-    ``devices`` (s), rows of other devices are dropped before the aggregation."""
+    ``devices`` (s, repeats allowed), rows of other devices are dropped before the aggregation by a membership filter,
+    which lets a few of them through; the join with the base drops those."""
     f, t = p.day_from, p.day_to
+    members = None if devices is None else member_words(devices, "s")
 
     def rows(table: DataFrame, match: Column, days: int, *cols: str) -> DataFrame:
         kept = table.where(match & (F.col("activity_date") <= F.lit(end + dt.timedelta(days=days))))
         if p.min_age is not None:
             kept = kept.where(F.col("activity_date") >= F.lit(start + dt.timedelta(days=p.min_age)))
         kept = kept.select("s", "activity_date", *cols)
-        kept = kept if devices is None else kept.join(devices, "s", "left_semi")
+        kept = kept if members is None else keep_members(kept, "s", members)
         return kept.groupBy("s", "activity_date")
 
     name = match_game("game_name", p.game, p.exclude_qa)
@@ -205,15 +216,17 @@ def build_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> Da
     Plan: the stacked per-device-day activity (``activity_daily``) is joined **once** to the installs
     base (left join on ``s``) and aggregated **once** per device with conditional sums for every metric
     and horizon. The base is therefore computed and shuffled once, each activity table is scanned
-    once, and the aggregate reuses the join's partitioning on ``s``."""
-    base = installs_base(installs_in_window(tables.installs, p, start, end), first_touch(tables.touches, p, start, end))
-    return _features_of(base, activity_daily(tables, p, start, end), p)
+    once, and the aggregate reuses the join's partitioning on ``s``. Activity of devices outside the base is
+    dropped in front of each scan's partial aggregate."""
+    installs = installs_in_window(tables.installs, p, start, end)
+    base = installs_base(installs, first_touch(tables.touches, p, start, end))
+    return _features_of(base, activity_daily(tables, p, start, end, installs.select("s")), p)
 
 
 def cohort_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> DataFrame:
     """Feature rows of every cohort date in ``[start, end]``, keyed by (s, cohort_date): the union of what each day
     gives when it is scored alone."""
-    devices = installs_in_window(tables.installs, p, start, end).select("s").distinct()
+    devices = installs_in_window(tables.installs, p, start, end).select("s")
     return _features_of(cohort_base(tables, p, start, end), activity_daily(tables, p, start, end, devices), p)
 
 

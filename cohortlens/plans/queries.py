@@ -59,6 +59,15 @@ def training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.training_features(load_world(spark, sf_dir), P)
 
 
+@query("device_days")
+def device_days(spark, sf_dir):
+    """J2, first half: the stacked device-day activity that the training build shuffles, of the base's devices only."""
+    w = load_world(spark, sf_dir)
+    installs = feat.installs_in_window(w.installs, P, P.window_start, P.window_end)
+    days = feat.activity_daily(w, P, P.window_start, P.window_end, installs.select("s"))
+    return days.select("s", "activity_date", "n", F.col("len").cast("double").alias("len"), "util", F.col("amt").cast("double").alias("amt"))
+
+
 @query("scoring_features")
 def scoring_features(spark, sf_dir):
     return feat.scoring_features(load_world(spark, sf_dir), P, COHORT_DATE)

@@ -118,3 +118,49 @@ def test_scoring_plan_has_no_python(spark):
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan
     assert scored.columns == ["s", "day_90_day_365"]
+
+
+def _above(lines, at):
+    """The nodes above a line of a plan, nearest first."""
+    depth = len(re.match(r"[\s:|+\-*]*", lines[at]).group())
+    out = []
+    for ln in reversed(lines[:at]):
+        d = len(re.match(r"[\s:|+\-*]*", ln).group())
+        if d < depth:
+            out.append(ln)
+            depth = d
+    return out
+
+
+@pytest.mark.parametrize("kind", ["training", "scoring", "sessions", "utility", "spend"])
+def test_membership_filter_stands_below_the_partial_aggregate(warehouse, kind):
+    import datetime as dt
+    p = TEST_FEATURES
+    base = feat.installs_in_window(warehouse.installs, p, p.window_start, p.window_end)
+    bound = p.window_end + dt.timedelta(days=p.day_from)
+    df, names = {
+        "training": lambda: (feat.training_features(warehouse, p), ["sessions", "utility", "revenue"]),
+        "scoring": lambda: (feat.scoring_features(warehouse, p, dt.date(1995, 1, 1)), ["sessions", "utility", "revenue"]),
+        "sessions": lambda: (feat.sessions_by_horizon(base, warehouse.sessions, p, [7], bound), ["sessions"]),
+        "utility": lambda: (feat.utility_by_horizon(base, warehouse.utility, p, [7], bound), ["utility"]),
+        "spend": lambda: (feat.spend_by_horizons(base, warehouse.revenue, p, [7], bound), ["revenue"]),
+    }[kind]()
+    lines = _plan(df).splitlines()
+    for name in names:
+        at = [i for i, ln in enumerate(lines) if "FileScan parquet" in ln and f"/{name}]" in ln]
+        assert len(at) == 1
+        up = _above(lines, at[0])
+        agg = next(i for i, ln in enumerate(up) if "Aggregate" in ln)
+        join = next(i for i, ln in enumerate(up) if "BroadcastHashJoin" in ln and "__word" in ln)
+        exchange = next(i for i, ln in enumerate(up) if "Exchange" in ln)
+        assert join < agg < exchange and "partial_" in up[agg]
+
+
+def test_only_the_bases_device_days_are_shuffled(warehouse):
+    p = TEST_FEATURES
+    installs = feat.installs_in_window(warehouse.installs, p, p.window_start, p.window_end)
+    devices = {r["s"] for r in installs.select("s").collect()}
+    every = feat.activity_daily(warehouse, p, p.window_start, p.window_end).collect()
+    pruned = feat.activity_daily(warehouse, p, p.window_start, p.window_end, installs.select("s")).collect()
+    assert sorted(map(repr, pruned)) == sorted(repr(r) for r in every if r["s"] in devices)
+    assert 0 < len(pruned) < len(every)

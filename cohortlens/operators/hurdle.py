@@ -193,10 +193,10 @@ class HurdleRegressor(Estimator):
         s = self.spec
         x = assembled(df, s)
         clf = GBTClassifier(featuresCol="_clf_x", labelCol="_spender_label", maxIter=s.nrounds, stepSize=s.eta,
-                            maxDepth=s.max_depth, seed=s.seed, predictionCol="_clf_pred", maxMemoryInMB=1024, checkpointInterval=-1)
+                            maxDepth=s.max_depth, seed=s.seed, predictionCol="_clf_pred", maxMemoryInMB=1024, checkpointInterval=10)
         clf.setProbabilityCol("_clf_prob").setRawPredictionCol("_clf_raw")
         reg = GBTRegressor(featuresCol="_reg_x", labelCol=s.label, maxIter=s.nrounds, stepSize=s.eta,
-                           maxDepth=s.max_depth, seed=s.seed, predictionCol="_amount", maxMemoryInMB=1024, checkpointInterval=-1)
+                           maxDepth=s.max_depth, seed=s.seed, predictionCol="_amount", maxMemoryInMB=1024, checkpointInterval=10)
         reg_data = x.where(F.col(s.spender)) if s.spenders_only else x
         # the two parts are independent: fit them concurrently
         with ThreadPoolExecutor(max_workers=2) as pool:

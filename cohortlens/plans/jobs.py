@@ -23,7 +23,7 @@ from ..operators import segments as seg
 from ..operators import summarise as sm
 from ..params import CampaignParams, FeatureParams, HurdleParams
 from ..session import cut_lineage, right_size
-from ..sources import registry, sinks
+from ..sources import registry, sinks, snapshots
 
 # ---- revenue model (E1-E5) ------------------------------------------------------------------------
 
@@ -91,6 +91,15 @@ def score_and_publish(tables, p: FeatureParams, cohort_date: dt.date, model: hd.
     return sinks.upsert_cohort(preds.sparkSession, table_path, cohort_date, preds, prediction_column(p), all_columns)
 
 
+def publish_cohorts(tables, p: FeatureParams, start: dt.date, end: dt.date, models: Mapping[int, hd.HurdleModel],
+                    root: str, all_columns: Sequence[str]) -> int:
+    """E4 / E5 into a versioned table: all cohorts in [start, end] for every horizon model become visible at once, as one
+    new version, which is returned."""
+    preds = backfill_predictions(tables, p, start, end, models)
+    cols = [f"day_{p.day_from}_day_{h}" for h in sorted(models)]
+    return snapshots.upsert_snapshot(preds.sparkSession, root, preds, "cohort_date", cols, all_columns)
+
+
 def backfill_predictions(tables, p: FeatureParams, start: dt.date, end: dt.date,
                          models: Mapping[int, hd.HurdleModel]) -> DataFrame:
     """Every cohort in [start, end] x every horizon in one job: one feature build keyed by (device, cohort

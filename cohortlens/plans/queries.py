@@ -197,6 +197,33 @@ def partitions_upsert(spark, sf_dir):
     return spark.read.schema(schema).parquet(path)
 
 
+@query("snapshot_upsert")
+def snapshot_upsert(spark, sf_dir):
+    """S8 as versions: version 1 stores the 30-day value of every cohort day, version 2 the 60-day value of every third
+    day and the value of devices new on them; a third writer that dies on its last day publishes nothing. All versions."""
+    from ..sources import snapshots
+    w = load_world(spark, sf_dir)
+    a, b = REINSTALLS
+    base = feat.cohort_base(w, P, a, b).select("s", "cohort_date", "install_dt")
+    spend = feat.spend_by_horizons(base, w.revenue, P, (30, 60), b + dt.timedelta(days=60))
+    rows = base.drop("install_dt").join(spend, ["s", "cohort_date"], "left").fillna(0.0)
+    root, cols = _scratch(spark, "snapshots"), UPSERT_COLUMNS
+    first = rows.where("s not like '%7'").select("s", "cohort_date", F.col("spend_day_30").alias(cols[0]))
+    third = rows.where(F.dayofmonth("cohort_date") % 3 == 0).select("s", "cohort_date", F.col("spend_day_60").alias(cols[1]))
+    done = [snapshots.upsert_snapshot(spark, root, new, "cohort_date", [c], cols) for new, c in ((first, cols[0]), (third, cols[1]))]
+    last = first.agg(F.max("cohort_date")).first()[0]
+    broken = first.withColumn(cols[0], F.when(F.col("cohort_date") == F.lit(last), F.raise_error(F.lit("stopped"))).otherwise(F.lit(-1.0)))
+    try:
+        snapshots.upsert_snapshot(spark, root, broken, "cohort_date", [cols[0]], cols)
+    except Exception as e:  # the job that dies, as planned above
+        if "stopped" not in str(e):
+            raise
+    schema = snapshots.table_schema(first, "cohort_date", cols[:1], cols, "s")
+    versions = [*done, None]  # None: what readers get now
+    frames = [snapshots.read_snapshot(spark, root, schema, v).withColumn("version", F.lit(-1 if v is None else v)) for v in versions]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 @query("sources_round_trip")
 def sources_round_trip(spark, sf_dir):
     """Rows appended to a date partition, the table read by name, with bound parameters, and from a

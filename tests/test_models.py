@@ -185,9 +185,10 @@ def test_hurdle_model_beats_mean_and_round_trips(spark, tmp_dir):
     h = hold.first()
     assert math.isfinite(h["rmse"]) and math.isfinite(h["mae"]) and h["n"] == test.count()
     root = tmp_dir + "/models"
-    registry.save_model(spark, model, root, "shop", 90, 365, version=1)
-    registry.save_model(spark, model, root, "shop", 90, 365, version=2)
-    assert registry.latest_model_path(spark, root, "shop", 90, 365).endswith("/v2")
+    registry.save_model(spark, model, root, "shop", 90, 365)
+    last = registry.save_model(spark, model, root, "shop", 90, 365)
+    assert registry.latest_model_path(spark, root, "shop", 90, 365) == last
+    assert [r["version"] for r in registry.list_models(spark, root, "shop").orderBy("version").collect()] == [1, 2]
     again = registry.load_latest_model(spark, root, "shop", 90, 365)
     a = model.transform(test).select("s", "prediction").collect()
     b = again.transform(test).select("s", "prediction").collect()

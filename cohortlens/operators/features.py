@@ -157,18 +157,22 @@ def spend_by_horizons(base: DataFrame, revenue: DataFrame, p: FeatureParams, hor
     ])
 
 
-def activity_daily(tables, p: FeatureParams, start: dt.date, end: dt.date, devices: DataFrame | None = None) -> DataFrame:
+def activity_daily(tables, p: FeatureParams, start: dt.date | None = None, end: dt.date | None = None,
+                   devices: DataFrame | None = None) -> DataFrame:
     """The three activity tables reduced to one row per (device, day) each, with map-side partial
     aggregation, and stacked: s, activity_date, n, len (sessions), util (utility), amt (IAP spend).
-    Each table is scanned once with its own constant date bounds (a lower one only where ages have one). With
+    Each table is scanned once with its own constant date bounds (a lower one only where ages have one); without a
+    window there are none. With
     ``devices`` (s, repeats allowed), rows of other devices are dropped before the aggregation by a membership filter,
     which lets a few of them through; the join with the base drops those."""
     f, t = p.day_from, p.day_to
     members = None if devices is None else member_words(devices, "s")
 
     def rows(table: DataFrame, match: Column, days: int, *cols: str) -> DataFrame:
-        kept = table.where(match & (F.col("activity_date") <= F.lit(end + dt.timedelta(days=days))))
-        if p.min_age is not None:
+        kept = table.where(match)
+        if end is not None:
+            kept = kept.where(F.col("activity_date") <= F.lit(end + dt.timedelta(days=days)))
+        if start is not None and p.min_age is not None:
             kept = kept.where(F.col("activity_date") >= F.lit(start + dt.timedelta(days=p.min_age)))
         kept = kept.select("s", "activity_date", *cols)
         kept = kept if members is None else keep_members(kept, "s", members)
@@ -183,7 +187,7 @@ def activity_daily(tables, p: FeatureParams, start: dt.date, end: dt.date, devic
     return sess.unionByName(util, allowMissingColumns=True).unionByName(spend, allowMissingColumns=True)
 
 
-def _features_of(base: DataFrame, activity: DataFrame, p: FeatureParams) -> DataFrame:
+def features_of(base: DataFrame, activity: DataFrame, p: FeatureParams) -> DataFrame:
     """Feature rows of an installs base (per device, or per device and cohort) and its stacked activity: one left
     join on the device, one aggregate with conditional sums for every metric and horizon."""
     f, t = p.day_from, p.day_to
@@ -220,14 +224,14 @@ def build_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> Da
     dropped in front of each scan's partial aggregate."""
     installs = installs_in_window(tables.installs, p, start, end)
     base = installs_base(installs, first_touch(tables.touches, p, start, end))
-    return _features_of(base, activity_daily(tables, p, start, end, installs.select("s")), p)
+    return features_of(base, activity_daily(tables, p, start, end, installs.select("s")), p)
 
 
 def cohort_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> DataFrame:
     """Feature rows of every cohort date in ``[start, end]``, keyed by (s, cohort_date): the union of what each day
     gives when it is scored alone."""
     devices = installs_in_window(tables.installs, p, start, end).select("s")
-    return _features_of(cohort_base(tables, p, start, end), activity_daily(tables, p, start, end, devices), p)
+    return features_of(cohort_base(tables, p, start, end), activity_daily(tables, p, start, end, devices), p)
 
 
 def training_features(tables, p: FeatureParams) -> DataFrame:

@@ -23,7 +23,7 @@ from ..operators import segments as seg
 from ..operators import summarise as sm
 from ..params import CampaignParams, FeatureParams, HurdleParams
 from ..session import cut_lineage, right_size
-from ..sources import registry, sinks, snapshots
+from ..sources import activity_store, registry, sinks, snapshots
 
 # ---- revenue model (E1-E5) ------------------------------------------------------------------------
 
@@ -91,21 +91,30 @@ def score_and_publish(tables, p: FeatureParams, cohort_date: dt.date, model: hd.
     return sinks.upsert_cohort(preds.sparkSession, table_path, cohort_date, preds, prediction_column(p), all_columns)
 
 
+def add_activity(store: activity_store.ActivityStore, arrived, p: FeatureParams, batch: str) -> int:
+    """E4 upkeep: the raw activity that arrived with a batch (``sessions``, ``utility``, ``revenue``) as device-days into
+    the store, in place of what the batch held before."""
+    return store.put(batch, feat.activity_daily(arrived, p))
+
+
 def publish_cohorts(tables, p: FeatureParams, start: dt.date, end: dt.date, models: Mapping[int, hd.HurdleModel],
-                    root: str, all_columns: Sequence[str]) -> int:
+                    root: str, all_columns: Sequence[str], store: activity_store.ActivityStore | None = None) -> int:
     """E4 / E5 into a versioned table: all cohorts in [start, end] for every horizon model become visible at once, as one
-    new version, which is returned."""
-    preds = backfill_predictions(tables, p, start, end, models)
+    new version, which is returned. With a ``store`` its device-days are used and no raw activity is read."""
+    preds = backfill_predictions(tables, p, start, end, models, store)
     cols = [f"day_{p.day_from}_day_{h}" for h in sorted(models)]
     return snapshots.upsert_snapshot(preds.sparkSession, root, preds, "cohort_date", cols, all_columns)
 
 
 def backfill_predictions(tables, p: FeatureParams, start: dt.date, end: dt.date,
-                         models: Mapping[int, hd.HurdleModel]) -> DataFrame:
+                         models: Mapping[int, hd.HurdleModel],
+                         store: activity_store.ActivityStore | None = None) -> DataFrame:
     """Every cohort in [start, end] x every horizon in one job: one feature build keyed by (device, cohort
     date) (the model inputs do not depend on the horizon), one projection per horizon model; no loop of queries.
     Equals the union of ``score_cohort`` over the days."""
-    mf = feat.model_frame(feat.cohort_features(tables, p, start, end), p)
+    rows = (feat.cohort_features(tables, p, start, end) if store is None
+            else activity_store.features(store, tables, p, start, end, per_cohort=True))
+    mf = feat.model_frame(rows, p)
     cols = []
     for h, model in sorted(models.items()):
         name = f"day_{p.day_from}_day_{h}"

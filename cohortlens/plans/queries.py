@@ -197,6 +197,52 @@ def partitions_upsert(spark, sf_dir):
     return spark.read.schema(schema).parquet(path)
 
 
+LATE_CUT = dt.date(1995, 7, 1)
+
+
+def _activity_store(spark, name):
+    from ..sources.activity_store import ActivityStore
+    root = _scratch(spark, name)
+    # periods of years and few buckets, as the test tables are small
+    return ActivityStore(spark, root, f"default.{name}_{root[-32:]}", 8, "yyyy").open()
+
+
+@query("bucketed_features")
+def bucketed_features(spark, sf_dir):
+    """E1 from device-days that were written once, bucketed by device: the activity is joined and summed where it lies."""
+    from ..sources import activity_store
+    w = load_world(spark, sf_dir)
+    store = _activity_store(spark, "bucketed")
+    store.put("all", feat.activity_daily(w, P))
+    return activity_store.features(store, w, P, P.window_start, P.window_end)
+
+
+@query("incremental_features")
+def incremental_features(spark, sf_dir):
+    """E2 / E5 upkeep: an early batch goes in with wrong amounts, later rows and late ones of devices ending in 3 follow,
+    the early batch is corrected, the later one runs twice, and all are compacted before the last one is added. Then every
+    cohort of a month is scored from the store."""
+    from types import SimpleNamespace
+
+    from ..sources import activity_store
+    w = load_world(spark, sf_dir)
+
+    def part(cond, factor=1.0):
+        return SimpleNamespace(sessions=w.sessions.where(cond), utility=w.utility.where(cond),
+                               revenue=w.revenue.where(cond).withColumn("amt", F.col("amt") * factor))
+
+    early = (F.col("activity_date") < F.lit(LATE_CUT)) & ~F.col("s").endswith("3")
+    last = F.col("activity_date") >= F.lit(dt.date(1997, 1, 1))
+    store = _activity_store(spark, "incremental")
+    store.put("early", feat.activity_daily(part(early, 2.0), P))
+    store.put("later", feat.activity_daily(part(~early & ~last), P))
+    store.put("early", feat.activity_daily(part(early), P))
+    store.put("later", feat.activity_daily(part(~early & ~last), P))
+    store.compact()
+    store.put("last", feat.activity_daily(part(last), P))
+    return activity_store.features(store, w, P, *REINSTALLS, per_cohort=True)
+
+
 @query("snapshot_upsert")
 def snapshot_upsert(spark, sf_dir):
     """S8 as versions: version 1 stores the 30-day value of every cohort day, version 2 the 60-day value of every third

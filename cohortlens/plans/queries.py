@@ -17,6 +17,7 @@ from ..functions.scalar import round_half_up
 from ..operators import features as feat
 from ..operators import hurdle
 from ..operators import impact as imp
+from ..operators import intervals as iv
 from ..operators import prepare as prep
 from ..operators import reshape as rs
 from ..operators import sampling as smp
@@ -641,6 +642,30 @@ def event_overlay(spark, sf_dir):
     return d.select("date", "organic_installs", prep.label_events("date", OVERLAYS).alias("event_labels"))
 
 
+@query("event_overlay_table")
+def event_overlay_table(spark, sf_dir):
+    """P15 with a table of events: every purchase opens a promotion of one to five days."""
+    w = load_world(spark, sf_dir)
+    e = w.table("events").where("event_type = 'purchase'")
+    first = F.to_date("ts")
+    promotions = e.select(F.concat(F.lit("promo "), "event_id").alias("name"), first.alias("start"),
+                          F.date_add(first, (F.col("event_id") % 5).cast("int")).alias("end"))
+    daily = w.daily.select("date", "organic_installs")
+    return iv.label_events_from(daily, "date", promotions, "name", "start", "end")
+
+
+@query("events_in_force")
+def events_in_force(spark, sf_dir):
+    """P15 as numbers: for every order day the order lines that were ordered but not yet shipped."""
+    w = load_world(spark, sf_dir)
+    orders = w.table("orders").select("o_orderkey", F.to_date("o_orderdate").alias("ordered"))
+    lines = w.table("lineitem").select("l_orderkey", "l_quantity", F.to_date("l_shipdate").alias("shipped"))
+    waiting = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    sums = {"n_lines": F.lit(1), "quantity": F.col("l_quantity").cast("decimal(28,6)")}
+    out = iv.totals_on_days(orders, "ordered", waiting, "ordered", "shipped", sums)
+    return out.select(F.col("__day").alias("day"), "n_lines", F.col("quantity").cast("double").alias("quantity"))
+
+
 @query("organic_ltv")
 def organic_ltv(spark, sf_dir):
     """M10 + J8: attributed installs = cumulative absolute effect on organic installs (a scalar)."""

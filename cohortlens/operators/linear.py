@@ -1,30 +1,49 @@
 """Linear models of long-term value.
 
-All fits come from sums: one pass for the means of every column and response, one for the cross products of the
-centred columns, kept per fold where folds are asked for. Both are aggregates with map-side partial sums; p x p numbers
-per fold reach the driver, never rows. Coefficients, standard errors, R2, AIC, variance inflation and the held-out
-error of every fold and specification are then solved from the same matrices, so any number of specifications costs two
-passes. Aliased (exactly collinear) columns are removed in input order, as R's ``lm`` does.
+All fits come from triangular QR factors: one pass for the means of every column and response, one in which each task
+reduces its centred rows to a p x p triangle (``tall-skinny QR``), kept per fold where folds are asked for; triangles are
+then stacked and factored again, sixteen at a time, until one is left. p x p numbers per fold reach the driver, never
+rows. Coefficients, standard errors, R2, AIC, variance inflation and the held-out error of every fold and specification
+are solved from the same triangles, so any number of specifications costs two passes. The triangle has the condition of
+the data, where cross products have its square: columns that agree in all but the last eight digits still give
+coefficients. Aliased (collinear) columns are removed in input order with the tolerance of R's ``lm``.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+#: Triangles that are stacked into one in each step of the reduction.
+FAN_IN = 16
+#: A column of which earlier ones leave less than this share of its length is aliased.
+TOLERANCE = 1e-7
+
 
 def _response(label: str, log_label: bool) -> Column:
     return F.log(F.col(label)) if log_label else F.col(label).cast("double")
 
 
+def triangle_of(parts: Iterable[np.ndarray], k: int) -> np.ndarray:
+    """The k x k triangular factor of stacked matrices; its diagonal is not negative."""
+    rows = [np.zeros((k, k)), *parts]
+    r = np.linalg.qr(np.vstack(rows), mode="r")
+    return r * np.where(np.diag(r) < 0, -1.0, 1.0)[:, None]
+
+
 @dataclass
 class Moments:
-    """Cross products of [1, centred columns] in total and per group, and the columns' means."""
+    """Triangular factors of [1, centred columns] in total and per group, and the columns' means. ``r.T @ r`` are the
+    cross products."""
 
     names: list[str]
     means: np.ndarray
@@ -34,14 +53,60 @@ class Moments:
     def index(self, names: Sequence[str]) -> list[int]:
         return [self.names.index(c) + 1 for c in names]
 
+    def without(self, group) -> np.ndarray:
+        """The factor of all rows but those of a group: of the other groups' stacked triangles."""
+        return triangle_of([r for g, r in self.groups.items() if g != group], len(self.names) + 1)
+
+
+_TRIANGLE = "_g long, part long, r array<double>"
+
+
+def _emit(triangles: dict, part: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(
+        {"_g": list(triangles), "part": [part] * len(triangles), "r": [r.ravel().tolist() for r in triangles.values()]},
+        schema=pa.schema([("_g", pa.int64()), ("part", pa.int64()), ("r", pa.list_(pa.float64()))]))
+
+
+def _factor_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One triangle per group for all rows of a task; holds a batch and the triangles."""
+    triangles: dict = {}
+    for batch in batches:
+        group = batch.column("_g").to_numpy(zero_copy_only=False)
+        x = np.column_stack([np.ones(batch.num_rows)] + [c.to_numpy(zero_copy_only=False) for n, c in zip(batch.schema.names, batch.columns) if n != "_g"])
+        for g in np.unique(group):
+            have = [triangles[g]] if g in triangles else []
+            triangles[g] = triangle_of([*have, x[group == g]], x.shape[1])
+    if triangles:
+        yield _emit(triangles, TaskContext.get().partitionId())
+
+
+def _merge_task(table: pa.Table) -> pa.Table:
+    """The triangles of a few tasks as one."""
+    k = math.isqrt(len(table.column("r")[0]))
+    r = triangle_of([np.array(x).reshape(k, k) for x in table.column("r").to_pylist()], k)
+    return pa.Table.from_batches([_emit({table.column("_g")[0].as_py(): r}, table.column("part")[0].as_py() // FAN_IN)])
+
+
+def triangles(rows: DataFrame) -> dict:
+    """Group -> triangular factor of [1, columns] of ``rows`` (``_g`` long, then double columns without nulls)."""
+    parts = cut_lineage(rows.mapInArrow(_factor_task, _TRIANGLE))
+    while (parts.agg(F.max("part")).first()[0] or 0) > 0:
+        parts = cut_lineage(parts.groupBy("_g", F.expr(f"part div {FAN_IN}")).applyInArrow(_merge_task, _TRIANGLE))
+    out = {}
+    for row in parts.collect():  # one per group
+        k = math.isqrt(len(row["r"]))
+        out[row["_g"]] = np.array(row["r"]).reshape(k, k)
+    return out
+
 
 def moments(df: DataFrame, features: Sequence[str], responses: Mapping[str, tuple[str, bool]] | None = None,
             group: str | None = None) -> Moments:
-    """Moments of ``features`` and of ``responses`` (name -> (label, log)); nulls are an error, as in a model fit."""
+    """Factors of ``features`` and of ``responses`` (name -> (label, log)); nulls are an error, as in a model fit. ``group``
+    names an integer column of a few values."""
     responses = dict(responses or {})
     names = list(dict.fromkeys(features)) + list(responses)
-    keys = [F.col(group).alias("_g")] if group else [F.lit(0).alias("_g")]
-    x = df.select(*keys, *[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(names[:len(names) - len(responses)])],
+    key = F.col(group).cast("long").alias("_g") if group else F.lit(0).cast("long").alias("_g")
+    x = df.select(key, *[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(names[:len(names) - len(responses)])],
                   *[_response(*r).alias(f"_{i}") for i, r in enumerate(responses.values(), len(names) - len(responses))])
     k = len(names)
     first = x.agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"_{i}").alias(f"m{i}") for i in range(k)],
@@ -50,15 +115,8 @@ def moments(df: DataFrame, features: Sequence[str], responses: Mapping[str, tupl
     if missing:
         raise ValueError(f"null values in {missing}; fill or filter them before a fit")
     means = np.array([first[f"m{i}"] or 0.0 for i in range(k)])
-    c = [F.lit(1.0)] + [F.col(f"_{i}") - F.lit(float(means[i])) for i in range(k)]
-    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
-    groups = {}
-    for r in x.groupBy("_g").agg(*[F.sum(c[i] * c[j]).alias(f"g{i}_{j}") for i, j in pairs]).collect():
-        g = np.zeros((k + 1, k + 1))
-        for i, j in pairs:
-            g[i, j] = g[j, i] = r[f"g{i}_{j}"]
-        groups[r["_g"]] = g
-    return Moments(names, means, sum(groups.values(), np.zeros((k + 1, k + 1))), groups)
+    groups = triangles(x.select("_g", *[(F.col(f"_{i}") - F.lit(float(means[i]))).alias(f"_{i}") for i in range(k)]))
+    return Moments(names, means, triangle_of(groups.values(), k + 1), groups)
 
 
 def t_two_sided(t: float, df: int) -> float:
@@ -84,44 +142,40 @@ def t_two_sided(t: float, df: int) -> float:
     return front * fraction(a, b, x) / a if x < (a + 1) / (a + b + 2) else 1.0 - front * fraction(b, a, 1 - x) / b
 
 
-def aliased_from_gram(g: np.ndarray, cols: Sequence[str], tol: float = 1e-12) -> list[str]:
-    """Aliased columns from a cross-product matrix of [1, cols] (see ``aliased_columns``).
-
-    The columns are centred and scaled to unit length first, so that a large mean or unit says nothing about
-    collinearity; ``tol`` bounds the squared length that earlier columns leave of a column (rounding in the sums
-    leaves about 1e-15 per unit of mean over spread, squared, which is allowed for)."""
-    n = g[0, 0]
-    mean = g[0, 1:] / max(n, 1.0)
-    raw = np.diag(g)[1:]
-    spread = raw - n * mean * mean
-    noise = np.finfo(float).eps * 8 * np.abs(raw)  # what centring may leave of a constant column
-    size = np.sqrt(np.where(spread > noise, spread, 1.0))
-    c = (g[1:, 1:] - n * np.outer(mean, mean)) / np.outer(size, size)
-    keep: list[int] = []
+def aliased_from_triangle(r: np.ndarray, cols: Sequence[str], means: Sequence[float] | None = None,
+                          tol: float = TOLERANCE) -> list[str]:
+    """Aliased columns from the factor of [1, cols]: those of which the intercept and the columns kept before leave less
+    than ``tol`` of what the intercept alone leaves. A column whose spread is within rounding of its mean (``means``, if
+    the columns were centred) is constant, so collinear with the intercept."""
+    n = abs(r[0, 0])  # square root of the number of rows
+    basis: list[np.ndarray] = []
     dropped: list[str] = []
-    for j, name in enumerate(cols):
-        if spread[j] <= noise[j]:
-            dropped.append(name)  # constant: collinear with the intercept
-            continue
-        resid = c[j, j]
-        if keep:
-            ckk, ckj = c[np.ix_(keep, keep)], c[keep, j]
-            resid = c[j, j] - ckj @ np.linalg.solve(ckk, ckj)
-        if resid <= max(tol, 100 * noise[j] / spread[j]):
+    for j, name in enumerate(cols, 1):
+        mean = r[0, j] / n if n else 0.0
+        c = np.array(r[1:, j])  # what the intercept leaves
+        size = float(np.linalg.norm(c))
+        scale = max(abs(mean), abs(means[j - 1]) if means is not None else 0.0)
+        rest = c
+        for _ in range(2):  # the second time takes away what rounding left
+            for q in basis:
+                rest = rest - (q @ rest) * q
+        left = float(np.linalg.norm(rest))
+        if size <= 1e-13 * scale * n or left <= tol * size:
             dropped.append(name)
         else:
-            keep.append(j)
+            basis.append(rest / left)
     return dropped
 
 
-def aliased_columns(df: DataFrame, cols: Sequence[str], tol: float = 1e-12) -> list[str]:
+def aliased_columns(df: DataFrame, cols: Sequence[str], tol: float = TOLERANCE) -> list[str]:
     """Columns that are linear combinations of the intercept and earlier columns (input order)."""
-    return aliased_from_gram(moments(df, cols).total, cols, tol)
+    m = moments(df, cols)
+    return aliased_from_triangle(m.total, cols, m.means, tol)
 
 
 @dataclass
 class LinearFit:
-    """Least-squares fit with intercept, solved from cross products."""
+    """Least-squares fit with intercept, solved from a triangular factor."""
 
     label: str
     log_label: bool
@@ -205,25 +259,27 @@ def typical_values(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -
     return {c: float(r[c]) for c in cols}
 
 
-def solve(m: Moments, features: Sequence[str], response: str, label: str, log_label: bool, g: np.ndarray | None = None,
+def solve(m: Moments, features: Sequence[str], response: str, label: str, log_label: bool, r: np.ndarray | None = None,
           drop_aliased: bool = True) -> LinearFit:
-    """The fit of ``response`` on ``features`` from cross products ``g`` (default: all rows)."""
-    g = m.total if g is None else g
+    """The fit of ``response`` on ``features`` from the factor ``r`` (default: of all rows)."""
+    r = m.total if r is None else r
     at = m.index(features)
-    dropped = aliased_from_gram(g[np.ix_([0, *at], [0, *at])], list(features)) if drop_aliased else []
+    known = [m.means[i - 1] for i in at]
+    dropped = aliased_from_triangle(triangle_of([r[:, [0, *at]]], len(at) + 1), list(features), known) if drop_aliased else []
     feats = [c for c in features if c not in dropped]
-    idx = [0, *m.index(feats)]
-    y = m.index([response])[0]
-    unit = np.sqrt(np.maximum(np.diag(g)[idx], 1e-300))
-    inverse = np.linalg.inv(g[np.ix_(idx, idx)] / np.outer(unit, unit)) / np.outer(unit, unit)
-    b = inverse @ g[idx, y]
-    n = int(round(g[0, 0]))
-    rss = max(float(g[y, y] - b @ g[idx, y]), 0.0)
-    left = n - len(idx)
-    se = np.sqrt(np.maximum(np.diag(inverse), 0) * (rss / left if left > 0 else float("nan")))
+    idx, y = [0, *m.index(feats)], m.index([response])[0]
+    p = len(idx)
+    t = triangle_of([r[:, [*idx, y]]], p + 1)  # columns, then the response: its last entry is the length of the residuals
+    unit = np.maximum(np.linalg.norm(t[:, :p], axis=0), 1e-300)
+    inverse = np.linalg.inv(t[:p, :p] / unit)
+    b = (inverse @ t[:p, p]) / unit
+    n = int(round(r[0, 0] ** 2))
+    rss = float(t[p, p] ** 2)
+    left = n - p
+    se = np.linalg.norm(inverse, axis=1) / unit * math.sqrt(rss / left if left > 0 else float("nan"))
     mean = m.means[[i - 1 for i in idx[1:]]]
     return LinearFit(label, log_label, feats, dropped, b[1:], float(b[0] - b[1:] @ mean + m.means[y - 1]), se[1:], n, rss,
-                     float(g[y, y] - g[0, y] ** 2 / max(n, 1)))
+                     float(triangle_of([r[:, [0, y]]], 2)[1, 1] ** 2))
 
 
 def fit_linear(df: DataFrame, features: Sequence[str], label: str, log_label: bool = False,
@@ -249,31 +305,32 @@ def compare_fits(spark, fits: Mapping[str, LinearFit]) -> DataFrame:
 
 
 def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Variance inflation factors = diagonal of the inverse correlation matrix (p x p on the driver)."""
-    g = moments(df, features).total[1:, 1:]
-    unit = np.sqrt(np.diag(g))
-    inv = np.linalg.pinv(g / np.outer(unit, unit))
-    return df.sparkSession.createDataFrame([(c, float(inv[i, i])) for i, c in enumerate(features)], "variable string, vif double")
+    """Variance inflation factors = diagonal of the inverse correlation matrix (p x p on the driver), from the inverse
+    of the triangle of the columns scaled to unit length."""
+    r = moments(df, features).total
+    c = triangle_of([r[1:, 1:]], len(features))
+    inv = np.linalg.pinv(c / np.maximum(np.linalg.norm(c, axis=0), 1e-300))
+    return df.sparkSession.createDataFrame([(f, float(inv[i] @ inv[i])) for i, f in enumerate(features)], "variable string, vif double")
 
 
 def linear_cv(df: DataFrame, specs: Mapping[str, Sequence[str]], label: str, log_label: bool = True, k: int = 10,
               fold_col: str = "fold") -> tuple[DataFrame, DataFrame]:
-    """K-fold RMSE of every specification (hash folds in ``fold_col``), all from the cross products per fold: a
-    training split's are the total less its fold's, and the held-out error is a quadratic form of the fold's.
-    Returns (per-fold rows: model, fold, rmse; summary: model, rmse = mean over folds)."""
+    """K-fold RMSE of every specification (hash folds in ``fold_col``), all from the triangles per fold: a training
+    split's is that of the other folds' triangles, and the held-out error is the length of the fold's triangle times
+    (coefficients, -1). Returns (per-fold rows: model, fold, rmse; summary: model, rmse = mean over folds)."""
     m = moments(df, [c for cols in specs.values() for c in cols], {"_response": (label, log_label)}, fold_col)
     y, rows = m.index(["_response"])[0], []
-    for name, cols in specs.items():
-        for f in range(k):
-            held = m.groups.get(f)
+    for f in range(k):
+        held = m.groups.get(f)
+        rest = m.without(f) if held is not None else None
+        for name, cols in specs.items():
             if held is None:
                 rows.append((name, f, float("nan")))
                 continue
-            fit = solve(m, list(cols), "_response", label, log_label, m.total - held)
+            fit = solve(m, list(cols), "_response", label, log_label, rest)
             idx = [0, *m.index(fit.features)]
             centred = fit.intercept + fit.coef @ m.means[[i - 1 for i in idx[1:]]] - m.means[y - 1]
-            b = np.concatenate([[centred], fit.coef])
-            sse = held[y, y] - 2 * b @ held[idx, y] + b @ held[np.ix_(idx, idx)] @ b
-            rows.append((name, f, math.sqrt(max(float(sse), 0.0) / held[0, 0])))
+            miss = held[:, idx] @ np.concatenate([[centred], fit.coef]) - held[:, y]
+            rows.append((name, f, math.sqrt(float(miss @ miss)) / abs(float(held[0, 0]))))
     per_fold = df.sparkSession.createDataFrame(rows, "model string, fold int, rmse double")
     return per_fold, per_fold.groupBy("model").agg(F.avg("rmse").alias("rmse"))

@@ -307,7 +307,7 @@ def test_gram_by_fold_matches_direct(spark):
     m = lin.moments(df, cols, group="fold")
     for f in range(3):
         want = lin.aliased_columns(df.where(F.col("fold") != f), cols)
-        assert lin.aliased_from_gram(m.total - m.groups[f], cols) == want
+        assert lin.aliased_from_triangle(m.without(f), cols, m.means) == want
     specs = {"a": ["x1", "x2", "x1_twice"], "b": ["x1"]}
     per_fold, summary = lin.linear_cv(df, specs, "y", True, 3)
     assert {r["model"] for r in summary.collect()} == {"a", "b"}
@@ -336,3 +336,48 @@ def test_m0_assemble_rejects_nulls(spark):
     with pytest.raises(Exception):
         out.collect()
     assert seg.assemble(df.fillna(0.0), ["a", "b"]).count() == 2
+
+
+def _hilbert_like(n=600, seed=7):
+    """Columns that agree in all but the last five or six digits, and a response with known coefficients."""
+    rng = np.random.default_rng(seed)
+    base = rng.normal(size=n)
+    x = np.column_stack([base, base + 2e-6 * rng.normal(size=n), base + 3e-6 * rng.normal(size=n), rng.normal(size=n)])
+    return x, x @ np.array([1.0, -2.0, 3.0, 0.5]) + 10.0 + 1e-9 * rng.normal(size=n)
+
+
+def test_ill_conditioned_fit_keeps_its_digits(spark):
+    x, y = _hilbert_like()
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, d double, y double").repartition(7)
+    fit = lin.fit_linear(df, ["a", "b", "c", "d"], "y")
+    assert fit.dropped == []
+    full = np.column_stack([np.ones(len(y)), x])
+    want = np.linalg.lstsq(full, y, rcond=None)[0]
+    assert np.allclose([fit.intercept, *fit.coef], want, rtol=1e-6)
+    # the cross products of the same (centred) columns lose these digits
+    centred = np.column_stack([np.ones(len(y)), x - x.mean(axis=0)])
+    by_products = np.linalg.solve(centred.T @ centred, centred.T @ y)[1:]
+    assert np.max(np.abs(by_products - want[1:])) > 100 * np.max(np.abs(fit.coef - want[1:]))
+    resid = y - full @ want
+    assert math.isclose(fit.rss, resid @ resid, rel_tol=1e-5)
+
+
+def test_tolerance_of_collinear_columns(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=300)
+    rows = [(float(b), float(b + 1e-9 * e), float(b + 1e-4 * e)) for b, e in zip(base, rng.normal(size=300))]
+    df = spark.createDataFrame(rows, "a double, same double, near double")
+    assert lin.aliased_columns(df, ["a", "same", "near"]) == ["same"]
+
+
+def test_triangles_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 3))
+    df = spark.createDataFrame([(i % 3, *map(float, r)) for i, r in enumerate(x)], "_g long, p double, q double, r double")
+    whole = {g: np.linalg.qr(np.column_stack([np.ones(sum(np.arange(500) % 3 == g)), x[np.arange(500) % 3 == g]]), mode="r") for g in range(3)}
+    for parts in (1, 5, 40):
+        got = lin.triangles(df.repartition(parts))
+        assert set(got) == {0, 1, 2}
+        for g, r in got.items():
+            assert np.allclose(r, np.abs(np.sign(np.diag(whole[g])))[:, None] * np.sign(np.diag(whole[g]))[:, None] * whole[g])
+    assert lin.triangles(df.where("p > 100")) == {}

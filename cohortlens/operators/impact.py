@@ -118,11 +118,71 @@ def concentrated_loglik(z: np.ndarray, ratio: float) -> float:
     return -0.5 * (float(np.sum(np.log(f))) + len(v) * math.log(sigma2))
 
 
+def smooth(z: np.ndarray, level: float, noise: float):
+    """Smoothed level of a local-level series (NaN where missing) with exact diffuse start: the level before the first
+    observation may be anything, so the first one sets it, with the variance of the noise. Returns the means, their
+    variances and the covariances of neighbouring days, given all observations."""
+    n = len(z)
+    a, p = np.empty(n), np.empty(n)
+    a[0], p[0] = z[0], noise
+    for t in range(1, n):
+        a[t], p[t] = a[t - 1], p[t - 1] + level
+        if not np.isnan(z[t]):
+            k = p[t] / (p[t] + noise)
+            a[t], p[t] = a[t] + k * (z[t] - a[t]), p[t] * (1 - k)
+    m, v, c = a.copy(), p.copy(), np.zeros(max(n - 1, 0))
+    for t in range(n - 2, -1, -1):
+        ahead = p[t] + level
+        j = p[t] / ahead if ahead > 0 else 1.0
+        m[t] = a[t] + j * (m[t + 1] - a[t])
+        c[t] = j * v[t + 1]
+        v[t] = p[t] + j * j * (v[t + 1] - ahead)
+    return m, v, c
+
+
+def diffuse_loglik(z: np.ndarray, level: float, noise: float) -> float:
+    """Log-likelihood of all observations but the first, which the diffuse start takes up."""
+    a, p, out = z[0], noise, 0.0
+    for x in z[1:]:
+        p += level
+        if not np.isnan(x):
+            f = p + noise
+            out -= 0.5 * (math.log(2 * math.pi * f) + (x - a) ** 2 / f)
+            a, p = a + p / f * (x - a), p * noise / f
+    return out
+
+
+def learn_variances(z: np.ndarray, rounds: int = 2000, tol: float = 1e-9) -> tuple[float, float]:
+    """(level variance, noise variance) of greatest likelihood, by expectation maximisation: the smoother gives the expected
+    squares of noises and drifts under the present variances, and their means are the next ones. ``z`` begins and ends
+    with an observation. It starts from the best ratio of ``RATIO_GRID``; with fewer than three observations nothing can
+    be told apart, and that start is returned."""
+    seen = ~np.isnan(z)
+    ratio = max(RATIO_GRID, key=lambda r: concentrated_loglik(z, r))
+    _a, _p, v, f = _filter(z, ratio)
+    noise = float(np.mean(v * v / f)) if len(v) else 1.0
+    level = ratio * noise
+    if seen.sum() < 3 or noise == 0.0:
+        return level, noise
+    last = diffuse_loglik(z, level, noise)
+    for _ in range(rounds):
+        m, var, cov = smooth(z, level, noise)
+        noise = float(np.mean((z[seen] - m[seen]) ** 2 + var[seen]))
+        level = float(np.mean(np.diff(m) ** 2 + var[1:] + var[:-1] - 2 * cov))
+        if noise <= 1e-12 or level <= 0.0:
+            break
+        now = diffuse_loglik(z, level, noise)
+        if abs(now - last) <= tol * (abs(last) + 1):
+            break
+        last = now
+    return max(level, 0.0), max(noise, 1e-12)
+
+
 def local_level_forecast(pre: np.ndarray, steps: int | np.ndarray, ratio: float | str = DEFAULT_LEVEL_RATIO):
     """Fit a local-level model on ``pre`` (one value per day, NaN where missing; level variance = ratio x noise
     variance, noise variance by concentrated maximum likelihood) and forecast the days ``steps`` ahead (or 1, 2, ..
     up to a number). ``ratio="mle"`` picks the ratio from ``RATIO_GRID`` by concentrated likelihood (pre-periods are
-    short; the fixed default is safer). Returns (mean, sd of each day, sd of the running sum up to each day)."""
+    short; the fixed default is safer); ``ratio="em"`` learns both variances (``learn_variances``). Returns (mean, sd of each day, sd of the running sum up to each day)."""
     h = np.arange(1, steps + 1, dtype=float) if np.isscalar(steps) else np.asarray(steps, dtype=float)
     y = np.asarray(pre, dtype=float)
     seen = np.flatnonzero(~np.isnan(y))
@@ -133,6 +193,13 @@ def local_level_forecast(pre: np.ndarray, steps: int | np.ndarray, ratio: float
     z = (y - middle) / scale
     if ratio == "mle":
         ratio = max(RATIO_GRID, key=lambda r: concentrated_loglik(z, r))
+    if ratio == "em":
+        level, noise = learn_variances(z)
+        m, v, _ = smooth(z, level, noise)
+        n = np.arange(1, len(h) + 1)
+        shared = np.cumsum(h) + 2 * np.cumsum(np.cumsum(h) - h)
+        var_step, var_cum = v[-1] + h * level + noise, n ** 2 * v[-1] + level * shared + n * noise
+        return np.full(len(h), m[-1] * scale + middle), np.sqrt(var_step) * scale, np.sqrt(var_cum) * scale
     a, p, vs, fs = _filter(z, float(ratio))
     sigma2 = float(np.mean(np.square(vs) / fs)) if len(vs) else 1.0
     n = np.arange(1, len(h) + 1)

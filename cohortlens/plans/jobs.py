@@ -14,6 +14,7 @@ from ..functions.maps import parse_map
 from ..operators import features as feat
 from ..operators import hurdle as hd
 from ..operators import impact as imp
+from ..operators import intervals as iv
 from ..operators import linear as lin
 from ..operators import prepare as prep
 from ..operators import reshape as rs
@@ -268,10 +269,15 @@ def segment_users(userbase: DataFrame, spend_keys: Sequence[str] | None, started
 
 def campaign_report(daily: DataFrame, revenue_7day: DataFrame, cp: CampaignParams,
                     metrics: Sequence[str] = ("organic_installs", "organic_revenue", "dau"),
-                    overlays: Mapping[str, tuple[dt.date, dt.date]] | None = None, local_level: bool = False) -> dict:
-    """Impact per metric (mean or local-level baseline), CPI by period and per day, event overlay,
-    organic LTV from the attributed installs."""
-    per_day = (imp.impact_local_level(daily, metrics, cp.impact) if local_level
+                    overlays: Mapping[str, tuple[dt.date, dt.date]] | DataFrame | None = None, local_level: bool = False,
+                    ratio: float | str = imp.DEFAULT_LEVEL_RATIO) -> dict:
+    """Impact per metric (mean or local-level baseline; ``ratio`` as in ``impact.local_level_forecast``), CPI by period
+    and per day, event overlay (of literal intervals or of a table: name, start, end), organic LTV from the attributed
+    installs."""
+    days = daily.select("date")
+    overlay = (iv.label_events_from(days, "date", overlays, "name", "start", "end") if isinstance(overlays, DataFrame)
+               else days.withColumn("event_labels", prep.label_events("date", overlays or {})))
+    per_day = (imp.impact_local_level(daily, metrics, cp.impact, ratio) if local_level
                else imp.impact_mean(daily, metrics, cp.impact))
     summary = imp.impact_summary(per_day)
     installs = summary.where(F.col("metric") == "organic_installs").select("abs_effect_cum").first()
@@ -280,6 +286,6 @@ def campaign_report(daily: DataFrame, revenue_7day: DataFrame, cp: CampaignParam
         "impact": per_day, "impact_summary": summary,
         "cpi": sm.cost_per_install(daily, {"pre_period": cp.cpi_pre, "post_period": cp.cpi_post}),
         "daily_cpi": sm.daily_ratio(daily),
-        "overlay": daily.select("date", prep.label_events("date", overlays or {}).alias("event_labels")),
+        "overlay": overlay,
         "organic_ltv": imp.organic_ltv(revenue_7day, attributed, cp.ltv_multiplier, cp.ads_uplift),
     }

@@ -187,3 +187,9 @@ GAPPED = ImpactWindows((dt.date(2024, 1, 1), dt.date(2024, 1, 15)), (dt.date(202
 @query("impact_local_level")
 def impact_local_level(spark, sf_dir):
     return imp.impact_local_level(load_world(spark, sf_dir).daily, IMPACT_METRICS, GAPPED)
+
+
+@query("impact_learned_level")
+def impact_learned_level(spark, sf_dir):
+    """M9 with both variances learned from the pre-period."""
+    return imp.impact_local_level(load_world(spark, sf_dir).daily, IMPACT_METRICS, GAPPED, ratio="em")

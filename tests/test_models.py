@@ -381,3 +381,53 @@ def test_triangles_do_not_depend_on_partitions(spark):
         for g, r in got.items():
             assert np.allclose(r, np.abs(np.sign(np.diag(whole[g])))[:, None] * np.sign(np.diag(whole[g]))[:, None] * whole[g])
     assert lin.triangles(df.where("p > 100")) == {}
+
+
+def _walk(rng, n, level, noise):
+    return np.cumsum(rng.normal(scale=math.sqrt(level), size=n)) + rng.normal(scale=math.sqrt(noise), size=n)
+
+
+def test_em_reaches_the_greatest_likelihood_and_known_variances():
+    rng = np.random.default_rng(3)
+    z = _walk(rng, 3000, 0.3, 1.5)
+    z[100:140] = np.nan
+    level, noise = imp.learn_variances(z)
+    assert abs(level - 0.3) < 0.06 and abs(noise - 1.5) < 0.12
+    for n in (25, 60):
+        z = _walk(rng, n, 0.5, 1.0)
+        level, noise = imp.learn_variances(z, rounds=20_000, tol=1e-13)
+        best = max(imp.diffuse_loglik(z, a, b) for a in np.geomspace(1e-3, 5, 60) for b in np.geomspace(1e-2, 5, 60))
+        assert imp.diffuse_loglik(z, level, noise) >= best - 2e-3
+
+
+def test_smoother_is_the_conditional_normal():
+    """Against the joint normal distribution of all levels and observations, with a very wide first level."""
+    z, level, noise = np.array([1.0, np.nan, 4.0, 2.0, np.nan, 3.0]), 0.7, 0.4
+    n = len(z)
+    cov = 1e4 + level * np.minimum.outer(np.arange(n), np.arange(n))
+    seen = ~np.isnan(z)
+    gain = cov[:, seen] @ np.linalg.inv(cov[np.ix_(seen, seen)] + noise * np.eye(seen.sum()))
+    want, var = gain @ z[seen], cov - gain @ cov[seen]
+    m, v, c = imp.smooth(z, level, noise)
+    assert np.allclose(m, want, atol=1e-3) and np.allclose(v, np.diag(var), atol=1e-3) and np.allclose(c, np.diag(var, 1), atol=1e-3)
+
+
+def test_em_band_covers():
+    rng = np.random.default_rng(8)
+    hits, runs, steps = 0, 300, 10
+    for _ in range(runs):
+        z = _walk(rng, 100 + steps, 0.05, 1.0)
+        mean, _sd, cum = imp.local_level_forecast(z[:100], steps, "em")
+        hits += abs(np.sum(z[100:] - mean)) <= 1.96 * cum[-1]
+    assert 0.89 <= hits / runs <= 0.99, hits / runs
+    for flat in ([5.0] * 10, [1.0, 2.0], [3.0]):
+        mean, sd, cum = imp.local_level_forecast(np.array(flat), 3, "em")
+        assert np.all(np.isfinite(mean)) and np.all(cum >= 0)
+
+
+def test_em_in_the_report(spark):
+    vals = [10 + (k % 3) for k in range(10)] + [20.0] * 10
+    out = imp.impact_local_level(_daily(spark, vals), ["m"], W, ratio="em").orderBy("date").collect()
+    mean, _sd, cum = imp.local_level_forecast(np.array(vals[:10]), 10, "em")
+    assert len(out) == 10 and math.isclose(out[-1]["cumulative_effect"], 200 - 10 * mean[0], abs_tol=1e-5)
+    assert math.isclose(out[-1]["cumulative_sd"], cum[-1], abs_tol=1e-5)

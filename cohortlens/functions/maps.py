@@ -20,10 +20,14 @@ def parse_map(c: str | Column) -> Column:
     return F.when(text.isNull() | (text == ""), empty).otherwise(F.map_from_entries(last))
 
 
-def map_keys(df: DataFrame, c: str) -> list[str]:
-    """The distinct keys of a text map column, sorted: the columns that a wide form of it has."""
-    keys = df.select(F.explode(F.map_keys(parse_map(c))).alias("k")).distinct()
-    return sorted(r["k"] for r in keys.collect())
+def map_keys(df: DataFrame, c: str | Column) -> list[str]:
+    """The distinct keys of a map column, or of a text map column, sorted: the columns that a wide form of it has. Too many
+    of them are an error (see ``summarise.distinct_values``)."""
+    from ..operators.summarise import distinct_values
+
+    typed = df.select(col_(c).alias("m"))
+    m = F.col("m") if typed.schema["m"].dataType.typeName() == "map" else parse_map("m")
+    return distinct_values(typed.select(F.explode(F.map_keys(m)).alias("k")), "k")
 
 
 def format_map_text(df: DataFrame, key: str, k: str, v: str, out: str, digits: int = 4) -> DataFrame:

@@ -117,8 +117,17 @@ def label_events(date: str | Column, events: Mapping[str, tuple[dt.date, dt.date
 
 
 def sanitize_names(df: DataFrame, prefix: str = "") -> DataFrame:
-    """Spaces and other non-word characters in column names -> ``_`` (optional prefix)."""
-    return df.toDF(*[prefix + re.sub(r"\W", "_", c) for c in df.columns])
+    """Spaces and other non-word characters in column names -> ``_`` (optional prefix). Of names that come out the same
+    (but for case) the later ones are numbered from 2."""
+    names, used = [], set()
+    for c in df.columns:
+        clean = name = prefix + re.sub(r"\W", "_", c)
+        number = 2
+        while name.lower() in used:
+            name, number = f"{clean}_{number}", number + 1
+        used.add(name.lower())
+        names.append(name)
+    return df.toDF(*names)
 
 
 def add_terms(df: DataFrame, squares: Sequence[str] = (), interactions: Mapping[str, tuple[str, str]] | None = None,

@@ -28,7 +28,8 @@ def map_to_columns(df: DataFrame, text_col: str, prefix: str, keys: Sequence[str
 def pivot_long(df: DataFrame, key: str, name_col: str, value_col: str, values: Sequence[str] | None = None,
                prefix: str = "", fill: float = 0.0) -> DataFrame:
     """R3 from long rows: ``groupBy(key).pivot(name, values)``. Without ``values`` they are the names found in the
-    data, so no category is lost; a caller that knows them saves that job. A null among them is a category of its own,
+    data, so no category is lost; a caller that knows them saves that job. Two rows of one key and name are an error: which
+    of them should count is not known here. A null among them is a category of its own,
     in a last column named ``NA``, with underscores added where a name of the data would give the same column."""
     from .summarise import distinct_values
 
@@ -40,7 +41,8 @@ def pivot_long(df: DataFrame, key: str, name_col: str, value_col: str, values: S
             label += "_"
         df = df.withColumn(name_col, F.coalesce(F.col(name_col).cast("string"), F.lit(label)))
         values = [str(v) for v in values if v is not None] + [label]
-    wide = df.groupBy(key).pivot(name_col, values).agg(F.first(value_col))
+    once = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(F.lit("more than one row for "), F.first(F.col(key).cast("string")))))
+    wide = df.groupBy(key).pivot(name_col, values).agg(F.coalesce(once.cast(df.schema[value_col].dataType), F.first(value_col)))
     return wide.select(key, *[F.coalesce(F.col(f"`{v}`"), F.lit(fill)).alias(f"{prefix}{v}") for v in values])
 
 
@@ -82,9 +84,21 @@ def transpose(df: DataFrame, key: str, value_cols: Sequence[str], name: str = "v
 
 def one_hot(df: DataFrame, col: str, levels: Sequence[str], prefix: str | None = None) -> DataFrame:
     """0/1 column per level (levels from ``summarise.distinct_values``). A null is a level of its own, named
-    ``missing``, and 0 in all others."""
+    ``missing``, and 0 in all others. Levels whose columns would have one name (a real ``missing``, other cases of the same
+    letters) get underscores, in the order of ``levels``."""
     pre = prefix if prefix is not None else f"{col}_"
-    return df.withColumns({f"{pre}{'missing' if lv is None else lv}": F.col(col).eqNullSafe(F.lit(lv)).cast("int") for lv in levels})
+    names = _free_names([f"{pre}{'missing' if lv is None else lv}" for lv in levels])
+    return df.withColumns({n: F.col(col).eqNullSafe(F.lit(lv)).cast("int") for n, lv in zip(names, levels)})
+
+
+def _free_names(names: Sequence[str]) -> list[str]:
+    """The names, with underscores added where an earlier one is the same but for case."""
+    out: list[str] = []
+    for n in names:
+        while n.lower() in {x.lower() for x in out}:
+            n += "_"
+        out.append(n)
+    return out
 
 
 def union_missing(frames: Sequence[DataFrame], fill=0) -> DataFrame:

@@ -51,10 +51,16 @@ def kmeans_sweep(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = tuple(r
     """M3: within-cluster sum of squares for each k. One distributed fit per k on the persisted feature
     vectors; the fits are independent, so they are submitted concurrently (the reference ran them
     serially for lack of memory). Returns (k, wss) rows and the fitted models."""
-    x = assemble(df, cols).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    return kmeans_of(assemble(df, cols), "features", ks, max_iter, seed, parallelism)
+
+
+def kmeans_of(df: DataFrame, features: str, ks: Sequence[int], max_iter: int = 10, seed: int = 123,
+              parallelism: int | None = None) -> tuple[DataFrame, dict[int, KMeansModel]]:
+    """``kmeans_sweep`` of a vector column, dense or sparse."""
+    x = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(k):
-        m = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features").fit(x)
+        m = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=features).fit(x)
         return k, m
 
     try:

@@ -104,10 +104,17 @@ def prediction_curves(df: DataFrame, value: str, grouping_sets: Sequence[Sequenc
     )
 
 
-def distinct_values(df: DataFrame, col: str) -> list:
-    """Distinct levels of a categorical column, null last. They name the columns of a wide frame, so there are
-    no more of them than such a frame can have."""
-    return sorted((r[0] for r in df.select(col).distinct().collect()), key=lambda v: (v is None, v))
+#: No wide frame has more columns from its data than this; beyond it ``sparse`` works on rows.
+MAX_LEVELS = 20_000
+
+
+def distinct_values(df: DataFrame, col: str, limit: int = MAX_LEVELS) -> list:
+    """Distinct levels of a categorical column, null last. They name the columns of a wide frame: more than ``limit``
+    of them are an error (none is dropped), and only that many ever reach the driver."""
+    rows = df.select(col).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{col} has more than {limit} levels: too many for one column each, use operators.sparse")
+    return sorted((r[0] for r in rows), key=lambda v: (v is None, v))
 
 
 def cost_per_install(daily: DataFrame, windows: Mapping[str, tuple[dt.date, dt.date]], spend: str = "daily_spend",

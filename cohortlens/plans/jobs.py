@@ -10,7 +10,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.maps import parse_map
+from ..functions.maps import map_keys, parse_map
 from ..operators import features as feat
 from ..operators import hurdle as hd
 from ..operators import impact as imp
@@ -21,6 +21,7 @@ from ..operators import reshape as rs
 from ..operators import sampling as smp
 from ..operators import scaling as sc
 from ..operators import segments as seg
+from ..operators import sparse as sp
 from ..operators import summarise as sm
 from ..params import CampaignParams, FeatureParams, HurdleParams
 from ..session import cut_lineage, right_size
@@ -203,10 +204,6 @@ def player_value_report(players: DataFrame, spend: DataFrame, categories: Sequen
 # ---- user-base segmentation (E7) ------------------------------------------------------------------
 
 
-def _map_keys(df: DataFrame, col: str) -> list[str]:
-    return sorted(r[0] for r in df.select(F.explode(F.map_keys(col))).distinct().collect())
-
-
 def userbase_features(userbase: DataFrame, spend_keys: Sequence[str] | None, started_keys: Sequence[str] | None,
                       usa_canada: Sequence[str]) -> DataFrame:
     """Typed, region bucket, text maps to one column per key (given, or found in the data), one-hot
@@ -214,8 +211,8 @@ def userbase_features(userbase: DataFrame, spend_keys: Sequence[str] | None, sta
     (The reference's 100,000-row chunk loop over worker processes becomes this single projection.)"""
     # both maps are parsed once per row; the frame is read for the keys, the levels and the columns
     u = cut_lineage(userbase.withColumns({"_spent": parse_map("map_of_spent"), "_started": parse_map("map_of_started")}))
-    spend_keys = _map_keys(u, "_spent") if spend_keys is None else spend_keys
-    started_keys = _map_keys(u, "_started") if started_keys is None else started_keys
+    spend_keys = map_keys(u, "_spent") if spend_keys is None else spend_keys
+    started_keys = map_keys(u, "_started") if started_keys is None else started_keys
     u = u.select(
         "s", "country", "marketing_channel", "veteran", "vip", "club_member",
         (F.col("ltv_7d") / 100).alias("ltv_7d"), F.col("tenure_days").cast("double").alias("tenure_days"),
@@ -264,6 +261,28 @@ def segment_users(userbase: DataFrame, spend_keys: Sequence[str] | None, started
             "profile": profile, "profile_t": rs.transpose(profile, "cluster", ["n"] + prof_cols)}
 
 
+def segment_users_sparse(users: DataFrame, key: str, maps: Mapping[str, str], ks: Sequence[int] = tuple(range(3, 13)),
+                         chosen_k: int | None = None, components: int = 4, seed: int = 123) -> dict:
+    """E7 on maps with any number of keys: ``maps`` names map<string,double> columns of ``users`` (unique ``key``) and the
+    prefixes of their keys. Means, scaling, components, clusters and profiles as ``segment_users`` has them, without a
+    column per key."""
+    frame = cut_lineage(users.select(key, *maps))
+    long = None
+    for column, prefix in maps.items():
+        part = sp.entries(frame, key, column).withColumn("name", F.concat(F.lit(prefix), "name"))
+        long = part if long is None else long.unionByName(part)
+    long, n = cut_lineage(long), frame.count()
+    names = cut_lineage(sp.dictionary(long))
+    rows = cut_lineage(sp.indexed(sp.scale_by_largest(long), key, names))
+    scores, contrib = sp.pca_profile(rows, key, names, n, components)
+    vec = cut_lineage(sp.vectors(rows, key, frame, max(names.count(), 1)))
+    wss, models = sp.kmeans(vec, key, ks, seed=seed)
+    k = chosen_k or seg.elbow([(r["k"], r["wss"]) for r in wss.collect()])
+    labels = models[k].transform(vec).select(key, F.col(models[k].getPredictionCol()).alias("cluster"))
+    return {"dictionary": names, "means": sp.means(long, n), "pca_scores": scores, "pca_contributions": contrib, "wss": wss,
+            "k": k, "clusters": labels, "profile": sp.profile(long, key, labels)}
+
+
 # ---- campaign report (E8) -------------------------------------------------------------------------
 
 

@@ -506,10 +506,10 @@ def best_setting(spark, sf_dir):
 def _userbase_wide(w):
     """The user base, materialised once for the passes over it: typed columns, region bucket and both text maps as one
     column per key found in the data. Returns (frame, spend columns, competition columns)."""
-    from ..functions.maps import parse_map
+    from ..functions.maps import map_keys, parse_map
     from ..session import cut_lineage
     u = cut_lineage(w.userbase.withColumns({"_spent": parse_map("map_of_spent"), "_started": parse_map("map_of_started")}))
-    keys = {c: sorted(r[0] for r in u.select(F.explode(F.map_keys(c))).distinct().collect()) for c in ("_spent", "_started")}
+    keys = {c: map_keys(u, c) for c in ("_spent", "_started")}
     spent, started = F.col("_spent"), F.col("_started")
     hc, comp = [f"hc_category_{k}" for k in keys["_spent"]], [f"competition_{k}" for k in keys["_started"]]
     return u.select("s", "country", "marketing_channel", "veteran", "vip", "club_member",
@@ -529,6 +529,17 @@ def parse_map(spark, sf_dir):
     return rs.explode_map(load_world(spark, sf_dir).userbase, "s", "map_of_started", "competition", "competition_value")
 
 
+@query("sparse_profile")
+def sparse_profile(spark, sf_dir):
+    """A9 / A10 / A19 on sparse rows: the number of every map key and its mean per marketing channel, missing keys as 0."""
+    from ..functions.maps import parse_map
+    from ..operators import sparse
+    u = load_world(spark, sf_dir).userbase.select("s", "marketing_channel", parse_map("map_of_spent").alias("m"))
+    long = sparse.entries(u, "s", "m")
+    prof = sparse.profile(long, "s", u, "marketing_channel")
+    return prof.join(sparse.dictionary(long), "name").select("marketing_channel", "name", "idx", round_half_up("mean", 6).alias("mean"))
+
+
 @query("map_to_columns")
 def map_to_columns(spark, sf_dir):
     from ..session import cut_lineage

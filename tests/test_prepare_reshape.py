@@ -148,3 +148,5 @@ def test_projection_helpers(spark):
     sel = prep.select_columns(df, keep=["id", "v", "num_txt"], drop=["v"], rename={"num_txt": "n"})
     assert sel.columns == ["id", "n"]
     assert prep.sanitize_names(spark.createDataFrame([(1,)], "`Spend Distr Kid's Decor` int")).columns == ["Spend_Distr_Kid_s_Decor"]
+    clash = spark.createDataFrame([(1, 2, 3)], "`A B` int, `A_B` int, `a-b` int")
+    assert prep.sanitize_names(clash, "S_").columns == ["S_A_B", "S_A_B_2", "S_a_b_3"] and prep.sanitize_names(clash).select("A_B_2").first()[0] == 2

@@ -10,7 +10,8 @@ every representative, the bucket leader it shares most tables with. Rounds two a
 that still hold different components: first each row with the nearest one of another component, then all pairs
 across components that can be similar. A pair is left out only where its sizes, or its parity bits, prove that it is not:
 each of a set's 2,048 bits is the parity of the shingles that fall on it, so two sets differ in at least as many shingles
-as in bits. Large buckets are split into blocks and met block against block, so no task holds a whole bucket, and no bucket or
+as in bits. Large buckets are split into blocks and met block against block, the rows of a bucket's largest component with
+the others only, so no task holds a whole bucket, a family of near copies is not met with itself again, and no bucket or
 candidate list is capped. Links are confirmed on the full sets; components come from a distributed contraction.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing; texts with fewer
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import textkit as T
@@ -268,12 +269,28 @@ def _candidates(buckets: DataFrame, comps: DataFrame, reps: DataFrame, m: int, b
         buckets = buckets.where(F.expr(f"slot div {m} = slot % {m}"))
     named = (buckets.select("key", "rep", "slot").join(comps.withColumnRenamed("v", "rep").hint("merge"), "rep", "left")
              .select("key", "rep", "slot", F.coalesce("component", "rep").alias("component")))
-    mixed = (named.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("c1"), F.max("component").alias("c2"))
-             .where("c1 <> c2").withColumn("parts", F.ceil(F.col("rows") / block).cast("int")))
-    member = (named.join(mixed.select("key", "parts").hint("merge"), "key")
-              .withColumn("sub", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-              .withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-              .select("key", "rep", "slot", "component", "sub", F.least("sub", "other").alias("i"), F.greatest("sub", "other").alias("j")))
+    # the rows of a bucket's largest component meet only the others, which are few where a family fills the bucket
+    mixed = (named.groupBy("key", "component").agg(F.count("*").alias("c"))
+             .groupBy("key").agg(F.max(F.struct("c", "component")).alias("main"), F.sum("c").alias("rows"), F.count("*").alias("kinds"))
+             .where("kinds > 1").select(
+                 "key", F.col("main.component").alias("main"), "kinds", (F.col("rows") <= block).alias("small"),
+                 F.ceil(F.col("main.c") / block).cast("int").alias("main_parts"),
+                 F.ceil((F.col("rows") - F.col("main.c")) / block).cast("int").alias("other_parts")))
+    first = F.col("component") == F.col("main")
+    parts = F.when(first, F.col("main_parts")).otherwise(F.col("other_parts"))
+    place = F.pmod(F.xxhash64("rep"), parts).cast("int")
+    sub = F.when(F.col("small"), 0).when(first, place).otherwise(-1 - place).cast("int")  # blocks of others are negative
+
+    def blocks(last: str, pair) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.col(last) - 1), lambda k: F.struct(*[x.cast("int").alias(c) for x, c in zip(pair(k), "ij")]))
+
+    none = F.slice(blocks("main_parts", lambda k: (k, k)), 1, 0)
+    others = F.when(F.col("kinds") > 2, blocks("other_parts", lambda k: (F.least("sub", -1 - k), F.greatest("sub", -1 - k)))).otherwise(none)
+    groups = (F.when(F.col("small"), F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"))))
+              .when(first, blocks("other_parts", lambda k: (-1 - k, F.col("sub"))))
+              .otherwise(F.concat(blocks("main_parts", lambda k: (F.col("sub"), k)), others)))
+    member = (named.join(mixed.hint("merge"), "key").withColumn("sub", sub).withColumn("at", F.explode(groups))
+              .select("key", "rep", "slot", "component", "sub", "at.i", "at.j"))
     group = ["key", "i", "j"]
     found = (member.join(reps.hint("merge"), "rep").repartition(*group).sortWithinPartitions(*group)
              .mapInArrow(_across(group, least, percent, nearest), "a long, b long, agree long"))

@@ -34,10 +34,15 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the least doc_id) of each group of near-duplicates."""
+    """One document (the least doc_id) of each group of near-duplicates. Of rows that share a doc_id the least one stays;
+    rows without a doc_id can't be told apart later, so none stays."""
     small_batches(spark)
     kept = tensored_minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept_id"))
-    return docs.join(kept, docs["doc_id"] == F.col("__kept_id"), "left_semi")
+    chosen = docs.join(kept, docs["doc_id"] == F.col("__kept_id"), "left_semi")
+    # ids that stand in several rows are few or none, so the other rows are not moved
+    several = docs.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")).where("n > 1").select("__id")
+    least = chosen.join(several, chosen["doc_id"] == F.col("__id"), "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return chosen.join(several, chosen["doc_id"] == F.col("__id"), "left_anti").unionByName(least.select("row.*"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,3 +57,16 @@ def test_pipeline(spark):
     whole = {(r["doc_id"], r["doc_tokens"]) for r in run.collect()}
     assert whole == {(r["doc_id"], r["doc_tokens"]) for r in frames[5].select(*key).collect()}
     assert hashlib.sha256(repr(sorted(whole)).encode()).hexdigest()
+
+
+def test_pipeline_keeps_one_row_per_document(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "one text that stands here twice", "en", "a", 31), (1, "one text that stands here twice", "en", "a", 31),
+            (2, "b first of two quite different texts", "en", "a", 36), (2, "a second text of the very same id", None, "a", 33),
+            (3, "one text that stands here twice", "de", "b", 31), (None, "no id at all in this row", "en", "a", 24), (4, None, "en", "a", 0)]
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    out = corpus_pipeline.distinct(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect() if r["doc_id"] != 4) == [(1, rows[0][1]), (2, rows[3][1])]
+    assert [r["doc_id"] for r in out.where("doc_id = 4").collect()] == [4]
+    assert corpus_pipeline.distinct(spark, docs.limit(0), SF).count() == 0

@@ -163,7 +163,7 @@ def learn_variances(z: np.ndarray, rounds: int = 2000, tol: float = 1e-9) -> tup
     noise = float(np.mean(v * v / f)) if len(v) else 1.0
     level = ratio * noise
     if seen.sum() < 3 or noise == 0.0:
-        return level, noise
+        return level, max(noise, 1e-12)  # a flat series has no noise to learn
     last = diffuse_loglik(z, level, noise)
     for _ in range(rounds):
         m, var, cov = smooth(z, level, noise)

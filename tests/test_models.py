@@ -414,7 +414,7 @@ def test_smoother_is_the_conditional_normal():
 
 def test_em_band_covers():
     rng = np.random.default_rng(8)
-    hits, runs, steps = 0, 300, 10
+    hits, runs, steps = 0, 120, 10
     for _ in range(runs):
         z = _walk(rng, 100 + steps, 0.05, 1.0)
         mean, _sd, cum = imp.local_level_forecast(z[:100], steps, "em")

@@ -39,8 +39,9 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     kept = tensored_minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept_id"))
     chosen = docs.join(kept, docs["doc_id"] == F.col("__kept_id"), "left_semi")
-    # ids that stand in several rows are few or none, so the other rows are not moved
-    several = docs.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")).where("n > 1").select("__id")
+    several = docs.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n")).where("__id IS NOT NULL AND n > 1").select("__id")
+    if several.isEmpty():  # as ids should be: no text is compared or moved again
+        return chosen
     least = chosen.join(several, chosen["doc_id"] == F.col("__id"), "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
     return chosen.join(several, chosen["doc_id"] == F.col("__id"), "left_anti").unionByName(least.select("row.*"))
 

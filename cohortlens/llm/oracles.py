@@ -29,17 +29,21 @@ WITH d AS (
   SELECT *, (1000 * n_symbols) // greatest(word_chars, 1) AS symbols_permille,
          (1000 * n_dup_lines) // greatest(n_lines, 1) AS dup_lines_permille,
          (1000 * n_repeat_words) // greatest(n_words, 1) AS repeat_permille,
-         (10 * word_chars) // greatest(n_words, 1) AS word_len_tenths FROM c
+         (10 * word_chars) // greatest(n_words, 1) AS word_len_tenths,
+         n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c
+), u AS (
+  SELECT DISTINCT d.lang, d.source, d.t, base_failed, symbols_permille, dup_lines_permille, repeat_permille, word_len_tenths
+  FROM m JOIN d ON m.rid = d.rid
 ), e AS (
-  SELECT lang, source, unnest([{'k': 's', 'v': symbols_permille}, {'k': 'd', 'v': dup_lines_permille},
-                               {'k': 'r', 'v': repeat_permille}, {'k': 'l', 'v': word_len_tenths}]) AS x FROM m
+  SELECT lang, source, base_failed, unnest([{'k': 's', 'v': symbols_permille}, {'k': 'd', 'v': dup_lines_permille},
+                               {'k': 'r', 'v': repeat_permille}, {'k': 'l', 'v': word_len_tenths}]) AS x FROM u
 ), b AS (
-  SELECT lang, source, x.k AS k, (x.v >> greatest(length(bin(x.v)) - 6, 0)) << greatest(length(bin(x.v)) - 6, 0) AS b
+  SELECT lang, source, CAST(NOT base_failed AS INT) AS ok, x.k AS k, (x.v >> greatest(length(bin(x.v)) - 6, 0)) << greatest(length(bin(x.v)) - 6, 0) AS b
   FROM e
 ), s AS (
-  SELECT 0 AS lvl, lang, source, k, b, count(*) AS n FROM b GROUP BY ALL
-  UNION ALL SELECT 1, lang, NULL, k, b, count(*) FROM b GROUP BY ALL
-  UNION ALL SELECT 2, NULL, NULL, k, b, count(*) FROM b GROUP BY ALL
+  SELECT 0 AS lvl, lang, source, k, b, sum(ok) AS n FROM b GROUP BY ALL
+  UNION ALL SELECT 1, lang, NULL, k, b, sum(ok) FROM b GROUP BY ALL
+  UNION ALL SELECT 2, NULL, NULL, k, b, sum(ok) FROM b GROUP BY ALL
 ), r AS (
   SELECT *, sum(n) OVER (PARTITION BY lvl, lang, source, k ORDER BY b) AS upto,
          sum(n) OVER (PARTITION BY lvl, lang, source, k) AS total FROM s
@@ -48,7 +52,7 @@ WITH d AS (
          min(b) FILTER (4 * upto >= 3 * total) AS q3 FROM r GROUP BY lvl, lang, source, k
 ), f AS (
   SELECT lvl, lang, source, k, total,
-         q3 + 6 * greatest(q3 - q1, CASE k WHEN 's' THEN 5 WHEN 'l' THEN 10 ELSE 50 END) AS fence FROM q
+         q3 + 3 * greatest(q3 - q1, CASE k WHEN 's' THEN 10 WHEN 'd' THEN 80 WHEN 'r' THEN 60 ELSE 5 END) AS fence FROM q
 ), p AS (
   SELECT o.lang, o.source, o.k,
          CASE WHEN o.total >= 100 THEN o.fence WHEN g.total >= 100 THEN g.fence ELSE a.fence END AS fence
@@ -61,8 +65,7 @@ WITH d AS (
          CAST(max(fence) FILTER (k = 'l') AS BIGINT) AS max_word_len_tenths FROM p GROUP BY lang, source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND symbols_permille <= max_symbols_permille
+       base_failed, NOT base_failed AND symbols_permille <= max_symbols_permille
          AND dup_lines_permille <= max_dup_lines_permille AND repeat_permille <= max_repeat_permille
          AND word_len_tenths <= max_word_len_tenths AS kept,
        symbols_permille, dup_lines_permille, repeat_permille, word_len_tenths,

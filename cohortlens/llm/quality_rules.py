@@ -2,10 +2,12 @@
 
 Each document gets integer metrics. For every (language, source) and metric a mergeable quantile sketch is kept:
 counts over integer buckets whose width grows with the value (relative error at most 1/32). Sketches of a
-language, and of everything, are sums of those of the sources. A document is rejected when a metric lies beyond
-the fence Q3 + ``width`` * max(Q3 - Q1, ``slack``) of its own group; a group with fewer than ``min_rows``
-documents uses the fence of its language, and a language with fewer uses the one of all documents. Thresholds are
-joined back to the documents, so no cutoff is fixed in the code.
+language, and of everything, are sums of those of the sources. They count the different texts of a source that pass the
+base rules: neither copies of one junk text, however many, nor texts that are rejected anyway can open a fence. A
+document is rejected when a metric lies beyond the fence Q3 + ``width`` * max(Q3 - Q1, ``slack``) of its own group; a
+group with fewer than ``min_rows`` such texts uses the fence of its language, and a language with fewer uses the one of
+all documents. Thresholds are joined back to the documents. Where no text of a group has any repeats, the repeat fence
+is ``width * slack`` = 180 per mille, below the 300 of the base rules.
 
 Defined cases: a null text has no words, its counts are 0 and ``base_failed`` is true; null languages and sources
 are groups of their own; repeated rows are judged row by row; an empty table gives no rows; other columns of the
@@ -26,7 +28,9 @@ from cohortlens.session import cut_lineage
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: Metrics and the slack of their fences, in their own integer units.
-SLACK = {"symbols_permille": 5, "dup_lines_permille": 50, "repeat_permille": 50, "word_len_tenths": 10}
+SLACK = {"symbols_permille": 10, "dup_lines_permille": 80, "repeat_permille": 60, "word_len_tenths": 5}
+#: Working columns; named so that no column of a documents table clashes.
+TEXT_KEY, BASE_FAILED = "__text_key", "base_failed"
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -67,9 +71,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the counts of every whole text; one pass, no shuffle."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), F.col("source").cast("string"))
-    schema = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in [*COUNTS, "n_lines"])
+    """doc_id, lang, source, a hash of the text and the counts of every whole text; one pass, no shuffle."""
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), F.col("source").cast("string"),
+                       F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias(TEXT_KEY))
+    schema = f"doc_id long, lang string, source string, {TEXT_KEY} long, " + ", ".join(f"{c} long" for c in [*COUNTS, "n_lines"])
     return rows.mapInArrow(_count, schema)
 
 
@@ -89,10 +94,12 @@ def _bucket(v: Column) -> Column:
 
 
 def sketches(counts: DataFrame) -> DataFrame:
-    """lang, source, metric, bucket, n: the mergeable quantile sketch of every group (counts add up)."""
+    """lang, source, metric, bucket, n: the mergeable quantile sketch of every group (counts add up) over its different
+    texts; buckets that only texts beyond the base rules fall into count 0."""
+    texts = counts.dropDuplicates(["lang", "source", TEXT_KEY])  # equal texts have equal counts; copies combine before the shuffle
     entries = F.array(*[F.struct(F.lit(m).alias("metric"), _bucket(v).alias("bucket")) for m, v in _metrics().items()])
-    return (counts.select("lang", "source", F.explode(entries).alias("e"))
-            .groupBy("lang", "source", "e.metric", "e.bucket").agg(F.count("*").alias("n")))
+    return (texts.select("lang", "source", BASE_FAILED, F.explode(entries).alias("e"))
+            .groupBy("lang", "source", "e.metric", "e.bucket").agg(F.count_if(~F.col(BASE_FAILED)).alias("n")))
 
 
 def fences(sketch: DataFrame, width: int, min_rows: int) -> DataFrame:
@@ -120,16 +127,16 @@ def fences(sketch: DataFrame, width: int, min_rows: int) -> DataFrame:
     return joined.select("o.lang", "o.source", *[pick(m).alias(f"max_{m}") for m in SLACK])
 
 
-def adaptive_rules(docs: DataFrame, width: int = 6, min_rows: int = 100, min_words: int = 20,
+def adaptive_rules(docs: DataFrame, width: int = 3, min_rows: int = 100, min_words: int = 20,
                    repeat_percent: int = 30) -> DataFrame:
     """doc_id, counts, base_failed, kept, and the metrics with their fences, for all documents."""
-    counts = cut_lineage(text_counts(docs))  # read twice: sketches, then the joined filter
+    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
+    counts = cut_lineage(text_counts(docs).withColumn(BASE_FAILED, failed))  # read twice: sketches, then the joined filter
     limits = fences(cut_lineage(sketches(counts)), width, min_rows)
     c, f = counts.withColumns(_metrics()).alias("c"), limits.alias("f")
     joined = c.join(f, F.col("c.lang").eqNullSafe(F.col("f.lang")) & F.col("c.source").eqNullSafe(F.col("f.source")), "left")
     within = F.lit(True)
     for m in SLACK:
         within = within & (F.col(f"c.{m}") <= F.col(f"f.max_{m}"))
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
-    return joined.select("c.doc_id", *[f"c.{x}" for x in COUNTS], failed.alias("base_failed"),
-                         (~failed & within).alias("kept"), *[f"c.{m}" for m in SLACK], *[f"f.max_{m}" for m in SLACK])
+    return joined.select("c.doc_id", *[f"c.{x}" for x in COUNTS], f"c.{BASE_FAILED}",
+                         (~F.col(f"c.{BASE_FAILED}") & within).alias("kept"), *[f"c.{m}" for m in SLACK], *[f"f.max_{m}" for m in SLACK])

@@ -10,7 +10,7 @@ are read back from the slices. Each block gives its own best ``k`` for each quer
 The stated queries meet all rows block by block: queries travel in batches to blocks, and no pair of rows is ever
 shuffled.
 
-Defined cases: vectors that are null or hold a null or non-finite component take no part; missing components of
+Defined cases: vectors that are null or hold a null or non-finite component, and rows without an id, take no part; missing components of
 shorter vectors count as 0; ties go to the smaller id; repeated ids are rows of their own, a query's own id is never
 its answer; an empty table gives no rows; other columns are ignored. Scores must fit a 64-bit integer.
 """
@@ -140,7 +140,7 @@ def quantise(vector: Column, scale: int = 1024) -> Column:
 def top_k(vectors: DataFrame, queries: Column, k: int = 10, block_rows: int = 4096, batch_queries: int = 256) -> DataFrame:
     """query_id, rank (from 1), vec_id, score for every row of (vec_id, embedding) that ``queries`` marks."""
     v = F.col("embedding")
-    usable = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    usable = F.col("vec_id").isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = cut_lineage(vectors.where(usable).select(F.col("vec_id").cast("long"), quantise(v).alias("q"), queries.alias("asked")))
     blocks = max(1, -(-rows.count() // block_rows))
     batches = max(1, -(-rows.where("asked").count() // batch_queries))

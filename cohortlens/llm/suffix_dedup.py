@@ -17,7 +17,8 @@ document). The suffixes that can decide this are found first, so that only they
 4. Spans are joined to the documents and cut out.
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``length`` keep all; repeated rows of one id
-count as one place and are all cut alike; an empty table gives no rows; other columns are passed through.
+count as one place and are all cut alike; a row without an id has no place in the order, so it keeps its whole text and is
+nobody's earlier copy; an empty table gives no rows; other columns are passed through.
 """
 
 from __future__ import annotations
@@ -266,7 +267,7 @@ def _factor_task(length: int, chunk: int):
 
 def repeated_spans(texts: DataFrame, length: int = 100, chunk: int = 20_000) -> DataFrame:
     """(doc, spans): the spans [lo, hi) to remove from (doc_id, text), overlapping where matches do."""
-    rows = texts.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = texts.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     marks = cut_lineage(rows.mapInArrow(_anchor_task(length), _ANCHOR)
                         .repartition("key").sortWithinPartitions("key", "block", "doc", "place")
                         .mapInArrow(_meet_task(length), _MARK))

@@ -196,12 +196,13 @@ def _clauses_task(stems: dict[str, float], with_text: bool = False):
 
 
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, least_share: float = 0.02):
-    """(stems, logistic coefficients) from ``labels`` (doc_id, toxic); None without both classes."""
-    picked = (labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
-              .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
+    """(stems, logistic coefficients) from ``labels`` (doc_id, toxic); None without both classes. Of several labels of
+    one id or one text the highest counts."""
+    picked = (labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+              .agg(F.max(F.col("toxic").cast("int")).alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
     # broadcast: at most max_labelled rows of two numbers
     sample = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id")
-              .dropDuplicates(["text"]).select("text", "toxic"))
+              .groupBy("text").agg(F.max("toxic").alias("toxic")))
     sample = cut_lineage(sample)
     parts = sample.mapInArrow(_features_task, "stem string, d0 long, d1 long, c0 long, c1 long")
     sums = cut_lineage(parts.groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("d0", "d1", "c0", "c1")]))

@@ -10,8 +10,10 @@ merges its pieces of the runs with a loser tree, so the ranges in turn hold the
 hot URL key is spread over ranges by its timestamps.
 
 Defined cases: a null html is an empty payload; a null url is the empty URL; captures of one url in one second are
-ordered by id; repeated rows are archived one by one (with the smallest id of their payload, each as a response); an
-empty table gives empty archives and no rows; other columns are ignored.
+ordered by id; repeated rows are archived one by one (with the smallest id of their payload, each as a response); a page
+without an id is archived as a response with an empty record id, is nobody's first capture and is dated as id 0; a URL with
+control characters, which a header line can't hold, also travels as hex digits and is read back whole; an empty table gives
+empty archives and no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from cohortlens.llm.shared import scratch
 from cohortlens.session import cut_lineage
 
 END = "\r\n\r\n"
+_CONTROL = r"[\x00-\x1f]"
 CAPTURE = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, "
            "url_key string, captured string, archive string, record_offset long, record_length long")
 _NAMES = [x.split()[0] for x in CAPTURE.split(", ")]
@@ -101,8 +104,9 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = 4000) ->
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     lines = F.concat_ws(
         "\r\n", F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
-        F.concat(F.lit("WARC-Record-ID: <urn:capture:"), "page_id", F.lit(">")),
-        F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", r"[\x00-\x1f]", "")),
+        F.concat(F.lit("WARC-Record-ID: <urn:capture:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">")),
+        F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", _CONTROL, "")),
+        F.when(F.col("url").rlike(_CONTROL), F.concat(F.lit("X-Target-URI-Hex: "), F.hex(F.encode("url", "UTF-8")))),
         F.concat(F.lit("WARC-Date: "), "captured"), F.concat(F.lit("WARC-Payload-Digest: sha1hex:"), "sha1"),
         F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:capture:"), "first_id", F.lit(">"))),
         F.when(revisit, F.concat(F.lit("X-Payload-Length: "), F.octet_length("payload"))),
@@ -124,8 +128,13 @@ def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int, int
         at = stop + 8 + size
 
 
-def _ident(urn: str) -> int:
-    return int(urn.rsplit(":", 1)[1][:-1])
+def _ident(urn: str) -> int | None:
+    number = urn.rsplit(":", 1)[1][:-1]
+    return int(number) if number else None
+
+
+def _uri(head: dict[str, str]) -> str:
+    return bytes.fromhex(head["X-Target-URI-Hex"]).decode() if "X-Target-URI-Hex" in head else head["WARC-Target-URI"]
 
 
 def _read_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,16 +149,16 @@ def _read_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     raise ValueError(f"payload of record at {offset} of {name} does not match its digest")
                 rows.append((_ident(head["WARC-Record-ID"]), int(head["X-Payload-Length"]) if revisit else len(block),
                              _base32(hexa), head["WARC-Type"], _ident(head["WARC-Refers-To"]) if revisit else None,
-                             head["WARC-Target-URI"], url_key(head["WARC-Target-URI"]), head["WARC-Date"],
+                             _uri(head), url_key(_uri(head)), head["WARC-Date"],
                              name.rsplit("/", 1)[1], offset, length))
             rows.sort(key=_order)
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) if i != 4 else pa.array(c, pa.int64())
-                                                  for i, c in enumerate(zip(*rows, strict=True))], names=_NAMES)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)],
+                                                 names=_NAMES)
 
 
 def _order(row: Sequence) -> tuple:
-    return row[6], row[7], row[0]
+    return row[6], row[7], row[0] is not None, row[0] or 0
 
 
 def _merge_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,9 +203,16 @@ def read_index(spark: SparkSession, path: str, captures_per_range: int = 50_000)
     return merged.join(bases, "part").select(*_NAMES, (F.col("base") + F.col("pos")).alias("index_pos"))
 
 
+#: Ids whose dates have years of four digits; others are dated by their remainder.
+_DATED = (-1_700_000_000, 200_000_000_000)
+
+
 def capture_time(page_id: str = "page_id") -> Column:
-    """The tables hold no capture time; captures are dated one second apart by id."""
-    return F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.col(page_id)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """The tables hold no capture time; captures are dated one second apart by id (null: as 0), in years of four digits, so
+    that dates sort as strings do."""
+    n = F.coalesce(F.col(page_id).cast("long"), F.lit(0).cast("long"))
+    n = F.when(n.between(*_DATED), n).otherwise(F.pmod(n, F.lit(_DATED[1])))
+    return F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + n), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def archive_and_index(pages: DataFrame) -> DataFrame:

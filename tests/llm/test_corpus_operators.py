@@ -136,6 +136,20 @@ def test_warc_round_trip(spark):
         assert (r["record_type"], r["refers_to"]) == (("response", None) if same else ("revisit", first[h]))
 
 
+def test_warc_pages_without_id_far_ids_and_odd_urls(spark):
+    pages = [(None, "http://a.b/x\ty", "same"), (7, "http://a.b/x\ty", "same"), (9, "http://a.b/%09", "same"), (None, None, None),
+             (10**15, "http://c.d/", "far"), (3 * 10**11, "http://c.d/", "far"), (5, "http://c.d/", "near")]
+    got = warc.archive_and_index(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert len(got) == len(pages) and sorted(r["index_pos"] for r in got) == list(range(len(pages)))
+    kinds = Counter((r["page_id"], r["record_type"], r["refers_to"]) for r in got)
+    assert kinds == Counter([(None, "response", None), (None, "response", None), (7, "response", None), (9, "revisit", 7),
+                             (3 * 10**11, "response", None), (10**15, "revisit", 3 * 10**11), (5, "response", None)])
+    assert {r["url"]: r["url_key"] for r in got if r["page_id"] in (7, 9)} == {"http://a.b/x\ty": "b,a)/x\ty", "http://a.b/%09": "b,a)/%09"}
+    assert all(len(r["captured"]) == 20 for r in got)
+    order = [(r["url_key"], r["captured"], r["page_id"] is not None, r["page_id"] or 0) for r in sorted(got, key=lambda r: r["index_pos"])]
+    assert order == sorted(order)
+
+
 def test_warc_empty(spark):
     assert warc.archive_and_index(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
@@ -171,7 +185,8 @@ def test_top_k_equals_brute_force(spark):
     vectors[11] = (11, [0.5, -0.5])
     vectors[12] = (12, [])
     vectors[13] = vectors[14] = (13, vectors[20][1])  # a repeated row, equal to another vector
-    frame = spark.createDataFrame([(*v, 0, 0) for v in vectors], "vec_id long, embedding array<double>, q int, asked int")
+    without_id = [(None, vectors[20][1], 0, 0), (None, None, 0, 0)]
+    frame = spark.createDataFrame([(*v, 0, 0) for v in vectors] + without_id, "vec_id long, embedding array<double>, q int, asked int")
     from pyspark.sql import functions as F
     got = bit_sliced.top_k(frame, F.col("vec_id") % 20 == 0, k=10, block_rows=40, batch_queries=4).collect()
     usable = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors if v is not None and all(x is not None and math.isfinite(x) for x in v)]
@@ -223,6 +238,14 @@ def test_repeats_of_one_row_given_twice(spark):
     assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [(1, 0), (1, 0), (2, len(text))]
 
 
+def test_rows_without_id_keep_their_texts(spark):
+    text = prose(random.Random(3), 80)
+    frame = spark.createDataFrame([(None, text), (None, text), (4, text), (6, text), (None, None)], "doc_id long, text string")
+    got = Counter((r["doc_id"], r["n_removed"]) for r in suffix_dedup.removal_digest(frame).collect())
+    assert got == Counter({(None, 0): 3, (4, 0): 1, (6, len(text)): 1})
+    assert sorted(r["text"] or "" for r in suffix_dedup.remove_repeats(frame).collect()) == sorted([text, text, text, "", ""])
+
+
 def test_long_texts_in_pieces(monkeypatch):
     rng = random.Random(6)
     text = prose(rng, 3000) * 2
@@ -269,6 +292,9 @@ def test_toxicity_learns_and_scores(spark, rows, empty):
     assert not any(got[1000 + i]["predicted"] for i, *_ in rows)
     assert got[1000]["score"] == got[1001]["score"]  # null and empty
     assert toxicity.keep_clean(docs, model).columns == docs.columns
+    doubted = marks.unionByName(marks.where("toxic = 1").selectExpr("doc_id", "0 AS toxic", "quality"))  # the higher label counts
+    again = toxicity.train(docs, doubted.where(~toxicity.held_out("doc_id")))
+    assert again[0] == model[0] and np.allclose(again[1], model[1])
     assert toxicity.train(empty, marks) is None
     assert toxicity.score(empty, None).collect() == []
     assert {r["score"] for r in toxicity.score(docs, None).collect()} == {0.0}
@@ -508,6 +534,26 @@ def test_rules_count_and_adapt(spark, rows, empty):
     assert quality_rules.adaptive_rules(empty).collect() == []
 
 
+def test_each_rule_rejects_alone(spark):
+    """Each adaptive fence rejects a document that the base rules and the other fences pass, also where copies of junk hold
+    more than a third of the source."""
+    rng = random.Random(17)
+    plain = [(i, prose(rng, 80), "en", "a") for i in range(150)]
+    junk = "#### " * 5 + prose(rng, 60)
+    window = prose(rng, 8)
+    cases = {"symbols_permille": (900, " ".join(w + "&" * (k < 24) for k, w in enumerate(prose(rng, 80).split()))),
+             "dup_lines_permille": (901, "\n".join(["same line here"] * 2 + ["other line now"] * 2 + [prose(rng, 40) for _ in range(3)])),
+             "repeat_permille": (902, f"{window} {prose(rng, 26)} {window} {prose(rng, 28)}"),
+             "word_len_tenths": (903, " ".join(w * 3 for w in prose(rng, 60).split()))}
+    copies = [(1000 + i, junk, "en", "a") for i in range(120)]
+    got = by_id(quality_rules.adaptive_rules(table(spark, plain + copies + [(i, t, "en", "a") for i, t in cases.values()])))
+    assert all(got[i]["kept"] for i, *_ in plain)
+    assert not any(got[i]["kept"] or got[i]["base_failed"] for i, *_ in copies)
+    for metric, (i, _) in cases.items():
+        assert not got[i]["base_failed"] and not got[i]["kept"]
+        assert [m for m in quality_rules.SLACK if got[i][m] > got[i][f"max_{m}"]] == [metric]
+
+
 def test_counts_of_very_long_spans():
     word = "x" * 3_000_000
     text = f"{word} {word} a"

@@ -1,5 +1,5 @@
-"""Registered model-fitting queries (rows-only checks: iterative fits have no SQL oracle; they are
-verified by unit tests against numpy and by properties). Same registry as ``plans.queries``."""
+"""Registered model-fitting queries. The least-squares ones are rounded and equal their SQL (``oracle_linear``); iterative
+fits are checked by rows, by unit tests against numpy and by properties. Same registry as ``plans.queries``."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..functions.scalar import round_half_up
 from ..operators import hurdle as hd
 from ..operators import impact as imp
 from ..operators import linear as lin
@@ -25,6 +26,11 @@ HP = HurdleParams()
 FINAL = {"nrounds": 50, "eta": 0.1, "hurdle": 0.2}
 
 
+def _rounded(df, digits):
+    """Columns rounded half up, as the SQL of the query rounds them (both sides sum in another order)."""
+    return df.withColumns({c: round_half_up(c, d) for c, d in digits.items()})
+
+
 def _players_frame(spark, sf_dir):
     """One row per player; checkpointed because every fit and its summary make several passes."""
     w = load_world(spark, sf_dir)
@@ -35,7 +41,8 @@ def _players_frame(spark, sf_dir):
 @query("linear_fit")
 def linear_fit(spark, sf_dir):
     df, shares = _players_frame(spark, sf_dir)
-    return lin.compare_fits(spark, lin.fit_many(df, jobs.comparison_specs(shares)))
+    fits = lin.compare_fits(spark, lin.fit_many(df, jobs.comparison_specs(shares)))
+    return _rounded(fits, {"r2": 6, "adj_r2": 6, "aic": 4})
 
 
 @query("vif")
@@ -43,7 +50,7 @@ def vif(spark, sf_dir):
     df, shares = _players_frame(spark, sf_dir)
     cols = jobs.BASE_FEATURES + shares
     dropped = lin.aliased_columns(df, cols)
-    return lin.vif(df, [c for c in cols if c not in dropped])
+    return _rounded(lin.vif(df, [c for c in cols if c not in dropped]), {"vif": 4})
 
 
 def _refined(spark, sf_dir):
@@ -55,20 +62,23 @@ def _refined(spark, sf_dir):
 @query("coefficients")
 def coefficients(spark, sf_dir):
     _df, fit = _refined(spark, sf_dir)
-    return fit.coefficients(spark)
+    return _rounded(fit.coefficients(spark), dict.fromkeys(
+        ("estimate", "transformed_estimate", "std_error", "statistic", "p_value"), 6))
 
 
 @query("effect_size")
 def effect_size(spark, sf_dir):
     _df, fit = _refined(spark, sf_dir)
     rows = [fit.effect_size(c, 0, 1) for c in ("sessions", "submissions", "facebook_connected", "paid_source")]
-    return spark.createDataFrame(rows, "variable string, `from` double, `to` double, slope double, pct_change double")
+    effects = spark.createDataFrame(rows, "variable string, `from` double, `to` double, slope double, pct_change double")
+    return _rounded(effects, {"slope": 6, "pct_change": 6})
 
 
 @query("predict_backtransformed")
 def predict_backtransformed(spark, sf_dir):
     df, fit = _refined(spark, sf_dir)
-    return fit.predict(df, "predicted_d365_rpi").select("player_id", "d365_RPI", "predicted_d365_rpi")
+    predicted = fit.predict(df, "predicted_d365_rpi").select("player_id", "d365_RPI", "predicted_d365_rpi")
+    return _rounded(predicted, {"predicted_d365_rpi": 4})
 
 
 @query("linear_cv")
@@ -77,7 +87,7 @@ def linear_cv(spark, sf_dir):
     df, shares = _players_frame(spark, sf_dir)
     folded = hash_folds(df, "player_id", 10, seed=123)
     _per_fold, summary = lin.linear_cv(folded, jobs.linear_specs(shares, INSIGNIFICANT), "d365_RPI", True, 10)
-    return summary
+    return _rounded(summary, {"rmse": 6})
 
 
 def _segment_inputs(spark, sf_dir):

@@ -98,7 +98,8 @@ def _segment_inputs(spark, sf_dir):
 @query("pca_profile")
 def pca_profile(spark, sf_dir):
     _u, scaled, used, *_ = _segment_inputs(spark, sf_dir)
-    return seg.pca_profile(scaled, used, k=min(4, len(used)), key="s", color="vip")[1]
+    profile = seg.pca_profile(scaled, used, k=min(4, len(used)), key="s", color="vip")[1]
+    return _rounded(profile, {"contribution": 6, "explained_variance": 6})
 
 
 @query("kmeans_sweep")

@@ -1,11 +1,14 @@
-"""DuckDB statements of the least-squares queries: the cross products of centred columns of unit length are swept one
+"""DuckDB statements of the closed-form model queries. Least squares: the cross products of centred columns of unit length are swept one
 pivot after the other by a recursive query, which leaves coefficients, inverse and residual sum at once. Columns of which
 the pivots before leave nothing are passed over (aliased). Apart from the Spark side, which factors the rows themselves.
+Principal components: the covariance is squared until it is the projector on its first component, whose diagonal holds the
+squared loadings; that component is taken away, and so on.
 """
 
 from __future__ import annotations
 
-from .oracle import CLEAN, SPEND_CATEGORIES, _class, _players, oracle
+from .oracle import CLEAN, COMP_COLS, HC_COLS, SPEND_CATEGORIES, _class, _players, _wide_ctes, oracle
+from .oracle_views import with_views
 
 BASE = ["submissions", "sessions", "avg_rating_received", "united_states", "facebook_connected", "paid_source", "returner"]
 SHARES = [f"Spend_Distr_{c}" for c in SPEND_CATEGORIES]
@@ -175,3 +178,40 @@ part AS (
   SELECT model, fold, sqrt(avg(e * e)) * any_value(y.size) AS rmse FROM miss JOIN unit y ON y.i = {LOG} GROUP BY model, fold
 )
 SELECT model, {_round('avg(rmse)')} AS rmse FROM part GROUP BY model""", splits=True)
+
+
+CLUSTER_INPUTS = ["region_USA_Canada", "tenure_days", "avg_daily_sessions", "veteran", "ltv_7d", *HC_COLS, *COMP_COLS]
+
+
+@oracle("pca_profile")
+def _pca_profile():
+    names = ", ".join(f"'{c}'" for c in CLUSTER_INPUTS)
+    values = ", ".join(f"CAST({c} AS DOUBLE)" for c in ["region = 'USA_Canada'", *CLUSTER_INPUTS[1:]])
+    sql = with_views(["f_userbase"], _wide_ctes() + f""",
+entry AS (
+  SELECT s, unnest(range(1, {len(CLUSTER_INPUTS) + 1})) AS i, unnest([{names}]) AS variable, unnest([{values}]) AS v FROM wide
+),
+bound AS (
+  SELECT i, any_value(variable) AS variable, min(v) AS lo, max(v) AS hi, avg(v) AS mean FROM entry GROUP BY i HAVING min(v) < max(v)
+),
+place AS (SELECT *, row_number() OVER (ORDER BY i) AS k FROM bound),
+x AS (SELECT s, k, (v - mean) / (hi - lo) AS v FROM entry JOIN place USING (i)),
+pair AS (SELECT a.k AS i, b.k AS j, sum(a.v * b.v) / (count(*) - 1) AS v FROM x a JOIN x b ON a.s = b.s GROUP BY a.k, b.k),
+covariance AS (SELECT list(r ORDER BY i) AS a FROM (SELECT i, list(v ORDER BY j) AS r FROM pair GROUP BY i)),
+power(component, t, a, m) AS (
+  SELECT 1, 0, a, a FROM covariance
+  UNION ALL
+  SELECT CASE WHEN t = 60 THEN component + 1 ELSE component END, CASE WHEN t = 60 THEN 0 ELSE t + 1 END, rest,
+         CASE WHEN t = 60 THEN rest ELSE list_transform(square, lambda r: list_transform(r, lambda v: v / trace)) END
+  FROM (
+    SELECT *, list_sum(list_transform(square, lambda r, i: r[i])) AS trace,
+           CASE WHEN t = 60 THEN list_transform(a, lambda r, i: list_transform(r, lambda v, j: v - variance * m[i][j])) ELSE a END AS rest
+    FROM (SELECT *, list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c))) AS square,
+                 list_sum(list_transform(a, lambda r, i: list_dot_product(r, m[i]))) AS variance FROM power)
+  ) WHERE component <= 4
+)
+SELECT CAST(component AS INT) AS component, variable, {_round('100 * m[k][k]')} AS contribution,
+       {_round('list_sum(list_transform(power.a, lambda r, i: list_dot_product(r, m[i]))) / list_sum(list_transform(covariance.a, lambda r, i: r[i]))')}
+       AS explained_variance
+FROM power CROSS JOIN covariance CROSS JOIN place WHERE t = 60 AND component <= 4""")
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)

@@ -404,6 +404,54 @@ def add_terms(spark, sf_dir):
     return c.select("player_id", *[f"{s}Sqd" for s in prep.PLAYER_SQUARES], *prep.PLAYER_INTERACTIONS)
 
 
+@query("typed_columns")
+def typed_columns(spark, sf_dir):
+    """Players kept as text (every fifth without a readable number), read as a path and as a table of the catalog;
+    columns chosen by pattern, suffix and range, then cast to numbers."""
+    from ..sources import tables
+    w = load_world(spark, sf_dir)
+    text = w.players.select([F.col(c).cast("string").alias(c) for c in w.players.columns]).withColumn(
+        "submissions", F.when(F.col("player_id").endswith("5"), F.lit("n/a")).otherwise(F.col("submissions")))
+    path = _scratch(spark, "typed")
+    text.write.orc(path)
+    tables.read_table(spark, path, "path", "orc").createOrReplaceTempView("players_as_text")
+    stored = tables.read_table(spark, "players_as_text")
+    chosen = [*prep.columns_matching(stored, pattern="^su.*ions$"), *prep.columns_matching(stored, suffix="_source"),
+              *prep.columns_matching(stored.select("sessions", "avg_rating_received", "returner"), start="sessions", end="avg_rating_received")]
+    return prep.cast_numeric(prep.select_columns(stored, ["player_id", *chosen], rename={"player_id": "id"}), chosen)
+
+
+@query("ordered_terms")
+def ordered_terms(spark, sf_dir):
+    """Means of the player flags and of the spend shares, the shares last; ``position`` is the place in that order."""
+    w = load_world(spark, sf_dir)
+    shares = sm.category_mean(w.spend, "category_name", "pct_spend", alias="mean").select(
+        F.concat(F.lit("Spend Distr "), "category_name").alias("term"), "mean")
+    flags = sm.column_means(_clean(w), PLAYER_FLAGS).select(F.col("variable").alias("term"), "mean")
+    ordered = rs.ordered_terms(shares.unionByName(flags)).coalesce(1)  # one row per term
+    return ordered.withColumn("position", F.monotonically_increasing_id())
+
+
+@query("daily_cohorts")
+def daily_cohorts(spark, sf_dir):
+    """for the daily runs of three months, the day that each run scores and how many installs it has."""
+    runs = {P.daily_cohort(d): d for d in (dt.date(1995, 4, 1) + dt.timedelta(days=i) for i in range(91))}
+    run_of = F.create_map(*[F.lit(x) for pair in runs.items() for x in pair])
+    installs = feat.installs_in_window(load_world(spark, sf_dir).installs, P, min(runs), max(runs))
+    return (installs.groupBy("install_dt").agg(F.count("*").alias("installs"))
+            .select(run_of[F.col("install_dt")].alias("run_date"), F.col("install_dt").alias("cohort_date"), "installs"))
+
+
+@query("formatted_players")
+def formatted_players(spark, sf_dir):
+    """amounts and counts as a report prints them."""
+    from ..functions.format import comma, dollar, fixed
+    thousands = F.col("submissions").cast("long") * 1000
+    return _clean(load_world(spark, sf_dir)).select(
+        "player_id", dollar("d365_RPI").alias("rpi"), dollar(-F.col("d365_RPI")).alias("owed"), comma(thousands).alias("submissions"),
+        fixed("d365_RPI", 2).alias("plain"))
+
+
 @query("prediction_curves")
 def prediction_curves(spark, sf_dir):
     """A18 with an arithmetic prediction (the model output is tested separately): mean prediction by

@@ -50,7 +50,7 @@ def test_every_query_has_oracle_or_is_model_fit():
     rows_only = set(qs) - set(ORACLES)
     assert set(ORACLES) <= set(qs)
     assert rows_only <= {
-        "pca_profile", "kmeans_sweep", "assign_clusters", "kmeans_profile", "hurdle_cv", "hurdle_fit",
+        "kmeans_sweep", "assign_clusters", "kmeans_profile", "hurdle_cv", "hurdle_fit",
         "feature_importance", "score_cohort", "backfill_predictions", "registry_round_trip",
         "impact_learned_level"}  # variances by expectation maximisation
 

@@ -7,7 +7,8 @@ n-gram, and turned into probabilities by joins on n-gram and context. Nothing of
 
 Documents are scored in chunks of neighbouring doc_ids. Each chunk's distinct n-grams are packed by shard (a hash of the
 n-gram) and meet the probabilities there; the answers go back to the chunk's texts. A task holds the distinct n-grams of
-one chunk, or the model's of one shard.
+one chunk, or the model's of one shard; there is a shard for each gigabyte of text, and never fewer than 512. Steps are
+stored, and what they shuffled is freed as soon as they are, so texts are on disk once at a time.
 
 Documents are rejected above a quantile of the trusted documents' bits per symbol in their language (a mergeable
 quantile sketch), widened by ``spread`` / sqrt(symbols) because short texts vary more. A language with fewer than
@@ -20,6 +21,7 @@ kept; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import textkit as T
-from cohortlens.llm.shared import compressed, of_ids, opened, stored
+from cohortlens.llm.shared import compressed, dropped, freed_shuffles, of_ids, opened, stored
 from cohortlens.session import cut_lineage
 
 #: Order and bits of a symbol: of ``grams``, a small coding by classes of bytes, and of ``byte_grams``, the model's.
@@ -38,7 +40,8 @@ BYTE_ORDER, BYTE_BITS = 5, 8
 _REPEAT = 35
 #: Neighbouring documents that are scored together; a text of more than LONG bytes is not put with its neighbours.
 CHUNK, LONG = 2048, 1 << 18
-SHARDS = 512
+#: Shards of the n-grams: so many at least, and one for so many bytes of text.
+SHARDS, SHARD_BYTES = 512, 1 << 30
 #: Distinct n-grams that a task gathers before it gives them out.
 _HELD = 1 << 22
 #: Working columns; named so that no column of a documents table clashes.
@@ -100,8 +103,8 @@ def byte_grams(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return _rolled(_marked(data.astype(np.int64), data, offs, _SEPARATOR), offs, BYTE_ORDER, BYTE_BITS, _PAD)
 
 
-def _shard(k: np.ndarray) -> np.ndarray:
-    return (T.mix(k.astype(np.uint64)) >> np.uint64(32)).astype(np.int64) % SHARDS
+def _shard(k: np.ndarray, shards: int) -> np.ndarray:
+    return (T.mix(k.astype(np.uint64)) >> np.uint64(32)).astype(np.int64) % shards
 
 
 def _pack(k: np.ndarray) -> bytes:
@@ -114,7 +117,17 @@ def _unpack(z: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(raw.reshape(8, -1).T).view(np.int64).ravel())
 
 
-def _types_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack_costs(bits: np.ndarray) -> bytes:
+    """Single-precision numbers, compressed a byte of each at a time."""
+    return zstandard.ZstdCompressor(level=1).compress(bits.view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpack_costs(z: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(z), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view(np.float32).ravel()
+
+
+def _types_task(shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(shard, chunk, keys): the distinct n-grams of each chunk, packed by shard."""
     held: dict[int, list[np.ndarray]] = {}
     size = 0
@@ -122,13 +135,12 @@ def _types_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def given() -> Iterator[pa.RecordBatch]:
         for chunk, parts in held.items():
             k = np.unique(np.concatenate(parts))
-            shard = _shard(k)
+            shard = _shard(k, shards)
             order = np.argsort(shard, kind="stable")
-            cut = np.searchsorted(shard[order], np.arange(SHARDS + 1))
-            full = np.flatnonzero(np.diff(cut))
+            full, first = np.unique(shard[order], return_index=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), chunk, np.int64)),
-                 pa.array([_pack(k[order[cut[i]:cut[i + 1]]]) for i in full], pa.binary())], names=["shard", GROUP, KEYS])
+                 pa.array([_pack(k[part]) for part in np.split(order, first[1:])], pa.binary())], names=["shard", GROUP, KEYS])
 
     for batch in batches:
         chunks = batch.column(GROUP).to_numpy()
@@ -203,7 +215,7 @@ def probabilities(counts: DataFrame, types: DataFrame, top: int = ORDER, bits: i
     ``counts`` (k, n) over symbols of ``bits`` bits."""
     tables = {top: counts}
     for order in range(top - 1, 0, -1):  # continuation counts: how many longer types end in this one
-        tables[order] = cut_lineage(tables[order + 1].groupBy(_low(F.col("k"), order, bits).alias("k")).agg(F.count("*").alias("n")))
+        tables[order] = stored(tables[order + 1].groupBy(_low(F.col("k"), order, bits).alias("k")).agg(F.count("*").alias("n")), "model")
     wanted = {top: types}
     for order in range(top - 1, 0, -1):
         wanted[order] = wanted[order + 1].select(_low(F.col("k"), order, bits).alias("k")).distinct()
@@ -224,7 +236,8 @@ def probabilities(counts: DataFrame, types: DataFrame, top: int = ORDER, bits: i
             back = F.col("q")
         own = F.coalesce(F.greatest(n - cut, F.lit(0.0)), F.lit(0.0)) / F.col("total")
         out = out.select("k", F.coalesce(own + F.col("held") / F.col("total") * back, back).alias("p"))
-        lower = cut_lineage(out)
+        less, lower = lower, stored(out, "model")
+        dropped(counts.sparkSession, [f for f in (less, seen) if f is not None and f is not counts])
     return lower
 
 
@@ -235,12 +248,12 @@ def _chunk() -> Column:
     return F.when(F.octet_length("text") > LONG, F.xxhash64(doc_id)).otherwise(near).cast("long")
 
 
-def _priced_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _priced_task(shards: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(shard, k, bits) of the model's (k, p)."""
     for batch in batches:
         k = batch.column("k").to_numpy()
         bits = -np.log2(batch.column("p").to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(_shard(k).astype(np.int32)), pa.array(k), pa.array(bits)], names=["shard", "k", "bits"])
+        yield pa.RecordBatch.from_arrays([pa.array(_shard(k, shards).astype(np.int32)), pa.array(k), pa.array(bits)], names=["shard", "k", "bits"])
 
 
 def _answer_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +274,7 @@ def _answer_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 k, c = np.concatenate(keys), np.concatenate(costs)
                 order = np.argsort(k)
                 table = k[order], c[order].astype(np.float32)
-            found = [table[1][np.searchsorted(table[0], _unpack(z))].tobytes() for z in part.column(KEYS).to_pylist()]
+            found = [_pack_costs(table[1][np.searchsorted(table[0], _unpack(z))]) for z in part.column(KEYS).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(GROUP), part.column(KEYS), pa.array(found, pa.binary())],
                                              names=[GROUP, KEYS, COSTS])
 
@@ -281,7 +294,7 @@ def _scores_task(kept: list[str]):
                 part = batch.slice(lo, hi - lo)
                 if kind[lo] == 0:
                     keys += [_unpack(z) for z in part.column(KEYS).to_pylist()]
-                    costs += [np.frombuffer(c, np.float32) for c in part.column(COSTS).to_pylist()]
+                    costs += [_unpack_costs(c) for c in part.column(COSTS).to_pylist()]
                     continue
                 if table is None:
                     k, first = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_index=True)
@@ -306,18 +319,24 @@ def answers(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """(chunk, keys, costs): for every chunk of ``docs`` its distinct n-grams, packed, with their bits under the model of
     all documents whose doc_id is in ``trusted``."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    shards = max(SHARDS, -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES))
     good = of_ids(texts, trusted.select(F.col("doc_id").cast("long")).distinct())
-    counts = good.select("text").mapInArrow(_counts_task, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-    asked = stored(texts.select(_chunk().alias(GROUP), "text").mapInArrow(_types_task, f"shard int, {GROUP} long, {KEYS} binary"))
-    types = asked.select("shard", KEYS).repartition("shard").sortWithinPartitions("shard").mapInArrow(_distinct_task, "k long")
-    model = probabilities(cut_lineage(counts), cut_lineage(types), BYTE_ORDER, BYTE_BITS)
-    none = F.lit(None)
-    priced = model.mapInArrow(_priced_task, "shard int, k long, bits double").select(
-        "shard", F.lit(0).alias(KIND), "k", "bits", none.cast("long").alias(GROUP), none.cast("binary").alias(KEYS))
-    both = priced.unionByName(asked.select("shard", F.lit(1).alias(KIND), none.cast("long").alias("k"),
-                                           none.cast("double").alias("bits"), GROUP, KEYS))
-    return both.repartition("shard").sortWithinPartitions("shard", KIND).mapInArrow(
-        _answer_task, f"{GROUP} long, {KEYS} binary, {COSTS} binary")
+    with freed_shuffles(docs.sparkSession):
+        counts = stored(good.select("text").mapInArrow(_counts_task, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "counts")
+        asked = stored(texts.select(_chunk().alias(GROUP), "text").mapInArrow(
+            functools.partial(_types_task, shards), f"shard int, {GROUP} long, {KEYS} binary"), "asked")
+        types = stored(asked.select("shard", KEYS).repartition("shard").sortWithinPartitions("shard").mapInArrow(
+            _distinct_task, "k long"), "types")
+        model = probabilities(counts, types, BYTE_ORDER, BYTE_BITS)
+        none = F.lit(None)
+        priced = model.mapInArrow(functools.partial(_priced_task, shards), "shard int, k long, bits double").select(
+            "shard", F.lit(0).alias(KIND), "k", "bits", none.cast("long").alias(GROUP), none.cast("binary").alias(KEYS))
+        both = priced.unionByName(asked.select("shard", F.lit(1).alias(KIND), none.cast("long").alias("k"),
+                                               none.cast("double").alias("bits"), GROUP, KEYS))
+        found = stored(both.repartition("shard").sortWithinPartitions("shard", KIND).mapInArrow(
+            _answer_task, f"{GROUP} long, {KEYS} binary, {COSTS} binary"), "answers")
+    dropped(docs.sparkSession, [counts, asked, types, model])
+    return found
 
 
 def score(docs: DataFrame, priced: DataFrame, with_text: bool = False) -> DataFrame:
@@ -353,7 +372,10 @@ def _judged(scores: DataFrame, own: DataFrame, every: float, spread: float) -> t
 def classify(docs: DataFrame, trusted: DataFrame, spread: float = 15.0) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold (both per symbol), kept; one row per document."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    scores = cut_lineage(score(rows, answers(rows, trusted)))
+    priced = answers(rows, trusted)
+    with freed_shuffles(docs.sparkSession):
+        scores = cut_lineage(score(rows, priced))
+    dropped(docs.sparkSession, [priced])
     joined, limit = _judged(scores, *limits(scores, trusted), spread)
     return joined.select("doc_id", "lang", F.col(N_SYMBOLS).alias("n_symbols"), F.pow(F.lit(2.0), BITS_EACH).alias("perplexity"),
                          F.pow(F.lit(2.0), limit).alias("threshold"),
@@ -368,7 +390,10 @@ def _open_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def keep_good(docs: DataFrame, trusted: DataFrame, spread: float = 15.0) -> DataFrame:
     """The rows of ``docs`` that ``classify`` keeps. Texts are stored with their scores, so they travel once."""
-    scores = stored(score(docs, answers(docs, trusted), with_text=True))
+    priced = answers(docs, trusted)
+    with freed_shuffles(docs.sparkSession):
+        scores = stored(score(docs, priced, with_text=True))
+    dropped(docs.sparkSession, [priced])
     slim = scores.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), N_SYMBOLS, BITS_EACH)
     joined, limit = _judged(scores, *limits(slim, trusted), spread)
     kept = joined.where(F.col(BITS_EACH) <= limit).select(*[f"`{c}`" for c in docs.columns])

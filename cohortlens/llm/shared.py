@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -25,6 +26,29 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, frames: list[DataFrame]) -> None:
+    """Delete the folders of ``stored`` frames that nothing reads any more."""
+    for folder in {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Ends the life of a query's shuffle files with the query, not with the driver's next garbage collection.
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it every query frees its shuffle files when it ends. For eager steps whose results are stored: a frame that
+    runs a second time would have to shuffle again."""
+    before = spark.conf.get(_FREED)
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREED, before)
+
+
 def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches cut into parts of a few rows, for work that holds Python copies of their texts."""
     for batch in batches:

@@ -1,7 +1,7 @@
 """Sharding by vector bin packing: bytes, tokens and rows are balanced jointly (operator 1).
 
-Documents with equal texts are one group and stay in one shard; only a group of more bytes than a shard's fair
-share is split, by document id. Every group is a vector (bytes, tokens, rows) in units of the shard capacities and
+Documents with equal texts are one group and stay in one shard; only a group above a shard's fair share of bytes,
+tokens or rows is split, by document id. Every group is a vector (bytes, tokens, rows) in units of the shard capacities and
 goes to the shard whose residual capacity has the highest dot product with it, large groups first.
 
 Groups with more than 1 / (shards * heavy_parts) of any total, and the parts of split ones, are a few times
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from cohortlens.session import cut_lineage
 
 DIMS = ["size", "tokens", "n"]
-#: Weights of the dimensions in the dot product: the law is near-equal bytes; tokens and rows come after it.
+#: Weights of the dimensions in the dot product: the law is near-equal bytes; larger ones for tokens and rows cost it.
 WEIGHTS = np.array([1.0, 0.1, 0.01])
 
 
@@ -75,7 +75,8 @@ def assign_shards(docs: DataFrame, shards: int = 24, heavy_parts: int = 64, cell
     for d, t in zip(DIMS, total, strict=True):
         large = large | (F.col(d) > t / (shards * heavy_parts))
     big = groups.where(large).collect()  # at most 3 * shards * heavy_parts rows
-    parts = {bytes(g["digest"]): 1 if g["size"] <= capacity[0] else math.ceil(heavy_parts * g["size"] / capacity[0]) for g in big}
+    shares = {bytes(g["digest"]): max(g[d] / c for d, c in zip(DIMS, capacity, strict=True)) for g in big}
+    parts = {digest: 1 if share <= 1 else math.ceil(heavy_parts * share) for digest, share in shares.items()}
     heavy = spark.createDataFrame([(d, p) for d, p in parts.items()], "digest binary, parts int")
     part = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
     tagged = rows.join(F.broadcast(heavy), "digest", "left").withColumn("part", part)

@@ -97,6 +97,20 @@ def test_sharding_splits_only_a_group_beyond_a_share(spark):
     assert max(load.values()) < 1.15 * min(load.values())
 
 
+def test_sharding_balances_rows_and_tokens_of_hot_short_copies(spark):
+    """A third of the rows are copies of one short text with few of the bytes: no shard gets them all."""
+    rng = random.Random(8)
+    many = [(i, prose(rng, rng.randint(50, 300)), "en", "a") for i in range(1000)] + [(5000 + i, "one short text", "en", "a") for i in range(500)]
+    got = sharding.assign_shards(table(spark, many)).collect()
+    words = {i: t.count(" ") + 1 for i, t, *_ in many}
+    for measure in (lambda r: r["size"], lambda r: words[r["doc_id"]], lambda r: 1):
+        load = Counter()
+        for r in got:
+            load[r["shard"]] += measure(r)
+        mean = sum(load.values()) / 24
+        assert len(load) == 24 and 0.9 * mean < min(load.values()) and max(load.values()) < 1.1 * mean
+
+
 def test_sharding_empty(empty):
     assert sharding.assign_shards(empty).collect() == []
 

@@ -10,13 +10,14 @@ n-gram) and meet the probabilities there; the answers go back to the chunk's tex
 one chunk, or the model's of one shard; there is a shard for each gigabyte of text, and never fewer than 512. Steps are
 stored, and what they shuffled is freed as soon as they are, so texts are on disk once at a time.
 
-Documents are rejected above a quantile of the trusted documents' bits per symbol in their language (a mergeable
-quantile sketch), widened by ``spread`` / sqrt(symbols) because short texts vary more. A language with fewer than
-``min_trusted`` trusted documents takes the limit of all languages.
+One trusted text in HELD_OUT (by a hash of the text, so copies stay together) is not counted. Documents are rejected
+above a quantile of these unseen texts' bits per symbol in their language (a mergeable quantile sketch), widened by
+``spread`` / sqrt(symbols) because short texts vary more. A language with fewer than ``min_trusted`` such documents takes
+the limit of all languages.
 
 Defined cases: null and empty texts have no symbols, no perplexity (null) and are rejected; null languages are a
-language of their own; repeated rows are scored one by one; without trusted documents every text with symbols is
-kept; an empty table gives no rows; other columns are ignored.
+language of their own; repeated rows are scored one by one; without trusted documents, or with none held out, every text
+with symbols is kept; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,10 +43,12 @@ _REPEAT = 35
 CHUNK, LONG = 2048, 1 << 18
 #: Shards of the n-grams: so many at least, and one for so many bytes of text.
 SHARDS, SHARD_BYTES = 512, 1 << 30
+#: One trusted text in so many sets the limits in place of being counted.
+HELD_OUT = 10
 #: Distinct n-grams that a task gathers before it gives them out.
 _HELD = 1 << 22
 #: Working columns; named so that no column of a documents table clashes.
-N_SYMBOLS, BITS_EACH, TOP, LANG = "__kn_symbols", "__kn_bits", "__kn_top", "__kn_lang"
+N_SYMBOLS, BITS_EACH, TOP, LANG, HELD = "__kn_symbols", "__kn_bits", "__kn_top", "__kn_lang", "__kn_held"
 GROUP, KIND, KEYS, COSTS = "__kn_chunk", "__kn_kind", "__kn_keys", "__kn_costs"
 
 
@@ -241,6 +244,11 @@ def probabilities(counts: DataFrame, types: DataFrame, top: int = ORDER, bits: i
     return lower
 
 
+def held_out(text: str = "text") -> Column:
+    """Whether a text, if it is trusted, sets the limits and is not counted."""
+    return F.pmod(F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))), F.lit(HELD_OUT)) == 0
+
+
 def _chunk() -> Column:
     """The chunk of a row: any function of its doc_id and text will do, as both passes over the texts use it."""
     doc_id = F.col("doc_id").cast("long")
@@ -317,10 +325,10 @@ def _scores_task(kept: list[str]):
 
 def answers(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """(chunk, keys, costs): for every chunk of ``docs`` its distinct n-grams, packed, with their bits under the model of
-    all documents whose doc_id is in ``trusted``."""
+    all documents whose doc_id is in ``trusted``, less those held out."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     shards = max(SHARDS, -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SHARD_BYTES))
-    good = of_ids(texts, trusted.select(F.col("doc_id").cast("long")).distinct())
+    good = of_ids(texts.where(~held_out()), trusted.select(F.col("doc_id").cast("long")).distinct())
     with freed_shuffles(docs.sparkSession):
         counts = stored(good.select("text").mapInArrow(_counts_task, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "counts")
         asked = stored(texts.select(_chunk().alias(GROUP), "text").mapInArrow(
@@ -355,8 +363,8 @@ def score(docs: DataFrame, priced: DataFrame, with_text: bool = False) -> DataFr
 
 def limits(scores: DataFrame, trusted: DataFrame, quantile: float = 0.99, min_trusted: int = 30,
            accuracy: int = 10_000) -> tuple[DataFrame, float]:
-    """((language, top), top of all): the quantile of the trusted documents' bits per symbol."""
-    marked = (scores.where(F.col(N_SYMBOLS) > 0).select("doc_id", "lang", BITS_EACH)
+    """((language, top), top of all): the quantile of the held-out trusted documents' bits per symbol."""
+    marked = (scores.where((F.col(N_SYMBOLS) > 0) & F.col(HELD)).select("doc_id", "lang", BITS_EACH)
               .join(trusted.select(F.col("doc_id").cast("long")).distinct(), "doc_id", "left_semi"))
     sketch = [F.percentile_approx(BITS_EACH, quantile, accuracy).alias(TOP), F.count("*").alias("n")]
     own = marked.groupBy("lang").agg(*sketch).where(F.col("n") >= min_trusted).select(F.col("lang").alias(LANG), TOP)
@@ -371,7 +379,7 @@ def _judged(scores: DataFrame, own: DataFrame, every: float, spread: float) -> t
 
 def classify(docs: DataFrame, trusted: DataFrame, spread: float = 15.0) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold (both per symbol), kept; one row per document."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"), held_out().alias(HELD))
     priced = answers(rows, trusted)
     with freed_shuffles(docs.sparkSession):
         scores = cut_lineage(score(rows, priced))
@@ -392,9 +400,9 @@ def keep_good(docs: DataFrame, trusted: DataFrame, spread: float = 15.0) -> Data
     """The rows of ``docs`` that ``classify`` keeps. Texts are stored with their scores, so they travel once."""
     priced = answers(docs, trusted)
     with freed_shuffles(docs.sparkSession):
-        scores = stored(score(docs, priced, with_text=True))
+        scores = stored(score(docs.withColumn(HELD, held_out()), priced, with_text=True))
     dropped(docs.sparkSession, [priced])
-    slim = scores.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), N_SYMBOLS, BITS_EACH)
+    slim = scores.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), N_SYMBOLS, BITS_EACH, HELD)
     joined, limit = _judged(scores, *limits(slim, trusted), spread)
     kept = joined.where(F.col(BITS_EACH) <= limit).select(*[f"`{c}`" for c in docs.columns])
     return kept.mapInArrow(_open_task, ", ".join(

@@ -504,10 +504,12 @@ def test_model_sees_every_byte_and_word_forms(spark):
 
 
 def test_scores_equal_the_definition_in_any_chunks(spark, rows, docs, monkeypatch):
-    """Bits of every document by the definition, whatever the chunks and shards; no n-gram types are lost on the way."""
+    """Bits of every document by the definition, whatever the chunks and shards; no n-gram types are lost on the way.
+    Trusted texts that are held out are not counted."""
     trusted = [i for i, *_ in rows if i % 3 == 0 and i < 40]
+    held_out = {r["doc_id"] for r in docs.where(kneser_ney.held_out()).collect()}
     grams = {i: kneser_ney.byte_grams(*textkit.text_buffer(pa.array([t or ""]))).tolist() for i, t, *_ in rows}
-    counts = Counter(g for i in trusted for g in grams[i])
+    counts = Counter(g for i in trusted if i not in held_out for g in grams[i])
     types = sorted({g for gs in grams.values() for g in gs})
     model = dict(kneser_ney.probabilities(spark.createDataFrame(list(counts.items()), "k long, n long"),
                                           spark.createDataFrame([(g,) for g in types], "k long"), kneser_ney.BYTE_ORDER, kneser_ney.BYTE_BITS).collect())
@@ -520,6 +522,18 @@ def test_scores_equal_the_definition_in_any_chunks(spark, rows, docs, monkeypatc
             assert got[i]["perplexity"] == (pytest.approx(want, rel=1e-5) if gs else None)
 
 
+def test_limits_come_from_trusted_texts_that_were_not_counted(spark):
+    rng = random.Random(9)
+    docs = table(spark, [(i, prose(rng, 40), "en", "a") for i in range(300)])
+    trusted = list(range(0, 300, 2))
+    got = by_id(kneser_ney.classify(docs, spark.createDataFrame([(i,) for i in trusted], "doc_id long"), spread=0.0))
+    held_out = {r["doc_id"] for r in docs.where(kneser_ney.held_out()).collect()}
+    unseen = sorted(got[i]["perplexity"] for i in trusted if i in held_out)
+    assert 0 < len(unseen) < 30  # fewer than min_trusted: the limit of all languages, whose 99 % quantile is the largest
+    assert all(r["threshold"] == pytest.approx(unseen[-1]) for r in got.values())
+    assert sum(got[i]["kept"] for i in range(1, 300, 2)) >= 130  # of 150 that were never trusted
+
+
 # 10
 
 def naive_counts(t):

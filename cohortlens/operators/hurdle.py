@@ -3,7 +3,7 @@
 
 The rule is a column expression, so scoring stays in the JVM after the two Spark ML models have added
 their outputs. Fitting uses Spark ML gradient-boosted trees (distributed); cross-validation submits
-independent fits from a small thread pool (as ``CrossValidator(parallelism=...)`` does) on one cached,
+independent fits from a small thread pool (as ``CrossValidator(parallelism=...)`` does) on one checkpointed,
 assembled frame, and only metric rows come back to the driver.
 """
 
@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -25,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import round_half_up
+from ..session import cut_lineage
 
 
 # ---- decision rules (M5, SURVEY Q9 Q29) ---------------------------------------------------------
@@ -208,10 +208,11 @@ def hurdle_cv(train: DataFrame, base: HurdleSpec, folds: int, nrounds: Sequence[
               hurdles: Sequence[float], fold_col: str = "fold", parallelism: int = 4) -> DataFrame:
     """M6: one fit per (fold, eta) with max(nrounds) rounds; every nrounds value is evaluated from the
     tree prefixes of that fit and every hurdle from the same two models (5 x 2 fit pairs instead of
-    5 x 3 x 2). Fits run concurrently on the persisted frame. Returns per-fold metric rows
+    5 x 3 x 2). Fits run concurrently on one checkpointed frame. Returns per-fold metric rows
     (fold, setting, rmse) as a small DataFrame."""
     spark = train.sparkSession
-    data = assembled(train, base).persist(StorageLevel.MEMORY_AND_DISK)  # vectors are built once for all fits
+    # vectors are built once for all fits; a checkpoint, not a cache, as every one of a fit's jobs carries its input's lineage
+    data = cut_lineage(assembled(train, base))
     sizes = sorted(set(nrounds))
     tasks = [(k, eta) for k in range(folds) for eta in etas]
 
@@ -232,11 +233,8 @@ def hurdle_cv(train: DataFrame, base: HurdleSpec, folds: int, nrounds: Sequence[
         r = scored.agg(*aggs).first()
         return [(k, name, float(r[f"m{i}"])) for i, name in enumerate(names)]
 
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = [row for chunk in pool.map(run, tasks) for row in chunk]
-    finally:
-        data.unpersist()
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = [row for chunk in pool.map(run, tasks) for row in chunk]
     return spark.createDataFrame(rows, "fold int, setting string, rmse double")
 
 

@@ -35,8 +35,8 @@ scoring_features = feat.scoring_features    # E2
 
 def revenue_model_frame(tables, p: FeatureParams, hp: HurdleParams) -> DataFrame:
     """E1 -> typed model frame -> optional fixed-size sample (O3) -> train/test label (O4) ->
-    stratified folds within train (O5). The fold step checkpoints, so the many fits read the
-    checkpoint and a lost executor recomputes from it, not from the activity joins."""
+    stratified folds within train (O5). The finished frame is checkpointed: a fit runs thousands of small jobs, each of
+    which carries the whole lineage of its input, so theirs begins at the checkpoint and not at the fold joins."""
     mf = feat.model_frame(feat.training_features(tables, p), p)
     h = smp.string_key_hash("s", hp.seed)
     if hp.sample_rows:
@@ -46,7 +46,7 @@ def revenue_model_frame(tables, p: FeatureParams, hp: HurdleParams) -> DataFrame
     # assignment checkpoints the frame once, so the features are computed a single time
     folds = smp.stratified_folds(mf, "s", ["split", "spender"], hp.folds,
                                  hash_col=smp.string_key_hash("s", hp.seed + 1))
-    return right_size(folds.withColumn("fold", F.when(F.col("split") == "test", F.lit(-1)).otherwise(F.col("fold"))))
+    return cut_lineage(right_size(folds.withColumn("fold", F.when(F.col("split") == "test", F.lit(-1)).otherwise(F.col("fold")))))
 
 
 def base_spec(p: FeatureParams, hp: HurdleParams) -> hd.HurdleSpec:

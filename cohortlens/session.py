@@ -106,6 +106,16 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def stage(df, name: str):
+    """Write a frame once as parquet below the checkpoint directory and return it read back: for frames too large for a
+    checkpoint, which stores rows uncompressed. Every reader gets the same rows, and only the columns it asks for."""
+    import uuid
+
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/queries/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def right_size(df, min_rows_per_partition: int = 50_000):
     """Coalesce (no shuffle) a materialised frame to at most ``ceil(rows / min_rows_per_partition)``
     partitions. Iterative ML runs several small jobs per iteration; on a small frame, many near-empty

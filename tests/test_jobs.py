@@ -118,3 +118,18 @@ def test_backfill_query_trains_with_the_final_setting(monkeypatch):
     monkeypatch.setattr(mq.jobs, "backfill_predictions", lambda w, p, start, end, models: models)
     assert mq.backfill_predictions(None, "") == {h: f"model {h}" for h in mq.BACKFILL_MODELS}
     assert asked == [(h, {}) for h in mq.BACKFILL_MODELS]  # as score_cohort: no setting but the final one
+
+
+def test_fits_begin_at_a_checkpoint(spark, monkeypatch):
+    """Every small job of a fit carries the lineage of its input: neither the frame nor what cross-validation fits on may
+    lead back to the joins behind it."""
+    from cohortlens.operators import hurdle as hd
+    from cohortlens.plans import model_queries as mq
+    frame = jobs.revenue_model_frame(load_world(spark, SF_SMALL), TEST_FEATURES, mq.HP)
+    seen = []
+    real = hd.HurdleRegressor._fit
+    monkeypatch.setattr(hd.HurdleRegressor, "_fit", lambda self, df: seen.append(df) or real(self, df))
+    joined = frame.where("split = 'train'").join(frame.select("s").distinct(), "s")
+    hd.hurdle_cv(joined, jobs.base_spec(TEST_FEATURES, mq.HP), 2, (2,), (0.1,), (0.2,), parallelism=2)
+    lineage = [df._jdf.queryExecution().toRdd().toDebugString() for df in (frame, *seen)]
+    assert len(lineage) == 3 and not any("Shuffled" in text or "InMemory" in text for text in lineage)

@@ -32,6 +32,16 @@ MONEY = "decimal(38,6)"
 COLUMNS = {"s": "string", "activity_date": "date", "n": "bigint", "len": MONEY, "util": "double", "amt": MONEY}
 
 
+ROWS_PER_BUCKET = 2_000_000  # about 400 MB while a task sorts them
+
+
+def buckets_for(spark: SparkSession, rows: int, fewest: int = 8) -> int:
+    """Buckets for a store whose largest batch has about ``rows`` device-days: a task writes and joins one bucket, so what
+    it holds must not grow with the store. More than ``fewest`` are no less than the shuffle partitions (see above)."""
+    need = -(-rows // ROWS_PER_BUCKET)
+    return fewest if need <= fewest else max(need, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 @dataclass(frozen=True)
 class ActivityStore:
     """A store at ``root``, registered in the catalog as ``table`` (created where it is missing)."""

@@ -108,3 +108,20 @@ def test_min_age_bounds_the_read(spark, tmp_dir):
     st.put("all", feat.activity_daily(w, p))
     got = activity_store.features(st, w, p, P.window_start, P.window_end)
     assert sorted(map(repr, got.collect())) == sorted(map(repr, feat.training_features(w, p).collect()))
+
+
+def test_buckets_grow_with_the_rows(spark):
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = [activity_store.buckets_for(spark, n) for n in (0, 10**6, 10**8, 10**9)]
+    assert sizes[:2] == [8, 8] and sizes[3] == 10 * sizes[2] >= 10 * shuffles
+    assert 10**9 / sizes[3] <= activity_store.ROWS_PER_BUCKET
+    assert activity_store.buckets_for(spark, 9 * activity_store.ROWS_PER_BUCKET) >= max(9, shuffles)
+
+
+def test_queries_size_their_store(spark, monkeypatch):
+    from cohortlens.plans import queries
+    monkeypatch.setattr(activity_store, "ROWS_PER_BUCKET", 1000)
+    st = queries._activity_store(spark, "sized", load_world(spark, SF_SMALL))
+    assert st.buckets >= 13  # 6,000 lines count twice, 1,500 orders once
+    st.put("all", days(spark, [(f"d{k}", D[0], k, None) for k in range(50)]))
+    assert sum(r["n"] for r in st.read().collect()) == sum(range(50))

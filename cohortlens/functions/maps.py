@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +18,26 @@ def parse_map(c: str | Column) -> Column:
     empty = F.create_map().cast("map<string,double>")
     pair = F.transform(F.split(text, r",\s*"), lambda x: F.split(x, "=", 2))
     entries = F.transform(pair, lambda x: F.struct(F.trim(x[0]).alias("k"), F.trim(F.get(x, 1)).try_cast("double").alias("v")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["k"] == e["k"]))
-    return F.when(text.isNull() | (text == ""), empty).otherwise(F.map_from_entries(last))
+    return F.when(text.isNull() | (text == ""), empty).otherwise(F.map_from_entries(_let(entries, _last_of_each_key)))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row: a lambda that names an outer expression computes it for each of
+    its elements."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _last_of_each_key(entries: Column) -> Column:
+    """The last entry of each key. A key that repeats is rare, which the names alone tell; only then are entries numbered
+    and ordered by key, so that the last of a key is the one whose neighbour has another."""
+    def dropped(numbered: Column) -> Column:
+        last = F.filter(numbered, lambda e, i: F.coalesce(F.get(numbered, i + 1)["k"] != e["k"], F.lit(True)))
+        back = F.array_sort(F.transform(last, lambda e: F.struct(e["i"].alias("i"), e["k"].alias("k"), e["v"].alias("v"))))
+        return F.transform(back, lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v")))
+
+    names = F.transform(entries, lambda e: e["k"])
+    numbered = F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i"), e["v"].alias("v")))
+    return F.when(F.size(F.array_distinct(names)) == F.size(entries), entries).otherwise(_let(F.array_sort(numbered), dropped))
 
 
 def map_keys(df: DataFrame, c: str | Column) -> list[str]:

@@ -26,7 +26,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import money_sum, zero_pad_parts
@@ -214,12 +214,14 @@ class TestWorld:
         """spend_data (long form): player_id, category_name, pct_spend (share of spend per item type)."""
         p = self.table("part").select("p_partkey", "p_type")
         j = self._lines.select("o_custkey", "l_partkey", "l_extendedprice").join(p, F.col("l_partkey") == F.col("p_partkey"))
-        per_type = j.groupBy("o_custkey", "p_type").agg(money_sum(F.col("l_extendedprice")).alias("type_spend"))
-        total = j.groupBy("o_custkey").agg(money_sum(F.col("l_extendedprice")).alias("total_spend"))
-        return per_type.join(total, "o_custkey").select(
+        # a player's total is the exact sum of the sums per type, of which there are as many as item types at most
+        per_type = (j.where("o_custkey IS NOT NULL").groupBy("o_custkey", "p_type")
+                    .agg(F.sum(F.col("l_extendedprice").cast("decimal(28,6)")).alias("type_spend")))
+        total = F.sum("type_spend").over(Window.partitionBy("o_custkey"))
+        return per_type.select(
             F.col("o_custkey").alias("player_id"),
             F.col("p_type").alias("category_name"),
-            (F.col("type_spend") / F.col("total_spend")).alias("pct_spend"),
+            (F.col("type_spend").cast("double") / total.cast("double")).alias("pct_spend"),
         )
 
     # ---- user-base world (clustering) -------------------------------------------------------

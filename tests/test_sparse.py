@@ -135,3 +135,24 @@ def test_segmentation_job(spark, maps):
     assert {r["component"] for r in out["pca_contributions"].collect()} == {1, 2}
     m = {r["name"]: r["mean"] for r in out["means"].collect()}
     assert all(m[f"x_{k}"] == m[f"y_{k}"] for k in KEYS)
+
+
+def test_profile_query_reads_stored_maps(spark):
+    from cohortlens.plans.queries import QUERIES
+    from conftest import SF_SMALL
+    plan = QUERIES["sparse_profile"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "map_of_spent" not in plan
+
+
+def test_text_maps_of_many_keys_and_repeats(spark):
+    from cohortlens.functions.maps import parse_map
+    n = 20_000
+    many = ", ".join(f"k{k}={k}" for k in range(n))
+    texts = [("a", "{" + many + "}"), ("b", "{" + many + ", " + many.replace("=", "=1") + "}"),
+             ("c", "{x=1, y=2, x=, z=3, y=4}"), ("d", "{}"), ("e", None), ("f", "{=1, q, =2}")]
+    rows = spark.createDataFrame(texts, "s string, t string").withColumn("m", parse_map("t")).withColumn("k", F.map_keys("m")).collect()
+    got = {r["s"]: dict(zip(r["k"], (r["m"][k] for k in r["k"]))) for r in rows}
+    assert got["a"] == {f"k{k}": float(k) for k in range(n)}
+    assert got["b"] == {f"k{k}": float(f"1{k}") for k in range(n)}
+    assert list(got["c"].items()) == [("x", None), ("z", 3.0), ("y", 4.0)]
+    assert got["d"] == got["e"] == {} and got["f"] == {"q": None, "": 2.0}

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ from ..functions.scalar import (
     strip_device_prefix,
 )
 from ..params import FeatureParams
+from ..session import stage
 from .membership import keep_members, member_words
 
 
@@ -187,6 +189,43 @@ def activity_daily(tables, p: FeatureParams, start: dt.date | None = None, end:
     return sess.unionByName(util, allowMissingColumns=True).unionByName(spend, allowMissingColumns=True)
 
 
+class SharedActivity:
+    """The tables of several feature builds ``(p, start, end)`` that differ in window and ``day_to`` only: raw activity is
+    read once for all of them. Device-days of every device installed between the first start and the last end are stored,
+    as far as the longest horizon reaches; each build joins its own base and sums its own ages, so it gives what it gives
+    from the raw tables. Nothing is read before the first build asks."""
+
+    def __init__(self, tables, builds: Sequence[tuple[FeatureParams, dt.date, dt.date]]):
+        self.tables = tables
+        self.params = builds[0][0].with_(day_to=max(p.day_to for p, _, _ in builds))
+        self.start, self.end = min(b[1] for b in builds), max(b[2] for b in builds)
+
+    @property
+    def installs(self) -> DataFrame:
+        return self.tables.installs
+
+    @property
+    def touches(self) -> DataFrame:
+        return self.tables.touches
+
+    @cached_property
+    def _daily(self) -> DataFrame:
+        devices = installs_in_window(self.installs, self.params, self.start, self.end).select("s")
+        return stage(activity_daily(self.tables, self.params, self.start, self.end, devices), "device-days")
+
+    def device_days(self, p: FeatureParams, start: dt.date, end: dt.date) -> DataFrame:
+        if p.with_(day_to=self.params.day_to) != self.params or p.day_to > self.params.day_to or start < self.start or end > self.end:
+            raise ValueError("this build is not one of those that share their activity")
+        return self._daily
+
+
+def _activity(tables, p: FeatureParams, start: dt.date, end: dt.date, devices: DataFrame) -> DataFrame:
+    """The device-days of a build: shared ones, or its own from the raw tables."""
+    if isinstance(tables, SharedActivity):
+        return tables.device_days(p, start, end)
+    return activity_daily(tables, p, start, end, devices)
+
+
 def features_of(base: DataFrame, activity: DataFrame, p: FeatureParams) -> DataFrame:
     """Feature rows of an installs base (per device, or per device and cohort) and its stacked activity: one left
     join on the device, one aggregate with conditional sums for every metric and horizon."""
@@ -224,14 +263,14 @@ def build_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> Da
     dropped in front of each scan's partial aggregate."""
     installs = installs_in_window(tables.installs, p, start, end)
     base = installs_base(installs, first_touch(tables.touches, p, start, end))
-    return features_of(base, activity_daily(tables, p, start, end, installs.select("s")), p)
+    return features_of(base, _activity(tables, p, start, end, installs.select("s")), p)
 
 
 def cohort_features(tables, p: FeatureParams, start: dt.date, end: dt.date) -> DataFrame:
     """Feature rows of every cohort date in ``[start, end]``, keyed by (s, cohort_date): the union of what each day
     gives when it is scored alone."""
     devices = installs_in_window(tables.installs, p, start, end).select("s")
-    return features_of(cohort_base(tables, p, start, end), activity_daily(tables, p, start, end, devices), p)
+    return features_of(cohort_base(tables, p, start, end), _activity(tables, p, start, end, devices), p)
 
 
 def training_features(tables, p: FeatureParams) -> DataFrame:

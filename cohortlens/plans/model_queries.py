@@ -8,6 +8,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..functions.scalar import round_half_up
+from ..operators import features as feat
 from ..operators import hurdle as hd
 from ..operators import impact as imp
 from ..operators import linear as lin
@@ -170,7 +171,8 @@ BACKFILL_MODELS = (120, 180, 270, 365)
 @query("backfill_predictions")
 def backfill_predictions(spark, sf_dir):
     """E5: cohorts of January 1995, four horizons, scored in one job with the models of these data."""
-    w = load_world(spark, sf_dir)
+    trained = [P.with_(day_to=h) for h in BACKFILL_MODELS]
+    w = feat.SharedActivity(load_world(spark, sf_dir), [(P, *REINSTALLS), *((p, p.window_start, p.window_end) for p in trained)])
     models = {h: train_final(w, h)[0] for h in BACKFILL_MODELS}
     return jobs.backfill_predictions(w, P, *REINSTALLS, models)
 

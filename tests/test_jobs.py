@@ -133,3 +133,22 @@ def test_fits_begin_at_a_checkpoint(spark, monkeypatch):
     hd.hurdle_cv(joined, jobs.base_spec(TEST_FEATURES, mq.HP), 2, (2,), (0.1,), (0.2,), parallelism=2)
     lineage = [df._jdf.queryExecution().toRdd().toDebugString() for df in (frame, *seen)]
     assert len(lineage) == 3 and not any("Shuffled" in text or "InMemory" in text for text in lineage)
+
+
+def test_builds_that_share_their_activity(spark, monkeypatch):
+    """Device-days that are stored once give each build what it reads from the raw tables."""
+    from cohortlens.operators import features as feat
+    w, p, q = load_world(spark, SF_SMALL), TEST_FEATURES, TEST_FEATURES.with_(day_to=180)
+    a, b = dt.date(1995, 1, 1), dt.date(1995, 1, 31)
+    shared = feat.SharedActivity(w, [(p, a, b), *((x, x.window_start, x.window_end) for x in (p, q))])
+    reads, real = [], feat.activity_daily
+    want = [feat.training_features(w, p), feat.training_features(w, q), feat.cohort_features(w, p, a, b)]
+    monkeypatch.setattr(feat, "activity_daily", lambda *args, **kw: reads.append(1) or real(*args, **kw))
+    got = [feat.training_features(shared, p), feat.training_features(shared, q), feat.cohort_features(shared, p, a, b)]
+    for one, other in zip(got, want):
+        rows = sorted(map(repr, one.collect()))
+        assert rows and rows == sorted(map(repr, other.collect()))
+    assert len(reads) == 1
+    for other, start in ((p.with_(day_from=30), a), (p.with_(day_to=720), a), (p, a - dt.timedelta(1))):
+        with pytest.raises(ValueError, match="share"):
+            feat.cohort_features(shared, other, start, b)

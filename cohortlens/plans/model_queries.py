@@ -138,11 +138,12 @@ def hurdle_cv(spark, sf_dir):
     return hd.summarise_settings(per_fold)
 
 
-def train_final(w, day_to=P.day_to, **setting):
-    """Fit with the final setting on the training split; hold-out metrics on the test split. Returns (model, holdout)."""
+def train_final(w, day_to=P.day_to, frame=None, **setting):
+    """Fit with the final setting on the training split; hold-out metrics on the test split. Returns (model, holdout).
+    ``frame`` is the model frame of ``w``, if there is one already."""
     from dataclasses import replace
     p = P.with_(day_to=day_to)
-    frame = jobs.revenue_model_frame(w, p, HP)
+    frame = jobs.revenue_model_frame(w, p, HP) if frame is None else frame
     spec = replace(jobs.base_spec(p, HP), **{**FINAL, **setting})
     return hd.fit_final(frame.where(F.col("split") == "train"), frame.where(F.col("split") == "test"), spec)
 
@@ -182,9 +183,10 @@ def registry_round_trip(spark, sf_dir):
     """Two versions of a model saved to a new registry, the latest loaded and used for one cohort; its
     predictions next to those of the model in memory."""
     import uuid
-    w = load_world(spark, sf_dir)
+    w = feat.SharedActivity(load_world(spark, sf_dir), [(P, P.window_start, P.window_end), (P, COHORT_DATE, COHORT_DATE)])
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/queries/registry-{uuid.uuid4().hex}"
-    first, last = (train_final(w, nrounds=n)[0] for n in (2, 5))
+    frame = jobs.revenue_model_frame(w, P, HP)
+    first, last = (train_final(w, frame=frame, nrounds=n)[0] for n in (2, 5))
     for model in (first, last):
         registry.save_model(spark, model, root, P.game, P.day_from, P.day_to)
     loaded = registry.load_latest_model(spark, root, P.game, P.day_from, P.day_to)

@@ -152,3 +152,14 @@ def test_builds_that_share_their_activity(spark, monkeypatch):
     for other, start in ((p.with_(day_from=30), a), (p.with_(day_to=720), a), (p, a - dt.timedelta(1))):
         with pytest.raises(ValueError, match="share"):
             feat.cohort_features(shared, other, start, b)
+
+
+def test_registry_query_builds_its_frame_once(spark, monkeypatch):
+    from cohortlens.operators import features as feat
+    from cohortlens.plans import model_queries as mq
+    frames, reads, build, daily = [], [], jobs.revenue_model_frame, feat.activity_daily
+    monkeypatch.setattr(jobs, "revenue_model_frame", lambda *a: frames.append(1) or build(*a))
+    monkeypatch.setattr(feat, "activity_daily", lambda *a, **kw: reads.append(1) or daily(*a, **kw))
+    rows = mq.registry_round_trip(spark, SF_SMALL).collect()
+    assert all(r["loaded"] == r["in_memory"] for r in rows)
+    assert (len(frames), len(reads)) == (1, 1)

@@ -130,7 +130,10 @@ class TestWorld:
     def sessions(self) -> DataFrame:
         """Sessions: s, game_name, activity_date, session_length (one row per lineitem)."""
         c = self.table("customer").select("c_custkey", "c_mktsegment")
-        return self._lines.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
+        # orders meet their customers first: lines, the largest table, are then dealt out once and not twice
+        o = self.table("orders").select("o_orderkey", "o_custkey").join(c, F.col("o_custkey") == F.col("c_custkey"))
+        li = self.table("lineitem").select("l_orderkey", "l_extendedprice", "l_shipdate")
+        return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
             device_id(F.col("o_custkey")).alias("s"),
             game_name(F.col("o_custkey"), F.col("c_mktsegment")).alias("game_name"),
             F.to_date("l_shipdate").alias("activity_date"),

@@ -125,3 +125,13 @@ def test_queries_size_their_store(spark, monkeypatch):
     assert st.buckets >= 13  # 6,000 lines count twice, 1,500 orders once
     st.put("all", days(spark, [(f"d{k}", D[0], k, None) for k in range(50)]))
     assert sum(r["n"] for r in st.read().collect()) == sum(range(50))
+
+
+def test_batches_are_cut_from_tables_joined_once(spark, monkeypatch):
+    """The five batches of the query read stored tables, not the joins behind them."""
+    from cohortlens.plans import queries
+    seen, real = [], feat.activity_daily
+    monkeypatch.setattr(feat, "activity_daily", lambda tables, *a, **kw: seen.append(tables) or real(tables, *a, **kw))
+    queries.incremental_features(spark, SF_SMALL)
+    plans = [getattr(t, name)._jdf.queryExecution().optimizedPlan().toString() for t in seen for name in ("sessions", "utility", "revenue")]
+    assert len(plans) == 15 and not any("Join" in p or "Aggregate" in p for p in plans)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import textkit as T
-from cohortlens.llm.shared import compressed, in_parts, open_text
+from cohortlens.llm.shared import compressed, freed_shuffles, in_parts, open_text
 from cohortlens.session import cut_lineage
 
 GRAM = 32
@@ -268,14 +268,16 @@ def _factor_task(length: int, chunk: int):
 def repeated_spans(texts: DataFrame, length: int = 100, chunk: int = 20_000) -> DataFrame:
     """(doc, spans): the spans [lo, hi) to remove from (doc_id, text), overlapping where matches do."""
     rows = texts.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    marks = cut_lineage(rows.mapInArrow(_anchor_task(length), _ANCHOR)
-                        .repartition("key").sortWithinPartitions("key", "block", "doc", "place")
-                        .mapInArrow(_meet_task(length), _MARK))
+    with freed_shuffles(texts.sparkSession):
+        marks = cut_lineage(rows.mapInArrow(_anchor_task(length), _ANCHOR)
+                            .repartition("key").sortWithinPartitions("key", "block", "doc", "place")
+                            .mapInArrow(_meet_task(length), _MARK))
     parts = (marks.where("key is not null").groupBy("doc").agg(F.collect_list(F.struct("key", "lo", "hi")).alias("parts"))
              .withColumnRenamed("doc", "doc_id"))  # at most a row per anchor of the document
     blocks = compressed(rows).join(parts.hint("merge"), "doc_id").select("doc_id", "text", "parts").mapInArrow(
         _blocks_task(length), "key long, doc long, lo long, block binary")
-    found = cut_lineage(blocks.repartition("key").sortWithinPartitions("key", "doc", "lo").mapInArrow(_factor_task(length, chunk), _FOUND))
+    with freed_shuffles(texts.sparkSession):
+        found = cut_lineage(blocks.repartition("key").sortWithinPartitions("key", "doc", "lo").mapInArrow(_factor_task(length, chunk), _FOUND))
     wide = found.where("w1 is not null")
     first = wide.groupBy("w1", "w2").agg(F.min(F.struct("doc", "lo")).alias("f"), F.count("*").alias("n")).where("n > 1")
     later = wide.join(first, ["w1", "w2"]).where(F.struct("doc", "lo") != F.col("f"))

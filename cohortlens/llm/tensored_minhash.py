@@ -12,7 +12,9 @@ across components that can be similar. A pair is left out only where its sizes,
 each of a set's 2,048 bits is the parity of the shingles that fall on it, so two sets differ in at least as many shingles
 as in bits. Large buckets are split into blocks and met block against block, the rows of a bucket's largest component with
 the others only, so no task holds a whole bucket, a family of near copies is not met with itself again, and no bucket or
-candidate list is capped. Links are confirmed on the full sets; components come from a distributed contraction.
+candidate list is capped. Links are confirmed on the full sets; components come from a distributed contraction, and the
+links of a later round join the components there are. Steps are stored and deleted as soon as nothing reads them any
+more, and the shuffles of each are freed with it, so disk holds the largest step and not the sum of all.
 
 Defined cases: null texts and texts without words have an empty set and are linked with nothing; texts with fewer
 words than a shingle have one shingle, the whole sequence; repeated rows are linked as equal sets; ties cannot
@@ -29,9 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import textkit as T
-from cohortlens.llm.components import connected
-from cohortlens.llm.shared import of_ids, opened, stored
-from cohortlens.session import cut_lineage
+from cohortlens.llm.components import connected, joined
+from cohortlens.llm.shared import dropped, freed_shuffles, of_ids, opened, stored
 
 PARITY = 2048
 _RNG = np.random.default_rng(7)
@@ -301,13 +302,27 @@ def _candidates(buckets: DataFrame, comps: DataFrame, reps: DataFrame, m: int, b
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int = 11, block: int = 512) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
+    with freed_shuffles(docs.sparkSession):
+        rows, comps = _linked(docs, width, percent, m, block)
+    named_docs = (rows.join(comps.withColumnsRenamed({"v": "rep"}), "rep", "left")
+                  .withColumn("component_id", F.coalesce("component", "rep", "doc_id")))
+    return named_docs.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                             (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def _linked(docs: DataFrame, width: int, percent: int, m: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, rep) of every row, with the representative of its class, and the components (v, component) of the
+    representatives that are linked. What else is stored on the way is deleted."""
+    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sketch = cut_lineage(texts.mapInArrow(_sketch(width, 4 * m), "doc_id long, n long, d1 long, d2 long, sig binary"))
+    sketch = stored(texts.mapInArrow(_sketch(width, 4 * m), "doc_id long, n long, d1 long, d2 long, sig binary"))
     slim = sketch.drop("sig")
-    classes = cut_lineage(slim.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")))
-    reps = cut_lineage(classes.select("rep", "n", "d1", "d2").join(
+    classes = stored(slim.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")))
+    reps = stored(classes.select("rep", "n", "d1", "d2").join(
         sketch.where("n > 0").withColumnRenamed("doc_id", "rep"), ["rep", "n", "d1", "d2"])
         .dropDuplicates(["rep"]).select("rep", "n", "sig"))
+    rows = stored(slim.join(classes, ["d1", "d2", "n"], "left").select("doc_id", "n", "rep"))
+    dropped(spark, [sketch, classes])
 
     def by_key(rows: DataFrame, extra: str | None, schema: str) -> DataFrame:
         return rows.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_shared(extra), schema + ", leader long")
@@ -315,28 +330,27 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int =
     subs = by_key(reps.select("rep", "sig").mapInArrow(_sub_keys(m), "key long, rep long, slot int"), "slot", "key long, rep long, slot int")
     paired = (subs.groupBy("rep").agg(F.collect_list(F.struct("slot", "key")).alias("subs"))  # at most 2m per representative
               .where(F.exists("subs", lambda s: s.slot < m) & F.exists("subs", lambda s: s.slot >= m)))
-    buckets = cut_lineage(by_key(paired.mapInArrow(_tables(m), "key long, rep long, slot int"), "slot", "key long, rep long, slot int"))
+    buckets = stored(by_key(paired.mapInArrow(_tables(m), "key long, rep long, slot int"), "slot", "key long, rep long, slot int"))
 
     # round one: the leader with which a representative shares most tables
     shared = buckets.where("leader <> rep").groupBy("rep", "leader").agg(F.count("*").alias("tables"))
     best = shared.groupBy("rep").agg(F.max(F.struct("tables", "leader")).alias("x")).select(F.col("x.leader").alias("a"), F.col("rep").alias("b"))
     ids = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    sets = cut_lineage(of_ids(texts, ids).mapInArrow(_sets(width), "id long, items binary").dropDuplicates(["id"]))
+    sets = stored(of_ids(texts, ids).mapInArrow(_sets(width), "id long, items binary").dropDuplicates(["id"]))
     links = stored(verify(best, sets, percent))
-    comps = stored(connected(links))
+    comps = connected(links)
 
     # rounds two and three: buckets that hold more than one component; first the nearest row of another component for
     # each row, in the diagonal tables, then every pair that is left
     least = int(4 * m * (percent / 100 - 0.19))  # only the nearest round skips those below; the last one does not
     sharp = stored(reps.join(sets.where(F.length("items") > 0).mapInArrow(_parity_task, "rep long, parity binary").hint("merge"), "rep"))
+    dropped(spark, [links, reps])
     for nearest in (True, False):
         pairs = _candidates(buckets, comps, sharp, m, block, least, percent, nearest)
         more = stored(verify(pairs, sets, percent))
         if not more.isEmpty():
-            links = stored(links.unionByName(more))
-            comps = stored(connected(links))
-    named_docs = (slim.join(classes, ["d1", "d2", "n"], "left")
-                  .join(comps.withColumnsRenamed({"v": "rep"}), "rep", "left")
-                  .withColumn("component_id", F.coalesce("component", "rep", "doc_id")))
-    return named_docs.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                             (F.col("doc_id") == F.col("component_id")).alias("kept"))
+            before, comps = comps, joined(comps, more)
+            dropped(spark, [before])
+        dropped(spark, [more])
+    dropped(spark, [buckets, sets, sharp])
+    return rows, comps

@@ -4,9 +4,11 @@ empty tables and extra columns whose names clash with working columns."""
 import base64
 import hashlib
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,8 @@ import pytest
 
 from cohortlens.llm import (bit_sliced, kneser_ney, packing, piece_transducer, quality_rules, sharding, suffix_dedup,
                             tensored_minhash, textkit, toxicity, warc)
-from cohortlens.llm.components import connected
+from cohortlens.llm.components import connected, joined
+from cohortlens.session import ensure_checkpoint_dir
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 WORDS = [f"w{i}" for i in range(400)]
@@ -426,6 +429,41 @@ def test_components_of_a_path(spark):
     assert got == {**{i: 1 for i in range(1, 121)}, 400: 400, 450: 400, 500: 400}
 
 
+def test_components_after_more_links(spark):
+    """The components of all links, whether known ones are joined, a vertex is new, or a link is inside a component."""
+    rng = random.Random(3)
+    first = [(rng.randrange(60), rng.randrange(60)) for _ in range(30)]
+    more = [(rng.randrange(90), rng.randrange(90)) for _ in range(25)] + first[:2]
+    few, many, both = (spark.createDataFrame(e, "a long, b long") for e in (first, more, first + more))
+    assert sorted(joined(connected(few), many).collect()) == sorted(connected(both).collect())
+    assert sorted(joined(connected(few.limit(0)), many).collect()) == sorted(connected(many).collect())
+
+
+def left_on_disk(spark):
+    """(folders of stored steps, shuffle files): what the session's queries have not deleted."""
+    folders = [f for f in os.listdir(urlparse(ensure_checkpoint_dir(spark)).path) if f.startswith("step-")]
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return len(folders), sum(os.path.basename(b).startswith("shuffle_") for b in blocks)
+
+
+def test_near_duplicates_leave_no_steps_behind(spark, rows):
+    """Two folders stay for the result to read; all other steps and every shuffle are gone when it is returned."""
+    docs = table(spark, rows)
+    folders, files = left_on_disk(spark)
+    out = tensored_minhash.near_duplicates(docs)
+    after = left_on_disk(spark)
+    assert after[0] <= folders + 2 and after[1] <= files
+    assert out.count() == len(rows) == out.count()
+
+
+def test_repeats_leave_no_shuffles_behind(spark, rows):
+    docs = table(spark, rows)
+    _, files = left_on_disk(spark)
+    out = suffix_dedup.removal_digest(docs)
+    assert left_on_disk(spark)[1] <= files
+    assert out.count() == len(rows) == out.count()
+
+
 # 9
 
 def reference_model(counts):

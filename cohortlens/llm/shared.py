@@ -56,10 +56,16 @@ def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
+#: Parquet's vectored reads ask for whole column chunks at once, and the JVM keeps a direct buffer of that size for every
+#: thread that read one, beside the heap. Texts make column chunks large; streams read them through small buffers.
+_VECTORED = "parquet.hadoop.vectored.io.enabled"
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Set the session's Arrow batches to a size that suits rows with texts: a batch is held by the JVM and by the
-    Python worker at once."""
+    """Set the session's Arrow batches and Parquet reads to a size that suits rows with texts: a batch is held by the JVM
+    and by the Python worker at once, and what a read holds must not follow the size of a column chunk."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set(_VECTORED, "false")
 
 
 def _compress_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,8 +12,8 @@ document). The suffixes that can decide this are found first, so that only they
 3. The suffixes at the window starts of these blocks are sorted (sparse suffix array, ``length`` bytes deep; equal
    ones by place). In that order the previous smaller place of a suffix that ties with one before it is a previous
    factor of at least ``length`` bytes; the first of a tie has shorter ones on both sides. Blocks are sorted in
-   chunks of bounded size; where one k-gram fills several chunks, its windows that are first in their chunk are
-   compared by 128-bit hash across chunks.
+   chunks of bounded size, small ones unless a k-gram needs more; where one k-gram fills several of the largest, its
+   windows that are first in their chunk are compared by 128-bit hash across chunks.
 4. Spans are joined to the documents and cut out.
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``length`` keep all; repeated rows of one id
@@ -218,12 +218,24 @@ def repeats_before(buffer: np.ndarray, starts: np.ndarray, place: np.ndarray, le
     return out
 
 
+def _ranks(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Numbers of the places (doc, at) in their order; equal places get equal ones."""
+    order = np.lexsort((at, doc))
+    new = np.zeros(len(order), bool)
+    new[1:] = (np.diff(doc[order]) != 0) | (np.diff(at[order]) != 0)
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out
+
+
 _FOUND = "doc long, lo long, hi long, w1 long, w2 long"
 
 
 def _factor_task(length: int, chunk: int):
     """Blocks sorted by key, in chunks: spans of windows with a previous factor; where a key goes beyond its chunk,
-    also the hashes of its windows that have none inside it."""
+    also the hashes of its windows that have none inside it. Whole keys are given out from a fifth of ``chunk`` on."""
+    enough = max(chunk // 5, 1)
+
     def work(rows: list[tuple], from_key: int | None, to_key: int | None) -> pa.RecordBatch:
         sizes = np.array([len(r[3]) for r in rows])
         base = np.cumsum(sizes) - sizes
@@ -233,8 +245,7 @@ def _factor_task(length: int, chunk: int):
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
         doc, lo, key = (np.array([r[i] for r in rows], np.int64) for i in (1, 2, 0))
         at = lo[owner] + inside
-        _, place = np.unique(np.column_stack([doc[owner], at]), axis=0, return_inverse=True)
-        hit = repeats_before(buffer, base[owner] + inside, place.ravel(), length)
+        hit = repeats_before(buffer, base[owner] + inside, _ranks(doc[owner], at), length)
         d, a, b = _spans(doc[owner][hit], at[hit], at[hit] + length)
         beyond = ~hit & np.isin(key[owner], [k for k in (from_key, to_key) if k is not None])
         digests = [hashlib.md5(buffer[s:s + length].tobytes()).digest() for s in (base[owner] + inside)[beyond]]
@@ -251,12 +262,14 @@ def _factor_task(length: int, chunk: int):
         left_key = None  # key that goes on from the chunk before
         for batch in batches:
             rows += zip(*[batch.column(c).to_pylist() for c in ("key", "doc", "lo", "block")], strict=True)
-            while len(rows) > chunk:
-                cut = chunk  # end the chunk where a key ends, if one does
+            while len(rows) > enough:
+                cut = min(chunk, len(rows) - 1)  # end the chunk where a key ends, if one does
                 while cut and rows[cut - 1][0] == rows[cut][0]:
                     cut -= 1
                 open_key = None
                 if not cut:
+                    if len(rows) <= chunk:  # the key may end within the chunk yet
+                        break
                     cut, open_key = chunk, rows[chunk][0]
                 yield work(rows[:cut], left_key, open_key)
                 left_key, rows = open_key, rows[cut:]

@@ -12,11 +12,13 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from cohortlens.llm import (bit_sliced, kneser_ney, packing, piece_transducer, quality_rules, sharding, suffix_dedup,
                             tensored_minhash, textkit, toxicity, warc)
 from cohortlens.llm.components import connected, joined
+from cohortlens.llm.shared import small_batches
 from cohortlens.session import ensure_checkpoint_dir
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -627,3 +629,48 @@ def test_counts_of_very_long_spans():
     s, e, _ = textkit.word_spans(data, offs)
     h = textkit.span_hashes(data, s, e)
     assert len(h) == 3 and h[0] == h[1] != h[2]
+
+
+def direct_bytes(spark):
+    """Bytes of direct buffers that this JVM holds; the driver's, which runs the tasks of a local session."""
+    jvm = spark._jvm
+    kind = jvm.java.lang.Class.forName("java.lang.management.BufferPoolMXBean")
+    return sum(b.getMemoryUsed() for b in jvm.java.lang.management.ManagementFactory.getPlatformMXBeans(kind) if b.getName() == "direct")
+
+
+def test_pipeline_reads_hold_no_column_chunk(spark, tmp_dir):
+    """A read of texts must not keep direct buffers of the size of their column chunk."""
+    path = f"{tmp_dir}/one-chunk.parquet"
+    texts = [os.urandom(4000).hex() for _ in range(6000)]  # 48 MB in one column chunk
+    pq.write_table(pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts}), path,
+                   compression="none", use_dictionary=False, row_group_size=len(texts))
+    small_batches(spark)
+    before = direct_bytes(spark)
+    got = spark.read.parquet(path).mapInArrow(lambda it: it, "doc_id long, text string").selectExpr("sum(length(text)) AS n").first()["n"]
+    assert got == 8000 * len(texts)
+    assert direct_bytes(spark) - before < 16 << 20
+
+
+def test_factor_chunks_stay_small_between_keys():
+    """Many keys of few blocks are worked on in pieces far below the chunk that one key may fill; the spans are the same."""
+    rng = random.Random(3)
+    rows = []
+    for key in range(300):
+        text = rng.randbytes(130)
+        rows += [(key, 2 * key, 0, text), (key, 2 * key + 1, 5, rng.randbytes(3) + text)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 50], strict=True), (*[pa.int64()] * 3, pa.binary()), strict=True)],
+                                          names=["key", "doc", "lo", "block"]) for i in range(0, len(rows), 50)]
+
+    def found(chunk):
+        out = [b for b in suffix_dedup._factor_task(100, chunk)(iter(batches)) if b.num_rows]
+        return out, sorted((r["doc"], r["lo"], r["hi"]) for b in out for r in b.to_pylist() if r["w1"] is None)
+
+    parts, spans = found(500)
+    assert max(b.num_rows for b in parts) <= 75 and len(parts) >= 4  # once: 250 keys at a time
+    assert spans == found(10_000)[1] == [(2 * k + 1, 8, 138) for k in range(300)]
+
+
+def test_ranks_of_places():
+    doc, at = np.array([5, 2, 5, 2, 2, -1]), np.array([7, 9, 7, 9, 3, 50])
+    assert suffix_dedup._ranks(doc, at).tolist() == [3, 2, 3, 2, 1, 0]
+    assert suffix_dedup._ranks(doc[:0], at[:0]).tolist() == []
